@@ -1,0 +1,23 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side up to this many rows is shipped to every executor.  At a
+# few dozen bytes per row this stays well under the 8 GB broadcast limit and
+# executor memory; beyond it the join falls back to a shuffle join, which
+# AQE can still split when a key is skewed.
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows.
+
+    The check counts at most ``max_rows + 1`` rows (the limit stops the job
+    early), so it is cheap even when the answer is "too big".  Otherwise the
+    frame is returned unhinted and the planner picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
