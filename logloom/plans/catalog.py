@@ -158,13 +158,14 @@ def ipv4_to_long_q(spark, sf):
 @query("ip_to_district")
 def ip_to_district_q(spark, sf):
     inp = Inputs(spark, sf)
-    return geo.ip_to_district(inp.parsed.select("ip"), inp.ranges)
+    return geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup)
 
 
 @query("ip_unresolved_audit")
 def ip_unresolved_audit_q(spark, sf):
     inp = Inputs(spark, sf)
-    return geo.ip_unresolved_audit(geo.ip_to_district(inp.parsed.select("ip"), inp.ranges))
+    return geo.ip_unresolved_audit(
+        geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup))
 
 
 @query("column_name")
@@ -215,7 +216,7 @@ def time_dimension_q(spark, sf):
 @query("region_from_ip_json")
 def region_from_ip_json_q(spark, sf):
     inp = Inputs(spark, sf)
-    located = geo.ip_to_district(inp.parsed.select("ip"), inp.ranges).distinct()
+    located = geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup).distinct()
     replies = derived.geo_replies(located)
     return replies.select("ip", "reply", C.region_from_ip_json("reply").alias("region"))
 

@@ -23,7 +23,8 @@ LOGINFO_COLUMNS = ["ip", "district", "sessionid", "datetime", "daystr", "url",
 YMD = ["year", "month", "day"]
 
 
-def loginfo(lines: DataFrame, ranges: DataFrame, value_col: str = "value") -> DataFrame:
+def loginfo(lines: DataFrame, ranges: DataFrame | None = None, value_col: str = "value",
+            lookup: DataFrame | None = None) -> DataFrame:
     """ETL stage 1: parse, drop 4xx/5xx and static resources, locate the IP,
     split the partition date into zero-padded strings.
 
@@ -31,7 +32,7 @@ def loginfo(lines: DataFrame, ranges: DataFrame, value_col: str = "value") -> Da
     """
     parsed = access_log_parse(lines, value_col)
     kept = drop_static_resources(drop_error_status(parsed))
-    located = ip_to_district(kept, ranges)
+    located = ip_to_district(kept, ranges, lookup=lookup)
     y, m, d = C.split_ymd_str("yearmonthday")
     return located.select(*LOGINFO_COLUMNS, y.alias("year"), m.alias("month"),
                           d.alias("day"))

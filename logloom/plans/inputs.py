@@ -12,13 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logloom.functions.parse import access_log_parse
 from logloom.operators.enrich import enrich_loginfo2
+from logloom.operators.geo import prepare_ip_lookup
 from logloom.operators.star import star_join_ip, star_join_pv, star_join_uv
 from logloom.plans import etl
-from logloom.session import table_path
+from logloom.session import rebalance_if_underpartitioned, table_path
 from logloom.sources import derived
 from logloom.sources.text import ip_ranges_from_lines
 
 
+# prepared IP lookups, one per (application, folder): the range table is
+# tiny and reused by every query of a run
+_IP_LOOKUPS: dict[tuple[str, str], DataFrame] = {}
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -29,7 +35,7 @@ class Inputs:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events")
+        return rebalance_if_underpartitioned(self.table("events"))
 
     @cached_property
     def nation(self) -> DataFrame:
@@ -51,13 +57,20 @@ class Inputs:
     def ranges(self) -> DataFrame:
         return ip_ranges_from_lines(self.range_lines)
 
+    @cached_property
+    def ip_lookup(self) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _IP_LOOKUPS:
+            _IP_LOOKUPS[key] = prepare_ip_lookup(self.ranges)
+        return _IP_LOOKUPS[key]
+
     @cached_property
     def parsed(self) -> DataFrame:
         return access_log_parse(self.lines)
 
     @cached_property
     def loginfo(self) -> DataFrame:
-        return etl.loginfo(self.lines, self.ranges)
+        return etl.loginfo(self.lines, lookup=self.ip_lookup)
 
     @cached_property
     def loginfo2(self) -> DataFrame:

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -91,5 +91,20 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return path
 
 
+def rebalance_if_underpartitioned(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer splits than cores.
+
+    The CPU-heavy row work downstream (regex parsing) then runs in
+    parallel even when the input is one unsplittable file.  Large inputs
+    already have far more splits than cores and are returned untouched, so
+    this never adds a shuffle at scale.  Planning the scan to count its
+    splits runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"

@@ -139,11 +139,27 @@ class Dimensions:
     referers: DataFrame   # refererHostId, url, host
 
 
+def _sql_literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table from literal rows as an inline ``VALUES`` relation.
+
+    Unlike ``createDataFrame`` over a Python list (an RDD scan of unknown
+    size), an inline table carries exact statistics, so the planner knows
+    it is tiny and broadcasts it without any extra job.
+    """
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+
+
 def dimensions(spark: SparkSession, nation: DataFrame) -> Dimensions:
-    columns = spark.createDataFrame(
-        COLUMN_ROWS, "columnid int, keyword string, columnName string")
-    devices = spark.createDataFrame(DEVICE_ROWS, "devicetypeid int, deviceTypeName string")
-    referers = spark.createDataFrame(REFERER_ROWS, "refererHostId int, url string, host string")
+    columns = literal_table(spark, COLUMN_ROWS, ["columnid", "keyword", "columnName"])
+    devices = literal_table(spark, DEVICE_ROWS, ["devicetypeid", "deviceTypeName"])
+    referers = literal_table(spark, REFERER_ROWS, ["refererHostId", "url", "host"])
     districts = nation.select(F.col("n_nationkey").cast("int").alias("districtid"),
                               F.col("n_name").alias("districtName"))
     calendar = time_dimension(spark, CALENDAR_START, CALENDAR_DAYS)
