@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from logloom import schemas
 from logloom.functions import columns as C
 from logloom.functions import parse as P
-from logloom.operators import enrich, geo, marts, reports
+from logloom.operators import enrich, geo, marts, offsets, orders, reports
 from logloom.operators.dims import time_dimension_spanning
 from logloom.operators.filters import drop_error_status, drop_static_resources
 from logloom.operators.star import DIM_IDS
@@ -24,6 +24,9 @@ from logloom.plans.inputs import Inputs
 from logloom.session import work_dir
 from logloom.sources import derived
 from logloom.sources.text import log_text_scan, table_scan
+from logloom.streaming import bus as bus_stream
+from logloom.streaming import offsets as stream_offsets
+from logloom.streaming import unpaid
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -318,6 +321,152 @@ QUERIES["top3_columns_pv_hour"] = _top3_query("pv_hour", "pv")
 QUERIES["top3_columns_uv_day"] = _top3_query("uv_day", "uv")
 
 
+# --- orders, payments and the bus -----------------------------------------------
+
+def _bus(inp: Inputs) -> DataFrame:
+    return derived.bus_records(inp.events)
+
+
+@query("order_record_parse")
+def order_record_parse_q(spark, sf):
+    return orders.order_record_parse(orders.route_topics(_bus(Inputs(spark, sf)),
+                                                         orders.ORDER_TOPICS))
+
+
+@query("payment_record_parse")
+def payment_record_parse_q(spark, sf):
+    return orders.payment_record_parse(orders.route_topics(_bus(Inputs(spark, sf)),
+                                                           orders.PAYMENT_TOPICS))
+
+
+@query("delivery_record_parse")
+def delivery_record_parse_q(spark, sf):
+    inp = Inputs(spark, sf)
+    return orders.delivery_record_parse(derived.delivery_records(inp.table("customer")))
+
+
+@query("order_topic_route")
+def order_topic_route_q(spark, sf):
+    bus = _bus(Inputs(spark, sf))
+    o = orders.route_topics(bus, orders.ORDER_TOPICS).withColumn("stream", F.lit("order"))
+    p = orders.route_topics(bus, orders.PAYMENT_TOPICS).withColumn("stream", F.lit("payment"))
+    return o.unionByName(p).select("stream", "topic", "partition", "offset", "key")
+
+
+@query("orders_payments_full_outer")
+def orders_payments_full_outer_q(spark, sf):
+    bus = _bus(Inputs(spark, sf))
+    j = orders.orders_payments_full_outer(orders.orders_from_bus(bus),
+                                          orders.payments_from_bus(bus))
+    return j.select("orderid", "userid", "ordertime", "payment", "paymenttime")
+
+
+def _status(spark, sf, pay_within=orders.REMIND_AFTER) -> DataFrame:
+    bus = _bus(Inputs(spark, sf))
+    return orders.order_payment_status(orders.orders_from_bus(bus),
+                                       orders.payments_from_bus(bus), derived.AS_OF,
+                                       pay_within=pay_within)
+
+
+@query("order_payment_status")
+def order_payment_status_q(spark, sf):
+    return _status(spark, sf)
+
+
+@query("order_payment_status_any_payment")
+def order_payment_status_any_payment_q(spark, sf):
+    return _status(spark, sf, pay_within=None)
+
+
+@query("carry_forward")
+def carry_forward_q(spark, sf):
+    return orders.carry_forward(_status(spark, sf))
+
+
+@query("order_amounts")
+def order_amounts_q(spark, sf):
+    return orders.order_amounts(order_record_parse_q(spark, sf))
+
+
+@query("time_interval_seconds")
+def time_interval_seconds_q(spark, sf):
+    """Order-to-payment latency in seconds."""
+    bus = _bus(Inputs(spark, sf))
+    o = orders.orders_from_bus(bus).select("orderid", "ordertime")
+    p = orders.payments_from_bus(bus).select("orderid", "paymenttime")
+    return o.join(p, "orderid").select(
+        "orderid", "ordertime", "paymenttime",
+        C.time_interval_seconds("paymenttime", "ordertime", "yyyy-MM-dd HH:mm:ss")
+        .alias("seconds"))
+
+
+def _landed_bus(spark, inp: Inputs, with_sentinel: bool) -> str:
+    folder = work_dir(spark, "landing", "bus", unique=True)
+    bus_stream.land_bus(_bus(inp), folder)
+    if with_sentinel:
+        bus_stream.land_bus(derived.bus_sentinel(spark), folder)
+    return folder
+
+
+@query("order_stream_source")
+def order_stream_source_q(spark, sf):
+    """Bus rows read back through a streaming file source."""
+    inp = Inputs(spark, sf)
+    folder = _landed_bus(spark, inp, with_sentinel=False)
+    stream = bus_stream.file_bus_stream(spark, folder)
+    return bus_stream.run_to_completion(spark, stream, "bus_source")
+
+
+@query("unpaid_orders_stream")
+def unpaid_orders_stream_q(spark, sf):
+    """Reminders from the streaming stream-stream outer join."""
+    inp = Inputs(spark, sf)
+    folder = _landed_bus(spark, inp, with_sentinel=True)
+    stream = unpaid.unpaid_orders_stream(bus_stream.file_bus_stream(spark, folder))
+    return bus_stream.run_to_completion(spark, stream, "unpaid")
+
+
+@query("stream_batch_offsets")
+def stream_batch_offsets_q(spark, sf):
+    """Per-micro-batch consumed ranges, written by a foreachBatch sink."""
+    inp = Inputs(spark, sf)
+    folder = _landed_bus(spark, inp, with_sentinel=False)
+    stream = bus_stream.file_bus_stream(spark, folder)
+    out = bus_stream.run_to_completion(
+        spark, stream, "bus_offsets",
+        foreach_batch=lambda df, epoch, path: stream_offsets.offset_history_append(df, epoch, path))
+    return out
+
+
+# --- offsets ----------------------------------------------------------------------
+
+def _history(spark, sf) -> DataFrame:
+    return offsets.offset_history(_bus(Inputs(spark, sf)))
+
+
+@query("offset_history_append")
+def offset_history_append_q(spark, sf):
+    return offsets.offset_history_rows(_history(spark, sf))
+
+
+@query("batch_offset_report")
+def batch_offset_report_q(spark, sf):
+    return _history(spark, sf)
+
+
+@query("offset_latest_lookup")
+def offset_latest_lookup_q(spark, sf):
+    return offsets.offset_latest_lookup(_history(spark, sf), derived.CONSUMER_STOP)
+
+
+@query("starting_offsets_resolve")
+def starting_offsets_resolve_q(spark, sf):
+    bus = _bus(Inputs(spark, sf))
+    stored = offsets.offset_latest_lookup(offsets.offset_history(bus), derived.CONSUMER_STOP)
+    bounds = offsets.partition_bounds(bus, {derived.ORDER_TOPIC: derived.ORDER_RETAINED_FROM})
+    return offsets.starting_offsets_resolve(stored, bounds, "clamp")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log -> ETL -> star join -> daily PV -> top-3 columns per day."""
     return QUERIES["top3_columns_pv_day"](spark, sf_dir)

@@ -195,6 +195,81 @@ WHERE deviceType <> {_q(C.DEVICE_UNKNOWN)}"""),
 ]
 
 
+def _cents(c: str) -> str:
+    return f"CAST(({c}) // 100 AS VARCHAR) || '.' || lpad(CAST(({c}) % 100 AS VARCHAR), 2, '0')"
+
+
+_OT = [_q(t) for t in ("produceOrderInfo", "order2")]
+_PT = [_q(t) for t in ("producerOrderids", "pay2")]
+
+CTES += [
+    ("orders_cents", """
+SELECT *, CASE WHEN goods < 4800 THEN 1000 WHEN goods < 9800 THEN 500 ELSE 0 END AS carr,
+       (goods * pct + 50) // 100 AS disc
+FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS goods,
+             CASE WHEN event_id % 100 < 80 THEN 0 WHEN event_id % 100 < 85 THEN 15
+                  WHEN event_id % 100 < 90 THEN 10 WHEN event_id % 100 < 95 THEN 5 ELSE 0 END
+             AS pct
+      FROM events WHERE event_type = 'purchase')"""),
+    ("orders_rec", f"""
+SELECT CAST(event_id AS VARCHAR) AS orderid, event_id, ts AS event_ts,
+       concat_ws(',', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR),
+                 'addressId' || lpad(CAST(user_id % 10 + 1 AS VARCHAR), 2, '0'),
+                 strftime(ts, '%Y-%m-%d %H:%M:%S'), {_cents('goods')}, {_cents('carr')},
+                 {_cents('disc')}, {_cents('goods + carr - disc')}) AS value
+FROM orders_cents"""),
+    ("payments_src", """
+SELECT event_id, CAST(event_id AS VARCHAR) AS orderid, ts + to_minutes(event_id % 11 - 2) AS pay_ts,
+       ts AS event_ts
+FROM events WHERE event_type = 'purchase' AND event_id % 4 <> 0
+UNION ALL
+SELECT event_id, 'x' || CAST(event_id AS VARCHAR), ts, ts
+FROM events WHERE event_type = 'view' AND event_id % 50 = 0"""),
+    ("payments_rec", """
+SELECT orderid, event_id, event_ts,
+       concat_ws(',', orderid, 'card(' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') || ')',
+                 strftime(pay_ts, '%Y-%m-%d %H:%M:%S'), CAST(event_id % 20 + 1 AS VARCHAR),
+                 'type' || lpad(CAST(event_id % 10 + 1 AS VARCHAR), 2, '0')) AS value
+FROM payments_src"""),
+    ("bus", """
+SELECT 'produceOrderInfo' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
+       event_id // 4 AS "offset", event_ts AS "timestamp", orderid AS "key", value
+FROM orders_rec
+UNION ALL
+SELECT 'producerOrderids', CAST(event_id % 4 AS INTEGER), event_id // 4, event_ts, orderid, value
+FROM payments_rec"""),
+    ("orders_b", f"""
+SELECT s[2] AS orderid, s[1] AS userid, s[4] AS ordertime,
+       try_strptime(s[4], '%Y-%m-%d %H:%M:%S') AS order_ts
+FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_OT)}))"""),
+    ("payments_b", f"""
+SELECT s[1] AS orderid, s[2] AS payment, s[3] AS paymenttime,
+       try_strptime(s[3], '%Y-%m-%d %H:%M:%S') AS pay_ts
+FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_PT)}))"""),
+    ("status", f"""
+SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.paymenttime,
+  CASE WHEN o.orderid IS NULL THEN 'orphan'
+       WHEN p.orderid IS NOT NULL AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
+            AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE THEN 'paid'
+       WHEN p.orderid IS NOT NULL THEN 'paid_late'
+       WHEN o.order_ts + INTERVAL 5 MINUTE < TIMESTAMP '{D.AS_OF}' THEN 'remind'
+       ELSE 'pending' END AS status
+FROM (SELECT * FROM orders_b WHERE order_ts <= TIMESTAMP '{D.AS_OF}') o
+FULL OUTER JOIN (SELECT * FROM payments_b WHERE pay_ts <= TIMESTAMP '{D.AS_OF}') p
+  ON o.orderid = p.orderid"""),
+    ("history", """
+SELECT topic, "partition", batch_time,
+       coalesce(lag(until_offset) OVER (PARTITION BY topic, "partition" ORDER BY batch_time),
+                first_offset) AS from_offset, until_offset
+FROM (SELECT topic, "partition", date_trunc('hour', "timestamp") AS batch_time,
+             min("offset") AS first_offset, max("offset") + 1 AS until_offset
+      FROM bus GROUP BY 1, 2, 3)"""),
+    ("stored_offsets", f"""
+SELECT topic, "partition", arg_max(until_offset, batch_time) AS "offset"
+FROM history WHERE batch_time <= TIMESTAMP '{D.CONSUMER_STOP}' GROUP BY 1, 2"""),
+]
+
+
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with the whole CTE library (unused CTEs cost nothing)."""
     return "WITH " + ",\n".join(f"{n} AS ({sql}\n)" for n, sql in CTES) + "\n" + body
@@ -337,5 +412,81 @@ for _dim in ("device", "column", "referer", "district"):
     BODIES[f"ip_day_by_{_dim}"] = _rollup("ip_day", _dim, None, "ips")
 
 
+BODIES.update({
+    "order_record_parse": "SELECT " + ", ".join(
+        f"s[{i + 1}] AS {n}" for i, n in enumerate(
+            ["userId", "orderid", "addressId", "ordertime", "goodsamount", "carriage",
+             "discountamount", "amount"]))
+        + f" FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_OT)}))",
+    "payment_record_parse": "SELECT " + ", ".join(
+        f"s[{i + 1}] AS {n}" for i, n in enumerate(
+            ["orderid", "payment", "paymenttime", "bonus", "paymenttype"]))
+        + f" FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_PT)}))",
+    "delivery_record_parse": """
+SELECT s[1] AS userId, s[2] AS addressId, s[3] AS address, s[4] AS linkman, s[5] AS phonenum
+FROM (SELECT string_split(concat_ws(',', CAST(c_custkey AS VARCHAR),
+        'addressId' || lpad(CAST(c_custkey % 10 + 1 AS VARCHAR), 2, '0'),
+        'address' || lpad(CAST((c_custkey * 7919) % 10000000 AS VARCHAR), 8, '0'),
+        c_name,
+        '13' || lpad(CAST((c_custkey * 7919 * 31) % 1000000000 AS VARCHAR), 9, '0')), ',') AS s
+      FROM customer)""",
+    "order_topic_route": f"""
+SELECT CASE WHEN topic IN ({', '.join(_OT)}) THEN 'order' ELSE 'payment' END AS stream,
+       topic, "partition", "offset", "key"
+FROM bus WHERE topic IN ({', '.join(_OT + _PT)})""",
+    "orders_payments_full_outer": """
+SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime
+FROM orders_b o FULL OUTER JOIN payments_b p ON o.orderid = p.orderid""",
+    "order_payment_status": "SELECT * FROM status",
+    "order_payment_status_any_payment": f"""
+SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.paymenttime,
+  CASE WHEN o.orderid IS NULL THEN 'orphan' WHEN p.orderid IS NOT NULL THEN 'paid'
+       WHEN o.order_ts + INTERVAL 5 MINUTE < TIMESTAMP '{D.AS_OF}' THEN 'remind'
+       ELSE 'pending' END AS status
+FROM (SELECT * FROM orders_b WHERE order_ts <= TIMESTAMP '{D.AS_OF}') o
+FULL OUTER JOIN (SELECT * FROM payments_b WHERE pay_ts <= TIMESTAMP '{D.AS_OF}') p
+  ON o.orderid = p.orderid""",
+    "carry_forward": """
+SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
+FROM status WHERE status = 'pending'
+UNION ALL
+SELECT 'pay2', orderid, orderid || ',' || paymenttime FROM status WHERE status = 'orphan'""",
+    "order_amounts": """
+SELECT orderid, g AS goodsamount, c AS carriage, d AS discountamount, round(g + c - d, 2) AS amount
+FROM (SELECT orderid, g, d, CAST(CASE WHEN g < 48 THEN 10 WHEN g < 98 THEN 5 ELSE 0 END AS DOUBLE) AS c
+      FROM (SELECT s[2] AS orderid, TRY_CAST(s[5] AS DOUBLE) AS g, TRY_CAST(s[7] AS DOUBLE) AS d
+            FROM (SELECT string_split(value, ',') AS s FROM bus
+                  WHERE topic IN (""" + ", ".join(_OT) + """))))""",
+    "time_interval_seconds": """
+SELECT o.orderid, o.ordertime, p.paymenttime, date_diff('second', o.order_ts, p.pay_ts) AS seconds
+FROM orders_b o JOIN payments_b p ON o.orderid = p.orderid""",
+    "order_stream_source": 'SELECT topic, "partition", "offset", "timestamp", "key", value FROM bus',
+    "unpaid_orders_stream": """
+SELECT o.orderid, o.userid, o.ordertime FROM orders_b o
+WHERE NOT EXISTS (SELECT 1 FROM payments_b p WHERE p.orderid = o.orderid
+                  AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
+                  AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE)""",
+    "stream_batch_offsets": """
+SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset,
+       count(*) AS records, 0 AS batch_id
+FROM bus GROUP BY 1, 2""",
+    "offset_history_append": 'SELECT topic, "partition", batch_time, until_offset FROM history',
+    "batch_offset_report": "SELECT * FROM history",
+    "offset_latest_lookup": "SELECT * FROM stored_offsets",
+    "starting_offsets_resolve": f"""
+SELECT b.topic, b."partition",
+  CASE WHEN s."offset" IS NULL THEN b.earliest WHEN s."offset" < b.earliest THEN b.earliest
+       WHEN s."offset" > b.latest THEN b.latest ELSE s."offset" END AS "offset"
+FROM (SELECT topic, "partition",
+             min(CASE WHEN NOT (topic = 'produceOrderInfo'
+                                AND "timestamp" < TIMESTAMP '{D.ORDER_RETAINED_FROM}')
+                      THEN "offset" END) AS earliest,
+             max("offset") + 1 AS latest
+      FROM bus GROUP BY 1, 2) b
+LEFT JOIN stored_offsets s ON b.topic = s.topic AND b."partition" = s."partition"
+""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in BODIES.items()}
