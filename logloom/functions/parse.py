@@ -60,8 +60,11 @@ def _parse(lines: DataFrame, pattern: str, names: list[str],
     keep = keep or []
     staged = lines.select(*keep, F.inline(F.array(
         F.struct(fields.alias("_f"), matched.alias("_m")))))
+    # get() (NULL when out of range) rather than [i]: Catalyst may evaluate a
+    # pushed-down predicate on a field before the "_m" check, and an
+    # unmatched line has a one-element array
     return staged.where("_m").select(
-        *keep, *[F.col("_f")[i].alias(n) for i, n in enumerate(names)])
+        *keep, *[F.get(F.col("_f"), i).alias(n) for i, n in enumerate(names)])
 
 
 def access_log_parse(lines: DataFrame, value_col: str = "value",

@@ -30,9 +30,9 @@ def ip_ranges_from_lines(lines: DataFrame, value_col: str = "value") -> DataFram
     fields = F.split(trimmed, r"\s+")
     staged = lines.select(fields.alias("f")).where(F.size("f") == 3)
     return (staged
-            .select(ipv4_to_long(F.col("f")[0]).alias("start_ip"),
-                    ipv4_to_long(F.col("f")[1]).alias("end_ip"),
-                    F.col("f")[2].alias("district"))
+            .select(ipv4_to_long(F.get(F.col("f"), 0)).alias("start_ip"),
+                    ipv4_to_long(F.get(F.col("f"), 1)).alias("end_ip"),
+                    F.get(F.col("f"), 2).alias("district"))
             .where(F.col("start_ip").isNotNull() & F.col("end_ip").isNotNull()))
 
 

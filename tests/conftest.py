@@ -1,0 +1,32 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from logloom.session import get_spark
+
+    active = SparkSession.getActiveSession()
+    s = get_spark("local[*]", app_name="logloom-tests", shuffle_partitions=8)
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="logloom-test-ckpt-"))
+    yield s
+    if active is None:
+        s.stop()
+
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+def rows(df, *cols):
+    """Collect as a list of tuples (optionally selected columns)."""
+    if cols:
+        df = df.select(*cols)
+    return [tuple(r) for r in df.collect()]
