@@ -87,12 +87,12 @@ def daystr(datetime: str | Column) -> Column:
 
 def yearmonthday(datetime: str | Column) -> Column:
     """First 8 characters after removing dashes (the partition key)."""
-    return F.substring(F.regexp_replace(_c(datetime), "-", ""), 1, 8)
+    return F.substring(F.translate(_c(datetime), "-", ""), 1, 8)
 
 
 def yearmonth(datetime: str | Column) -> Column:
     """First 6 characters after removing dashes (monthly partition key)."""
-    return F.substring(F.regexp_replace(_c(datetime), "-", ""), 1, 6)
+    return F.substring(F.translate(_c(datetime), "-", ""), 1, 6)
 
 
 def split_ymd_str(ymd: str | Column) -> tuple[Column, Column, Column]:

@@ -44,7 +44,7 @@ def query(name: str):
 @query("log_text_scan")
 def log_text_scan_q(spark, sf):
     """Land the derived access log as text, then scan it back."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     path = work_dir(spark, "landing", "access_log", unique=True)
     inp.lines.write.mode("overwrite").text(path)
     return log_text_scan(spark, path)
@@ -52,7 +52,7 @@ def log_text_scan_q(spark, sf):
 
 @query("ip_ranges_load")
 def ip_ranges_load_q(spark, sf):
-    return Inputs(spark, sf).ranges
+    return Inputs.get(spark, sf).ranges
 
 
 def _write_loginfo(spark, inp: Inputs) -> str:
@@ -64,7 +64,7 @@ def _write_loginfo(spark, inp: Inputs) -> str:
 @query("write_partitioned_overwrite")
 def write_partitioned_overwrite_q(spark, sf):
     """Write loginfo partitioned by (year, month, day); read it back."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     path = _write_loginfo(spark, inp)
     return spark.read.schema(schemas.LOGINFO).parquet(path)
 
@@ -72,7 +72,7 @@ def write_partitioned_overwrite_q(spark, sf):
 @query("table_scan")
 def table_scan_q(spark, sf):
     """Column-pruned scan of the written loginfo table (the stage-2 input)."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     path = _write_loginfo(spark, inp)
     return table_scan(spark, path, ["ip", "district", "sessionid", "datetime", "daystr",
                                     "url", "referal", "userAgent"],
@@ -81,7 +81,7 @@ def table_scan_q(spark, sf):
 
 @query("write_table_overwrite")
 def write_table_overwrite_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     path = work_dir(spark, "tables", "pv_day", unique=True)
     etl.write_table_overwrite(marts.pv_mart(inp.facts_pv, "day"), path)
     return spark.read.schema(schemas.PV_MART).parquet(path)
@@ -89,97 +89,97 @@ def write_table_overwrite_q(spark, sf):
 
 @query("row_count")
 def row_count_q(spark, sf):
-    return etl.row_count(Inputs(spark, sf).loginfo)
+    return etl.row_count(Inputs.get(spark, sf).loginfo)
 
 
 @query("preview")
 def preview_q(spark, sf):
-    return etl.preview(Inputs(spark, sf).loginfo, 20)
+    return etl.preview(Inputs.get(spark, sf).loginfo, 20)
 
 
 # --- parsing and row-level ETL ------------------------------------------------
 
 @query("access_log_parse")
 def access_log_parse_q(spark, sf):
-    return Inputs(spark, sf).parsed
+    return Inputs.get(spark, sf).parsed
 
 
 @query("access_log_parse_monthly")
 def access_log_parse_monthly_q(spark, sf):
-    return P.access_log_parse_monthly(Inputs(spark, sf).lines)
+    return P.access_log_parse_monthly(Inputs.get(spark, sf).lines)
 
 
 @query("weblog_parse_typed")
 def weblog_parse_typed_q(spark, sf):
-    return P.weblog_parse_typed(Inputs(spark, sf).lines)
+    return P.weblog_parse_typed(Inputs.get(spark, sf).lines)
 
 
 @query("request_split_parse")
 def request_split_parse_q(spark, sf):
-    return P.request_split_parse(derived.combined_log_lines(Inputs(spark, sf).events))
+    return P.request_split_parse(derived.combined_log_lines(Inputs.get(spark, sf).events))
 
 
 @query("parse_coverage")
 def parse_coverage_q(spark, sf):
-    return P.parse_coverage(Inputs(spark, sf).lines)
+    return P.parse_coverage(Inputs.get(spark, sf).lines)
 
 
 @query("drop_error_status")
 def drop_error_status_q(spark, sf):
-    return drop_error_status(Inputs(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
+    return drop_error_status(Inputs.get(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
 
 
 @query("drop_static_resources")
 def drop_static_resources_q(spark, sf):
-    return drop_static_resources(Inputs(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
+    return drop_static_resources(Inputs.get(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
 
 
 @query("derive_daystr")
 def derive_daystr_q(spark, sf):
-    return Inputs(spark, sf).parsed.select("datetime", "daystr", "yearmonthday")
+    return Inputs.get(spark, sf).parsed.select("datetime", "daystr", "yearmonthday")
 
 
 @query("split_ymd_str")
 def split_ymd_str_q(spark, sf):
     y, m, d = C.split_ymd_str("yearmonthday")
-    return Inputs(spark, sf).parsed.select("yearmonthday", y.alias("year"),
+    return Inputs.get(spark, sf).parsed.select("yearmonthday", y.alias("year"),
                                            m.alias("month"), d.alias("day"))
 
 
 @query("split_ymd_int")
 def split_ymd_int_q(spark, sf):
     y, m, d = C.split_ymd_int("daystr")
-    return Inputs(spark, sf).parsed.select("daystr", y.alias("year"), m.alias("month"),
+    return Inputs.get(spark, sf).parsed.select("daystr", y.alias("year"), m.alias("month"),
                                            d.alias("day"))
 
 
 @query("ipv4_to_long")
 def ipv4_to_long_q(spark, sf):
-    return Inputs(spark, sf).parsed.select("ip", C.ipv4_to_long("ip").alias("ip_long"))
+    return Inputs.get(spark, sf).parsed.select("ip", C.ipv4_to_long("ip").alias("ip_long"))
 
 
 @query("ip_to_district")
 def ip_to_district_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     return geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup)
 
 
 @query("ip_unresolved_audit")
 def ip_unresolved_audit_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     return geo.ip_unresolved_audit(
         geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup))
 
 
 @query("column_name")
 def column_name_q(spark, sf):
-    return Inputs(spark, sf).parsed.select("url", C.column_name("url").alias("columnName"))
+    return Inputs.get(spark, sf).parsed.select("url", C.column_name("url").alias("columnName"))
 
 
 @query("referer_host")
 def referer_host_q(spark, sf):
     """Referer hosts of the log plus those of the crawled page URLs."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     refs = inp.parsed.select(F.col("referal"))
     pages = inp.table("pages").select(F.col("url").alias("referal"))
     both = refs.unionByName(pages)
@@ -188,37 +188,37 @@ def referer_host_q(spark, sf):
 
 @query("device_type")
 def device_type_q(spark, sf):
-    return Inputs(spark, sf).parsed.select(
+    return Inputs.get(spark, sf).parsed.select(
         "userAgent", C.device_type("userAgent").alias("deviceType"))
 
 
 @query("device_type_lookup")
 def device_type_lookup_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     dictionary = enrich.agent_dictionary(inp.parsed)
     return enrich.device_type_lookup(inp.parsed.select("sessionid", "userAgent"), dictionary)
 
 
 @query("enrich_loginfo2")
 def enrich_loginfo2_q(spark, sf):
-    return Inputs(spark, sf).loginfo2
+    return Inputs.get(spark, sf).loginfo2
 
 
 @query("enrich_newloginfo")
 def enrich_newloginfo_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     li = inp.loginfo.withColumn("yearmonthday", C.yearmonthday("datetime"))
     return enrich.enrich_newloginfo(li, enrich.agent_dictionary(inp.parsed))
 
 
 @query("time_dimension")
 def time_dimension_q(spark, sf):
-    return time_dimension_spanning(Inputs(spark, sf).events, "ts")
+    return time_dimension_spanning(Inputs.get(spark, sf).events, "ts")
 
 
 @query("region_from_ip_json")
 def region_from_ip_json_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     located = geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup).distinct()
     replies = derived.geo_replies(located)
     return replies.select("ip", "reply", C.region_from_ip_json("reply").alias("region"))
@@ -228,44 +228,44 @@ def region_from_ip_json_q(spark, sf):
 
 @query("star_join_pv")
 def star_join_pv_q(spark, sf):
-    return Inputs(spark, sf).facts_pv
+    return Inputs.get(spark, sf).facts_pv
 
 
 @query("star_join_ip")
 def star_join_ip_q(spark, sf):
-    return Inputs(spark, sf).facts_ip
+    return Inputs.get(spark, sf).facts_ip
 
 
 @query("star_join_uv")
 def star_join_uv_q(spark, sf):
-    return Inputs(spark, sf).facts_uv.drop("daystr")
+    return Inputs.get(spark, sf).facts_uv.drop("daystr")
 
 
 # --- marts ------------------------------------------------------------------
 
 @query("pv_mart_day")
 def pv_mart_day_q(spark, sf):
-    return marts.pv_mart(Inputs(spark, sf).facts_pv, "day")
+    return marts.pv_mart(Inputs.get(spark, sf).facts_pv, "day")
 
 
 @query("pv_mart_hour")
 def pv_mart_hour_q(spark, sf):
-    return marts.pv_mart(Inputs(spark, sf).facts_pv, "hour")
+    return marts.pv_mart(Inputs.get(spark, sf).facts_pv, "hour")
 
 
 @query("ip_mart_day")
 def ip_mart_day_q(spark, sf):
-    return marts.ip_mart(Inputs(spark, sf).facts_ip)
+    return marts.ip_mart(Inputs.get(spark, sf).facts_ip)
 
 
 @query("visit_starts")
 def visit_starts_q(spark, sf):
-    return marts.visit_starts(Inputs(spark, sf).facts_uv)
+    return marts.visit_starts(Inputs.get(spark, sf).facts_uv)
 
 
 @query("uv_mart_day")
 def uv_mart_day_q(spark, sf):
-    return marts.uv_mart(Inputs(spark, sf).facts_uv)
+    return marts.uv_mart(Inputs.get(spark, sf).facts_uv)
 
 
 # --- roll-ups and rankings ---------------------------------------------------
@@ -284,7 +284,7 @@ def _mart(inp: Inputs, kind: str) -> DataFrame:
 
 def _rollup_query(kind: str, dim: str, measure: str | None, out_col: str) -> Query:
     def run(spark, sf):
-        inp = Inputs(spark, sf)
+        inp = Inputs.get(spark, sf)
         return reports.rollup_by(_mart(inp, kind), reports.dimension_for(inp.dims, dim),
                                  dim, measure, out_col)
     return run
@@ -299,17 +299,17 @@ for _dim in ("device", "column", "referer", "district"):
 
 @query("ip_day_total")
 def ip_day_total_q(spark, sf):
-    return reports.ip_day_total(_mart(Inputs(spark, sf), "ip_day"))
+    return reports.ip_day_total(_mart(Inputs.get(spark, sf), "ip_day"))
 
 
 @query("ip_day_total_exact")
 def ip_day_total_exact_q(spark, sf):
-    return reports.ip_day_total(_mart(Inputs(spark, sf), "ip_day"), exact=True)
+    return reports.ip_day_total(_mart(Inputs.get(spark, sf), "ip_day"), exact=True)
 
 
 def _top3_query(kind: str, measure: str) -> Query:
     def run(spark, sf):
-        inp = Inputs(spark, sf)
+        inp = Inputs.get(spark, sf)
         by_col = reports.rollup_by(_mart(inp, kind), inp.dims.columns, "column",
                                    measure, measure)
         return reports.top_n(by_col, "timeid", measure, 3, ["columnName"])
@@ -329,25 +329,25 @@ def _bus(inp: Inputs) -> DataFrame:
 
 @query("order_record_parse")
 def order_record_parse_q(spark, sf):
-    return orders.order_record_parse(orders.route_topics(_bus(Inputs(spark, sf)),
+    return orders.order_record_parse(orders.route_topics(_bus(Inputs.get(spark, sf)),
                                                          orders.ORDER_TOPICS))
 
 
 @query("payment_record_parse")
 def payment_record_parse_q(spark, sf):
-    return orders.payment_record_parse(orders.route_topics(_bus(Inputs(spark, sf)),
+    return orders.payment_record_parse(orders.route_topics(_bus(Inputs.get(spark, sf)),
                                                            orders.PAYMENT_TOPICS))
 
 
 @query("delivery_record_parse")
 def delivery_record_parse_q(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     return orders.delivery_record_parse(derived.delivery_records(inp.table("customer")))
 
 
 @query("order_topic_route")
 def order_topic_route_q(spark, sf):
-    bus = _bus(Inputs(spark, sf))
+    bus = _bus(Inputs.get(spark, sf))
     o = orders.route_topics(bus, orders.ORDER_TOPICS).withColumn("stream", F.lit("order"))
     p = orders.route_topics(bus, orders.PAYMENT_TOPICS).withColumn("stream", F.lit("payment"))
     return o.unionByName(p).select("stream", "topic", "partition", "offset", "key")
@@ -355,14 +355,14 @@ def order_topic_route_q(spark, sf):
 
 @query("orders_payments_full_outer")
 def orders_payments_full_outer_q(spark, sf):
-    bus = _bus(Inputs(spark, sf))
+    bus = _bus(Inputs.get(spark, sf))
     j = orders.orders_payments_full_outer(orders.orders_from_bus(bus),
                                           orders.payments_from_bus(bus))
     return j.select("orderid", "userid", "ordertime", "payment", "paymenttime")
 
 
 def _status(spark, sf, pay_within=orders.REMIND_AFTER) -> DataFrame:
-    bus = _bus(Inputs(spark, sf))
+    bus = _bus(Inputs.get(spark, sf))
     return orders.order_payment_status(orders.orders_from_bus(bus),
                                        orders.payments_from_bus(bus), derived.AS_OF,
                                        pay_within=pay_within)
@@ -391,7 +391,7 @@ def order_amounts_q(spark, sf):
 @query("time_interval_seconds")
 def time_interval_seconds_q(spark, sf):
     """Order-to-payment latency in seconds."""
-    bus = _bus(Inputs(spark, sf))
+    bus = _bus(Inputs.get(spark, sf))
     o = orders.orders_from_bus(bus).select("orderid", "ordertime")
     p = orders.payments_from_bus(bus).select("orderid", "paymenttime")
     return o.join(p, "orderid").select(
@@ -401,17 +401,22 @@ def time_interval_seconds_q(spark, sf):
 
 
 def _landed_bus(spark, inp: Inputs, with_sentinel: bool) -> str:
-    folder = work_dir(spark, "landing", "bus", unique=True)
-    bus_stream.land_bus(_bus(inp), folder)
-    if with_sentinel:
-        bus_stream.land_bus(derived.bus_sentinel(spark), folder)
-    return folder
+    """Land the derived bus once per application (a read-only stream source;
+    every stream run gets its own sink and checkpoint)."""
+    key = f"bus_sentinel={with_sentinel}"
+    if key not in inp.landed:
+        folder = work_dir(spark, "landing", "bus", unique=True)
+        bus_stream.land_bus(_bus(inp), folder)
+        if with_sentinel:
+            bus_stream.land_bus(derived.bus_sentinel(spark), folder)
+        inp.landed[key] = folder
+    return inp.landed[key]
 
 
 @query("order_stream_source")
 def order_stream_source_q(spark, sf):
     """Bus rows read back through a streaming file source."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     folder = _landed_bus(spark, inp, with_sentinel=False)
     stream = bus_stream.file_bus_stream(spark, folder)
     return bus_stream.run_to_completion(spark, stream, "bus_source")
@@ -420,7 +425,7 @@ def order_stream_source_q(spark, sf):
 @query("unpaid_orders_stream")
 def unpaid_orders_stream_q(spark, sf):
     """Reminders from the streaming stream-stream outer join."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     folder = _landed_bus(spark, inp, with_sentinel=True)
     stream = unpaid.unpaid_orders_stream(bus_stream.file_bus_stream(spark, folder))
     return bus_stream.run_to_completion(spark, stream, "unpaid")
@@ -429,7 +434,7 @@ def unpaid_orders_stream_q(spark, sf):
 @query("stream_batch_offsets")
 def stream_batch_offsets_q(spark, sf):
     """Per-micro-batch consumed ranges, written by a foreachBatch sink."""
-    inp = Inputs(spark, sf)
+    inp = Inputs.get(spark, sf)
     folder = _landed_bus(spark, inp, with_sentinel=False)
     stream = bus_stream.file_bus_stream(spark, folder)
     out = bus_stream.run_to_completion(
@@ -441,7 +446,7 @@ def stream_batch_offsets_q(spark, sf):
 # --- offsets ----------------------------------------------------------------------
 
 def _history(spark, sf) -> DataFrame:
-    return offsets.offset_history(_bus(Inputs(spark, sf)))
+    return offsets.offset_history(_bus(Inputs.get(spark, sf)))
 
 
 @query("offset_history_append")
@@ -461,7 +466,7 @@ def offset_latest_lookup_q(spark, sf):
 
 @query("starting_offsets_resolve")
 def starting_offsets_resolve_q(spark, sf):
-    bus = _bus(Inputs(spark, sf))
+    bus = _bus(Inputs.get(spark, sf))
     stored = offsets.offset_latest_lookup(offsets.offset_history(bus), derived.CONSUMER_STOP)
     bounds = offsets.partition_bounds(bus, {derived.ORDER_TOPIC: derived.ORDER_RETAINED_FROM})
     return offsets.starting_offsets_resolve(stored, bounds, "clamp")

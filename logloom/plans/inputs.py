@@ -23,12 +23,31 @@ from logloom.sources.text import ip_ranges_from_lines
 # prepared IP lookups, one per (application, folder): the range table is
 # tiny and reused by every query of a run
 _IP_LOOKUPS: dict[tuple[str, str], DataFrame] = {}
+# size-checked dimensions, one per (application, folder)
+_DIMS: dict[tuple[str, str], derived.Dimensions] = {}
+
+
+_INPUTS: dict[tuple[str, str], "Inputs"] = {}
 
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.landed: dict[str, str] = {}
+
+    @classmethod
+    def get(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
+        """One ``Inputs`` per (application, folder).
+
+        DataFrames are immutable plans, so the plans of the shared stages
+        are built (and analysed) once and reused by every query of the
+        application; no data is cached by this.
+        """
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _INPUTS:
+            _INPUTS[key] = cls(spark, sf_dir)
+        return _INPUTS[key]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(table_path(self.sf_dir, name))
@@ -78,7 +97,10 @@ class Inputs:
 
     @cached_property
     def dims(self) -> derived.Dimensions:
-        return derived.dimensions(self.spark, self.nation)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _DIMS:
+            _DIMS[key] = derived.checked_dimensions(derived.dimensions(self.spark, self.nation))
+        return _DIMS[key]
 
     @cached_property
     def facts_pv(self) -> DataFrame:

@@ -34,6 +34,9 @@ def get_spark(master: str | None = None, app_name: str = "logloom",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # AQE sizes post-shuffle partitions to ~128 MB whatever the initial
+        # shuffle partition count, so one count serves every stage
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # the stream-stream join keeps its state in RocksDB so that state

@@ -175,6 +175,17 @@ def dimensions(spark: SparkSession, nation: DataFrame) -> Dimensions:
     return Dimensions(calendar, columns, devices, districts, referers)
 
 
+def checked_dimensions(dims: Dimensions, max_rows: int | None = None) -> Dimensions:
+    """Each dimension hinted for broadcast only after its row count is
+    checked against the bound (one small job per dimension); a dimension
+    over the bound is left to a shuffle join."""
+    from logloom.operators.broadcast import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+    n = max_rows or DEFAULT_BROADCAST_MAX_ROWS
+    return Dimensions(*(broadcast_if_small(d, n) for d in
+                        (dims.calendar, dims.columns, dims.devices, dims.districts,
+                         dims.referers)))
+
+
 def _cents_str(cents: Column) -> Column:
     """Integer cents -> ``'12.30'`` (exact, no float formatting)."""
     return F.concat(F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
