@@ -37,16 +37,21 @@ def _c(col: str | Column) -> Column:
 def ipv4_to_long(ip: str | Column) -> Column:
     """Dotted quad -> 32-bit value in a BIGINT (``54.32.33.14`` -> 908075278).
 
-    Octets are folded with shift-left-8 / bitwise-or, exactly like the
-    reference, so out-of-range octets give the same bits it gives.  Anything
-    that is not four numeric octets maps to NULL (the reference throws).
+    Octets are combined with shift-left / bitwise-or, exactly like the
+    reference's fold, so out-of-range octets give the same bits it gives.
+    Anything that is not four numeric octets maps to NULL (the reference
+    throws).  Four ``split_part`` calls keep this in generated code (array
+    lambdas would be interpreted per row).
     """
-    parts = F.split(_c(ip), r"\.")
-    octets = F.transform(parts, lambda x: x.try_cast("bigint"))
-    folded = F.aggregate(octets, F.lit(0).cast("bigint"),
-                         lambda acc, x: F.shiftleft(acc, 8).bitwiseOR(x))
-    valid = (F.size(parts) == 4) & F.forall(octets, lambda x: x.isNotNull())
-    return F.when(valid, folded)
+    s = _c(ip)
+    octets = [F.split_part(s, F.lit("."), F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
+    dots = F.length(s) - F.length(F.translate(s, ".", ""))
+    valid = dots == 3
+    for o in octets:
+        valid = valid & o.isNotNull()
+    value = (F.shiftleft(octets[0], 24).bitwiseOR(F.shiftleft(octets[1], 16))
+             .bitwiseOR(F.shiftleft(octets[2], 8)).bitwiseOR(octets[3]))
+    return F.when(valid, value)
 
 
 def long_to_ipv4(value: str | Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +13,24 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                       persist: bool = False) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows.
 
     The check counts at most ``max_rows + 1`` rows (the limit stops the job
     early), so it is cheap even when the answer is "too big".  Otherwise the
     frame is returned unhinted and the planner picks a shuffle join.
+
+    ``persist=True`` is for lookups derived from large inputs (e.g. an
+    aggregate over the whole log): the small result is kept after the
+    check instead of being recomputed for the broadcast; a result over the
+    bound is released again.
     """
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    if persist:
+        df.unpersist()
+    return df

@@ -42,7 +42,7 @@ def device_type_lookup(df: DataFrame, dictionary: DataFrame, agent_col: str = "u
     lookup = broadcast_if_small(
         dictionary.select(F.col("userAgent").alias("_dict_agent"),
                           F.col("deviceType").alias("_dict_type")),
-        broadcast_max_rows)
+        broadcast_max_rows, persist=True)
     joined = df.join(lookup, df[agent_col] == lookup["_dict_agent"], "left")
     return (joined.withColumn(out_col, F.coalesce("_dict_type", F.lit(C.DEVICE_UNKNOWN)))
             .drop("_dict_agent", "_dict_type"))
