@@ -1,7 +1,7 @@
 """Orders and payments: record parsing, topic routing, status, carry-forward.
 
 The batch form of the unpaid-order reminder: every order is matched with
-its payments by a full outer join on ``orderid`` (one shuffle on the key);
+its payments by a full outer join on ``orderid`` (left join + anti join);
 the decision per order is a CASE over the joined row.  The continuous form
 is :func:`logloom.streaming.unpaid.unpaid_orders_stream`.
 """
@@ -70,14 +70,28 @@ def payments_from_bus(bus: DataFrame) -> DataFrame:
 
 
 def orders_payments_full_outer(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders full-outer-joined with payments on orderid (one row per pair)."""
+    """Orders full-outer-joined with payments on orderid (one row per pair).
+
+    Written as ``orders LEFT JOIN payments`` plus ``payments LEFT ANTI JOIN
+    orders`` -- the same rows as a FULL OUTER JOIN -- because AQE can split
+    a skewed (hot ``orderid``) partition on the left side of both of these
+    joins but not of a full outer join.  Both joins shuffle the same two
+    inputs by orderid, so the exchanges are planned once and reused.
+    """
     o = orders.select(F.col("orderid").alias("o_id"), "userid", "ordertime", "order_ts")
     p = payments.select(F.col("orderid").alias("p_id"), "payment", "paymenttime", "pay_ts")
-    j = o.join(p, o["o_id"] == p["p_id"], "full_outer")
-    return j.select(F.coalesce("o_id", "p_id").alias("orderid"),
-                    (F.col("o_id").isNotNull()).alias("has_order"),
-                    (F.col("p_id").isNotNull()).alias("has_payment"),
-                    "userid", "ordertime", "order_ts", "payment", "paymenttime", "pay_ts")
+    matched = o.join(p, o["o_id"] == p["p_id"], "left")
+    orphans = p.join(o, p["p_id"] == o["o_id"], "left_anti")
+    cols = ["userid", "ordertime", "order_ts", "payment", "paymenttime", "pay_ts"]
+    left = matched.select(F.col("o_id").alias("orderid"), F.lit(True).alias("has_order"),
+                          F.col("p_id").isNotNull().alias("has_payment"), *cols)
+    right = orphans.select(F.col("p_id").alias("orderid"), F.lit(False).alias("has_order"),
+                           F.lit(True).alias("has_payment"),
+                           F.lit(None).cast("string").alias("userid"),
+                           F.lit(None).cast("string").alias("ordertime"),
+                           F.lit(None).cast("timestamp_ntz").alias("order_ts"),
+                           "payment", "paymenttime", "pay_ts")
+    return left.unionByName(right.select(*left.columns))
 
 
 def order_payment_status(orders: DataFrame, payments: DataFrame, as_of: str,
