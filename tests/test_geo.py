@@ -4,8 +4,6 @@ with the nested-loop form and a bisect model."""
 import bisect
 import random
 
-from pyspark.sql import functions as F
-
 from logloom.functions.columns import UNKNOWN_DISTRICT
 from logloom.operators import geo
 from logloom.sources.text import ip_ranges_from_lines
@@ -102,4 +100,16 @@ def test_shuffle_fallback_when_lookup_too_big(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan
     assert sorted(r["district"] for r in out.collect()) == ["A", "B", "unknown"]
-    assert F  # keep import
+
+
+def test_hot_bucket_on_shuffle_path(spark):
+    """A third of all lines in one /16 bucket, lookup forced to the shuffle
+    join: still exactly one row per line and the same districts."""
+    ranges = [(k << 16, (k << 16) + 40000, f"D{k}") for k in range(0, 200, 2)]
+    rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
+    ips = [(4 << 16) + (i % 50000) for i in range(3000)] + [(k << 16) + 7 for k in range(6000)]
+    df = spark.createDataFrame([(i, _ip(n)) for i, n in enumerate(ips)], "i int, ip string")
+    out = geo.ip_to_district(df, rdf, broadcast_max_rows=0).select("i", "district")
+    got = dict(out.collect())
+    assert len(got) == len(ips) and out.count() == len(ips)
+    assert all(got[i] == model(ranges, n) for i, n in enumerate(ips))

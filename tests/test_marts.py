@@ -99,3 +99,21 @@ def test_rollup_and_top_n(spark):
                                 "devicetypeid int, columnid int")
     assert reports.ip_day_total(ipm).first()["ips"] == 3
     assert reports.ip_day_total(ipm, exact=True).first()["ips"] == 2
+
+
+def test_visit_starts_with_a_hot_session(spark):
+    """One session holds a third of all requests (many per minute)."""
+    import random
+    rnd = random.Random(9)
+    rows = [fact("hot", rnd.randrange(0, 2000), rnd.choice([1, 2]), sec=rnd.randrange(60),
+                 col=rnd.randrange(1, 4)) for _ in range(1500)]
+    rows += [fact(f"s{rnd.randrange(200)}", rnd.randrange(0, 2000), rnd.choice([1, 2, 4]),
+                  sec=rnd.randrange(60)) for _ in range(3000)]
+    facts = spark.createDataFrame(rows, SCHEMA)
+    gaps = marts.DEFAULT_VISIT_GAPS
+    fast = marts.visit_starts(facts)
+    assert sorted(map(tuple, fast.collect())) == \
+        sorted(map(tuple, naive_visit_starts(facts, gaps).collect()))
+    # the per-session window sees at most one row per (session, minute)
+    hot_minutes = facts.where("sessionid = 'hot'").select("ts").distinct().count()
+    assert fast.where("sessionid = 'hot'").count() <= hot_minutes
