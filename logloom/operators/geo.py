@@ -33,18 +33,23 @@ BUCKET_BITS = 16
 def effective_ranges(ranges: DataFrame) -> DataFrame:
     """(start_ip, end_ip, district) -> disjoint as-of intervals.
 
-    Output: eff_start, eff_end, district.  The "next start" is found inside
-    each /16 bucket with a window; only the last range of a bucket needs the
-    first start of the next non-empty bucket, looked up over the per-bucket
-    minima (at most 65,536 rows, however large the range table is).
+    Output: eff_start, eff_end, district.  One window per /16 bucket both
+    keeps, among equal starts, the range with the greatest end (then
+    district) and finds the next greater start in the bucket.  Only the
+    last range of a bucket needs the first start of the next non-empty
+    bucket, looked up over the per-bucket minima: at most 65,536 rows in a
+    single ordered pass, however large the range table is.
     """
-    per_start = (ranges.groupBy("start_ip")
-                 .agg(F.max(F.struct("end_ip", "district")).alias("r"))
-                 .select("start_ip", "r.end_ip", "r.district",
-                         F.shiftright("start_ip", BUCKET_BITS).alias("bkt")))
-    in_bucket = per_start.withColumn(
-        "next_start", F.lead("start_ip").over(Window.partitionBy("bkt").orderBy("start_ip")))
-    firsts = per_start.groupBy("bkt").agg(F.min("start_ip").alias("first_start"))
+    r = ranges.withColumn("bkt", F.shiftright("start_ip", BUCKET_BITS))
+    # hash partitioning on bkt already clusters (bkt, start_ip): one exchange
+    by_start = Window.partitionBy("bkt", "start_ip").orderBy(
+        F.col("end_ip").desc(), F.col("district").desc())
+    after = (Window.partitionBy("bkt").orderBy("start_ip")
+             .rangeBetween(1, Window.unboundedFollowing))
+    in_bucket = (r.withColumn("rn", F.row_number().over(by_start))
+                 .withColumn("next_start", F.min("start_ip").over(after))
+                 .where(F.col("rn") == 1))
+    firsts = r.groupBy("bkt").agg(F.min("start_ip").alias("first_start"))
     firsts = firsts.withColumn(
         "next_bucket_start", F.lead("first_start").over(Window.orderBy("bkt")))
     linked = in_bucket.join(firsts.select("bkt", "next_bucket_start"), "bkt")

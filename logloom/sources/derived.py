@@ -4,9 +4,11 @@ The warehouse holds no raw access log, IP-range file, dimension tables or
 order bus, so they are derived -- by Spark, from the given tables -- with
 fixed rules.  The DuckDB oracle rebuilds them with the same rules (see
 ``logloom.plans.oracle``), so both engines start from identical inputs.
-Every row of the source tables is used; the modulo arithmetic below only
-*decides field values* (which request, which status, ...), it never
-filters rows away.
+Every row of the source tables is read.  The modulo arithmetic below is
+the synthesis rule: it decides field values (which request, status,
+referer, ...) and which events give rise to a payment (three orders in
+four are paid; one view event in fifty becomes a payment without an
+order).  Nothing is sampled or capped to make a check cheaper.
 """
 
 from __future__ import annotations
