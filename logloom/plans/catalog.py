@@ -413,6 +413,21 @@ def _landed_bus(spark, inp: Inputs, with_sentinel: bool) -> str:
     return inp.landed[key]
 
 
+def _landed_topic_groups(spark, inp: Inputs) -> dict[str, str]:
+    """Order topics and payment topics landed apart, each with its half of
+    the watermark sentinel; once per application."""
+    if "topic_groups" not in inp.landed:
+        bus, sentinel = _bus(inp), derived.bus_sentinel(spark)
+        out = {}
+        for name, topics in (("orders", orders.ORDER_TOPICS), ("payments", orders.PAYMENT_TOPICS)):
+            folder = work_dir(spark, "landing", f"bus_{name}", unique=True)
+            bus_stream.land_bus(orders.route_topics(bus, topics), folder)
+            bus_stream.land_bus(orders.route_topics(sentinel, topics), folder)
+            out[name] = folder
+        inp.landed["topic_groups"] = out
+    return inp.landed["topic_groups"]
+
+
 @query("order_stream_source")
 def order_stream_source_q(spark, sf):
     """Bus rows read back through a streaming file source."""
@@ -424,10 +439,14 @@ def order_stream_source_q(spark, sf):
 
 @query("unpaid_orders_stream")
 def unpaid_orders_stream_q(spark, sf):
-    """Reminders from the streaming stream-stream outer join."""
+    """Reminders from the streaming stream-stream outer join; orders and
+    payments land as two topic groups read by two sources (as two Kafka
+    subscriptions would be), so each record is read once per batch."""
     inp = Inputs.get(spark, sf)
-    folder = _landed_bus(spark, inp, with_sentinel=True)
-    stream = unpaid.unpaid_orders_stream(bus_stream.file_bus_stream(spark, folder))
+    folders = _landed_topic_groups(spark, inp)
+    stream = unpaid.unpaid_orders_stream(
+        bus_stream.file_bus_stream(spark, folders["orders"]),
+        payments_bus=bus_stream.file_bus_stream(spark, folders["payments"]))
     return bus_stream.run_to_completion(spark, stream, "unpaid")
 
 
