@@ -219,7 +219,8 @@ def time_dimension_q(spark, sf):
 @query("region_from_ip_json")
 def region_from_ip_json_q(spark, sf):
     inp = Inputs.get(spark, sf)
-    located = geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup).distinct()
+    # the district depends on the ip alone: de-duplicate before the lookup
+    located = geo.ip_to_district(inp.parsed.select("ip").distinct(), lookup=inp.ip_lookup)
     replies = derived.geo_replies(located)
     return replies.select("ip", "reply", C.region_from_ip_json("reply").alias("region"))
 
