@@ -63,6 +63,27 @@ def write_partitioned_overwrite(df: DataFrame, path: str,
        .parquet(path))
 
 
+def insert_overwrite_table(df: DataFrame, table: str) -> None:
+    """``INSERT OVERWRITE TABLE t SELECT *`` into a partitioned catalog
+    table: columns by position, partition columns last, and only the
+    partitions present in ``df`` replaced (dynamic overwrite).
+
+    ``insertInto`` ignores the writer-level overwrite-mode option, so the
+    session setting is switched to dynamic for the insert and restored.
+    """
+    conf = df.sparkSession.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = conf.get(key, None)
+    conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        if previous is None:
+            conf.unset(key)
+        else:
+            conf.set(key, previous)
+
+
 def write_table_overwrite(df: DataFrame, path: str) -> None:
     """Replace a whole table (the marts)."""
     df.write.mode("overwrite").parquet(path)

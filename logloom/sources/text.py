@@ -41,9 +41,14 @@ def ip_ranges_load(spark: SparkSession, path: str) -> DataFrame:
     return ip_ranges_from_lines(log_text_scan(spark, path))
 
 
+def _is_table_name(s: str) -> bool:
+    return "/" not in s and ":" not in s
+
+
 def table_scan(spark: SparkSession, path: str, columns: list[str] | None = None,
                where: str | None = None, schema=None) -> DataFrame:
-    """Project named columns (and optionally filter) from a Parquet table.
+    """Project named columns (and optionally filter) from a Parquet folder
+    or, when ``path`` is a plain name, a catalog table.
 
     Projection and filter are declared before any action, so the scan reads
     only these columns, pushes the predicate into the Parquet reader and
@@ -51,8 +56,11 @@ def table_scan(spark: SparkSession, path: str, columns: list[str] | None = None,
     column.  Passing ``schema`` keeps partition values as written (e.g.
     zero-padded strings) instead of re-inferring their types.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
+    if _is_table_name(path):
+        df = spark.table(path)          # a catalog table, e.g. "loganalysis.loginfo"
+    else:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.parquet(path)
     if where:
         df = df.where(where)
     if columns:

@@ -87,3 +87,21 @@ def test_derived_lines_contain_edge_rows(spark):
     assert parsed.where(F.col("url") == "GET / HTTP/1.1").count() > 0
     assert parsed.where(F.col("status").isin("404", "500")).count() > 0
     assert derived.ip_range_lines(inp.nation, inp.region).count() == 30
+
+
+def test_catalog_table_insert_overwrite_and_scan(spark):
+    inp = Inputs.get(spark, SF_SMALL)
+    loc = work_dir(spark, "test", "catalog_loginfo", unique=True)
+    name = "loginfo_" + os.path.basename(loc)
+    cols = ", ".join(f"{c} string" for c in etl.LOGINFO_COLUMNS)
+    spark.sql(f"CREATE TABLE {name} ({cols}, year string, month string, day string) "
+              f"USING parquet PARTITIONED BY (year, month, day) LOCATION '{loc}'")
+    try:
+        etl.insert_overwrite_table(inp.loginfo, name)
+        first = inp.loginfo.where("day = '03'")
+        etl.insert_overwrite_table(first.limit(1), name)   # replaces day 03 only
+        got = table_scan(spark, name, ["ip", "day"])
+        assert got.where("day = '03'").count() == 1
+        assert got.where("day <> '03'").count() == inp.loginfo.where("day <> '03'").count()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
