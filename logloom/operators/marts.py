@@ -70,6 +70,11 @@ def visit_starts(facts: DataFrame, gaps: dict[int, int] | None = None) -> DataFr
     go through the ``lag`` window per session, where a session has at most
     one row per minute of the period, however much traffic it carries.
 
+    The "first request" is ``min(struct(second, ids))``; a struct buffer
+    makes this a sort-based (not hash) partial aggregate.  That is exact and
+    spills gracefully; hash-friendly encodings would need either an extra
+    shuffle or a hashed tie-breaker that could mix two requests' ids.
+
     Input: timeid, ts, sessionid, ids, daystr.  Output: timeid, ts,
     sessionid, districtid, refererhostid, devicetypeid, columnid.
     """
