@@ -127,3 +127,17 @@ def test_continuous_reminder_query(spark):
         q.stop()
     got = sorted(r["orderid"] for r in spark.read.parquet(sink).collect())
     assert got == ["o2", "o3", "o4"]
+
+
+def test_batch_status_agrees_with_stream(spark):
+    """With every record visible (as_of far ahead), the stream's reminders
+    are exactly the orders the batch status calls remind or paid_late."""
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    bus = derived.bus_records(ev)
+    st = orders.order_payment_status(orders.orders_from_bus(bus), orders.payments_from_bus(bus),
+                                     "2100-01-01 00:00:00")
+    reminded = {r["orderid"] for r in st.where(F.col("status").isin("remind", "paid_late"))
+                .select("orderid").collect()}
+    assert st.where(F.col("status") == "pending").count() == 0
+    streamed = {r["orderid"] for r in unpaid_orders_stream(bus).collect()}
+    assert streamed == reminded and len(streamed) > 0
