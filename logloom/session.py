@@ -58,23 +58,33 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+# local-mode fallback folders, one per application (only when the session
+# names no spark.checkpoint.dir; a core setting cannot be changed at run time)
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``.
+    """The shared folder from ``spark.checkpoint.dir`` (or the context's
+    checkpoint directory when one was set with ``setCheckpointDir``).
 
-    Set only when missing and only in local mode; a cluster session without
-    the setting is a configuration error, not something to paper over with
-    a node-local path.
+    Only a local-mode session without either gets a temporary folder of its
+    own; a cluster session without the setting is a configuration error,
+    not something to paper over with a node-local path.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    root = (spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_ROOTS.get(sc.applicationId)
+            or sc.getCheckpointDir())
     if not root:
         if not _is_local(spark):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at shared storage "
                 "(HDFS/S3/ABFS) before running logloom jobs on a cluster")
-        root = tempfile.mkdtemp(prefix="logloom-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        app = sc.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="logloom-ckpt-")
+        root = _LOCAL_ROOTS[app]
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,8 @@ def spark():
 
     active = SparkSession.getActiveSession()
     s = get_spark("local[*]", app_name="logloom-tests", shuffle_partitions=8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="logloom-test-ckpt-"))
+    # spark.checkpoint.dir comes from the environment's defaults when set;
+    # otherwise logloom.session gives this local session a temporary folder
     yield s
     if active is None:
         s.stop()
