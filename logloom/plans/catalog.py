@@ -463,6 +463,40 @@ def stream_batch_offsets_q(spark, sf):
     return out
 
 
+@query("pending_sink")
+def pending_sink_q(spark, sf):
+    """Carried-forward records re-published to the bus (file twin of the
+    order2 / pay2 topics) and read back from it."""
+    folder = work_dir(spark, "landing", "carried", unique=True)
+    bus_stream.land_bus(orders.carry_forward(_status(spark, sf)), folder)
+    return spark.read.schema("topic string, key string, value string").parquet(folder)
+
+
+@query("batch_record_count")
+def batch_record_count_q(spark, sf):
+    """Records per micro-batch (empty batches are skipped by the sink)."""
+    per_partition = stream_batch_offsets_q(spark, sf)
+    return per_partition.groupBy("batch_id").agg(F.sum("records").alias("records"))
+
+
+@query("micro_batch_trigger")
+def micro_batch_trigger_q(spark, sf):
+    """The reminder query on its production trigger (5-second micro-batches),
+    run until the landed input is consumed, then stopped."""
+    inp = Inputs.get(spark, sf)
+    folders = _landed_topic_groups(spark, inp)
+    sink = work_dir(spark, "streams", "reminders", "out", unique=True)
+    ckpt = work_dir(spark, "streams", "reminders", "checkpoint", unique=True)
+    q = unpaid.start_unpaid_reminders(
+        bus_stream.file_bus_stream(spark, folders["orders"]), sink, ckpt, trigger="5 seconds",
+        payments_bus=bus_stream.file_bus_stream(spark, folders["payments"]))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.schema("orderid string, userid string, ordertime string").parquet(sink)
+
+
 # --- offsets ----------------------------------------------------------------------
 
 def _history(spark, sf) -> DataFrame:

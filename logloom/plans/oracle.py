@@ -470,6 +470,17 @@ WHERE NOT EXISTS (SELECT 1 FROM payments_b p WHERE p.orderid = o.orderid
 SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset,
        count(*) AS records, 0 AS batch_id
 FROM bus GROUP BY 1, 2""",
+    "pending_sink": """
+SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
+FROM status WHERE status = 'pending'
+UNION ALL
+SELECT 'pay2', orderid, orderid || ',' || paymenttime FROM status WHERE status = 'orphan'""",
+    "batch_record_count": "SELECT 0 AS batch_id, count(*) AS records FROM bus",
+    "micro_batch_trigger": """
+SELECT o.orderid, o.userid, o.ordertime FROM orders_b o
+WHERE NOT EXISTS (SELECT 1 FROM payments_b p WHERE p.orderid = o.orderid
+                  AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
+                  AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE)""",
     "offset_history_append": 'SELECT topic, "partition", batch_time, until_offset FROM history',
     "batch_offset_report": "SELECT * FROM history",
     "offset_latest_lookup": "SELECT * FROM stored_offsets",
