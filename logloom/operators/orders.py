@@ -107,7 +107,8 @@ def order_payment_status(orders: DataFrame, payments: DataFrame, as_of: str,
 
     ``pay_within=None`` is the reference's per-batch rule: any payment
     settles the order.  "Older than" is strict: exactly five minutes is
-    still pending.  Output: orderid, userid, ordertime, paymenttime, status.
+    still pending.  Output: orderid, userid, ordertime, payment,
+    paymenttime, status.
     """
     cut = F.lit(as_of).cast("timestamp_ntz")
     o = orders.where(F.col("order_ts") <= cut)
@@ -125,20 +126,23 @@ def order_payment_status(orders: DataFrame, payments: DataFrame, as_of: str,
               .when(F.col("has_payment"), STATUS_PAID_LATE)
               .when(F.col("order_ts") + within < cut, STATUS_REMIND)
               .otherwise(STATUS_PENDING))
-    return j.select("orderid", "userid", "ordertime", "paymenttime", status.alias("status"))
+    return j.select("orderid", "userid", "ordertime", "payment", "paymenttime",
+                    status.alias("status"))
 
 
 def carry_forward(status: DataFrame) -> DataFrame:
     """Records to re-publish for the next batch: pending orders go back to
     ``order2`` as ``userId,orderid,nothing,ordertime``; orphan payments to
-    ``pay2`` as ``orderid,paymenttime``.  Output: topic, key, value."""
+    ``pay2`` as ``orderid,payment,paymenttime`` -- the leading fields of a
+    payment record, so the carried record parses like a fresh one.
+    Output: topic, key, value."""
     orders = status.where(F.col("status") == STATUS_PENDING).select(
         F.lit(ORDER_TOPICS[1]).alias("topic"), F.col("orderid").alias("key"),
         F.concat_ws(",", "userid", "orderid", F.lit(CARRIED_ORDER_MARKER),
                     "ordertime").alias("value"))
     pays = status.where(F.col("status") == STATUS_ORPHAN).select(
         F.lit(PAYMENT_TOPICS[1]).alias("topic"), F.col("orderid").alias("key"),
-        F.concat_ws(",", "orderid", "paymenttime").alias("value"))
+        F.concat_ws(",", "orderid", "payment", "paymenttime").alias("value"))
     return orders.unionByName(pays)
 
 

@@ -247,7 +247,7 @@ SELECT s[1] AS orderid, s[2] AS payment, s[3] AS paymenttime,
        try_strptime(s[3], '%Y-%m-%d %H:%M:%S') AS pay_ts
 FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_PT)}))"""),
     ("status", f"""
-SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.paymenttime,
+SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime,
   CASE WHEN o.orderid IS NULL THEN 'orphan'
        WHEN p.orderid IS NOT NULL AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
             AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE THEN 'paid'
@@ -439,7 +439,7 @@ SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payme
 FROM orders_b o FULL OUTER JOIN payments_b p ON o.orderid = p.orderid""",
     "order_payment_status": "SELECT * FROM status",
     "order_payment_status_any_payment": f"""
-SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.paymenttime,
+SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime,
   CASE WHEN o.orderid IS NULL THEN 'orphan' WHEN p.orderid IS NOT NULL THEN 'paid'
        WHEN o.order_ts + INTERVAL 5 MINUTE < TIMESTAMP '{D.AS_OF}' THEN 'remind'
        ELSE 'pending' END AS status
@@ -450,7 +450,8 @@ FULL OUTER JOIN (SELECT * FROM payments_b WHERE pay_ts <= TIMESTAMP '{D.AS_OF}')
 SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
 FROM status WHERE status = 'pending'
 UNION ALL
-SELECT 'pay2', orderid, orderid || ',' || paymenttime FROM status WHERE status = 'orphan'""",
+SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM status
+WHERE status = 'orphan'""",
     "order_amounts": """
 SELECT orderid, g AS goodsamount, c AS carriage, d AS discountamount, round(g + c - d, 2) AS amount
 FROM (SELECT orderid, g, d, CAST(CASE WHEN g < 48 THEN 10 WHEN g < 98 THEN 5 ELSE 0 END AS DOUBLE) AS c
@@ -474,7 +475,8 @@ FROM bus GROUP BY 1, 2""",
 SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
 FROM status WHERE status = 'pending'
 UNION ALL
-SELECT 'pay2', orderid, orderid || ',' || paymenttime FROM status WHERE status = 'orphan'""",
+SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM status
+WHERE status = 'orphan'""",
     "batch_record_count": "SELECT 0 AS batch_id, count(*) AS records FROM bus",
     "micro_batch_trigger": """
 SELECT o.orderid, o.userid, o.ordertime FROM orders_b o

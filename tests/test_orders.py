@@ -53,7 +53,11 @@ def test_status_rules(spark):
     assert {r["orderid"]: r["status"] for r in any_pay.collect()}["o2"] == "paid"
     carried = sorted(tuple(r) for r in orders.carry_forward(st).collect())
     assert carried == [("order2", "o4", "u1,o4,nothing,2019-09-01 12:55:00"),
-                       ("pay2", "x9", "x9,2019-09-01 12:01:00")]
+                       ("pay2", "x9", "x9,card(0001),2019-09-01 12:01:00")]
+    # a carried payment parses like a fresh one
+    carried_pay = orders.carry_forward(st).where("topic = 'pay2'")
+    reparsed = orders.payments_from_bus(carried_pay).first()
+    assert (reparsed["payment"], reparsed["paymenttime"]) == ("card(0001)", "2019-09-01 12:01:00")
 
 
 def test_stream_equals_batch_on_small_bus(spark):
