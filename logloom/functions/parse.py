@@ -36,11 +36,30 @@ COMBINED_LOG_FIELDS = ["ip", "identity", "datetime", "method", "target",
 _SEP = "\n"
 
 
+# Literal text every line pattern requires (`` [``, ``] "``, a final ``"``):
+# lines without them cannot match and skip the regex, whose nested greedy
+# groups can backtrack for a long time on long near-miss lines.
+_REQUIRED_SUBSTRINGS = [" [", '] "']
+_REQUIRED_SUFFIX = '"'
+
+
+def _may_match(v: Column) -> Column:
+    cond = v.endswith(_REQUIRED_SUFFIX)
+    for part in _REQUIRED_SUBSTRINGS:
+        cond = cond & v.contains(part)
+    return cond
+
+
 def split_groups(value: str | Column, pattern: str, n_groups: int) -> tuple[Column, Column]:
-    """(array of the ``n_groups`` captured groups, matched flag) in one pass."""
+    """(array of the ``n_groups`` captured groups, matched flag) in one pass.
+
+    Only for the line patterns of this module (they share the required
+    literals checked by ``_may_match`` before the regex runs).
+    """
     v = F.col(value) if isinstance(value, str) else value
     replacement = _SEP.join(f"${i}" for i in range(1, n_groups + 1))
-    fields = F.split(F.regexp_replace(v, f"^{pattern}\\z", replacement), _SEP)
+    rewritten = F.when(_may_match(v), F.regexp_replace(v, f"^{pattern}\\z", replacement))
+    fields = F.split(F.coalesce(rewritten, v), _SEP)
     matched = (F.size(fields) == n_groups) & ~v.contains(_SEP)
     return fields, matched
 
