@@ -1,0 +1,16 @@
+"""Structured Streaming queries of the order bus."""
+
+from logloom.streaming.bus import (
+    file_bus_stream, kafka_bus_stream, land_bus, progress_offset_ranges, publish_to_kafka,
+    run_to_completion,
+)
+from logloom.streaming.offsets import batch_offsets, offset_history_append
+from logloom.streaming.unpaid import (
+    start_unpaid_reminders, start_unpaid_reminders_kafka, unpaid_orders_stream,
+)
+
+__all__ = [
+    "batch_offsets", "file_bus_stream", "kafka_bus_stream", "land_bus", "offset_history_append",
+    "progress_offset_ranges", "publish_to_kafka", "run_to_completion", "start_unpaid_reminders",
+    "start_unpaid_reminders_kafka", "unpaid_orders_stream",
+]
