@@ -113,3 +113,34 @@ def test_hot_bucket_on_shuffle_path(spark):
     got = dict(out.collect())
     assert len(got) == len(ips) and out.count() == len(ips)
     assert all(got[i] == model(ranges, n) for i, n in enumerate(ips))
+
+
+def test_aqe_splits_a_hot_bucket_on_the_shuffle_path(spark):
+    """With skew thresholds scaled down to test size, AQE marks the bucket
+    join as a skew join and splits the hot bucket's partition."""
+    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        ranges = [(k << 16, (k << 16) + 40000, f"D{k}") for k in range(0, 200, 2)]
+        rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
+        hot = [(i, _ip((4 << 16) + (i % 30000))) for i in range(30000)]
+        cold = [(30000 + k, _ip((k << 16) + 7)) for k in range(20000)]
+        df = spark.createDataFrame(hot + cold, "i int, ip string").repartition(8)
+        out = geo.ip_to_district(df, rdf, broadcast_max_rows=0)
+        got = {r["i"]: r["district"] for r in out.collect()}   # runs out's own (final) plan
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert len(got) == 50000
+        assert got[0] == "D4" and got[30000 + 3] == "unknown"
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
