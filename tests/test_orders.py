@@ -145,3 +145,38 @@ def test_batch_status_agrees_with_stream(spark):
     assert st.where(F.col("status") == "pending").count() == 0
     streamed = {r["orderid"] for r in unpaid_orders_stream(bus).collect()}
     assert streamed == reminded and len(streamed) > 0
+
+
+def test_aqe_splits_a_hot_orderid(spark):
+    """The left-join form of the order/payment match lets AQE split a hot
+    orderid on the orders side (a FULL OUTER JOIN could not be split)."""
+    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        o_rows = [("hot" if i < 20000 else f"o{i}", f"u{i}", "2019-09-01 12:00:00")
+                  for i in range(30000)]
+        o = spark.createDataFrame(o_rows, "orderid string, userid string, ordertime string")
+        o = o.withColumn("order_ts", F.col("ordertime").cast("timestamp_ntz")).repartition(8)
+        p_rows = [("hot", "card", "2019-09-01 12:01:00")] + [
+            (f"o{i}", "card", "2019-09-01 12:01:00") for i in range(20000, 30000, 2)] + [
+            ("x1", "card", "2019-09-01 12:01:00")]
+        p = spark.createDataFrame(p_rows, "orderid string, payment string, paymenttime string")
+        p = p.withColumn("pay_ts", F.col("paymenttime").cast("timestamp_ntz"))
+        out = orders.orders_payments_full_outer(o, p)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert len(rows) == 30000 + 1     # every order once, plus the orphan payment
+        assert sum(1 for r in rows if r["has_payment"] and r["has_order"]) == 20000 + 5000
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
