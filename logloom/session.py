@@ -2,15 +2,12 @@
 
 Everything that has to be materialised (written tables, streaming
 checkpoints, landed text logs) goes under the folder named by
-``spark.checkpoint.dir``.  On a cluster that setting must point at shared
-storage; a machine-local temporary folder is only created when the setting
-is missing *and* the session runs in local mode (tests, laptops).
+``spark.checkpoint.dir``, on a cluster a shared one; where it is unset, under
+the SQL warehouse.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,54 +51,31 @@ def get_spark(master: str | None = None, app_name: str = "logloom",
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-# local-mode fallback folders, one per application (only when the session
-# names no spark.checkpoint.dir; a core setting cannot be changed at run time)
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir`` (or the context's
     checkpoint directory when one was set with ``setCheckpointDir``).
 
-    Only a local-mode session without either gets a temporary folder of its
-    own; a cluster session without the setting is a configuration error,
-    not something to paper over with a node-local path.
+    A session that names neither works under its SQL warehouse, which all
+    executors of a cluster share too; a machine-local temporary folder is
+    never used.
     """
     sc = spark.sparkContext
-    root = (spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_ROOTS.get(sc.applicationId)
-            or sc.getCheckpointDir())
+    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
-        if not _is_local(spark):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set; point it at shared storage "
-                "(HDFS/S3/ABFS) before running logloom jobs on a cluster")
-        app = sc.applicationId
-        if app not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="logloom-ckpt-")
-        root = _LOCAL_ROOTS[app]
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return root.rstrip("/")
 
 
 def work_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder.
+    """A path under the shared checkpoint folder; whoever writes creates it.
 
     ``unique=True`` appends a fresh id so concurrent or repeated runs never
     share (and never have to delete) a folder.
     """
-    root = checkpoint_root(spark)
     pieces = ["logloom", *parts]
     if unique:
         pieces.append(uuid.uuid4().hex[:12])
-    path = "/".join([root, *pieces])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    return "/".join([checkpoint_root(spark), *pieces])
 
 
 def rebalance_if_underpartitioned(df: DataFrame) -> DataFrame:
