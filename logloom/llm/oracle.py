@@ -27,8 +27,8 @@ o AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
             FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
 h AS (SELECT doc_id, o.n, i, item FROM o JOIN p ON o.win = p.win AND o.n = p.n),
-t AS (SELECT doc_id, count(DISTINCT at) AS n_hit
-      FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM h) GROUP BY doc_id),
 m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
       FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
@@ -63,7 +63,7 @@ WITH k AS (SELECT DISTINCT license, {_one_line(_canonical_lines('t'))} AS unit
 c AS (SELECT doc_id, {_canonical_lines("coalesce(text, '')")} AS lines FROM documents),
 u AS (SELECT doc_id, {_one_line('lines')} AS whole_text,
              list_distinct(list_transform(list_concat(string_split_regex(lines, '\n[ \n]*\n'),
-                 string_split_regex(lines, '\n')), x -> {_one_line('x')})) AS units FROM c),
+                 string_split_regex(lines, '\n')), lambda x: {_one_line('x')})) AS units FROM c),
 x AS (SELECT doc_id, unnest(list_distinct(list_concat([whole_text], units))) AS unit, whole_text FROM u),
 h AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
              count(*) AS n_units, max(CASE WHEN x.unit = whole_text THEN license END) AS whole
@@ -93,8 +93,8 @@ SELECT doc_id, '{r.kind}' AS kind, {rank} AS rank, m, g, j FROM (
 WITH f AS ({" UNION ALL ".join(parts)}),
 n AS (SELECT doc_id, kind, rank, m, g, j, unnest(range(1, len(m) + 1)) AS i FROM f),
 s AS (SELECT doc_id, kind, rank, length(m[i]) AS size,
-             CAST(list_sum(list_transform(g[1:i], x -> length(x)))
-                  + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS BIGINT) AS start
+             CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+                  + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
       FROM n WHERE length(j[i]) >= CASE kind {least} END),
 t AS (SELECT doc_id, rank, start, kind, kind || ':' || start || ':' || (start + size) AS span FROM s),
 a AS (SELECT doc_id, {counts},
@@ -110,8 +110,8 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 x AS (SELECT page_id, h, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS top FROM p),
 q AS (SELECT * FROM x)
 SELECT page_id, octet_length(encode(h)) AS payload_bytes,
-       array_to_string(list_transform(range(32), g -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-         CAST(1 + list_sum(list_transform(range(5), b -> (
+       array_to_string(list_transform(range(32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + list_sum(list_transform(range(5), lambda b: (
            ((strpos('0123456789abcdef', substr(d, CAST((g * 5 + b) // 4 + 1 AS INTEGER), 1)) - 1)
              >> CAST(3 - (g * 5 + b) % 4 AS INTEGER)) & 1) << CAST(4 - b AS INTEGER))) AS INTEGER), 1)), '')
          AS payload_digest,
