@@ -6,8 +6,8 @@ a variable for every way to fill a sequence; it is solved by multiplicative
 weights: a length weighs more the less of its demand is covered, and the
 pricing problem - the fullest configuration by weight - is a knapsack dynamic
 program over the capacity.  Each priced configuration is taken a whole number
-of times, and what rounding leaves over is packed best fit, longest first,
-on the histogram too.
+of times, and what that rounding leaves over is packed best fit, longest
+first, on the histogram too.
 
 Scale: the histogram and the configurations are the only things on the
 driver; both are bounded by the capacity.  Texts are tokenised where they are
@@ -33,8 +33,12 @@ from logloom.llm.common import ROW_ID, bounded_batches, sliced, stored, with_row
 
 CAPACITY = 4096
 END_ID = 1
-ROUNDS = 200
+#: Rounds of the multiplicative weights, knapsack tables at most, strength of
+#: the weights, and preference of long pieces.
+ROUNDS = 8
+PRICINGS = 150
 ETA = 4.0
+GREED = 1.05
 #: Distinct words (chunks between white space) a Python worker remembers.
 CACHE_WORDS = 200_000
 
@@ -130,68 +134,83 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, ddl)
 
 
-def price(value: np.ndarray, capacity: int) -> list[int]:
-    """Unbounded knapsack: the lengths of a configuration of the greatest sum of
-    ``value[length]``; a value of -inf leaves a length out."""
+def price(value: np.ndarray, capacity: int) -> np.ndarray:
+    """Unbounded knapsack over the lengths with a finite value: for every room
+    the length to put in next (0: leave a place empty) so that the sum of
+    values is the greatest."""
     best = np.zeros(capacity + 1)
     pick = np.zeros(capacity + 1, np.int64)
-    smallest = np.flatnonzero(np.isfinite(value))
-    if not len(smallest):
-        return []
-    low, high = int(smallest[0]), int(smallest[-1])
+    finite = np.flatnonzero(np.isfinite(value))
+    if not len(finite):
+        return pick
+    low, high = int(finite[0]), int(finite[-1])
     for c in range(1, capacity + 1):
-        best[c], pick[c] = best[c - 1], 0  # 0: one place stays empty
+        best[c] = best[c - 1]
         top = min(c, high)
         if top >= low:
             gain = best[c - top:c - low + 1][::-1] + value[low:top + 1]
             k = int(gain.argmax())
             if gain[k] > best[c]:
                 best[c], pick[c] = gain[k], low + k
-    out, c = [], capacity
-    while c > 0:
-        if pick[c]:
-            out.append(int(pick[c]))
-            c -= int(pick[c])
+    return pick
+
+
+def filling(pick: list[int], room: int) -> list[int]:
+    """The lengths that the knapsack puts into a room."""
+    out = []
+    while room > 0:
+        if pick[room]:
+            out.append(pick[room])
+            room -= pick[room]
         else:
-            c -= 1
+            room -= 1
     return out
 
 
 def configurations(hist: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS,
-                   eta: float = ETA) -> list[tuple[dict[int, int], int]]:
-    """``(configuration, times)`` that cover a histogram of lengths exactly."""
+                   pricings: int = PRICINGS, eta: float = ETA) -> list[tuple[dict[int, int], int]]:
+    """``(configuration, times)`` that cover a histogram of lengths exactly.
+
+    Every round brings each length's coverage to its share.  The knapsack
+    table prices a column for each length still short of it at once: that
+    length with the best filling of the room beside it.  When demand for a
+    filling runs out, weights are renewed and priced again.
+    """
     left = hist.astype(np.int64).copy()
     out: list[tuple[dict[int, int], int]] = []
     if left[capacity]:
         out.append(({capacity: 1}, int(left[capacity])))
         left[capacity] = 0
-    demand = left.copy()
-    lengths = np.arange(len(left))
-    bins = -(-int((left * lengths).sum()) // capacity)
-    step = max(1, -(-bins // rounds))  # sequences that one round may fill
-    for _ in range(2 * rounds):
+    demand, lengths = left.copy(), np.arange(len(left)).astype(float)
+
+    def priced() -> list[int]:
+        covered = 1 - left / np.maximum(demand, 1)
+        # slightly more than in proportion to the length: of configurations that
+        # are equally full, the longer pieces first, as short ones fill any gap
+        value = np.where(left > 0, lengths ** GREED * np.exp(-eta * covered), -np.inf)
+        return price(value, capacity).tolist()
+    for t in range(rounds):
         if not left.any():
             break
-        covered = 1 - left / np.maximum(demand, 1)
-        # among equally covered lengths the longest first: short pieces fill gaps later
-        value = np.where(left > 0, lengths * np.exp(-eta * covered), -np.inf)
-        config: dict[int, int] = defaultdict(int)
-        for n in price(value, capacity):
-            config[n] += 1
-        config = {n: min(k, int(left[n])) for n, k in config.items()}
-        fit = capacity - sum(n * k for n, k in config.items())
-        while fit > 0:  # a clipped configuration: fill it best fit
-            can = [n for n in np.flatnonzero(left[:fit + 1]).tolist() if left[n] > config.get(n, 0)]
-            if not can:
-                break
-            config[can[-1]] = config.get(can[-1], 0) + 1
-            fit -= can[-1]
-        if fit > 0 and len(out) > 1 and step > 1:
-            break  # no full configuration left: the rest is packed best fit
-        times = min(step, *(int(left[n]) // k for n, k in config.items()))
-        out.append((config, times))
-        for n, k in config.items():
-            left[n] -= k * times
+        pick, fresh, pricings = priced(), True, pricings - 1
+        for n in np.flatnonzero(left)[::-1].tolist():
+            while True:
+                short = -(-int(demand[n]) * (t + 1) // rounds) - int(demand[n] - left[n])
+                if short <= 0:
+                    break
+                config: dict[int, int] = defaultdict(int)
+                for m in [n, *filling(pick, capacity - n)]:
+                    config[m] += 1
+                times = min(-(-short // config[n]), *(int(left[m]) // k for m, k in config.items()))
+                if times > 0 and (fresh or sum(m * k for m, k in config.items()) == capacity):
+                    out.append((dict(config), times))
+                    for m, k in config.items():
+                        left[m] -= k * times
+                    fresh = False
+                elif fresh or pricings <= 0:
+                    break  # no whole column: best fit packs what is left
+                else:
+                    pick, fresh, pricings = priced(), True, pricings - 1
     return out + best_fit(left, capacity)
 
 

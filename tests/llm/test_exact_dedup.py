@@ -1,0 +1,54 @@
+import hashlib
+from collections import defaultdict
+
+from logloom.llm import exact_dedup
+from logloom.llm.common import ROW_ID
+from tests.llm.conftest import EDGE, dicts
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    return groups
+
+
+def test_edge_rows_match_brute_force(edge):
+    for block in (3, exact_dedup.BLOCK_CHARS):
+        found = dicts(exact_dedup.exact_duplicates(edge, block_chars=block))
+        groups = brute([(r[0], r[1]) for r in EDGE])
+        assert len(found) == len(EDGE)
+        by_sha = {hashlib.sha256(t.encode()).hexdigest(): v for t, v in groups.items()}
+        for r in found:
+            ids = by_sha[r["sha256"]]
+            assert r["group_size"] == len(ids)
+            assert r["keep_id"] == max((i for i in ids if i is not None), default=None)
+        # one row of each group stays, also among repeated ids
+        assert sum(r["kept"] for r in found) == len(groups)
+        assert all(r["id"] == r["keep_id"] for r in found if r["kept"])
+
+
+def test_names_are_equal_exactly_for_equal_texts(spark):
+    texts = ["abcabc", "abcab", "abc", "abcabc", "abcabd", "xbcabc", "", "abcabcabc", "abcabcab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    named = dicts(exact_dedup.name_documents(docs, block_chars=2))
+    key = {r["id"]: (r["n"], r["name"]) for r in named}
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            assert (key[i] == key[j]) == (a == b)
+
+
+def test_a_task_that_forgets_its_blocks_still_agrees(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "LOCAL_CHARS", 1)
+    docs = spark.createDataFrame([(i, f"text {i % 3}") for i in range(30)],
+                                 "doc_id bigint, text string").coalesce(1)
+    found = dicts(exact_dedup.exact_duplicates(docs))
+    assert sorted(r["id"] for r in found if r["kept"]) == [27, 28, 29]
+
+
+def test_empty_table_and_whole_rows(edge, empty):
+    assert exact_dedup.exact_duplicates(empty).count() == 0
+    kept = exact_dedup.drop_exact_duplicates(edge)
+    assert kept.columns == edge.columns
+    assert kept.count() == len(brute([(r[0], r[1]) for r in EDGE]))
+    assert ROW_ID not in kept.columns

@@ -1,0 +1,119 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+
+from logloom.llm import packing as P
+from logloom.llm.queries import tokenizer_path
+from tests.llm.conftest import dicts, table
+
+
+def check(rows, capacity):
+    """Every sequence is gapless from 0 and within the capacity."""
+    seq = defaultdict(list)
+    for r in rows:
+        seq[r["sequence_id"]].append((r["offset"], r["length"]))
+    for s in seq.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= capacity
+    return len(seq)
+
+
+def reference_ids(texts):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_path())
+    t.encode_special_tokens = True
+    return [e.ids + [1] for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_chunks_encode_as_whole_texts(spark):
+    texts = ["", " ", "Hello  world", "it's they'LL\tdon't", "é e\u0301 \u00a0x\u2003y \u0301z", "<|endoftext|> a",
+             "ΟΔΟΣ ΟΔΟΣ. İstanbul ǅ ﬁ", "1234 12a3 !!!?? a--b", "\x1c\x1da\x85b", "日本語 テスト 😀😀"]
+    texts += [r.text for r in table(spark, "documents").collect()]
+    flat, sizes = P.ChunkTokenizer(tokenizer_path()).encode(pa.array(texts))
+    want = [i[:-1] for i in reference_ids(texts)]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert flat.tolist() == [i for w in want for i in w]
+
+
+def test_whole_table(spark):
+    docs = table(spark, "documents")
+    rows = dicts(P.pack(docs, tokenizer_path()))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    ids = dict(zip(texts, reference_ids(list(texts.values()))))
+    pieces = {(r["id"], r["piece"]): r for r in rows}
+    assert len(pieces) == len(rows) == sum(-(-len(i) // 4096) for i in ids.values())
+    for (d, k), r in pieces.items():
+        part = ids[d][4096 * k:4096 * (k + 1)]
+        assert (r["start"], r["length"]) == (4096 * k, len(part))
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+    total = sum(len(i) for i in ids.values())
+    assert check(rows, 4096) <= -(-total // 4096) + 1
+
+
+def test_edge_rows(edge, empty):
+    rows = dicts(P.pack(edge, tokenizer_path(), capacity=64))
+    check(rows, 64)
+    assert len({r[P.ROW_ID] for r in rows}) == 10
+    assert [r["length"] for r in rows if r["id"] == 2] == [1]
+    assert P.pack(empty, tokenizer_path()).count() == 0
+
+
+def test_pricing_finds_the_best_configuration():
+    rng = random.Random(1)
+    for _ in range(30):
+        cap = rng.randint(5, 30)
+        value = np.full(cap + 1, -np.inf)
+        for n in rng.sample(range(1, cap + 1), rng.randint(1, min(5, cap))):
+            value[n] = rng.random()
+        best = [0.0] * (cap + 1)
+        for c in range(1, cap + 1):
+            best[c] = max([best[c - 1]] + [best[c - n] + value[n] for n in range(1, c + 1) if value[n] > 0])
+        config = P.filling(P.price(value, cap).tolist(), cap)
+        assert sum(config) <= cap
+        assert abs(sum(value[n] for n in config) - best[cap]) < 1e-9
+
+
+def test_configurations_cover_any_histogram():
+    rng = np.random.default_rng(4)
+    for cap, top, scale in ((64, 65, 50), (64, 20, 1000), (64, 65, 2), (100, 90, 10_000)):
+        hist = np.zeros(cap + 1, np.int64)
+        at = rng.integers(1, top, 30)
+        hist[at] = rng.integers(1, scale + 1, 30)
+        configs = P.configurations(hist, cap)
+        got = np.zeros_like(hist)
+        for c, times in configs:
+            assert times > 0 and sum(n * k for n, k in c.items()) <= cap
+            for n, k in c.items():
+                got[n] += k * times
+        assert (got == hist).all()
+        # no worse than plain best fit by more than one in fifty
+        plain = sum(t for _, t in P.best_fit(hist.copy(), cap))
+        assert sum(t for _, t in configs) <= plain * 1.02 + 1
+
+
+def test_the_program_beats_best_fit_where_greed_wastes():
+    # 6 + 3 + 1 and 5 + 5 fill ten exactly; longest first wastes nothing only with these
+    hist = np.zeros(11, np.int64)
+    hist[[6, 5, 3, 1]] = [100, 200, 100, 100]
+    assert sum(t for _, t in P.configurations(hist, 10)) == 200
+
+
+def test_many_documents_fill_their_sequences():
+    rng = np.random.default_rng(6)
+    n = np.clip(np.exp(rng.normal(5.8, 1.2, 200_000)).astype(int) + 2, 1, 4096)
+    hist = np.bincount(n, minlength=4097)
+    need = -(-int((hist * np.arange(4097)).sum()) // 4096)
+    assert sum(t for _, t in P.configurations(hist)) <= need * 1.0002 + 2
+
+
+def test_places_are_a_bijection():
+    configs = [({5: 2, 3: 1}, 4), ({3: 4}, 2), ({5: 1}, 3)]
+    t = P.places(configs)
+    assert t["key"].tolist() == sorted(t["key"].tolist())
+    assert len(t["key"]) == 4
