@@ -7,15 +7,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     from logloom.session import get_spark
 
     active = SparkSession.getActiveSession()
     s = get_spark("local[*]", app_name="logloom-tests", shuffle_partitions=8)
-    # spark.checkpoint.dir comes from the environment's defaults when set;
-    # otherwise logloom.session gives this local session a temporary folder
+    if s.conf.get("spark.checkpoint.dir", None) is None:
+        # everything runs in one process here, so a temporary folder is shared
+        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
     yield s
     if active is None:
         s.stop()
