@@ -1,18 +1,12 @@
 """DataFrame-level operators."""
 
-from logloom.operators.broadcast import broadcast_if_small
 from logloom.operators.dims import time_dimension, time_dimension_spanning
-from logloom.operators.enrich import (
-    agent_dictionary, device_type_lookup, enrich_loginfo2, enrich_newloginfo,
-)
+from logloom.operators.enrich import device_type_lookup, enrich_loginfo2, enrich_newloginfo
 from logloom.operators.filters import drop_error_status, drop_static_resources
-from logloom.operators.geo import (
-    bucketed_ranges, effective_ranges, ip_to_district, ip_unresolved_audit, prepare_ip_lookup,
-)
-from logloom.operators.marts import ip_mart, pv_mart, pv_marts_day_and_hour, uv_mart, visit_starts
+from logloom.operators.geo import bucketed_ranges, ip_to_district, ip_unresolved_audit
+from logloom.operators.marts import ip_mart, pv_mart, uv_mart, visit_starts
 from logloom.operators.offsets import (
-    offset_history, offset_latest_lookup, partition_bounds, starting_offsets_json,
-    starting_offsets_resolve,
+    offset_latest_lookup, partition_bounds, starting_offsets_json, starting_offsets_resolve,
 )
 from logloom.operators.orders import (
     carry_forward, order_amounts, order_payment_status, orders_payments_full_outer, route_topics,
@@ -21,12 +15,12 @@ from logloom.operators.reports import ip_day_total, rollup_by, top_n
 from logloom.operators.star import star_join, star_join_ip, star_join_pv, star_join_uv
 
 __all__ = [
-    "agent_dictionary", "broadcast_if_small", "bucketed_ranges", "carry_forward",
-    "device_type_lookup", "drop_error_status", "drop_static_resources", "effective_ranges",
+    "bucketed_ranges", "carry_forward",
+    "device_type_lookup", "drop_error_status", "drop_static_resources",
     "enrich_loginfo2", "enrich_newloginfo", "ip_day_total", "ip_mart", "ip_to_district",
-    "ip_unresolved_audit", "offset_history", "offset_latest_lookup", "order_amounts",
+    "ip_unresolved_audit", "offset_latest_lookup", "order_amounts",
     "order_payment_status", "orders_payments_full_outer", "partition_bounds",
-    "prepare_ip_lookup", "pv_mart", "pv_marts_day_and_hour", "rollup_by", "route_topics",
+    "pv_mart", "rollup_by", "route_topics",
     "star_join", "star_join_ip", "star_join_pv", "star_join_uv", "starting_offsets_json",
     "starting_offsets_resolve", "time_dimension", "time_dimension_spanning", "top_n",
     "uv_mart", "visit_starts",

@@ -29,16 +29,24 @@ def time_dimension(spark: SparkSession, start_day: str, n_days: int) -> DataFram
     return minutes.select(*_calendar_columns(ts))
 
 
-def time_dimension_spanning(df: DataFrame, ts_col: str = "ts") -> DataFrame:
+#: Longest calendar that one bad far timestamp may cause (about 50 years).
+MAX_SPAN_DAYS = 18_300
+
+
+def time_dimension_spanning(df: DataFrame, ts_col: str = "ts",
+                            max_days: int = MAX_SPAN_DAYS) -> DataFrame:
     """Calendar covering every day between the min and max of ``ts_col``.
 
-    The bounds come from a partial (map-side) min/max aggregate; days are
-    exploded first and minutes per day second, so no single array grows
-    beyond one day of minutes.
+    The bounds come from a partial (map-side) min/max aggregate, one row;
+    the minutes from ``spark.range``, spread over all cores and of a size the
+    planner knows.  A span over ``max_days`` is an error: a far-off timestamp
+    is to be mended or filtered, not to make a calendar of millions of days.
+    No timestamp gives an empty calendar.
     """
-    bounds = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi"))
-    days = bounds.select(F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("d"))
-    minutes = days.select(
-        "d", F.explode(F.sequence(F.lit(0), F.lit(MINUTES_PER_DAY - 1))).alias("m"))
-    ts = F.timestamp_add("MINUTE", F.col("m"), F.col("d").cast("timestamp_ntz"))
-    return minutes.select(*_calendar_columns(ts))
+    lo, hi = df.agg(F.min(F.to_date(ts_col)), F.max(F.to_date(ts_col))).first()
+    if lo is None:
+        return time_dimension(df.sparkSession, "1970-01-01", 0)
+    days = (hi - lo).days + 1
+    if days > max_days:
+        raise ValueError(f"{ts_col} spans {lo} to {hi}: over {max_days} days")
+    return time_dimension(df.sparkSession, lo.isoformat(), days)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions import columns as C
-from logloom.operators.broadcast import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def enrich_loginfo2(loginfo: DataFrame, fix_monitor_rule: bool = False) -> DataFrame:
@@ -24,26 +23,18 @@ def enrich_loginfo2(loginfo: DataFrame, fix_monitor_rule: bool = False) -> DataF
         y.alias("year"), m.alias("month"), d.alias("day"))
 
 
-def agent_dictionary(parsed: DataFrame, agent_col: str = "userAgent") -> DataFrame:
-    """(userAgent, deviceType) for every classifiable agent seen in the log.
+def device_type_lookup(df: DataFrame, dictionary: DataFrame, agent_col: str = "userAgent",
+                       out_col: str = "devicetype") -> DataFrame:
+    """Exact-match lookup of the agent in a given dictionary (``userAgent``,
+    ``deviceType``); misses -> ``'unknown'``.
 
-    A distinct over the agent strings: partial aggregation collapses the
-    (few, heavily repeated) agents on the map side before the shuffle.
+    The planner broadcasts a dictionary under its byte threshold and joins by
+    shuffle beyond it; a repeated agent keeps its least device type, so that
+    each input row stays one row.
     """
-    return (parsed.select(F.col(agent_col).alias("userAgent")).distinct()
-            .select("userAgent", C.device_type("userAgent").alias("deviceType"))
-            .where(F.col("deviceType") != C.DEVICE_UNKNOWN))
-
-
-def device_type_lookup(df: DataFrame, dictionary: DataFrame, agent_col: str = "userAgent",
-                       out_col: str = "devicetype",
-                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Exact-match dictionary lookup of the agent; misses -> ``'unknown'``."""
-    lookup = broadcast_if_small(
-        dictionary.select(F.col("userAgent").alias("_dict_agent"),
-                          F.col("deviceType").alias("_dict_type")),
-        broadcast_max_rows, persist=True)
-    joined = df.join(lookup, df[agent_col] == lookup["_dict_agent"], "left")
+    lookup = dictionary.groupBy(F.col("userAgent").alias("_dict_agent")).agg(
+        F.min("deviceType").alias("_dict_type"))
+    joined = df.join(lookup, F.col(agent_col) == F.col("_dict_agent"), "left")
     return (joined.withColumn(out_col, F.coalesce("_dict_type", F.lit(C.DEVICE_UNKNOWN)))
             .drop("_dict_agent", "_dict_type"))
 

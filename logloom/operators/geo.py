@@ -1,97 +1,71 @@
 """IP -> district range lookup.
 
-Semantics (sorted-array binary search of the reference, made total): the
-range with the greatest start <= ip wins, and it must also contain ip;
-otherwise the district is ``'unknown'``.  Among ranges with equal starts
-the one with the greatest end (then greatest district) is kept.
-
-Plan: the range table -- small, bounded by the IP space -- is rewritten
-into *disjoint effective intervals* ``[start_i, min(end_i, start_{i+1}-1)]``
-which encode the as-of rule exactly.  Each interval is exploded into the
-/16 buckets it touches; because intervals are disjoint this adds at most
-one row per bucket (<= rows + 65,536).  Facts are then joined on the
-bucket (an equi-key, so a hash join instead of a nested loop) plus the
-BETWEEN refinement.  At most one interval matches, so a LEFT join keeps
-exactly one row per log line with no post-join aggregation or shuffle of
-the facts.  The interval table is broadcast when its row count is under the
-bound; otherwise both sides shuffle on the bucket and AQE splits a hot
-bucket.
+Semantics (the sorted-array search of the reference, made total): of the
+ranges that contain the ip the one with the greatest start wins, i.e. the
+innermost of nested ranges; no range contains it: ``'unknown'``.  Among
+ranges with equal starts the one with the least end (then greatest district)
+is the innermost.
+
+Plan: the range table -- bounded by the IP space -- is cut into the /16
+buckets that each range overlaps, and within a bucket into *disjoint
+segments* between range edges, each with its winning range.  Facts are joined
+on the bucket (an equi-key, so no nested loop) plus the BETWEEN refinement.
+At most one segment matches, so a LEFT join keeps exactly one row per log
+line with no post-join aggregation or shuffle of the facts.  The planner
+broadcasts the segments under its byte threshold; otherwise both sides
+shuffle on the bucket and AQE splits a hot bucket.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.columns import UNKNOWN_DISTRICT, ipv4_to_long
-from logloom.operators.broadcast import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 BUCKET_BITS = 16
-
-
-def effective_ranges(ranges: DataFrame) -> DataFrame:
-    """(start_ip, end_ip, district) -> disjoint as-of intervals.
-
-    Output: eff_start, eff_end, district.  One window per /16 bucket both
-    keeps, among equal starts, the range with the greatest end (then
-    district) and finds the next greater start in the bucket.  Only the
-    last range of a bucket needs the first start of the next non-empty
-    bucket, looked up over the per-bucket minima: at most 65,536 rows in a
-    single ordered pass, however large the range table is.
-    """
-    r = ranges.withColumn("bkt", F.shiftright("start_ip", BUCKET_BITS))
-    # hash partitioning on bkt already clusters (bkt, start_ip): one exchange
-    by_start = Window.partitionBy("bkt", "start_ip").orderBy(
-        F.col("end_ip").desc(), F.col("district").desc())
-    after = (Window.partitionBy("bkt").orderBy("start_ip")
-             .rangeBetween(1, Window.unboundedFollowing))
-    in_bucket = (r.withColumn("rn", F.row_number().over(by_start))
-                 .withColumn("next_start", F.min("start_ip").over(after))
-                 .where(F.col("rn") == 1))
-    firsts = r.groupBy("bkt").agg(F.min("start_ip").alias("first_start"))
-    firsts = firsts.withColumn(
-        "next_bucket_start", F.lead("first_start").over(Window.orderBy("bkt")))
-    linked = in_bucket.join(firsts.select("bkt", "next_bucket_start"), "bkt")
-    nxt = F.coalesce("next_start", "next_bucket_start")
-    eff_end = F.when(nxt.isNull(), F.col("end_ip")).otherwise(F.least("end_ip", nxt - 1))
-    return (linked.select(F.col("start_ip").alias("eff_start"), eff_end.alias("eff_end"),
-                          "district")
-            .where(F.col("eff_end") >= F.col("eff_start")))
+IP_MAX = (1 << 32) - 1
 
 
 def bucketed_ranges(ranges: DataFrame) -> DataFrame:
-    """Effective intervals exploded to the /16 buckets they overlap."""
-    eff = effective_ranges(ranges)
-    return eff.select(
-        F.explode(F.sequence(F.shiftright("eff_start", BUCKET_BITS),
-                             F.shiftright("eff_end", BUCKET_BITS))).alias("rng_bucket"),
-        "eff_start", "eff_end", F.col("district").alias("rng_district"))
+    """(start_ip, end_ip, district) -> disjoint segments per /16 bucket.
 
-
-def prepare_ip_lookup(ranges: DataFrame,
-                      broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Build the bucketed lookup once: persisted, size-checked, and hinted
-    for broadcast only when the check passes.
-
-    The range file changes rarely while every ETL run probes it, so the
-    prepared table is kept (memory, spilling to disk; rebuilt from lineage
-    if an executor holding blocks is lost) and shared by all lookups.
+    Output: rng_bucket, eff_start, eff_end, rng_district.  Ranges outside the
+    IP space, or with their start above their end, are left out, so a range
+    explodes to 65,536 buckets at most.
     """
-    lookup = bucketed_ranges(ranges).persist(StorageLevel.MEMORY_AND_DISK)
-    return broadcast_if_small(lookup, broadcast_max_rows)
+    r = ranges.where((F.col("start_ip") >= 0) & (F.col("end_ip") <= IP_MAX)
+                     & (F.col("start_ip") <= F.col("end_ip")))
+    size = 1 << BUCKET_BITS
+    cut = r.select(F.explode(F.sequence(F.shiftright("start_ip", BUCKET_BITS),
+                                        F.shiftright("end_ip", BUCKET_BITS))).alias("rng_bucket"),
+                   "start_ip", "end_ip", "district")
+    low, high = F.col("rng_bucket") * size, F.col("rng_bucket") * size + (size - 1)
+    # of ranges that cover one stretch of a bucket only the innermost matters
+    cut = (cut.select("rng_bucket", F.greatest("start_ip", low).alias("s"),
+                      F.least("end_ip", high).alias("e"), "start_ip", "end_ip", "district")
+           .groupBy("rng_bucket", "s", "e")
+           .agg(F.max(F.struct("start_ip", (-F.col("end_ip")).alias("inner"), "district")).alias("w")))
+    edges = (cut.select("rng_bucket", F.explode(F.array(F.col("s"), F.col("e") + 1)).alias("at"))
+             .distinct())
+    after = F.lead("at").over(Window.partitionBy("rng_bucket").orderBy("at"))
+    segments = edges.withColumn("until", after - 1).where(F.col("until").isNotNull())
+    c = cut.withColumnRenamed("rng_bucket", "b")
+    won = (segments.join(c, (segments["rng_bucket"] == c["b"]) & (c["s"] <= segments["at"])
+                         & (c["e"] >= segments["until"]))
+           .groupBy("rng_bucket", "at", "until").agg(F.max("w").alias("w")))
+    return won.select("rng_bucket", F.col("at").alias("eff_start"), F.col("until").alias("eff_end"),
+                      F.col("w.district").alias("rng_district"))
 
 
 def ip_to_district(df: DataFrame, ranges: DataFrame | None = None, ip_col: str = "ip",
-                   out_col: str = "district",
-                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                   lookup: DataFrame | None = None) -> DataFrame:
+                   out_col: str = "district", lookup: DataFrame | None = None) -> DataFrame:
     """Add ``out_col``: the district of ``ip_col`` (``'unknown'`` on a miss).
 
-    Pass either raw ``ranges`` or a ``lookup`` from :func:`prepare_ip_lookup`.
+    Pass either raw ``ranges`` or a ``lookup`` from :func:`bucketed_ranges`.
     """
     if lookup is None:
-        lookup = broadcast_if_small(bucketed_ranges(ranges), broadcast_max_rows)
+        lookup = bucketed_ranges(ranges)
     ipl = ipv4_to_long(ip_col)
     facts = df.withColumns({"_ipl": ipl,
                             "_bkt": F.shiftright(ipl, BUCKET_BITS)})
@@ -104,19 +78,6 @@ def ip_to_district(df: DataFrame, ranges: DataFrame | None = None, ip_col: str =
             .drop("_ipl", "_bkt", "rng_bucket", "eff_start", "eff_end", "rng_district"))
 
 
-def ip_to_district_nested_loop(df: DataFrame, ranges: DataFrame, ip_col: str = "ip",
-                               out_col: str = "district") -> DataFrame:
-    """Reference-shaped form: broadcast BETWEEN join against the as-of
-    intervals (a nested-loop join).  Only for small range tables and tests;
-    :func:`ip_to_district` is the scalable form and must agree with it."""
-    eff = F.broadcast(effective_ranges(ranges).withColumnRenamed("district", "rng_district"))
-    facts = df.withColumn("_ipl", ipv4_to_long(ip_col))
-    cond = (facts["_ipl"] >= eff["eff_start"]) & (facts["_ipl"] <= eff["eff_end"])
-    return (facts.join(eff, cond, "left")
-            .withColumn(out_col, F.coalesce(F.col("rng_district"), F.lit(UNKNOWN_DISTRICT)))
-            .drop("_ipl", "eff_start", "eff_end", "rng_district"))
-
-
 def ip_unresolved_audit(located: DataFrame, ip_col: str = "ip",
                         district_col: str = "district") -> DataFrame:
     """IPs that found no district, with how many lines carried each."""

@@ -31,17 +31,6 @@ def pv_mart(facts: DataFrame, grain: str = "day") -> DataFrame:
     return facts.groupBy(_grain(grain), *DIM_IDS).agg(F.count(F.lit(1)).alias("pv"))
 
 
-def pv_marts_day_and_hour(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Hourly mart from the facts, daily mart rolled up from the hourly one.
-
-    Counts are additive, so the day mart never re-reads the facts.
-    """
-    hour = pv_mart(facts, "hour")
-    day = (hour.groupBy(F.substring("timeid", 1, 8).alias("timeid"), *DIM_IDS)
-           .agg(F.sum("pv").alias("pv")))
-    return day, hour
-
-
 def ip_mart(facts: DataFrame) -> DataFrame:
     """Distinct (day, ip, district, referer, device, column)."""
     return facts.select(_grain("day"), "ip", *DIM_IDS).distinct()
@@ -70,10 +59,10 @@ def visit_starts(facts: DataFrame, gaps: dict[int, int] | None = None) -> DataFr
     go through the ``lag`` window per session, where a session has at most
     one row per minute of the period, however much traffic it carries.
 
-    The "first request" is ``min(struct(second, ids))``; a struct buffer
-    makes this a sort-based (not hash) partial aggregate.  That is exact and
-    spills gracefully; hash-friendly encodings would need either an extra
-    shuffle or a hashed tie-breaker that could mix two requests' ids.
+    Equal requests of a second are first collapsed by a hash aggregate on
+    (session, minute, second, ids), which needs no sort and leaves far fewer
+    rows for ``min(struct(second, ids))``; the sort then sees
+    distinct rows only.
 
     Input: timeid, ts, sessionid, ids, daystr.  Output: timeid, ts,
     sessionid, districtid, refererhostid, devicetypeid, columnid.
@@ -81,7 +70,8 @@ def visit_starts(facts: DataFrame, gaps: dict[int, int] | None = None) -> DataFr
     gaps = DEFAULT_VISIT_GAPS if gaps is None else gaps
     if any(s <= 0 for s in gaps.values()):
         raise ValueError("visit gap thresholds must be positive")
-    firsts = (facts.groupBy("sessionid", "ts")
+    distinct = facts.select("sessionid", "ts", "daystr", *DIM_IDS, "timeid").distinct()
+    firsts = (distinct.groupBy("sessionid", "ts")
               .agg(F.min(F.struct("daystr", *DIM_IDS, "timeid")).alias("f")))
     w = Window.partitionBy("sessionid").orderBy("ts")
     lagged = firsts.withColumn("fts", F.lag("ts").over(w))

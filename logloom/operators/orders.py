@@ -1,9 +1,8 @@
 """Orders and payments: record parsing, topic routing, status, carry-forward.
 
-The batch form of the unpaid-order reminder: every order is matched with
-its payments by a full outer join on ``orderid`` (left join + anti join);
-the decision per order is a CASE over the joined row.  The continuous form
-is :func:`logloom.streaming.unpaid.unpaid_orders_stream`.
+The batch form of the unpaid-order reminder: payments are judged against
+their order and reduced to one row per orderid; the decision per order is a
+CASE over that row.  The continuous form is :mod:`logloom.streaming.unpaid`.
 """
 
 from __future__ import annotations
@@ -29,6 +28,8 @@ STATUS_PAID_LATE = "paid_late"
 STATUS_REMIND = "remind"
 STATUS_PENDING = "pending"
 STATUS_ORPHAN = "orphan"
+STATUS_UNTIMED = "untimed"            # an order without a readable time
+STATUS_PAID_UNTIMED = "paid_untimed"  # paid, but no payment has a readable time
 
 
 def route_topics(bus: DataFrame, topics: list[str]) -> DataFrame:
@@ -97,37 +98,62 @@ def orders_payments_full_outer(orders: DataFrame, payments: DataFrame) -> DataFr
 def order_payment_status(orders: DataFrame, payments: DataFrame, as_of: str,
                          pay_within: str | None = REMIND_AFTER,
                          early_slack: str = "10 minutes") -> DataFrame:
-    """Status of every order and payment known at ``as_of``.
+    """Status of every order and payment known at ``as_of``: one row per orderid.
 
-    * payment within [order - early_slack, order + pay_within] -> ``paid``
-    * payment outside that window                            -> ``paid_late``
-    * no payment, order older than pay_within at as_of       -> ``remind``
-    * no payment, order not older than that                  -> ``pending``
-    * payment without an order                               -> ``orphan``
+    * a payment within [order - early_slack, order + pay_within] -> ``paid``
+    * timed payments, all outside that window                   -> ``paid_late``
+    * payments, none with a readable time                       -> ``paid_untimed``
+    * no payment, order older than pay_within at as_of           -> ``remind``
+    * no payment, order not older than that                      -> ``pending``
+    * the order has no readable time                             -> ``untimed``
+    * payments without an order                                  -> ``orphan``
 
     ``pay_within=None`` is the reference's per-batch rule: any payment
-    settles the order.  "Older than" is strict: exactly five minutes is
-    still pending.  Output: orderid, userid, ordertime, payment,
-    paymenttime, status.
+    settles the order, timed or not.  "Older than" is strict: exactly five
+    minutes is still pending.  Orders and payments timed after ``as_of`` are
+    not known yet; without a time they are known.  Of repeated order records
+    the earliest counts; the payment shown is the earliest in the window, else
+    the earliest timed one, else the least.  Output: orderid, userid,
+    ordertime, payment, paymenttime, status.
+
+    Plan: orders are reduced to one row per orderid, so the join gives one
+    row per payment, never orders x payments; it is the payments' side that
+    AQE splits for a hot orderid, and the reduction after it is partial.
     """
     cut = F.lit(as_of).cast("timestamp_ntz")
-    o = orders.where(F.col("order_ts") <= cut)
-    p = payments.where(F.col("pay_ts") <= cut)
-    j = orders_payments_full_outer(o, p)
+    known = (orders.where(F.col("order_ts").isNull() | (F.col("order_ts") <= cut))
+             .groupBy("orderid").agg(F.min(F.struct(
+                 F.col("order_ts").isNull().alias("untimed"), "order_ts", "userid", "ordertime"))
+                 .alias("o")))
+    p = payments.where(F.col("pay_ts").isNull() | (F.col("pay_ts") <= cut)).select(
+        F.col("orderid").alias("p_id"), "payment", "paymenttime", "pay_ts")
     if pay_within is None:
         in_window = F.lit(True)
     else:
-        lo = F.col("order_ts") - F.expr(f"INTERVAL {early_slack}")
-        hi = F.col("order_ts") + F.expr(f"INTERVAL {pay_within}")
-        in_window = (F.col("pay_ts") >= lo) & (F.col("pay_ts") <= hi)
+        lo = F.col("o.order_ts") - F.expr(f"INTERVAL {early_slack}")
+        hi = F.col("o.order_ts") + F.expr(f"INTERVAL {pay_within}")
+        in_window = F.coalesce((F.col("pay_ts") >= lo) & (F.col("pay_ts") <= hi), F.lit(False))
+    judged = (p.join(known, p["p_id"] == known["orderid"], "left")
+              .groupBy("p_id").agg(
+                  F.max(in_window & F.col("o").isNotNull()).alias("settled"),
+                  F.max(F.col("pay_ts").isNotNull()).alias("timed"),
+                  F.min(F.struct((~in_window).alias("out"), F.col("pay_ts").isNull().alias("untimed"),
+                                 "pay_ts", "payment", "paymenttime")).alias("p")))
     within = F.expr(f"INTERVAL {pay_within or REMIND_AFTER}")
-    status = (F.when(~F.col("has_order"), STATUS_ORPHAN)
-              .when(F.col("has_payment") & in_window, STATUS_PAID)
-              .when(F.col("has_payment"), STATUS_PAID_LATE)
-              .when(F.col("order_ts") + within < cut, STATUS_REMIND)
+    paid = F.col("p").isNotNull()
+    status = (F.when(F.col("settled"), STATUS_PAID)
+              .when(F.col("o.order_ts").isNull(), STATUS_UNTIMED)
+              .when(paid & F.col("timed"), STATUS_PAID_LATE)
+              .when(paid, STATUS_PAID_UNTIMED)
+              .when(F.col("o.order_ts") + within < cut, STATUS_REMIND)
               .otherwise(STATUS_PENDING))
-    return j.select("orderid", "userid", "ordertime", "payment", "paymenttime",
-                    status.alias("status"))
+    of_orders = known.join(judged, known["orderid"] == judged["p_id"], "left").select(
+        "orderid", "o.userid", "o.ordertime", "p.payment", "p.paymenttime", status.alias("status"))
+    orphans = judged.join(known, judged["p_id"] == known["orderid"], "left_anti").select(
+        F.col("p_id").alias("orderid"), F.lit(None).cast("string").alias("userid"),
+        F.lit(None).cast("string").alias("ordertime"), "p.payment", "p.paymenttime",
+        F.lit(STATUS_ORPHAN).alias("status"))
+    return of_orders.unionByName(orphans)
 
 
 def carry_forward(status: DataFrame) -> DataFrame:

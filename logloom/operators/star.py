@@ -2,12 +2,11 @@
 
 All five joins are INNER equi-joins, as in the reference: a fact missing
 any dimension is dropped, a duplicated dimension key fans the fact out.
-The dimensions are small and of known size (literal rows, ``spark.range``
-calendars, the nation table), so the planner broadcasts them from its own
-statistics and the facts stream through five hash lookups inside one
-stage -- no shuffle of the fact table.  Dimension sides that come out of
-aggregations, whose size the planner cannot bound up front, go through
-``broadcast_if_small`` instead.
+The dimensions are of known size (literal rows, ``spark.range`` calendars,
+the nation table), so the planner broadcasts those under its byte threshold
+from its own statistics and the facts stream through hash lookups inside one
+stage -- no shuffle of the fact table.  No broadcast is forced: a dimension
+that outgrows the threshold is joined by shuffle, where AQE splits hot keys.
 """
 
 from __future__ import annotations

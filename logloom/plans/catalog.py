@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from logloom import schemas
 from logloom.functions import columns as C
 from logloom.functions import parse as P
-from logloom.operators import enrich, geo, marts, offsets, orders, reports
+from logloom.operators import enrich, geo, marts, offsets, orders
 from logloom.operators.dims import time_dimension_spanning
 from logloom.operators.filters import drop_error_status, drop_static_resources
 from logloom.operators.star import DIM_IDS
-from logloom.plans import etl
+from logloom.plans import etl, jobs
 from logloom.plans.inputs import Inputs
 from logloom.session import work_dir
 from logloom.sources import derived
@@ -44,7 +44,7 @@ def query(name: str):
 @query("log_text_scan")
 def log_text_scan_q(spark, sf):
     """Land the derived access log as text, then scan it back."""
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     path = work_dir(spark, "landing", "access_log", unique=True)
     inp.lines.write.mode("overwrite").text(path)
     return log_text_scan(spark, path)
@@ -52,7 +52,7 @@ def log_text_scan_q(spark, sf):
 
 @query("ip_ranges_load")
 def ip_ranges_load_q(spark, sf):
-    return Inputs.get(spark, sf).ranges
+    return Inputs(spark, sf).ranges
 
 
 def _write_loginfo(spark, inp: Inputs) -> str:
@@ -64,7 +64,7 @@ def _write_loginfo(spark, inp: Inputs) -> str:
 @query("write_partitioned_overwrite")
 def write_partitioned_overwrite_q(spark, sf):
     """Write loginfo partitioned by (year, month, day); read it back."""
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     path = _write_loginfo(spark, inp)
     return spark.read.schema(schemas.LOGINFO).parquet(path)
 
@@ -72,7 +72,7 @@ def write_partitioned_overwrite_q(spark, sf):
 @query("table_scan")
 def table_scan_q(spark, sf):
     """Column-pruned scan of the written loginfo table (the stage-2 input)."""
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     path = _write_loginfo(spark, inp)
     return table_scan(spark, path, ["ip", "district", "sessionid", "datetime", "daystr",
                                     "url", "referal", "userAgent"],
@@ -81,7 +81,7 @@ def table_scan_q(spark, sf):
 
 @query("write_table_overwrite")
 def write_table_overwrite_q(spark, sf):
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     path = work_dir(spark, "tables", "pv_day", unique=True)
     etl.write_table_overwrite(marts.pv_mart(inp.facts_pv, "day"), path)
     return spark.read.schema(schemas.PV_MART).parquet(path)
@@ -89,97 +89,98 @@ def write_table_overwrite_q(spark, sf):
 
 @query("row_count")
 def row_count_q(spark, sf):
-    return etl.row_count(Inputs.get(spark, sf).loginfo)
+    return etl.row_count(Inputs(spark, sf).loginfo)
 
 
 @query("preview")
 def preview_q(spark, sf):
-    return etl.preview(Inputs.get(spark, sf).loginfo, 20)
+    loginfo = Inputs(spark, sf).loginfo
+    return etl.preview(loginfo, 20, order_cols=loginfo.columns)
 
 
 # --- parsing and row-level ETL ------------------------------------------------
 
 @query("access_log_parse")
 def access_log_parse_q(spark, sf):
-    return Inputs.get(spark, sf).parsed
+    return Inputs(spark, sf).parsed
 
 
 @query("access_log_parse_monthly")
 def access_log_parse_monthly_q(spark, sf):
-    return P.access_log_parse_monthly(Inputs.get(spark, sf).lines)
+    return P.access_log_parse_monthly(Inputs(spark, sf).lines)
 
 
 @query("weblog_parse_typed")
 def weblog_parse_typed_q(spark, sf):
-    return P.weblog_parse_typed(Inputs.get(spark, sf).lines)
+    return P.weblog_parse_typed(Inputs(spark, sf).lines)
 
 
 @query("request_split_parse")
 def request_split_parse_q(spark, sf):
-    return P.request_split_parse(derived.combined_log_lines(Inputs.get(spark, sf).events))
+    return P.request_split_parse(derived.combined_log_lines(Inputs(spark, sf).events))
 
 
 @query("parse_coverage")
 def parse_coverage_q(spark, sf):
-    return P.parse_coverage(Inputs.get(spark, sf).lines)
+    return P.parse_coverage(Inputs(spark, sf).lines)
 
 
 @query("drop_error_status")
 def drop_error_status_q(spark, sf):
-    return drop_error_status(Inputs.get(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
+    return drop_error_status(Inputs(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
 
 
 @query("drop_static_resources")
 def drop_static_resources_q(spark, sf):
-    return drop_static_resources(Inputs.get(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
+    return drop_static_resources(Inputs(spark, sf).parsed).select(*P.ACCESS_LOG_FIELDS)
 
 
 @query("derive_daystr")
 def derive_daystr_q(spark, sf):
-    return Inputs.get(spark, sf).parsed.select("datetime", "daystr", "yearmonthday")
+    return Inputs(spark, sf).parsed.select("datetime", "daystr", "yearmonthday")
 
 
 @query("split_ymd_str")
 def split_ymd_str_q(spark, sf):
     y, m, d = C.split_ymd_str("yearmonthday")
-    return Inputs.get(spark, sf).parsed.select("yearmonthday", y.alias("year"),
+    return Inputs(spark, sf).parsed.select("yearmonthday", y.alias("year"),
                                            m.alias("month"), d.alias("day"))
 
 
 @query("split_ymd_int")
 def split_ymd_int_q(spark, sf):
     y, m, d = C.split_ymd_int("daystr")
-    return Inputs.get(spark, sf).parsed.select("daystr", y.alias("year"), m.alias("month"),
+    return Inputs(spark, sf).parsed.select("daystr", y.alias("year"), m.alias("month"),
                                            d.alias("day"))
 
 
 @query("ipv4_to_long")
 def ipv4_to_long_q(spark, sf):
-    return Inputs.get(spark, sf).parsed.select("ip", C.ipv4_to_long("ip").alias("ip_long"))
+    return Inputs(spark, sf).parsed.select("ip", C.ipv4_to_long("ip").alias("ip_long"))
 
 
 @query("ip_to_district")
 def ip_to_district_q(spark, sf):
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     return geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup)
 
 
 @query("ip_unresolved_audit")
 def ip_unresolved_audit_q(spark, sf):
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     return geo.ip_unresolved_audit(
         geo.ip_to_district(inp.parsed.select("ip"), lookup=inp.ip_lookup))
 
 
 @query("column_name")
 def column_name_q(spark, sf):
-    return Inputs.get(spark, sf).parsed.select("url", C.column_name("url").alias("columnName"))
+    return Inputs(spark, sf).parsed.select("url", C.column_name("url").alias("columnName"))
 
 
 @query("referer_host")
 def referer_host_q(spark, sf):
     """Referer hosts of the log plus those of the crawled page URLs."""
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     refs = inp.parsed.select(F.col("referal"))
     pages = inp.table("pages").select(F.col("url").alias("referal"))
     both = refs.unionByName(pages)
@@ -188,37 +189,37 @@ def referer_host_q(spark, sf):
 
 @query("device_type")
 def device_type_q(spark, sf):
-    return Inputs.get(spark, sf).parsed.select(
+    return Inputs(spark, sf).parsed.select(
         "userAgent", C.device_type("userAgent").alias("deviceType"))
 
 
 @query("device_type_lookup")
 def device_type_lookup_q(spark, sf):
-    inp = Inputs.get(spark, sf)
-    dictionary = enrich.agent_dictionary(inp.parsed)
-    return enrich.device_type_lookup(inp.parsed.select("sessionid", "userAgent"), dictionary)
+    inp = Inputs(spark, sf)
+    return enrich.device_type_lookup(inp.parsed.select("sessionid", "userAgent"),
+                                     derived.agent_dictionary(spark))
 
 
 @query("enrich_loginfo2")
 def enrich_loginfo2_q(spark, sf):
-    return Inputs.get(spark, sf).loginfo2
+    return Inputs(spark, sf).loginfo2
 
 
 @query("enrich_newloginfo")
 def enrich_newloginfo_q(spark, sf):
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     li = inp.loginfo.withColumn("yearmonthday", C.yearmonthday("datetime"))
-    return enrich.enrich_newloginfo(li, enrich.agent_dictionary(inp.parsed))
+    return enrich.enrich_newloginfo(li, derived.agent_dictionary(spark))
 
 
 @query("time_dimension")
 def time_dimension_q(spark, sf):
-    return time_dimension_spanning(Inputs.get(spark, sf).events, "ts")
+    return time_dimension_spanning(Inputs(spark, sf).events, "ts")
 
 
 @query("region_from_ip_json")
 def region_from_ip_json_q(spark, sf):
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     # the district depends on the ip alone: de-duplicate before the lookup
     located = geo.ip_to_district(inp.parsed.select("ip").distinct(), lookup=inp.ip_lookup)
     replies = derived.geo_replies(located)
@@ -229,126 +230,107 @@ def region_from_ip_json_q(spark, sf):
 
 @query("star_join_pv")
 def star_join_pv_q(spark, sf):
-    return Inputs.get(spark, sf).facts_pv
+    return Inputs(spark, sf).facts_pv
 
 
 @query("star_join_ip")
 def star_join_ip_q(spark, sf):
-    return Inputs.get(spark, sf).facts_ip
+    return Inputs(spark, sf).facts_ip
 
 
 @query("star_join_uv")
 def star_join_uv_q(spark, sf):
-    return Inputs.get(spark, sf).facts_uv.drop("daystr")
+    return Inputs(spark, sf).facts_uv.drop("daystr")
 
 
 # --- marts ------------------------------------------------------------------
 
 @query("pv_mart_day")
 def pv_mart_day_q(spark, sf):
-    return marts.pv_mart(Inputs.get(spark, sf).facts_pv, "day")
+    return marts.pv_mart(Inputs(spark, sf).facts_pv, "day")
 
 
 @query("pv_mart_hour")
 def pv_mart_hour_q(spark, sf):
-    return marts.pv_mart(Inputs.get(spark, sf).facts_pv, "hour")
+    return marts.pv_mart(Inputs(spark, sf).facts_pv, "hour")
 
 
 @query("ip_mart_day")
 def ip_mart_day_q(spark, sf):
-    return marts.ip_mart(Inputs.get(spark, sf).facts_ip)
+    return marts.ip_mart(Inputs(spark, sf).facts_ip)
 
 
 @query("visit_starts")
 def visit_starts_q(spark, sf):
-    return marts.visit_starts(Inputs.get(spark, sf).facts_uv)
+    return marts.visit_starts(Inputs(spark, sf).facts_uv)
 
 
 @query("uv_mart_day")
 def uv_mart_day_q(spark, sf):
-    return marts.uv_mart(Inputs.get(spark, sf).facts_uv)
+    return marts.uv_mart(Inputs(spark, sf).facts_uv)
 
 
-# --- roll-ups and rankings ---------------------------------------------------
+# --- roll-ups and rankings over written marts -----------------------------------
 
-def _mart(inp: Inputs, kind: str) -> DataFrame:
-    if kind == "pv_day":
-        return marts.pv_mart(inp.facts_pv, "day")
-    if kind == "pv_hour":
-        return marts.pv_mart(inp.facts_pv, "hour")
-    if kind == "uv_day":
-        return marts.uv_mart(inp.facts_uv)
-    if kind == "ip_day":
-        return marts.ip_mart(inp.facts_ip)
-    raise KeyError(kind)
+# marts written by this application, by folder and fingerprint of its files
+_MARTS: dict[tuple[str, str, str], str] = {}
 
 
-def _rollup_query(kind: str, dim: str, measure: str | None, out_col: str) -> Query:
-    def run(spark, sf):
-        inp = Inputs.get(spark, sf)
-        return reports.rollup_by(_mart(inp, kind), reports.dimension_for(inp.dims, dim),
-                                 dim, measure, out_col)
-    return run
-
-
-for _dim in ("device", "column", "referer", "district"):
-    QUERIES[f"pv_day_by_{_dim}"] = _rollup_query("pv_day", _dim, "pv", "pv")
-    QUERIES[f"pv_hour_by_{_dim}"] = _rollup_query("pv_hour", _dim, "pv", "pv")
-    QUERIES[f"uv_day_by_{_dim}"] = _rollup_query("uv_day", _dim, "uv", "uv")
-    QUERIES[f"ip_day_by_{_dim}"] = _rollup_query("ip_day", _dim, None, "ips")
-
-
-@query("ip_day_total")
-def ip_day_total_q(spark, sf):
-    return reports.ip_day_total(_mart(Inputs.get(spark, sf), "ip_day"))
+def _marts_root(spark, inp: Inputs) -> str:
+    """The written marts of a folder: built on first use, and again when its
+    files have changed."""
+    key = (spark.sparkContext.applicationId, inp.sf_dir, inp.fingerprint())
+    if key not in _MARTS:
+        root = work_dir(spark, "marts", key[2], unique=True)
+        stage = work_dir(spark, "tables", "loginfo2", unique=True)
+        etl.write_partitioned_overwrite(inp.loginfo2, stage)
+        jobs.build_marts(spark, spark.read.schema(schemas.LOGINFO2).parquet(stage), inp.dims, root)
+        _MARTS[key] = root
+    return _MARTS[key]
 
 
-@query("ip_day_total_exact")
-def ip_day_total_exact_q(spark, sf):
-    return reports.ip_day_total(_mart(Inputs.get(spark, sf), "ip_day"), exact=True)
-
-
-def _top3_query(kind: str, measure: str) -> Query:
+def _report_query(name: str) -> Query:
     def run(spark, sf):
-        inp = Inputs.get(spark, sf)
-        by_col = reports.rollup_by(_mart(inp, kind), inp.dims.columns, "column",
-                                   measure, measure)
-        return reports.top_n(by_col, "timeid", measure, 3, ["columnName"])
+        inp = Inputs(spark, sf)
+        return jobs.mart_reports(spark, _marts_root(spark, inp), inp.dims)[name]
     return run
 
 
-QUERIES["top3_columns_pv_day"] = _top3_query("pv_day", "pv")
-QUERIES["top3_columns_pv_hour"] = _top3_query("pv_hour", "pv")
-QUERIES["top3_columns_uv_day"] = _top3_query("uv_day", "uv")
+REPORTS = [f"{mart}_by_{dim}" for dim in ("device", "column", "referer", "district")
+           for mart in ("pv_day", "pv_hour", "uv_day", "ip_day")]
+REPORTS += ["ip_day_total", "ip_day_total_exact", "top3_columns_pv_day", "top3_columns_pv_hour",
+            "top3_columns_uv_day"]
+for _name in REPORTS:
+    QUERIES[_name] = _report_query(_name)
 
 
 # --- orders, payments and the bus -----------------------------------------------
 
 def _bus(inp: Inputs) -> DataFrame:
-    return derived.bus_records(inp.events)
+    return inp.bus
 
 
 @query("order_record_parse")
 def order_record_parse_q(spark, sf):
-    return orders.order_record_parse(orders.route_topics(_bus(Inputs.get(spark, sf)),
+    return orders.order_record_parse(orders.route_topics(_bus(Inputs(spark, sf)),
                                                          orders.ORDER_TOPICS))
 
 
 @query("payment_record_parse")
 def payment_record_parse_q(spark, sf):
-    return orders.payment_record_parse(orders.route_topics(_bus(Inputs.get(spark, sf)),
+    return orders.payment_record_parse(orders.route_topics(_bus(Inputs(spark, sf)),
                                                            orders.PAYMENT_TOPICS))
 
 
 @query("delivery_record_parse")
 def delivery_record_parse_q(spark, sf):
-    inp = Inputs.get(spark, sf)
+    inp = Inputs(spark, sf)
     return orders.delivery_record_parse(derived.delivery_records(inp.table("customer")))
 
 
 @query("order_topic_route")
 def order_topic_route_q(spark, sf):
-    bus = _bus(Inputs.get(spark, sf))
+    bus = _bus(Inputs(spark, sf))
     o = orders.route_topics(bus, orders.ORDER_TOPICS).withColumn("stream", F.lit("order"))
     p = orders.route_topics(bus, orders.PAYMENT_TOPICS).withColumn("stream", F.lit("payment"))
     return o.unionByName(p).select("stream", "topic", "partition", "offset", "key")
@@ -356,32 +338,32 @@ def order_topic_route_q(spark, sf):
 
 @query("orders_payments_full_outer")
 def orders_payments_full_outer_q(spark, sf):
-    bus = _bus(Inputs.get(spark, sf))
+    bus = _bus(Inputs(spark, sf))
     j = orders.orders_payments_full_outer(orders.orders_from_bus(bus),
                                           orders.payments_from_bus(bus))
     return j.select("orderid", "userid", "ordertime", "payment", "paymenttime")
 
 
-def _status(spark, sf, pay_within=orders.REMIND_AFTER) -> DataFrame:
-    bus = _bus(Inputs.get(spark, sf))
-    return orders.order_payment_status(orders.orders_from_bus(bus),
-                                       orders.payments_from_bus(bus), derived.AS_OF,
-                                       pay_within=pay_within)
+def _status(inp: Inputs, bus: DataFrame | None = None, as_of: str | None = None,
+            pay_within=orders.REMIND_AFTER) -> DataFrame:
+    bus = inp.bus if bus is None else bus
+    return orders.order_payment_status(orders.orders_from_bus(bus), orders.payments_from_bus(bus),
+                                       as_of or inp.status_time, pay_within=pay_within)
 
 
 @query("order_payment_status")
 def order_payment_status_q(spark, sf):
-    return _status(spark, sf)
+    return _status(Inputs(spark, sf))
 
 
 @query("order_payment_status_any_payment")
 def order_payment_status_any_payment_q(spark, sf):
-    return _status(spark, sf, pay_within=None)
+    return _status(Inputs(spark, sf), pay_within=None)
 
 
 @query("carry_forward")
 def carry_forward_q(spark, sf):
-    return orders.carry_forward(_status(spark, sf))
+    return orders.carry_forward(_status(Inputs(spark, sf)))
 
 
 @query("order_amounts")
@@ -392,7 +374,7 @@ def order_amounts_q(spark, sf):
 @query("time_interval_seconds")
 def time_interval_seconds_q(spark, sf):
     """Order-to-payment latency in seconds."""
-    bus = _bus(Inputs.get(spark, sf))
+    bus = _bus(Inputs(spark, sf))
     o = orders.orders_from_bus(bus).select("orderid", "ordertime")
     p = orders.payments_from_bus(bus).select("orderid", "paymenttime")
     return o.join(p, "orderid").select(
@@ -401,128 +383,118 @@ def time_interval_seconds_q(spark, sf):
         .alias("seconds"))
 
 
-def _landed_bus(spark, inp: Inputs, with_sentinel: bool) -> str:
-    """Land the derived bus once per application (a read-only stream source;
-    every stream run gets its own sink and checkpoint)."""
-    key = f"bus_sentinel={with_sentinel}"
-    if key not in inp.landed:
-        folder = work_dir(spark, "landing", "bus", unique=True)
-        bus_stream.land_bus(_bus(inp), folder)
-        if with_sentinel:
-            bus_stream.land_bus(derived.bus_sentinel(spark), folder)
-        inp.landed[key] = folder
-    return inp.landed[key]
-
-
-def _landed_topic_groups(spark, inp: Inputs) -> dict[str, str]:
-    """Order topics and payment topics landed apart, each with its half of
-    the watermark sentinel; once per application."""
-    if "topic_groups" not in inp.landed:
-        bus, sentinel = _bus(inp), derived.bus_sentinel(spark)
-        out = {}
-        for name, topics in (("orders", orders.ORDER_TOPICS), ("payments", orders.PAYMENT_TOPICS)):
-            folder = work_dir(spark, "landing", f"bus_{name}", unique=True)
-            bus_stream.land_bus(orders.route_topics(bus, topics), folder)
-            bus_stream.land_bus(orders.route_topics(sentinel, topics), folder)
-            out[name] = folder
-        inp.landed["topic_groups"] = out
-    return inp.landed["topic_groups"]
+def _slices(inp: Inputs) -> list[DataFrame]:
+    """The bus in slices of equal time, as it would arrive."""
+    n = derived.slice_number(inp.bus)
+    sliced = inp.bus.withColumn("_slice", n)
+    return [sliced.where(F.col("_slice") == k).drop("_slice") for k in range(derived.BUS_SLICES)]
 
 
 @query("order_stream_source")
 def order_stream_source_q(spark, sf):
-    """Bus rows read back through a streaming file source."""
-    inp = Inputs.get(spark, sf)
-    folder = _landed_bus(spark, inp, with_sentinel=False)
-    stream = bus_stream.file_bus_stream(spark, folder)
+    """Bus rows read back through a streaming file source, in bounded batches."""
+    folder = work_dir(spark, "landing", "bus", unique=True)
+    bus_stream.land_bus(Inputs(spark, sf).bus, folder)
+    stream = bus_stream.file_bus_stream(spark, folder, max_files_per_trigger=64)
     return bus_stream.run_to_completion(spark, stream, "bus_source")
 
 
-@query("unpaid_orders_stream")
-def unpaid_orders_stream_q(spark, sf):
-    """Reminders from the streaming stream-stream outer join; orders and
-    payments land as two topic groups read by two sources (as two Kafka
-    subscriptions would be), so each record is read once per batch."""
-    inp = Inputs.get(spark, sf)
-    folders = _landed_topic_groups(spark, inp)
-    stream = unpaid.unpaid_orders_stream(
-        bus_stream.file_bus_stream(spark, folders["orders"]),
-        payments_bus=bus_stream.file_bus_stream(spark, folders["payments"]))
-    return bus_stream.run_to_completion(spark, stream, "unpaid")
+def _reminders(spark, sf, trigger: dict) -> str:
+    """Run the reminder stream over the bus slices; the folder of its verdicts."""
+    root = work_dir(spark, "streams", "reminders", "verdicts", unique=True)
+    bus_stream.run_in_slices(
+        spark, _slices(Inputs(spark, sf)), "reminders",
+        lambda stream, checkpoint: unpaid.start_unpaid_reminders(
+            stream, root, checkpoint, trigger=trigger, clock=unpaid.bus_clock))
+    return root
 
 
-@query("stream_batch_offsets")
-def stream_batch_offsets_q(spark, sf):
-    """Per-micro-batch consumed ranges, written by a foreachBatch sink."""
-    inp = Inputs.get(spark, sf)
-    folder = _landed_bus(spark, inp, with_sentinel=False)
-    stream = bus_stream.file_bus_stream(spark, folder)
-    out = bus_stream.run_to_completion(
-        spark, stream, "bus_offsets",
-        foreach_batch=lambda df, epoch, path: stream_offsets.offset_history_append(df, epoch, path))
-    return out
-
-
-@query("pending_sink")
-def pending_sink_q(spark, sf):
-    """Carried-forward records re-published to the bus (file twin of the
-    order2 / pay2 topics) and read back from it."""
-    folder = work_dir(spark, "landing", "carried", unique=True)
-    bus_stream.land_bus(orders.carry_forward(_status(spark, sf)), folder)
-    return spark.read.schema("topic string, key string, value string").parquet(folder)
-
-
-@query("batch_record_count")
-def batch_record_count_q(spark, sf):
-    """Records per micro-batch (empty batches are skipped by the sink)."""
-    per_partition = stream_batch_offsets_q(spark, sf)
-    return per_partition.groupBy("batch_id").agg(F.sum("records").alias("records"))
+@query("unpaid_orders_stream")
+def unpaid_orders_stream_q(spark, sf):
+    """Reminders of the stream over four batches, by the clock of the bus."""
+    root = _reminders(spark, sf, {"availableNow": True})
+    return unpaid.verdicts(spark, root).select("orderid", "userid", "ordertime")
 
 
 @query("micro_batch_trigger")
 def micro_batch_trigger_q(spark, sf):
-    """The reminder query on its production trigger (5-second micro-batches),
-    run until the landed input is consumed, then stopped."""
-    inp = Inputs.get(spark, sf)
-    folders = _landed_topic_groups(spark, inp)
-    sink = work_dir(spark, "streams", "reminders", "out", unique=True)
-    ckpt = work_dir(spark, "streams", "reminders", "checkpoint", unique=True)
-    q = unpaid.start_unpaid_reminders(
-        bus_stream.file_bus_stream(spark, folders["orders"]), sink, ckpt, trigger="5 seconds",
-        payments_bus=bus_stream.file_bus_stream(spark, folders["payments"]))
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.read.schema("orderid string, userid string, ordertime string").parquet(sink)
+    """What each micro-batch of the production trigger (5 seconds) decided."""
+    root = _reminders(spark, sf, {"processingTime": "5 seconds"})
+    return (spark.read.schema(unpaid.STATE).parquet(root)
+            .groupBy("batch", "verdict").agg(F.count(F.lit(1)).alias("records")))
 
 
-# --- offsets ----------------------------------------------------------------------
+def _consumed(spark, inp: Inputs, batches: int = derived.BUS_SLICES) -> DataFrame:
+    """Offset history of a consumer that has read the first slices."""
+    path = work_dir(spark, "tables", "offset_history", unique=True)
+
+    def start(stream, checkpoint):
+        return (stream.writeStream.option("checkpointLocation", checkpoint)
+                .foreachBatch(lambda df, epoch: stream_offsets.offset_history_append(
+                    df, epoch, path, group="reminders"))
+                .trigger(availableNow=True).start())
+    bus_stream.run_in_slices(spark, _slices(inp)[:batches], "offsets", start)
+    return stream_offsets.read_history(spark, path)
 
-def _history(spark, sf) -> DataFrame:
-    return offsets.offset_history(_bus(Inputs.get(spark, sf)))
+
+@query("stream_batch_offsets")
+def stream_batch_offsets_q(spark, sf):
+    """Per-micro-batch consumed ranges, written by a foreachBatch sink."""
+    return _consumed(spark, Inputs(spark, sf)).select(
+        "batch_id", "topic", "partition", "from_offset", "until_offset", "records")
 
 
 @query("offset_history_append")
 def offset_history_append_q(spark, sf):
-    return offsets.offset_history_rows(_history(spark, sf))
+    """The saved history of a consumer group, read back after the stream."""
+    return _consumed(spark, Inputs(spark, sf)).select(
+        "group", "topic", "partition", "batch_id", "batch_time", "until_offset")
 
 
 @query("batch_offset_report")
 def batch_offset_report_q(spark, sf):
-    return _history(spark, sf)
+    """One line per batch and topic: partitions read, offsets passed, records."""
+    return _consumed(spark, Inputs(spark, sf)).groupBy("batch_id", "topic").agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("records").alias("records"),
+        F.sum(F.col("until_offset") - F.col("from_offset")).alias("offsets"))
+
 
+@query("batch_record_count")
+def batch_record_count_q(spark, sf):
+    """Records per micro-batch; a replayed batch counts once."""
+    return _consumed(spark, Inputs(spark, sf)).groupBy("batch_id").agg(
+        F.sum("records").alias("records"))
+
+
+@query("pending_sink")
+def pending_sink_q(spark, sf):
+    """Status of a second round: what the first carried forward (published to
+    ``order2`` / ``pay2``) and the records since are read back and judged."""
+    inp = Inputs(spark, sf)
+    folder = work_dir(spark, "landing", "carried", unique=True)
+    seen = F.col("timestamp") <= F.lit(inp.status_time).cast("timestamp_ntz")
+    first = _status(inp, inp.bus.where(seen))
+    bus_stream.land_bus(orders.carry_forward(first), folder)
+    carried = spark.read.schema("topic string, key string, value string").parquet(folder)
+    later = inp.bus.where(~seen).select("topic", "key", "value")
+    return _status(inp, carried.unionByName(later), "9999-01-01 00:00:00")
+
+
+# --- offsets ----------------------------------------------------------------------
 
 @query("offset_latest_lookup")
 def offset_latest_lookup_q(spark, sf):
-    return offsets.offset_latest_lookup(_history(spark, sf), derived.CONSUMER_STOP)
+    """Saved positions of a consumer that stopped after half the slices."""
+    inp = Inputs(spark, sf)
+    return offsets.offset_latest_lookup(_consumed(spark, inp, derived.BUS_SLICES // 2), "reminders")
 
 
 @query("starting_offsets_resolve")
 def starting_offsets_resolve_q(spark, sf):
-    bus = _bus(Inputs.get(spark, sf))
-    stored = offsets.offset_latest_lookup(offsets.offset_history(bus), derived.CONSUMER_STOP)
-    bounds = offsets.partition_bounds(bus, {derived.ORDER_TOPIC: derived.ORDER_RETAINED_FROM})
+    """Where that consumer goes on when old order records have been deleted."""
+    inp = Inputs(spark, sf)
+    stored = offsets.offset_latest_lookup(_consumed(spark, inp, derived.BUS_SLICES // 2), "reminders")
+    bounds = offsets.partition_bounds(inp.bus, {orders.ORDER_TOPICS[0]: inp.status_time})
     return offsets.starting_offsets_resolve(stored, bounds, "clamp")
 
 

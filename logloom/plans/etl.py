@@ -10,6 +10,8 @@ chains and make a rerun after executor loss idempotent.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,16 +49,14 @@ def write_partitioned_overwrite(df: DataFrame, path: str,
                                 max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite).
 
-    No shuffle before the write: hashing on (year, month, day) would send a
-    whole day -- a third of the data on a hot day -- to one task.  Each task
-    instead sorts its own rows by the partition columns (the writer does
-    this) and writes one file sequence per partition it holds; time-ordered
-    logs give each task one or two days.  ``maxRecordsPerFile`` bounds file
+    The rows are rebalanced on the partition columns first: AQE merges small
+    partitions, so a quiet day is one file, and splits a hot day over several
+    tasks, so no day passes through one.  ``maxRecordsPerFile`` bounds file
     size.  Dynamic overwrite commits per partition, so a job retried after
     executor loss leaves the same result and untouched partitions survive.
     """
     partition_cols = partition_cols or YMD
-    (df.write.mode("overwrite")
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*partition_cols)
@@ -68,20 +68,17 @@ def insert_overwrite_table(df: DataFrame, table: str) -> None:
     table: columns by position, partition columns last, and only the
     partitions present in ``df`` replaced (dynamic overwrite).
 
-    ``insertInto`` ignores the writer-level overwrite-mode option, so the
-    session setting is switched to dynamic for the insert and restored.
+    Dynamic mode is a session setting for such inserts; it is set in a
+    session of its own, so a concurrent insert of the caller's keeps its mode.
     """
-    conf = df.sparkSession.conf
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = conf.get(key, None)
-    conf.set(key, "dynamic")
+    own = df.sparkSession.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    view = f"insert_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
     try:
-        df.write.insertInto(table, overwrite=True)
+        own.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM global_temp.{view}")
     finally:
-        if previous is None:
-            conf.unset(key)
-        else:
-            conf.set(key, previous)
+        own.catalog.dropGlobalTempView(view)
 
 
 def write_table_overwrite(df: DataFrame, path: str) -> None:
@@ -95,7 +92,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 20, order_cols: list[str] | None = None) -> DataFrame:
-    """First ``n`` rows in a total order (all columns by default), so the
-    preview is the same on every run; a top-n sort, not a full sort."""
-    cols = order_cols or df.columns
-    return df.orderBy(*cols).limit(n)
+    """First ``n`` rows: any (reading stops early), or with ``order_cols`` the
+    first in that order, so the preview is the same on every run (a top-n
+    sort, not a full sort)."""
+    return (df.orderBy(*order_cols) if order_cols else df).limit(n)

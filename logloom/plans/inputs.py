@@ -1,60 +1,49 @@
 """Lazily built inputs of one scale-factor folder.
 
-Every attribute is a DataFrame plan over the warehouse tables; nothing runs
-until an action does.  Building ``Inputs`` twice costs nothing.
+Every attribute is a DataFrame plan over the warehouse tables; nothing is
+kept beyond one ``Inputs``, so a rewritten folder is seen by the next query.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.functions.parse import access_log_parse
 from logloom.operators.enrich import enrich_loginfo2
-from logloom.operators.geo import prepare_ip_lookup
+from logloom.operators.geo import bucketed_ranges
 from logloom.operators.star import star_join_ip, star_join_pv, star_join_uv
 from logloom.plans import etl
-from logloom.session import rebalance_if_underpartitioned, table_path
+from logloom.session import table_path
 from logloom.sources import derived
 from logloom.sources.text import ip_ranges_from_lines
 
-
-# prepared IP lookups, one per (application, folder): the range table is
-# tiny and reused by every query of a run
-_IP_LOOKUPS: dict[tuple[str, str], DataFrame] = {}
-# size-checked dimensions, one per (application, folder)
-_DIMS: dict[tuple[str, str], derived.Dimensions] = {}
-
-
-_INPUTS: dict[tuple[str, str], "Inputs"] = {}
+TABLES = ["events", "nation", "region"]
 
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.landed: dict[str, str] = {}
-
-    @classmethod
-    def get(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
-        """One ``Inputs`` per (application, folder).
-
-        DataFrames are immutable plans, so the plans of the shared stages
-        are built (and analysed) once and reused by every query of the
-        application; no data is cached by this.
-        """
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in _INPUTS:
-            _INPUTS[key] = cls(spark, sf_dir)
-        return _INPUTS[key]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(table_path(self.sf_dir, name))
 
+    def fingerprint(self) -> str:
+        """Digest of the names, sizes and times of the input files (listed,
+        not read): a stage table written from them is theirs alone."""
+        files = []
+        for name in TABLES:
+            listed = self.spark.read.format("binaryFile").load(table_path(self.sf_dir, name))
+            files += [tuple(map(str, r)) for r in
+                      listed.select("path", "modificationTime", "length").collect()]
+        return hashlib.sha256(repr(sorted(files)).encode()).hexdigest()[:16]
+
     @cached_property
     def events(self) -> DataFrame:
-        return rebalance_if_underpartitioned(self.table("events"))
+        return self.table("events")
 
     @cached_property
     def nation(self) -> DataFrame:
@@ -78,10 +67,7 @@ class Inputs:
 
     @cached_property
     def ip_lookup(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _IP_LOOKUPS:
-            _IP_LOOKUPS[key] = prepare_ip_lookup(self.ranges)
-        return _IP_LOOKUPS[key]
+        return bucketed_ranges(self.ranges)
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -97,10 +83,7 @@ class Inputs:
 
     @cached_property
     def dims(self) -> derived.Dimensions:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _DIMS:
-            _DIMS[key] = derived.checked_dimensions(derived.dimensions(self.spark, self.nation))
-        return _DIMS[key]
+        return derived.dimensions(self.spark, self.nation, self.events)
 
     @cached_property
     def facts_pv(self) -> DataFrame:
@@ -113,3 +96,15 @@ class Inputs:
     @cached_property
     def facts_uv(self) -> DataFrame:
         return star_join_uv(self.loginfo2, self.dims, with_tiebreak=True)
+
+    @cached_property
+    def bus(self) -> DataFrame:
+        return derived.bus_records(self.table("orders"), self.table("lineitem"),
+                                   self.table("customer"))
+
+    @cached_property
+    def status_time(self) -> str:
+        """When the batch status is taken: some days before the last record."""
+        import datetime as dt
+        last = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=derived.bus_times(self.bus)[1])
+        return (last - dt.timedelta(days=derived.STATUS_DAYS_BEFORE_END)).isoformat(sep=" ")

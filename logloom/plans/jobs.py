@@ -7,10 +7,15 @@ writing its own; a written table is also where lineage is cut, so a failed
 later stage restarts from the last table instead of the raw log.
 
     python -m logloom.plans.jobs etl1  --log LOG --ranges RANGES --out DIR
-    python -m logloom.plans.jobs etl2  --loginfo DIR --out DIR
-    python -m logloom.plans.jobs marts --loginfo2 DIR --dims DIR --out DIR
+    python -m logloom.plans.jobs etl2  --loginfo DIR --out DIR [--from 20240101 --to 20240102]
+    python -m logloom.plans.jobs marts --loginfo2 DIR --dims DIR --out DIR [--from .. --to ..]
+    python -m logloom.plans.jobs reports --marts DIR --dims DIR --out DIR
+    python -m logloom.plans.jobs reminders --bootstrap HOST:PORT --out DIR --checkpoint DIR
     python -m logloom.plans.jobs calendar --start 2017-01-08 --days 2 --out DIR
 
+With ``--from``/``--to`` (days, inclusive) only the partitions of those days
+are read and rewritten; others stay.
+
 Dimension tables are Parquet folders under ``--dims``: ``calendar``,
 ``columns``, ``devices``, ``districts``, ``referers`` with the columns of
 :class:`logloom.sources.derived.Dimensions`.
@@ -29,8 +34,9 @@ from logloom.operators.dims import time_dimension
 from logloom.operators.enrich import enrich_loginfo2
 from logloom.operators.star import star_join_ip, star_join_pv, star_join_uv
 from logloom.plans import etl
-from logloom.sources.derived import Dimensions, checked_dimensions
+from logloom.sources.derived import Dimensions
 from logloom.sources.text import ip_ranges_load, log_text_scan
+from logloom.streaming import unpaid
 
 DIM_NAMES = ["calendar", "columns", "devices", "districts", "referers"]
 MART_NAMES = ["pv_day", "pv_hour", "uv_day", "ip_day"]
@@ -38,14 +44,27 @@ MART_NAMES = ["pv_day", "pv_hour", "uv_day", "ip_day"]
 
 def etl1(spark: SparkSession, log_path: str, ranges_path: str, out_path: str) -> None:
     """Raw access log + IP-range file -> ``loginfo`` (partitioned y/m/d)."""
-    lookup = geo.prepare_ip_lookup(ip_ranges_load(spark, ranges_path))
+    lookup = geo.bucketed_ranges(ip_ranges_load(spark, ranges_path))
     loginfo = etl.loginfo(log_text_scan(spark, log_path), lookup=lookup)
     etl.write_partitioned_overwrite(loginfo, out_path)
 
 
-def etl2(spark: SparkSession, loginfo_path: str, out_path: str) -> None:
+def _days(df: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Rows of the days ``first`` to ``last`` (``yyyyMMdd``): a predicate on
+    the partition columns, so other days' folders are not read."""
+    day = (F.col("year").cast("int") * 10000 + F.col("month").cast("int") * 100
+           + F.col("day").cast("int"))
+    if first:
+        df = df.where(day >= int(first))
+    if last:
+        df = df.where(day <= int(last))
+    return df
+
+
+def etl2(spark: SparkSession, loginfo_path: str, out_path: str, first: str | None = None,
+         last: str | None = None) -> None:
     """``loginfo`` -> ``loginfo2`` (partitioned by integer y/m/d)."""
-    loginfo = spark.read.schema(schemas.LOGINFO).parquet(loginfo_path)
+    loginfo = _days(spark.read.schema(schemas.LOGINFO).parquet(loginfo_path), first, last)
     etl.write_partitioned_overwrite(enrich_loginfo2(loginfo), out_path)
 
 
@@ -55,31 +74,45 @@ def write_dimensions(dims: Dimensions, out_root: str) -> None:
 
 
 def read_dimensions(spark: SparkSession, root: str) -> Dimensions:
-    return checked_dimensions(Dimensions(*(spark.read.parquet(f"{root}/{n}") for n in DIM_NAMES)))
+    return Dimensions(*(spark.read.parquet(f"{root}/{n}") for n in DIM_NAMES))
+
+
+def _write_mart(mart: DataFrame, path: str) -> None:
+    by_day = mart.withColumn("day", F.substring("timeid", 1, 8))
+    etl.write_partitioned_overwrite(by_day, path, ["day"])
+
+
+def read_mart(spark: SparkSession, marts_root: str, name: str) -> DataFrame:
+    return spark.read.schema(schemas.MARTS[name]).parquet(f"{marts_root}/{name}").drop("day")
 
 
-def build_marts(spark: SparkSession, loginfo2_path: str, dims: Dimensions,
-                out_root: str) -> None:
-    """``loginfo2`` + dimensions -> the four marts.
+def build_marts(spark: SparkSession, loginfo2: DataFrame, dims: Dimensions, out_root: str,
+                first: str | None = None, last: str | None = None) -> None:
+    """``loginfo2`` + dimensions -> the four marts, partitioned by day.
 
-    The hourly PV mart is computed from the facts and the daily one is
-    rolled up from it (counts are additive), so the star join runs once for
-    PV instead of twice.
+    The daily PV mart is rolled up from the written hourly one (counts are
+    additive), so the star join runs once for PV.  A day range limits the PV
+    and IP marts; whether a request starts a visit depends on the session's
+    earlier days, so the UV mart is built from all days and its days of the
+    range are rewritten.
     """
-    l2 = spark.read.schema(schemas.LOGINFO2).parquet(loginfo2_path)
-    etl.write_table_overwrite(marts.pv_mart(star_join_pv(l2, dims), "hour"), f"{out_root}/pv_hour")
-    pv_hour = spark.read.parquet(f"{out_root}/pv_hour")
-    day = (pv_hour.groupBy(F.substring("timeid", 1, 8).alias("timeid"), *marts.DIM_IDS)
-           .agg(F.sum("pv").alias("pv")))
-    etl.write_table_overwrite(day, f"{out_root}/pv_day")
-    etl.write_table_overwrite(marts.uv_mart(star_join_uv(l2, dims, with_tiebreak=True)),
-                              f"{out_root}/uv_day")
-    etl.write_table_overwrite(marts.ip_mart(star_join_ip(l2, dims)), f"{out_root}/ip_day")
+    some = _days(loginfo2, first, last)
+    _write_mart(marts.pv_mart(star_join_pv(some, dims), "hour"), f"{out_root}/pv_hour")
+    hour = spark.read.schema(schemas.MARTS["pv_hour"]).parquet(f"{out_root}/pv_hour")
+    uv = marts.uv_mart(star_join_uv(loginfo2, dims, with_tiebreak=True))
+    for bound, keep in ((first, lambda c, d: c >= d), (last, lambda c, d: c <= d)):
+        if bound:
+            hour = hour.where(keep(F.col("day"), F.lit(bound)))
+            uv = uv.where(keep(F.col("timeid"), F.lit(bound)))
+    _write_mart(hour.groupBy(F.substring("timeid", 1, 8).alias("timeid"), *marts.DIM_IDS)
+                .agg(F.sum("pv").alias("pv")), f"{out_root}/pv_day")
+    _write_mart(uv, f"{out_root}/uv_day")
+    _write_mart(marts.ip_mart(star_join_ip(some, dims)), f"{out_root}/ip_day")
 
 
 def mart_reports(spark: SparkSession, marts_root: str, dims: Dimensions) -> dict[str, DataFrame]:
     """Every roll-up and top-3 report over written marts (lazy DataFrames)."""
-    m = {n: spark.read.parquet(f"{marts_root}/{n}") for n in MART_NAMES}
+    m = {n: read_mart(spark, marts_root, n) for n in MART_NAMES}
     out: dict[str, DataFrame] = {}
     for dim in ("device", "column", "referer", "district"):
         d = reports.dimension_for(dims, dim)
@@ -88,6 +121,7 @@ def mart_reports(spark: SparkSession, marts_root: str, dims: Dimensions) -> dict
         out[f"uv_day_by_{dim}"] = reports.rollup_by(m["uv_day"], d, dim, "uv", "uv")
         out[f"ip_day_by_{dim}"] = reports.rollup_by(m["ip_day"], d, dim, None, "ips")
     out["ip_day_total"] = reports.ip_day_total(m["ip_day"])
+    out["ip_day_total_exact"] = reports.ip_day_total(m["ip_day"], exact=True)
     for mart, measure, key in (("pv_day", "pv", "top3_columns_pv_day"),
                                ("pv_hour", "pv", "top3_columns_pv_hour"),
                                ("uv_day", "uv", "top3_columns_uv_day")):
@@ -106,11 +140,22 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--out", required=True)
     b = sub.add_parser("etl2")
     b.add_argument("--loginfo", required=True)
-    b.add_argument("--out", required=True)
     c = sub.add_parser("marts")
     c.add_argument("--loginfo2", required=True)
-    c.add_argument("--dims", required=True)
-    c.add_argument("--out", required=True)
+    r = sub.add_parser("reports")
+    r.add_argument("--marts", required=True)
+    for p in (b, c, r):
+        p.add_argument("--out", required=True)
+    for p in (b, c):
+        p.add_argument("--from", dest="first")
+        p.add_argument("--to", dest="last")
+    for p in (c, r):
+        p.add_argument("--dims", required=True)
+    m = sub.add_parser("reminders")
+    m.add_argument("--bootstrap", required=True)
+    m.add_argument("--out", required=True)
+    m.add_argument("--checkpoint", required=True)
+    m.add_argument("--starting-offsets", default="earliest")
     d = sub.add_parser("calendar")
     d.add_argument("--start", required=True)
     d.add_argument("--days", type=int, required=True)
@@ -120,9 +165,16 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "etl1":
         etl1(spark, args.log, args.ranges, args.out)
     elif args.job == "etl2":
-        etl2(spark, args.loginfo, args.out)
+        etl2(spark, args.loginfo, args.out, args.first, args.last)
     elif args.job == "marts":
-        build_marts(spark, args.loginfo2, read_dimensions(spark, args.dims), args.out)
+        build_marts(spark, spark.read.schema(schemas.LOGINFO2).parquet(args.loginfo2),
+                    read_dimensions(spark, args.dims), args.out, args.first, args.last)
+    elif args.job == "reports":
+        for name, df in mart_reports(spark, args.marts, read_dimensions(spark, args.dims)).items():
+            df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    elif args.job == "reminders":
+        unpaid.start_unpaid_reminders_kafka(spark, args.bootstrap, args.out, args.checkpoint,
+                                            args.starting_offsets).awaitTermination()
     else:
         time_dimension(spark, args.start, args.days).write.mode("overwrite").parquet(args.out)
 

@@ -1,17 +1,44 @@
 """DuckDB oracle SQL for every query of the catalogue.
 
-Written independently of the Spark plans: straightforward SQL (regex
-extraction per group, ASOF join for the IP ranges, plain ``lag`` window for
-visits) over the same warehouse tables, rebuilding the derived inputs with
-the same rules as ``logloom.sources.derived``.  Output column names and
-types match the Spark queries.
+Written independently of the Spark plans and with literals of its own:
+straightforward SQL (regex extraction per group, containment join for the IP
+ranges, plain ``lag`` window for visits, per-order subqueries for payments)
+over the same warehouse tables, rebuilding the derived inputs with the same
+rules as ``logloom.sources.derived``.  Output column names and types match
+the Spark queries.
 """
 
 from __future__ import annotations
 
-from logloom.functions import columns as C
-from logloom.functions import parse as P
-from logloom.sources import derived as D
+# ---------------------------------------------------------------------------
+# Fixed values, stated here again so that the engine's own are checked.
+# ---------------------------------------------------------------------------
+ACCESS_LOG = r'(\S+) (.+) \[(.+)\] "(.*)" (\d+) (\d+) "(.*)" "(.*)"'
+ACCESS_LOG_FIELDS = ["ip", "sessionid", "datetime", "url", "status", "sentBytes", "referal",
+                     "userAgent"]
+WEBLOG_STRICT = r'(\S+) (\S+) \[(.+)\] "(\S+ \S+ \S+)" (\d+) (\d+) "(\S+)" "(.+)"'
+WEBLOG_FIELDS = ["ip", "sessionid", "time", "url", "status", "sentBytes", "referer", "userAgent"]
+COMBINED_LOG = r'(\S+) (.+) \[(.+)\] "(\S+) (\S+) (\S+)" (\d+) (\d+) "(\S+)" "(.+)"'
+COMBINED_FIELDS = ["ip", "identity", "datetime", "method", "target", "protocol", "status",
+                   "sentBytes", "referer", "userAgent"]
+AGENTS = [
+    "Mozilla/5.0 (Linux; Android 10; SM-G975F) AppleWebKit/537.36 (KHTML, like Gecko) Mobile Safari/537.36",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 13_5 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/83.0 Safari/537.36",
+    "DNSPod-Monitor/1.0",
+    "curl/7.68.0",
+]
+PC, MOBILE, MONITOR, UNKNOWN = "PC端", "移动端", "域名监控", "unknown"
+MOBILE_WORDS = ["android", "windows phone", "iphone", "ipad", "ipod"]
+PC_WORD, MONITOR_WORD = "windows nt", "DNSPod-Monitor/1.0"
+STATIC = ["css", "png", "jpg", "js", "ico", "gif"]
+COLUMNS = [(1, "view", "View"), (2, "click", "Click"), (3, "purchase", "Purchase"),
+           (4, "signup", "Signup"), (5, "signup", "Register")]
+DEVICES = [(1, PC), (2, MOBILE), (3, MONITOR), (4, UNKNOWN)]
+REFERERS = [(1, "host1.example.com", "host1"), (2, "host2.example.com", "host2"),
+            (3, "host3.example.com", "host3")]
+DICTIONARY = [(AGENTS[0], MOBILE), (AGENTS[1], PC), (AGENTS[2], PC), (AGENTS[4], MONITOR)]
+# ---------------------------------------------------------------------------
 
 
 def _q(s: str) -> str:
@@ -39,18 +66,18 @@ _STATUS = "CASE event_id % 10 WHEN 8 THEN '404' WHEN 9 THEN '500' ELSE '200' END
 _BYTES = f"CASE WHEN event_id % 31 = 0 THEN '-' ELSE {_v('event_id % 5000')} END"
 _REFERER = (f"CASE WHEN event_id % 4 = 0 THEN '-' ELSE 'http://host' || {_v('event_id % 4')}"
             " || '.example.com/x' END")
-_AGENT = ("CASE user_id % 5 " + " ".join(f"WHEN {i} THEN {_q(a)}" for i, a in enumerate(D.AGENTS))
+_AGENT = ("CASE user_id % 5 " + " ".join(f"WHEN {i} THEN {_q(a)}" for i, a in enumerate(AGENTS))
           + " END")
 _IP = f"{_v('(user_id * 7) % 256')} || '.' || {_v('event_id % 256')} || '.0.1'"
 
 
 def _device_sql(agent: str) -> str:
     low = f"lower({agent})"
-    mobile = " OR ".join(f"contains({low}, {_q(k)})" for k in C.MOBILE_AGENT_KEYWORDS)
-    return (f"CASE WHEN {mobile} THEN {_q(C.DEVICE_MOBILE)} "
-            f"WHEN contains({low}, {_q(C.PC_AGENT_KEYWORD)}) THEN {_q(C.DEVICE_PC)} "
-            f"WHEN contains({low}, {_q(C.MONITOR_AGENT_KEYWORD)}) THEN {_q(C.DEVICE_MONITOR)} "
-            f"ELSE {_q(C.DEVICE_UNKNOWN)} END")
+    mobile = " OR ".join(f"contains({low}, {_q(k)})" for k in MOBILE_WORDS)
+    return (f"CASE WHEN {mobile} THEN {_q(MOBILE)} "
+            f"WHEN contains({low}, {_q(PC_WORD)}) THEN {_q(PC)} "
+            f"WHEN contains({low}, {_q(MONITOR_WORD)}) THEN {_q(MONITOR)} "
+            f"ELSE {_q(UNKNOWN)} END")
 
 
 def _column_sql(url: str) -> str:
@@ -79,7 +106,7 @@ def _values(rows, names) -> str:
     return f"SELECT * FROM (VALUES {vals}) AS t({', '.join(names)})"
 
 
-_STATIC = "|".join(C.STATIC_RESOURCE_EXTENSIONS)
+_STATIC = "|".join(STATIC)
 
 CTES: list[tuple[str, str]] = [
     ("lines", f"""
@@ -94,8 +121,8 @@ SELECT {_IP} || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0800] "' ||
   || '"' AS value
 FROM events"""),
     ("parsed0", f"""
-SELECT {_groups_sql('value', P.ACCESS_LOG_PATTERN, P.ACCESS_LOG_FIELDS)}
-FROM lines WHERE regexp_full_match(value, {_q(P.ACCESS_LOG_PATTERN)})"""),
+SELECT {_groups_sql('value', ACCESS_LOG, ACCESS_LOG_FIELDS)}
+FROM lines WHERE regexp_full_match(value, {_q(ACCESS_LOG)})"""),
     ("parsed", f"""
 SELECT *, {_daystr_sql('datetime')} AS daystr,
        substr(replace(datetime, '-', ''), 1, 8) AS yearmonthday
@@ -105,26 +132,28 @@ SELECT '  ' || CAST(n_nationkey * 10 AS VARCHAR) || '.0.0.0' || chr(9)
        || CAST(n_nationkey * 10 + 7 AS VARCHAR) || '.255.255.255   ' || n_name || ' ' AS value
 FROM nation
 UNION ALL
-SELECT r_name || ' ' || CAST(r_regionkey AS VARCHAR) FROM region"""),
+SELECT unnest([r_name || ' ' || r, r || '0.64.0.0 ' || r || '0.127.255.255 ' || name,
+               r || '99999.0.0.0 ' || r || '99999.0.0.9 ' || name,
+               r || '5.9.0.0 ' || r || '5.1.0.0 ' || name])
+FROM (SELECT r_name, CAST(r_regionkey AS VARCHAR) AS r, replace(r_name, ' ', '_') AS name FROM region)"""),
     ("range_fields", """
 SELECT string_split_regex(regexp_replace(value, '^\\s+|\\s+$', '', 'g'), '\\s+') AS f
 FROM range_lines"""),
     ("ranges", f"""
 SELECT * FROM (
   SELECT {_ip2long('f[1]')} AS start_ip, {_ip2long('f[2]')} AS end_ip, f[3] AS district
-  FROM range_fields WHERE len(f) = 3)
-WHERE start_ip IS NOT NULL AND end_ip IS NOT NULL"""),
-    ("ranges_asof", """
-SELECT start_ip, end_ip, district FROM (
-  SELECT *, row_number() OVER (PARTITION BY start_ip ORDER BY end_ip DESC, district DESC) AS rn
-  FROM ranges) WHERE rn = 1"""),
+  FROM range_fields WHERE len(f) = 3
+    AND list_max(list_transform(string_split(f[1] || '.' || f[2], '.'), lambda x: TRY_CAST(x AS INTEGER))) <= 255)
+WHERE start_ip <= end_ip"""),
+    ("ip_district", f"""
+SELECT ip, coalesce(arg_max(district, start_ip), 'unknown') AS district
+FROM (SELECT DISTINCT ip, {_ip2long('ip')} AS ipl FROM parsed)
+LEFT JOIN ranges ON start_ip <= ipl AND ipl <= end_ip GROUP BY ip"""),
     ("kept", f"""
 SELECT *, {_ip2long('ip')} AS ipl FROM parsed
 WHERE NOT regexp_matches(status, '^[45]\\d{{2}}$')
   AND NOT regexp_matches(url, '\\.({_STATIC})')"""),
-    ("located", """
-SELECT k.*, CASE WHEN k.ipl <= r.end_ip THEN r.district ELSE 'unknown' END AS district
-FROM kept k ASOF LEFT JOIN ranges_asof r ON k.ipl >= r.start_ip"""),
+    ("located", "SELECT k.*, d.district FROM kept k JOIN ip_district d ON k.ip = d.ip"),
     ("loginfo", """
 SELECT ip, district, sessionid, datetime, daystr, url, status, sentBytes, referal, userAgent,
        substr(yearmonthday, 1, 4) AS year, substr(yearmonthday, 5, 2) AS month,
@@ -139,15 +168,13 @@ SELECT ip, district, sessionid, datetime, daystr,
        TRY_CAST(substr(daystr, 5, 2) AS INTEGER) AS month,
        TRY_CAST(substr(daystr, 7, 2) AS INTEGER) AS day
 FROM loginfo"""),
-    ("calendar", f"""
-SELECT strftime(range, '%Y%m%d%H%M') AS timeid, strftime(range, '%Y') AS year,
-       strftime(range, '%m') AS month, strftime(range, '%d') AS day,
-       strftime(range, '%H') AS hour, strftime(range, '%M') AS minute
-FROM range(TIMESTAMP '{D.CALENDAR_START}',
-           TIMESTAMP '{D.CALENDAR_START}' + INTERVAL {D.CALENDAR_DAYS} DAY, INTERVAL 1 MINUTE)"""),
-    ("columninfo", _values(D.COLUMN_ROWS, ["columnid", "keyword", "columnName"])),
-    ("devicetypeinfo", _values(D.DEVICE_ROWS, ["devicetypeid", "deviceTypeName"])),
-    ("refererhostinfo", _values(D.REFERER_ROWS, ["refererHostId", "url", "host"])),
+    ("calendar", """
+SELECT DISTINCT strftime(ts, '%Y%m%d') || lpad(CAST(m // 60 AS VARCHAR), 2, '0')
+       || lpad(CAST(m % 60 AS VARCHAR), 2, '0') AS timeid
+FROM events, range(1440) AS r(m)"""),
+    ("columninfo", _values(COLUMNS, ["columnid", "keyword", "columnName"])),
+    ("devicetypeinfo", _values(DEVICES, ["devicetypeid", "deviceTypeName"])),
+    ("refererhostinfo", _values(REFERERS, ["refererHostId", "url", "host"])),
     ("districtinfo", "SELECT n_nationkey AS districtid, n_name AS districtName FROM nation"),
     ("facts", """
 SELECT cal.timeid, dis.districtid, ref.refererHostId AS refererhostid, dev.devicetypeid,
@@ -188,10 +215,7 @@ FROM visit_starts GROUP BY 1, 2, 3, 4, 5, 6"""),
 SELECT DISTINCT substr(timeid, 1, 8) AS timeid, ip, districtid, refererhostid, devicetypeid,
        columnid
 FROM facts"""),
-    ("agent_dict", f"""
-SELECT userAgent, deviceType FROM (
-  SELECT DISTINCT userAgent, {_device_sql('userAgent')} AS deviceType FROM parsed)
-WHERE deviceType <> {_q(C.DEVICE_UNKNOWN)}"""),
+    ("agent_dict", _values(DICTIONARY, ["userAgent", "deviceType"])),
 ]
 
 
@@ -202,71 +226,136 @@ def _cents(c: str) -> str:
 _OT = [_q(t) for t in ("produceOrderInfo", "order2")]
 _PT = [_q(t) for t in ("producerOrderids", "pay2")]
 
+def _orders_of(bus: str) -> str:
+    return f"""
+SELECT s[2] AS orderid, s[1] AS userid, s[4] AS ordertime,
+       try_strptime(s[4], '%Y-%m-%d %H:%M:%S') AS order_ts
+FROM (SELECT string_split(value, ',') AS s FROM {bus} WHERE topic IN ({', '.join(_OT)}))"""
+
+
+def _payments_of(bus: str) -> str:
+    return f"""
+SELECT s[1] AS orderid, s[2] AS payment, s[3] AS paymenttime,
+       try_strptime(s[3], '%Y-%m-%d %H:%M:%S') AS pay_ts
+FROM (SELECT string_split(value, ',') AS s FROM {bus} WHERE topic IN ({', '.join(_PT)}))"""
+
+
+def _status_of(orders: str, payments: str, at: str, any_payment: bool = False) -> str:
+    """Order and payment rows side by side, ranked per order; one row each."""
+    window = "true" if any_payment else (
+        "coalesce(pay_ts BETWEEN order_ts - INTERVAL 10 MINUTE AND order_ts + INTERVAL 5 MINUTE, false)")
+    return f"""
+SELECT orderid, userid, ordertime, payment, paymenttime,
+  CASE WHEN NOT has_order THEN 'orphan' WHEN settled THEN 'paid' WHEN order_ts IS NULL THEN 'untimed'
+       WHEN timed THEN 'paid_late' WHEN has_payment THEN 'paid_untimed'
+       WHEN order_ts + INTERVAL 5 MINUTE < {at} THEN 'remind' ELSE 'pending' END AS status
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY orderid ORDER BY fits DESC, pay_ts NULLS LAST, payment,
+                               paymenttime) AS place,
+         bool_or(has_payment AND fits) OVER (PARTITION BY orderid) AS settled,
+         bool_or(pay_ts IS NOT NULL) OVER (PARTITION BY orderid) AS timed
+  FROM (
+    SELECT coalesce(o.orderid, p.orderid) AS orderid, userid, ordertime, order_ts, payment, paymenttime,
+           pay_ts, o.orderid IS NOT NULL AS has_order, p.orderid IS NOT NULL AS has_payment,
+           o.orderid IS NOT NULL AND {window} AS fits
+    FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY orderid
+                           ORDER BY order_ts NULLS LAST, userid, ordertime) AS n FROM {orders}
+            WHERE order_ts IS NULL OR order_ts <= {at}) WHERE n = 1) o
+    FULL OUTER JOIN (SELECT * FROM {payments} WHERE pay_ts IS NULL OR pay_ts <= {at}) p
+      ON o.orderid = p.orderid))
+WHERE place = 1"""
+
+
 CTES += [
-    ("orders_cents", """
-SELECT *, CASE WHEN goods < 4800 THEN 1000 WHEN goods < 9800 THEN 500 ELSE 0 END AS carr,
-       (goods * pct + 50) // 100 AS disc
-FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS goods,
-             CASE WHEN event_id % 100 < 80 THEN 0 WHEN event_id % 100 < 85 THEN 15
-                  WHEN event_id % 100 < 90 THEN 10 WHEN event_id % 100 < 95 THEN 5 ELSE 0 END
-             AS pct
-      FROM events WHERE event_type = 'purchase')"""),
+    ("placed", """
+SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS placed FROM orders"""),
     ("orders_rec", f"""
-SELECT CAST(event_id AS VARCHAR) AS orderid, event_id, ts AS event_ts,
-       concat_ws(',', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR),
-                 'addressId' || lpad(CAST(user_id % 10 + 1 AS VARCHAR), 2, '0'),
-                 strftime(ts, '%Y-%m-%d %H:%M:%S'), {_cents('goods')}, {_cents('carr')},
-                 {_cents('disc')}, {_cents('goods + carr - disc')}) AS value
-FROM orders_cents"""),
+SELECT CAST(o_orderkey AS VARCHAR) AS orderid, o_orderkey AS order_no, placed AS event_ts,
+       concat_ws(',', CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR),
+                 'nation' || coalesce(CAST(c_nationkey AS VARCHAR), '?'),
+                 CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey % 10 = 0 THEN 'n/a'
+                      ELSE strftime(placed, '%Y-%m-%d %H:%M:%S') END,
+                 {_cents('goods')}, '0.00', {_cents('off')}, {_cents('goods - off')}) AS value
+FROM (SELECT *, goods * coalesce(pct, 0) // 100 AS off
+      FROM (SELECT *, CAST(floor(o_totalprice / 40) AS BIGINT) AS goods FROM placed
+            WHERE o_orderstatus <> 'P')
+      LEFT JOIN (SELECT l_orderkey, CAST(max(round(l_discount * 100)) AS BIGINT) AS pct
+                 FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
+      LEFT JOIN customer ON o_custkey = c_custkey)"""),
     ("payments_src", """
-SELECT event_id, CAST(event_id AS VARCHAR) AS orderid, ts + to_minutes(event_id % 11 - 2) AS pay_ts,
-       ts AS event_ts
-FROM events WHERE event_type = 'purchase' AND event_id % 4 <> 0
-UNION ALL
-SELECT event_id, 'x' || CAST(event_id AS VARCHAR), ts, ts
-FROM events WHERE event_type = 'view' AND event_id % 50 = 0"""),
+SELECT l.*, placed, l_returnflag = 'N' AND l_linestatus = 'F' AS untimed,
+       placed + to_minutes(CAST(l_quantity AS INTEGER) - CASE l_returnflag WHEN 'A' THEN 20 ELSE 0 END) AS pay
+FROM lineitem l JOIN placed ON l_orderkey = o_orderkey WHERE l_returnflag IN ('A', 'N')"""),
     ("payments_rec", """
-SELECT orderid, event_id, event_ts,
-       concat_ws(',', orderid, 'card(' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') || ')',
-                 strftime(pay_ts, '%Y-%m-%d %H:%M:%S'), CAST(event_id % 20 + 1 AS VARCHAR),
-                 'type' || lpad(CAST(event_id % 10 + 1 AS VARCHAR), 2, '0')) AS value
+SELECT CAST(l_orderkey AS VARCHAR) AS orderid, l_orderkey AS order_no,
+       CASE WHEN untimed THEN placed ELSE pay END AS event_ts,
+       concat_ws(',', CAST(l_orderkey AS VARCHAR), 'supplier' || CAST(l_suppkey AS VARCHAR),
+                 CASE WHEN untimed THEN '' ELSE strftime(pay, '%Y-%m-%d %H:%M:%S') END,
+                 CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR),
+                 'line' || CAST(l_linenumber AS VARCHAR)) AS value
 FROM payments_src"""),
     ("bus", """
-SELECT 'produceOrderInfo' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
-       event_id // 4 AS "offset", event_ts AS "timestamp", orderid AS "key", value
-FROM orders_rec
+SELECT topic, CAST(order_no % 4 AS INTEGER) AS "partition", CAST(epoch(event_ts) AS BIGINT) AS "offset",
+       event_ts AS "timestamp", orderid AS "key", value
+FROM (SELECT 'produceOrderInfo' AS topic, * FROM orders_rec
+      UNION ALL SELECT 'producerOrderids', * FROM payments_rec)"""),
+    ("orders_b", _orders_of("bus")),
+    ("payments_b", _payments_of("bus")),
+    ("status_time", """
+SELECT CAST(max("timestamp") AS TIMESTAMP) - INTERVAL 30 DAY AS moment FROM bus"""),
+    ("status", _status_of("orders_b", "payments_b", "(SELECT moment FROM status_time)")),
+    ("carried", """
+SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
+FROM @status WHERE status = 'pending'
 UNION ALL
-SELECT 'producerOrderids', CAST(event_id % 4 AS INTEGER), event_id // 4, event_ts, orderid, value
-FROM payments_rec"""),
-    ("orders_b", f"""
+SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM @status
+WHERE status = 'orphan'""".replace("@status", "status")),
+    ("round1_bus", 'SELECT * FROM bus WHERE "timestamp" <= (SELECT moment FROM status_time)'),
+    ("round1_orders", _orders_of("round1_bus")),
+    ("round1_payments", _payments_of("round1_bus")),
+    ("round1", _status_of("round1_orders", "round1_payments", "(SELECT moment FROM status_time)")),
+    ("round2_bus", """
+SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
+FROM round1 WHERE status = 'pending'
+UNION ALL
+SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM round1
+WHERE status = 'orphan'
+UNION ALL
+SELECT topic, "key", value FROM bus WHERE "timestamp" > (SELECT moment FROM status_time)"""),
+    ("round2_orders", _orders_of("round2_bus")),
+    ("round2_payments", _payments_of("round2_bus")),
+    ("batches", """
+SELECT *, ("offset" - lo) * 4 // (hi - lo + 1) AS batch
+FROM bus, (SELECT min("offset") AS lo, max("offset") AS hi FROM bus)"""),
+    ("clocks", 'SELECT batch, max("timestamp") AS now FROM batches GROUP BY 1'),
+    ("batch_orders", """
 SELECT s[2] AS orderid, s[1] AS userid, s[4] AS ordertime,
-       try_strptime(s[4], '%Y-%m-%d %H:%M:%S') AS order_ts
-FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_OT)}))"""),
-    ("payments_b", f"""
-SELECT s[1] AS orderid, s[2] AS payment, s[3] AS paymenttime,
-       try_strptime(s[3], '%Y-%m-%d %H:%M:%S') AS pay_ts
-FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_PT)}))"""),
-    ("status", f"""
-SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime,
-  CASE WHEN o.orderid IS NULL THEN 'orphan'
-       WHEN p.orderid IS NOT NULL AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
-            AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE THEN 'paid'
-       WHEN p.orderid IS NOT NULL THEN 'paid_late'
-       WHEN o.order_ts + INTERVAL 5 MINUTE < TIMESTAMP '{D.AS_OF}' THEN 'remind'
-       ELSE 'pending' END AS status
-FROM (SELECT * FROM orders_b WHERE order_ts <= TIMESTAMP '{D.AS_OF}') o
-FULL OUTER JOIN (SELECT * FROM payments_b WHERE pay_ts <= TIMESTAMP '{D.AS_OF}') p
-  ON o.orderid = p.orderid"""),
+       try_strptime(s[4], '%Y-%m-%d %H:%M:%S') AS order_ts, batch
+FROM (SELECT string_split(value, ',') AS s, batch FROM batches WHERE topic = 'produceOrderInfo')"""),
+    ("batch_payments", """
+SELECT s[1] AS orderid, batch, coalesce(try_strptime(s[3], '%Y-%m-%d %H:%M:%S'), now) AS pay_ts
+FROM (SELECT string_split(value, ',') AS s, batch FROM batches WHERE topic = 'producerOrderids')
+JOIN clocks USING (batch)"""),
+    # a payment waits for its order a day by the clock
+    ("order_fates", """
+SELECT o.orderid, o.userid, o.ordertime, o.order_ts, o.batch,
+       (SELECT min(c.batch) FROM clocks c
+        WHERE c.batch >= o.batch AND o.order_ts + INTERVAL 5 MINUTE < c.now) AS due,
+       (SELECT min(greatest(p.batch, o.batch)) FROM batch_payments p JOIN clocks c
+          ON c.batch = greatest(p.batch, o.batch) - 1 OR (c.batch = 0 AND greatest(p.batch, o.batch) = 0)
+        WHERE p.orderid = o.orderid AND (p.batch >= o.batch OR p.pay_ts >= c.now - INTERVAL 1 DAY)) AS paid
+FROM batch_orders o"""),
+    ("stream_verdicts", """
+SELECT *, CASE WHEN order_ts IS NULL AND (paid IS NULL OR paid > batch) THEN 'rejected'
+               WHEN paid IS NOT NULL AND paid <= coalesce(due, paid) THEN 'paid'
+               WHEN due IS NOT NULL THEN 'remind' ELSE 'open' END AS verdict FROM order_fates"""),
     ("history", """
-SELECT topic, "partition", batch_time,
-       coalesce(lag(until_offset) OVER (PARTITION BY topic, "partition" ORDER BY batch_time),
-                first_offset) AS from_offset, until_offset
-FROM (SELECT topic, "partition", date_trunc('hour', "timestamp") AS batch_time,
-             min("offset") AS first_offset, max("offset") + 1 AS until_offset
-      FROM bus GROUP BY 1, 2, 3)"""),
-    ("stored_offsets", f"""
-SELECT topic, "partition", arg_max(until_offset, batch_time) AS "offset"
-FROM history WHERE batch_time <= TIMESTAMP '{D.CONSUMER_STOP}' GROUP BY 1, 2"""),
+SELECT topic, "partition", batch AS batch_id, max("timestamp") AS batch_time, min("offset") AS from_offset,
+       max("offset") + 1 AS until_offset, count(*) AS records
+FROM batches GROUP BY 1, 2, 3"""),
+    ("stored_offsets", """
+SELECT topic, "partition", arg_max(until_offset, batch_id) AS "offset"
+FROM history WHERE batch_id < 2 GROUP BY 1, 2"""),
 ]
 
 
@@ -298,7 +387,7 @@ def _top3(mart: str, measure: str) -> str:
 
 _LOGINFO_COLS = ("ip, district, sessionid, datetime, daystr, url, status, sentBytes, "
                  "referal, userAgent")
-_PARSED_COLS = ", ".join(P.ACCESS_LOG_FIELDS)
+_PARSED_COLS = ", ".join(ACCESS_LOG_FIELDS)
 
 BODIES: dict[str, str] = {
     "log_text_scan": "SELECT value FROM lines",
@@ -318,16 +407,16 @@ FROM parsed""",
     "weblog_parse_typed": f"""
 SELECT ip, sessionid, try_strptime(substr(time, 1, 19), '%Y-%m-%d %H:%M:%S') AS time, url, status,
        sentBytes, referer, userAgent
-FROM (SELECT {_groups_sql('value', P.WEBLOG_STRICT_PATTERN, P.WEBLOG_FIELDS)}
-      FROM lines WHERE regexp_full_match(value, {_q(P.WEBLOG_STRICT_PATTERN)}))""",
+FROM (SELECT {_groups_sql('value', WEBLOG_STRICT, WEBLOG_FIELDS)}
+      FROM lines WHERE regexp_full_match(value, {_q(WEBLOG_STRICT)}))""",
     "request_split_parse": f"""
-SELECT {', '.join(f"g.{n}" for n in P.COMBINED_LOG_FIELDS)}
-FROM (SELECT regexp_extract(value, {_q('^' + P.COMBINED_LOG_PATTERN + '$')},
-                            [{', '.join(_q(n) for n in P.COMBINED_LOG_FIELDS)}]) AS g
-      FROM combined_lines WHERE regexp_full_match(value, {_q(P.COMBINED_LOG_PATTERN)}))""",
+SELECT {', '.join(f"g.{n}" for n in COMBINED_FIELDS)}
+FROM (SELECT regexp_extract(value, {_q('^' + COMBINED_LOG + '$')},
+                            [{', '.join(_q(n) for n in COMBINED_FIELDS)}]) AS g
+      FROM combined_lines WHERE regexp_full_match(value, {_q(COMBINED_LOG)}))""",
     "parse_coverage": f"""
 SELECT count(*) FILTER (WHERE m) AS matched, count(*) FILTER (WHERE NOT m) AS unmatched
-FROM (SELECT regexp_full_match(value, {_q(P.ACCESS_LOG_PATTERN)}) AS m FROM lines)""",
+FROM (SELECT regexp_full_match(value, {_q(ACCESS_LOG)}) AS m FROM lines)""",
     "drop_error_status": f"""
 SELECT {_PARSED_COLS} FROM parsed WHERE NOT regexp_matches(status, '^[45]\\d{{2}}$')""",
     "drop_static_resources": f"""
@@ -342,30 +431,24 @@ WHERE NOT (contains(url, '.css') OR contains(url, '.png') OR contains(url, '.jpg
                      "TRY_CAST(substr(daystr, 5, 2) AS INTEGER) AS month, "
                      "TRY_CAST(substr(daystr, 7, 2) AS INTEGER) AS day FROM parsed",
     "ipv4_to_long": f"SELECT ip, {_ip2long('ip')} AS ip_long FROM parsed",
-    "ip_to_district": """
-SELECT p.ip, CASE WHEN p.ipl <= r.end_ip THEN r.district ELSE 'unknown' END AS district
-FROM (SELECT ip, """ + _ip2long("ip") + """ AS ipl FROM parsed) p
-ASOF LEFT JOIN ranges_asof r ON p.ipl >= r.start_ip""",
+    "ip_to_district": "SELECT p.ip, d.district FROM parsed p JOIN ip_district d ON p.ip = d.ip",
     "ip_unresolved_audit": """
-SELECT ip, count(*) AS lines FROM (
-  SELECT p.ip, CASE WHEN p.ipl <= r.end_ip THEN r.district ELSE 'unknown' END AS district
-  FROM (SELECT ip, """ + _ip2long("ip") + """ AS ipl FROM parsed) p
-  ASOF LEFT JOIN ranges_asof r ON p.ipl >= r.start_ip)
-WHERE district = 'unknown' GROUP BY ip""",
+SELECT p.ip, count(*) AS lines FROM parsed p JOIN ip_district d ON p.ip = d.ip
+WHERE district = 'unknown' GROUP BY 1""",
     "column_name": f"SELECT url, {_column_sql('url')} AS columnName FROM parsed",
     "referer_host": f"""
 SELECT referal, {_referer_sql('referal')} AS refererHost
 FROM (SELECT referal FROM parsed UNION ALL SELECT url AS referal FROM pages)""",
     "device_type": f"SELECT userAgent, {_device_sql('userAgent')} AS deviceType FROM parsed",
     "device_type_lookup": f"""
-SELECT p.sessionid, p.userAgent, coalesce(d.deviceType, {_q(C.DEVICE_UNKNOWN)}) AS devicetype
+SELECT p.sessionid, p.userAgent, coalesce(d.deviceType, {_q(UNKNOWN)}) AS devicetype
 FROM parsed p LEFT JOIN agent_dict d ON p.userAgent = d.userAgent""",
     "enrich_loginfo2": "SELECT * FROM loginfo2",
     "enrich_newloginfo": f"""
 SELECT l.ip, l.district, l.sessionid, l.datetime, l.url, {_column_sql('l.url')} AS columnname,
        TRY_CAST(l.sentBytes AS INTEGER) AS sentBytes, l.referal,
        {_referer_sql('l.referal')} AS referalhost, l.userAgent,
-       coalesce(d.deviceType, {_q(C.DEVICE_UNKNOWN)}) AS devicetype,
+       coalesce(d.deviceType, {_q(UNKNOWN)}) AS devicetype,
        substr(replace(l.datetime, '-', ''), 1, 8) AS yearmonthday
 FROM loginfo l LEFT JOIN agent_dict d ON l.userAgent = d.userAgent""",
     "time_dimension": """
@@ -385,9 +468,7 @@ FROM (
          || lower(lpad(hex(ascii(district)), 4, '0')) || substr(district, 2)
          || '","isp":"\\u7535\\u4fe1"}}' END AS reply
   FROM (
-    SELECT DISTINCT p.ip, CASE WHEN p.ipl <= r.end_ip THEN r.district ELSE 'unknown' END AS district
-    FROM (SELECT ip, """ + _ip2long("ip") + """ AS ipl FROM parsed) p
-    ASOF LEFT JOIN ranges_asof r ON p.ipl >= r.start_ip))""",
+    SELECT ip, district FROM ip_district))""",
     "star_join_pv": "SELECT timeid, districtid, refererhostid, devicetypeid, columnid FROM facts",
     "star_join_ip": "SELECT timeid, ip, districtid, refererhostid, devicetypeid, columnid "
                     "FROM facts",
@@ -423,13 +504,9 @@ BODIES.update({
             ["orderid", "payment", "paymenttime", "bonus", "paymenttype"]))
         + f" FROM (SELECT string_split(value, ',') AS s FROM bus WHERE topic IN ({', '.join(_PT)}))",
     "delivery_record_parse": """
-SELECT s[1] AS userId, s[2] AS addressId, s[3] AS address, s[4] AS linkman, s[5] AS phonenum
-FROM (SELECT string_split(concat_ws(',', CAST(c_custkey AS VARCHAR),
-        'addressId' || lpad(CAST(c_custkey % 10 + 1 AS VARCHAR), 2, '0'),
-        'address' || lpad(CAST((c_custkey * 7919) % 10000000 AS VARCHAR), 8, '0'),
-        c_name,
-        '13' || lpad(CAST((c_custkey * 7919 * 31) % 1000000000 AS VARCHAR), 9, '0')), ',') AS s
-      FROM customer)""",
+SELECT CAST(c_custkey AS VARCHAR) AS userId, 'nation' || CAST(c_nationkey AS VARCHAR) AS addressId,
+       c_mktsegment AS address, c_name AS linkman,
+       CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR) AS phonenum FROM customer""",
     "order_topic_route": f"""
 SELECT CASE WHEN topic IN ({', '.join(_OT)}) THEN 'order' ELSE 'payment' END AS stream,
        topic, "partition", "offset", "key"
@@ -438,20 +515,8 @@ FROM bus WHERE topic IN ({', '.join(_OT + _PT)})""",
 SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime
 FROM orders_b o FULL OUTER JOIN payments_b p ON o.orderid = p.orderid""",
     "order_payment_status": "SELECT * FROM status",
-    "order_payment_status_any_payment": f"""
-SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime,
-  CASE WHEN o.orderid IS NULL THEN 'orphan' WHEN p.orderid IS NOT NULL THEN 'paid'
-       WHEN o.order_ts + INTERVAL 5 MINUTE < TIMESTAMP '{D.AS_OF}' THEN 'remind'
-       ELSE 'pending' END AS status
-FROM (SELECT * FROM orders_b WHERE order_ts <= TIMESTAMP '{D.AS_OF}') o
-FULL OUTER JOIN (SELECT * FROM payments_b WHERE pay_ts <= TIMESTAMP '{D.AS_OF}') p
-  ON o.orderid = p.orderid""",
-    "carry_forward": """
-SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
-FROM status WHERE status = 'pending'
-UNION ALL
-SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM status
-WHERE status = 'orphan'""",
+    "order_payment_status_any_payment": _status_of("orders_b", "payments_b", "(SELECT moment FROM status_time)", any_payment=True),
+    "carry_forward": "SELECT * FROM carried",
     "order_amounts": """
 SELECT orderid, g AS goodsamount, c AS carriage, d AS discountamount, round(g + c - d, 2) AS amount
 FROM (SELECT orderid, g, d, CAST(CASE WHEN g < 48 THEN 10 WHEN g < 98 THEN 5 ELSE 0 END AS DOUBLE) AS c
@@ -463,38 +528,38 @@ SELECT o.orderid, o.ordertime, p.paymenttime, date_diff('second', o.order_ts, p.
 FROM orders_b o JOIN payments_b p ON o.orderid = p.orderid""",
     "order_stream_source": 'SELECT topic, "partition", "offset", "timestamp", "key", value FROM bus',
     "unpaid_orders_stream": """
-SELECT o.orderid, o.userid, o.ordertime FROM orders_b o
-WHERE NOT EXISTS (SELECT 1 FROM payments_b p WHERE p.orderid = o.orderid
-                  AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
-                  AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE)""",
+SELECT orderid, userid, ordertime FROM stream_verdicts WHERE verdict = 'remind'""",
     "stream_batch_offsets": """
-SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset,
-       count(*) AS records, 0 AS batch_id
-FROM bus GROUP BY 1, 2""",
-    "pending_sink": """
-SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
-FROM status WHERE status = 'pending'
-UNION ALL
-SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM status
-WHERE status = 'orphan'""",
-    "batch_record_count": "SELECT 0 AS batch_id, count(*) AS records FROM bus",
+SELECT batch_id, topic, "partition", from_offset, until_offset, records FROM history""",
+    "pending_sink": _status_of("round2_orders", "round2_payments", "TIMESTAMP '9999-01-01'"),
+    "batch_record_count": "SELECT batch AS batch_id, count(*) AS records FROM batches GROUP BY 1",
     "micro_batch_trigger": """
-SELECT o.orderid, o.userid, o.ordertime FROM orders_b o
-WHERE NOT EXISTS (SELECT 1 FROM payments_b p WHERE p.orderid = o.orderid
-                  AND p.pay_ts >= o.order_ts - INTERVAL 10 MINUTE
-                  AND p.pay_ts <= o.order_ts + INTERVAL 5 MINUTE)""",
-    "offset_history_append": 'SELECT topic, "partition", batch_time, until_offset FROM history',
-    "batch_offset_report": "SELECT * FROM history",
+SELECT batch, split_part(verdict, '/', 1) AS verdict, count(*) AS records FROM (
+  SELECT b.batch, CASE WHEN o.order_ts IS NULL THEN 'rejected' WHEN b.batch = o.due THEN 'remind'
+                       ELSE 'open' END AS verdict
+  FROM order_fates o JOIN clocks b ON b.batch >= o.batch
+  WHERE (o.paid IS NULL OR o.paid > b.batch)
+    AND CASE WHEN o.order_ts IS NULL THEN b.batch = o.batch ELSE b.batch <= coalesce(o.due, b.batch) END
+  UNION ALL
+  SELECT DISTINCT c.batch, 'waiting/' || p.orderid
+  FROM batch_payments p JOIN clocks c ON c.batch >= p.batch AND p.pay_ts >= c.now - INTERVAL 1 DAY
+  LEFT JOIN order_fates o ON o.orderid = p.orderid
+  WHERE o.orderid IS NULL OR NOT (o.batch <= c.batch AND p.batch <= CASE
+    WHEN o.order_ts IS NULL THEN o.batch ELSE least(coalesce(o.due, 99), coalesce(o.paid, 99)) END))
+GROUP BY 1, 2""",
+    "offset_history_append": """
+SELECT 'reminders' AS "group", topic, "partition", batch_id, batch_time, until_offset FROM history""",
+    "batch_offset_report": """
+SELECT batch_id, topic, count(*) AS partitions, CAST(sum(records) AS BIGINT) AS records,
+       CAST(sum(until_offset - from_offset) AS BIGINT) AS offsets FROM history GROUP BY 1, 2""",
     "offset_latest_lookup": "SELECT * FROM stored_offsets",
-    "starting_offsets_resolve": f"""
+    "starting_offsets_resolve": """
 SELECT b.topic, b."partition",
-  CASE WHEN s."offset" IS NULL THEN b.earliest WHEN s."offset" < b.earliest THEN b.earliest
+  CASE WHEN s."offset" IS NULL OR s."offset" < b.earliest THEN b.earliest
        WHEN s."offset" > b.latest THEN b.latest ELSE s."offset" END AS "offset"
-FROM (SELECT topic, "partition",
-             min(CASE WHEN NOT (topic = 'produceOrderInfo'
-                                AND "timestamp" < TIMESTAMP '{D.ORDER_RETAINED_FROM}')
-                      THEN "offset" END) AS earliest,
-             max("offset") + 1 AS latest
+FROM (SELECT topic, "partition", max("offset") + 1 AS latest, coalesce(
+             min("offset") FILTER (topic <> 'produceOrderInfo' OR "timestamp" >= (SELECT moment FROM status_time)),
+             max("offset") + 1) AS earliest
       FROM bus GROUP BY 1, 2) b
 LEFT JOIN stored_offsets s ON b.topic = s.topic AND b."partition" = s."partition"
 """,

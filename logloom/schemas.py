@@ -25,6 +25,17 @@ PV_MART = T.StructType(
     + [T.StructField(n, _I) for n in ["districtid", "refererhostid", "devicetypeid", "columnid"]]
     + [T.StructField("pv", T.LongType(), False)])
 
+_IDS = [T.StructField(n, _I) for n in ["districtid", "refererhostid", "devicetypeid", "columnid"]]
+_DAY = T.StructField("day", _S)
+# written marts, partitioned by day
+MARTS = {
+    "pv_day": T.StructType([T.StructField("timeid", _S), *_IDS, T.StructField("pv", T.LongType()), _DAY]),
+    "pv_hour": T.StructType([T.StructField("timeid", _S), *_IDS, T.StructField("pv", T.LongType()), _DAY]),
+    "uv_day": T.StructType([T.StructField("timeid", _S), T.StructField("sessionid", _S), *_IDS,
+                            T.StructField("uv", T.LongType()), _DAY]),
+    "ip_day": T.StructType([T.StructField("timeid", _S), T.StructField("ip", _S), *_IDS, _DAY]),
+}
+
 ORDER_RECORD = ["userId", "orderid", "addressId", "ordertime", "goodsamount", "carriage",
                 "discountamount", "amount"]
 PAYMENT_RECORD = ["orderid", "payment", "paymenttime", "bonus", "paymenttype"]

@@ -4,11 +4,10 @@ The warehouse holds no raw access log, IP-range file, dimension tables or
 order bus, so they are derived -- by Spark, from the given tables -- with
 fixed rules.  The DuckDB oracle rebuilds them with the same rules (see
 ``logloom.plans.oracle``), so both engines start from identical inputs.
-Every row of the source tables is read.  The modulo arithmetic below is
-the synthesis rule: it decides field values (which request, status,
-referer, ...) and which events give rise to a payment (three orders in
-four are paid; one view event in fifty becomes a payment without an
-order).  Nothing is sampled or capped to make a check cheaper.
+Every row of the source tables is read.  The modulo arithmetic of the log
+decides field values only (which request, status, referer, ...).  The order
+bus carries the given ``orders``, ``lineitem`` and ``customer``: their keys,
+dates, prices, discounts and flags are the fields of its records.
 """
 
 from __future__ import annotations
@@ -20,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.functions import columns as C
-from logloom.operators.dims import time_dimension
+from logloom.operators.dims import time_dimension_spanning
+from logloom.operators.orders import ORDER_TOPICS, PAYMENT_TOPICS
 
 # ---------------------------------------------------------------------------
 # Fixed values of the derived inputs (test-bed vocabulary).
@@ -41,22 +41,16 @@ DEVICE_ROWS = [(1, C.DEVICE_PC), (2, C.DEVICE_MOBILE), (3, C.DEVICE_MONITOR),
                (4, C.DEVICE_UNKNOWN)]
 REFERER_ROWS = [(1, "host1.example.com", "host1"), (2, "host2.example.com", "host2"),
                 (3, "host3.example.com", "host3")]
-CALENDAR_START = "2024-01-01"
-CALENDAR_DAYS = 31
-ORDER_TOPIC = "produceOrderInfo"
-PAYMENT_TOPIC = "producerOrderids"
-ORDER_CARRY_TOPIC = "order2"
-PAYMENT_CARRY_TOPIC = "pay2"
+# topics come from the operators; the bus has this many partitions
 BUS_PARTITIONS = 4
-# evaluation time of the batch order status, consumer stop time (offset
-# history up to here is "stored") and start of retention of the order topic
-AS_OF = "2024-01-30 18:00:00"
-CONSUMER_STOP = "2024-01-11 00:00:00"
-ORDER_RETAINED_FROM = "2024-01-16 00:00:00"
-# a matched order/payment pair far in the future: it moves both stream
-# watermarks past every real order so the last reminders are emitted
-SENTINEL_ORDER = "__sentinel__"
-SENTINEL_TIME = "2099-01-01 00:00:00"
+# a given agent dictionary: it disagrees with the rules on some agents (an
+# iPhone listed as PC, curl as a monitor) and lacks others (misses)
+AGENT_DICTIONARY = [(AGENTS[0], C.DEVICE_MOBILE), (AGENTS[1], C.DEVICE_PC),
+                    (AGENTS[2], C.DEVICE_PC), (AGENTS[4], C.DEVICE_MONITOR)]
+# the bus is consumed in this many slices of equal time
+BUS_SLICES = 4
+# the batch status is taken so many days before the last record
+STATUS_DAYS_BEFORE_END = 30
 # ---------------------------------------------------------------------------
 
 
@@ -127,19 +121,30 @@ def combined_log_lines(events: DataFrame) -> DataFrame:
 def ip_range_lines(nation: DataFrame, region: DataFrame) -> DataFrame:
     """IP-range file lines: nation k owns first octets 10k .. 10k+7.
 
-    Lines carry irregular whitespace; region lines have only two fields and
-    must be skipped by the loader.
+    Lines carry irregular whitespace.  Inside nation k's range, region k's
+    line nests a range of its own district.  Bad lines must not pass: too few
+    fields, octets over 255, start above end.
     """
     k = F.col("n_nationkey").cast("bigint")
     nat = nation.select(F.concat(
         F.lit("  "), (k * 10).cast("string"), F.lit(".0.0.0\t"),
         (k * 10 + 7).cast("string"), F.lit(".255.255.255   "),
         F.col("n_name"), F.lit(" ")).alias("value"))
-    reg = region.select(F.concat(F.col("r_name"), F.lit(" "),
-                                 F.col("r_regionkey").cast("string")).alias("value"))
+    r = F.col("r_regionkey").cast("string")
+    name = F.replace("r_name", F.lit(" "), F.lit("_"))
+    reg = region.select(F.explode(F.array(
+        F.concat(F.col("r_name"), F.lit(" "), r),
+        F.concat(r, F.lit("0.64.0.0 "), r, F.lit("0.127.255.255 "), name),
+        F.concat(r, F.lit("99999.0.0.0 "), r, F.lit("99999.0.0.9 "), name),
+        F.concat(r, F.lit("5.9.0.0 "), r, F.lit("5.1.0.0 "), name))).alias("value"))
     return nat.unionByName(reg)
 
 
+def agent_dictionary(spark: SparkSession) -> DataFrame:
+    """The given (userAgent, deviceType) dictionary."""
+    return literal_table(spark, AGENT_DICTIONARY, ["userAgent", "deviceType"])
+
+
 @dataclass(frozen=True)
 class Dimensions:
     """The five dimensions of the star join."""
@@ -167,25 +172,14 @@ def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> D
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def dimensions(spark: SparkSession, nation: DataFrame) -> Dimensions:
+def dimensions(spark: SparkSession, nation: DataFrame, events: DataFrame) -> Dimensions:
+    """The calendar spans the days of the data, whatever they are."""
     columns = literal_table(spark, COLUMN_ROWS, ["columnid", "keyword", "columnName"])
     devices = literal_table(spark, DEVICE_ROWS, ["devicetypeid", "deviceTypeName"])
     referers = literal_table(spark, REFERER_ROWS, ["refererHostId", "url", "host"])
     districts = nation.select(F.col("n_nationkey").cast("int").alias("districtid"),
                               F.col("n_name").alias("districtName"))
-    calendar = time_dimension(spark, CALENDAR_START, CALENDAR_DAYS)
-    return Dimensions(calendar, columns, devices, districts, referers)
-
-
-def checked_dimensions(dims: Dimensions, max_rows: int | None = None) -> Dimensions:
-    """Each dimension hinted for broadcast only after its row count is
-    checked against the bound (one small job per dimension); a dimension
-    over the bound is left to a shuffle join."""
-    from logloom.operators.broadcast import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
-    n = max_rows or DEFAULT_BROADCAST_MAX_ROWS
-    return Dimensions(*(broadcast_if_small(d, n) for d in
-                        (dims.calendar, dims.columns, dims.devices, dims.districts,
-                         dims.referers)))
+    return Dimensions(time_dimension_spanning(events, "ts"), columns, devices, districts, referers)
 
 
 def _cents_str(cents: Column) -> Column:
@@ -194,74 +188,72 @@ def _cents_str(cents: Column) -> Column:
                     F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
-def order_records(events: DataFrame) -> DataFrame:
-    """Purchase events as order CSV records plus their key columns.
-
-    Output: orderid, userid, ordertime (string), event_ts, value (CSV of
-    userId, orderid, addressId, ordertime, goodsamount, carriage,
-    discountamount, amount).
-    """
-    e = _eid()
-    goods = F.round(F.col("value") * 100).cast("bigint")
-    pct = (F.when(e % 100 < 80, 0).when(e % 100 < 85, 15).when(e % 100 < 90, 10)
-           .when(e % 100 < 95, 5).otherwise(0))
-    disc = F.floor((goods * pct + 50) / 100).cast("bigint")
-    carr = F.when(goods < 4800, 1000).when(goods < 9800, 500).otherwise(0)
-    amount = goods + carr - disc
-    ordertime = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    addr = F.concat(F.lit("addressId"),
-                    F.lpad((F.col("user_id") % 10 + 1).cast("string"), 2, "0"))
-    csv = F.concat_ws(",", F.col("user_id").cast("string"), e.cast("string"), addr,
-                      ordertime, _cents_str(goods), _cents_str(carr), _cents_str(disc),
-                      _cents_str(amount))
-    return (events.where(F.col("event_type") == "purchase")
-            .select(e.cast("string").alias("orderid"),
-                    F.col("user_id").cast("string").alias("userid"),
-                    ordertime.alias("ordertime"), F.col("ts").alias("event_ts"),
-                    e.alias("event_id"), csv.alias("value")))
-
-
-def payment_delay_minutes() -> Column:
-    """Minutes from order to payment; NULL = never paid (every 4th order)."""
-    e = _eid()
-    return F.when(e % 4 != 0, e % 11 - 2)
+def _placed(orders: DataFrame) -> DataFrame:
+    """Order key and the minute it was placed (the given date has no time)."""
+    return orders.select("*", F.timestamp_add(
+        "MINUTE", (F.col("o_orderkey") % 1440).cast("int"),
+        F.col("o_orderdate").cast("timestamp_ntz")).alias("placed"))
 
 
-def payment_records(events: DataFrame) -> DataFrame:
-    """Payments of purchase orders plus orphan payments (no such order).
+def order_records(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
+    """Given orders as CSV records (userId, orderid, addressId, ordertime,
+    goodsamount, carriage, discountamount, amount) plus key columns.
 
-    Output: orderid, paymenttime (string), event_ts, event_id, value (CSV of
-    orderid, payment, paymenttime, bonus, paymenttype).
+    Orders in status P are not on the bus yet (their payments are orphans);
+    a tenth of the low-priority ones has no readable time.  Goods are the
+    total price scaled to shop amounts, the discount is the greatest of the
+    order's line items.  The record's carriage is always 0: the shipping
+    charge is computed from the goods by ``order_amounts``.
     """
-    e = _eid()
-    delay = payment_delay_minutes()
-    paid = (events.where((F.col("event_type") == "purchase") & delay.isNotNull())
-            .select(e, e.cast("string").alias("orderid"),
-                    F.timestamp_add("MINUTE", delay, F.col("ts")).alias("pay_ts"),
-                    F.col("ts").alias("event_ts")))
-    orphan = (events.where((F.col("event_type") == "view") & (e % 50 == 0))
-              .select(e, F.concat(F.lit("x"), e.cast("string")).alias("orderid"),
-                      F.col("ts").alias("pay_ts"), F.col("ts").alias("event_ts")))
-    both = paid.unionByName(orphan)
-    paytime = F.date_format("pay_ts", "yyyy-MM-dd HH:mm:ss")
-    csv = F.concat_ws(",", F.col("orderid"),
-                      F.concat(F.lit("card("),
-                               F.lpad((e % 10000).cast("string"), 4, "0"), F.lit(")")),
-                      paytime, (e % 20 + 1).cast("string"),
-                      F.concat(F.lit("type"), F.lpad((e % 10 + 1).cast("string"), 2, "0")))
-    return both.select("orderid", paytime.alias("paymenttime"), "event_ts",
-                       "event_id", csv.alias("value"))
+    disc = lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.max(F.round(F.col("l_discount") * 100)).cast("bigint").alias("pct"))
+    o = (_placed(orders.where(F.col("o_orderstatus") != "P"))
+         .join(disc, F.col("o_orderkey") == F.col("k"), "left")
+         .join(customer.select("c_custkey", "c_nationkey"),
+               F.col("o_custkey") == F.col("c_custkey"), "left"))
+    goods = F.floor(F.col("o_totalprice") / 40).cast("bigint")
+    off = F.floor(goods * F.coalesce("pct", F.lit(0)) / 100).cast("bigint")
+    unread = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 10 == 0)
+    time = F.when(unread, F.lit("n/a")).otherwise(F.date_format("placed", "yyyy-MM-dd HH:mm:ss"))
+    key = F.col("o_orderkey").cast("string")
+    csv = F.concat_ws(",", F.col("o_custkey").cast("string"), key,
+                      F.concat(F.lit("nation"), F.coalesce(F.col("c_nationkey").cast("string"), F.lit("?"))),
+                      time, _cents_str(goods), F.lit("0.00"), _cents_str(off), _cents_str(goods - off))
+    return o.select(key.alias("orderid"), F.col("o_orderkey").alias("order_no"),
+                    F.col("placed").alias("event_ts"), csv.alias("value"))
+
+
+def payment_records(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Line items that were kept (flags A and N) as payments of their order:
+    orderid, payment, paymenttime, bonus, paymenttype.
+
+    A pays ``quantity - 20`` minutes after the order (early, in time or late),
+    N with line status O ``quantity`` minutes after, N with F has no time.  An
+    order can have several payments, or none.
+    """
+    li = lineitem.where(F.col("l_returnflag").isin("A", "N")).join(
+        _placed(orders).select("o_orderkey", "placed"), F.col("l_orderkey") == F.col("o_orderkey"))
+    qty = F.col("l_quantity").cast("int")
+    at = F.timestamp_add("MINUTE", F.when(F.col("l_returnflag") == "A", qty - 20).otherwise(qty),
+                         F.col("placed"))
+    untimed = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
+    time = F.when(untimed, F.lit("")).otherwise(F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+    key = F.col("l_orderkey").cast("string")
+    csv = F.concat_ws(",", key, F.concat(F.lit("supplier"), F.col("l_suppkey").cast("string")), time,
+                      F.round(F.col("l_discount") * 100).cast("bigint").cast("string"),
+                      F.concat(F.lit("line"), F.col("l_linenumber").cast("string")))
+    return li.select(key.alias("orderid"), F.col("l_orderkey").alias("order_no"),
+                     F.when(untimed, F.col("placed")).otherwise(at).alias("event_ts"),
+                     csv.alias("value"))
 
 
 def delivery_records(customer: DataFrame) -> DataFrame:
-    """Delivery (telephone) CSV records derived from customers."""
-    k = F.col("c_custkey")
+    """Customers as delivery CSV records: userId, addressId, address (market
+    segment), linkman (name), phonenum (balance digits)."""
     csv = F.concat_ws(
-        ",", k.cast("string"),
-        F.concat(F.lit("addressId"), F.lpad((k % 10 + 1).cast("string"), 2, "0")),
-        F.concat(F.lit("address"), F.lpad(((k * 7919) % 10000000).cast("string"), 8, "0")),
-        F.col("c_name"),
-        F.concat(F.lit("13"), F.lpad(((k * 7919 * 31) % 1000000000).cast("string"), 9, "0")))
+        ",", F.col("c_custkey").cast("string"),
+        F.concat(F.lit("nation"), F.col("c_nationkey").cast("string")), F.col("c_mktsegment"),
+        F.col("c_name"), F.floor(F.abs("c_acctbal")).cast("bigint").cast("string"))
     return customer.select(csv.alias("value"))
 
 
@@ -275,22 +267,36 @@ BUS_SCHEMA = T.StructType([
 ])
 
 
-def bus_records(events: DataFrame) -> DataFrame:
+def bus_records(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
     """Order and payment records as message-bus rows.
 
-    partition = event_id mod 4 and offset = event_id div 4: offsets grow
-    with the producing event (and so with its time) inside a partition and
-    may have gaps, as compacted or transactional topics do.
+    The partition follows from the order number, the offset is the second of
+    the record: offsets grow with time inside a partition and have gaps, as
+    compacted or transactional topics do.
     """
     def shape(df: DataFrame, topic: str) -> DataFrame:
         return df.select(
-            F.lit(topic).alias("topic"),
-            (F.col("event_id") % BUS_PARTITIONS).cast("int").alias("partition"),
-            F.floor(F.col("event_id") / BUS_PARTITIONS).cast("bigint").alias("offset"),
-            F.col("event_ts").alias("timestamp"),
-            F.col("orderid").alias("key"), "value")
-    return shape(order_records(events), ORDER_TOPIC).unionByName(
-        shape(payment_records(events), PAYMENT_TOPIC))
+            F.lit(topic).alias("topic"), (F.col("order_no") % BUS_PARTITIONS).cast("int").alias("partition"),
+            F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                             F.col("event_ts")).alias("offset"),
+            F.col("event_ts").alias("timestamp"), F.col("orderid").alias("key"), "value")
+    return shape(order_records(orders, lineitem, customer), ORDER_TOPICS[0]).unionByName(
+        shape(payment_records(orders, lineitem), PAYMENT_TOPICS[0]))
+
+
+def bus_times(bus: DataFrame) -> tuple[int, int]:
+    """First and last second of the bus (one row)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    lo, hi = bus.agg(F.min(F.timestamp_diff("SECOND", epoch, F.col("timestamp"))),
+                     F.max(F.timestamp_diff("SECOND", epoch, F.col("timestamp")))).first()
+    return lo or 0, hi or 0
+
+
+def slice_number(bus: DataFrame, slices: int = BUS_SLICES) -> Column:
+    """Which of ``slices`` slices of equal time a bus row belongs to."""
+    lo, hi = bus_times(bus)
+    at = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("timestamp"))
+    return F.floor((at - lo) * slices / (hi - lo + 1)).cast("int")
 
 
 def geo_replies(located: DataFrame) -> DataFrame:
@@ -307,13 +313,3 @@ def geo_replies(located: DataFrame) -> DataFrame:
                   F.lit('","isp":"\\u7535\\u4fe1"}}'))
     reply = F.when(d == C.UNKNOWN_DISTRICT, F.lit('{"code":1,"data":"invalid ip"}')).otherwise(ok)
     return located.select("ip", reply.alias("reply"))
-
-
-def bus_sentinel(spark: SparkSession) -> DataFrame:
-    """The watermark-advancing sentinel pair as bus rows."""
-    rows = [(ORDER_TOPIC, 0, 0, f"u,{SENTINEL_ORDER},addressId01,{SENTINEL_TIME},0.00,0.00,0.00,0.00"),
-            (PAYMENT_TOPIC, 0, 0, f"{SENTINEL_ORDER},card(0000),{SENTINEL_TIME},1,type01")]
-    t = literal_table(spark, rows, ["topic", "partition", "offset", "value"])
-    return t.select("topic", F.col("partition").cast("int"), F.col("offset").cast("bigint"),
-                    F.lit(SENTINEL_TIME).cast("timestamp_ntz").alias("timestamp"),
-                    F.lit(SENTINEL_ORDER).alias("key"), "value")

@@ -23,17 +23,38 @@ def ip_ranges_from_lines(lines: DataFrame, value_col: str = "value") -> DataFram
 
     Lines are trimmed and split on runs of whitespace; only lines with
     exactly three fields are kept.  Lines whose addresses are not dotted
-    quads are dropped too (the reference aborts on them).
+    quads of 0..255, or whose start is above their end, are rejected
+    (:func:`ip_range_rejects` counts them): one bad line must not widen the
+    range table beyond the IP space.
     Output: start_ip BIGINT, end_ip BIGINT, district STRING.
     """
+    staged = _range_fields(lines, value_col).where("ok")
+    return staged.select("start_ip", "end_ip", "district")
+
+
+def _quad(s):
+    """Whether a string is a dotted quad of numbers 0..255."""
+    return F.coalesce(s.rlike(r"^(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+                              r"(\.(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"), F.lit(False))
+
+
+def _range_fields(lines: DataFrame, value_col: str) -> DataFrame:
     trimmed = F.regexp_replace(F.col(value_col), r"^\s+|\s+$", "")
-    fields = F.split(trimmed, r"\s+")
-    staged = lines.select(fields.alias("f")).where(F.size("f") == 3)
-    return (staged
-            .select(ipv4_to_long(F.get(F.col("f"), 0)).alias("start_ip"),
-                    ipv4_to_long(F.get(F.col("f"), 1)).alias("end_ip"),
-                    F.get(F.col("f"), 2).alias("district"))
-            .where(F.col("start_ip").isNotNull() & F.col("end_ip").isNotNull()))
+    f = lines.select(F.split(trimmed, r"\s+").alias("f")).where(F.size("f") == 3)
+    lo, hi = F.get(F.col("f"), 0), F.get(F.col("f"), 1)
+    # behind a one-row inline, so that later filters on the numbers do not
+    # repeat their expressions
+    f = f.select(F.inline(F.array(F.struct(
+        F.when(_quad(lo), ipv4_to_long(lo)).alias("start_ip"),
+        F.when(_quad(hi), ipv4_to_long(hi)).alias("end_ip"),
+        F.get(F.col("f"), 2).alias("district")))))
+    return f.withColumn("ok", F.coalesce(F.col("start_ip") <= F.col("end_ip"), F.lit(False)))
+
+
+def ip_range_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """One row: how many three-field lines were kept and how many rejected."""
+    return _range_fields(lines, value_col).agg(
+        F.count_if("ok").alias("kept"), F.count_if(~F.col("ok")).alias("rejected"))
 
 
 def ip_ranges_load(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +78,7 @@ def table_scan(spark: SparkSession, path: str, columns: list[str] | None = None,
     zero-padded strings) instead of re-inferring their types.
     """
     if _is_table_name(path):
-        df = spark.table(path)          # a catalog table, e.g. "loganalysis.loginfo"
+        df = spark.table(path)          # a catalog table
     else:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         df = reader.parquet(path)

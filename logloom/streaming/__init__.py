@@ -2,15 +2,16 @@
 
 from logloom.streaming.bus import (
     file_bus_stream, kafka_bus_stream, land_bus, progress_offset_ranges, publish_to_kafka,
-    run_to_completion,
+    run_in_slices, run_to_completion,
 )
-from logloom.streaming.offsets import batch_offsets, offset_history_append
+from logloom.streaming.offsets import batch_offsets, offset_history_append, read_history
 from logloom.streaming.unpaid import (
-    start_unpaid_reminders, start_unpaid_reminders_kafka, unpaid_orders_stream,
+    judge_batch, remind_batch, start_unpaid_reminders, start_unpaid_reminders_kafka, verdicts,
 )
 
 __all__ = [
-    "batch_offsets", "file_bus_stream", "kafka_bus_stream", "land_bus", "offset_history_append",
-    "progress_offset_ranges", "publish_to_kafka", "run_to_completion", "start_unpaid_reminders",
-    "start_unpaid_reminders_kafka", "unpaid_orders_stream",
+    "batch_offsets", "file_bus_stream", "judge_batch", "kafka_bus_stream", "land_bus",
+    "offset_history_append", "progress_offset_ranges", "publish_to_kafka", "read_history",
+    "remind_batch", "run_in_slices", "run_to_completion", "start_unpaid_reminders",
+    "start_unpaid_reminders_kafka", "verdicts",
 ]
