@@ -1,12 +1,15 @@
 """IP range lookup: edge rows, as-of semantics, and the bucketed join agreeing
 with the nested-loop form and a bisect model."""
 
-import bisect
 import random
+from contextlib import contextmanager
 
-from logloom.functions.columns import UNKNOWN_DISTRICT
+from pyspark.sql import functions as F
+
+from logloom.functions.columns import UNKNOWN_DISTRICT, ipv4_to_long
 from logloom.operators import geo
-from logloom.sources.text import ip_ranges_from_lines
+from logloom.session import work_dir
+from logloom.sources.text import ip_range_rejects, ip_ranges_from_lines
 
 
 def _ip(n: int) -> str:
@@ -14,27 +17,56 @@ def _ip(n: int) -> str:
 
 
 def model(ranges, ip_long):
-    """Greatest start <= ip (ties: greatest end, then district); must contain ip."""
+    """Greatest start among the containing ranges (ties: least end, then
+    greatest district)."""
     if ip_long is None:
         return UNKNOWN_DISTRICT
-    best = {}
-    for s, e, d in ranges:
-        if s not in best or (e, d) > best[s]:
-            best[s] = (e, d)
-    starts = sorted(best)
-    i = bisect.bisect_right(starts, ip_long) - 1
-    if i < 0:
-        return UNKNOWN_DISTRICT
-    e, d = best[starts[i]]
-    return d if ip_long <= e else UNKNOWN_DISTRICT
+    inside = [(s, -e, d) for s, e, d in ranges if s <= ip_long <= e]
+    return max(inside)[2] if inside else UNKNOWN_DISTRICT
+
+
+def ip_to_district_nested_loop(df, ranges):
+    """The plain form: a range join, the innermost range per row."""
+    facts = df.withColumn("_ipl", ipv4_to_long("ip"))
+    r = F.broadcast(ranges.withColumnRenamed("district", "d"))
+    joined = facts.join(r, (F.col("_ipl") >= r["start_ip"]) & (F.col("_ipl") <= r["end_ip"]), "left")
+    return joined.groupBy(*df.columns).agg(F.coalesce(F.max(F.when(F.col("d").isNotNull(), F.struct(
+        "start_ip", (-F.col("end_ip")).alias("e"), "d")))["d"], F.lit(UNKNOWN_DISTRICT)).alias("district"))
+
+
+@contextmanager
+def settings(spark, **confs):
+    """Session settings for a block (dots as double underscores)."""
+    confs = {k.replace("__", "."): v for k, v in confs.items()}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1",
+                "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
 
 
 def test_range_file_parsing(spark):
     lines = spark.createDataFrame(
         [("  1.0.0.0\t1.0.0.255   A ",), ("2.0.0.0 2.0.0.9",), ("",), ("x.0.0.0 2.0.0.9 B",),
-         ("3.0.0.0 3.0.0.9 C D",), ("4.0.0.0   4.0.0.9 E",)], "value string")
+         ("3.0.0.0 3.0.0.9 C D",), ("4.0.0.0   4.0.0.9 E",), ("1000000.0.0.0 1000001.0.0.0 F",),
+         ("99999999999.0.0.0 99999999999.0.0.1 G",), ("9.0.0.9 9.0.0.1 H",), ("1.2.3.-4 1.2.3.9 I",)],
+        "value string")
     got = sorted(tuple(r) for r in ip_ranges_from_lines(lines).collect())
     assert got == [(16777216, 16777471, "A"), (67108864, 67108873, "E")]
+    assert tuple(ip_range_rejects(lines).first()) == (2, 5)
+
+
+def test_a_range_outside_the_ip_space_cannot_explode(spark):
+    ranges = spark.createDataFrame([(0, 1 << 60, "A"), (-5, 3, "B"), (9, 2, "C"), (70000, 70001, "D")],
+                                   "start_ip long, end_ip long, district string")
+    assert [tuple(r) for r in geo.bucketed_ranges(ranges).collect()] == [(1, 70000, 70001, "D")]
 
 
 def test_edges(spark):
@@ -48,15 +80,14 @@ def test_edges(spark):
                    "unknown", "unknown"]
 
 
-def test_overlapping_ranges_as_of(spark):
-    # B nested in A: ips after B's end fall to "unknown" (greatest start wins)
-    ranges = [(0, 1000, "A"), (10, 20, "B"), (10, 15, "B2"), (500, 600, "C")]
+def test_nested_ranges_the_innermost_wins(spark):
+    ranges = [(0, 1000, "A"), (10, 20, "B"), (10, 15, "B2"), (500, 600, "C"), (550, 1100, "E")]
     rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
-    ips = [5, 10, 15, 20, 21, 499, 500, 650, 1000, 1001]
+    ips = [5, 10, 15, 16, 20, 21, 499, 500, 560, 650, 1000, 1001, 1101]
     df = spark.createDataFrame([(_ip(n),) for n in ips], "ip string")
     got = {r["ip"]: r["district"] for r in geo.ip_to_district(df, rdf).collect()}
     assert [got[_ip(n)] for n in ips] == [model(ranges, n) for n in ips]
-    assert got[_ip(15)] == "B" and got[_ip(21)] == "unknown"
+    assert (got[_ip(15)], got[_ip(16)], got[_ip(21)]) == ("B2", "B", "A")
 
 
 def test_bucketed_equals_nested_loop_and_model(spark):
@@ -72,7 +103,7 @@ def test_bucketed_equals_nested_loop_and_model(spark):
     rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
     df = spark.createDataFrame([(i, _ip(n)) for i, n in enumerate(ips)], "i int, ip string")
     fast = {r["i"]: r["district"] for r in geo.ip_to_district(df, rdf).collect()}
-    slow = {r["i"]: r["district"] for r in geo.ip_to_district_nested_loop(df, rdf).collect()}
+    slow = {r["i"]: r["district"] for r in ip_to_district_nested_loop(df, rdf).collect()}
     assert len(fast) == len(ips)  # exactly one row per input line
     assert fast == slow
     assert all(fast[i] == model(ranges, n) for i, n in enumerate(ips))
@@ -92,55 +123,41 @@ def test_unresolved_audit(spark):
     assert got == [("0.0.0.5", 2), ("bad", 1)]
 
 
-def test_shuffle_fallback_when_lookup_too_big(spark):
-    ranges = spark.createDataFrame([(100, 200, "A"), (1 << 20, (1 << 20) + 5, "B")],
-                                   "start_ip long, end_ip long, district string")
-    df = spark.createDataFrame([("0.0.0.150",), ("0.16.0.3",), ("0.0.0.1",)], "ip string")
-    out = geo.ip_to_district(df, ranges, broadcast_max_rows=0)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan
-    assert sorted(r["district"] for r in out.collect()) == ["A", "B", "unknown"]
-
-
 def test_hot_bucket_on_shuffle_path(spark):
-    """A third of all lines in one /16 bucket, lookup forced to the shuffle
-    join: still exactly one row per line and the same districts."""
+    """A third of all lines in one /16 bucket, the lookup joined by shuffle:
+    still exactly one row per line and the same districts."""
     ranges = [(k << 16, (k << 16) + 40000, f"D{k}") for k in range(0, 200, 2)]
     rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
     ips = [(4 << 16) + (i % 50000) for i in range(3000)] + [(k << 16) + 7 for k in range(6000)]
     df = spark.createDataFrame([(i, _ip(n)) for i, n in enumerate(ips)], "i int, ip string")
-    out = geo.ip_to_district(df, rdf, broadcast_max_rows=0).select("i", "district")
-    got = dict(out.collect())
-    assert len(got) == len(ips) and out.count() == len(ips)
+    with settings(spark, **NO_BROADCAST):
+        out = geo.ip_to_district(df, rdf).select("i", "district")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = dict(out.collect())
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert len(got) == len(ips)
     assert all(got[i] == model(ranges, n) for i, n in enumerate(ips))
 
 
 def test_aqe_splits_a_hot_bucket_on_the_shuffle_path(spark):
     """With skew thresholds scaled down to test size, AQE marks the bucket
     join as a skew join and splits the hot bucket's partition."""
-    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-             "spark.sql.autoBroadcastJoinThreshold": "-1",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    saved = {k: spark.conf.get(k, None) for k in confs}
-    for k, v in confs.items():
-        spark.conf.set(k, v)
-    try:
-        ranges = [(k << 16, (k << 16) + 40000, f"D{k}") for k in range(0, 200, 2)]
-        rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
-        hot = [(i, _ip((4 << 16) + (i % 30000))) for i in range(30000)]
-        cold = [(30000 + k, _ip((k << 16) + 7)) for k in range(20000)]
-        df = spark.createDataFrame(hot + cold, "i int, ip string").repartition(8)
-        out = geo.ip_to_district(df, rdf, broadcast_max_rows=0)
+    ranges = [(k << 16, (k << 16) + 40000, f"D{k}") for k in range(0, 200, 2)]
+    rdf = spark.createDataFrame(ranges, "start_ip long, end_ip long, district string")
+    hot = [(i, _ip((4 << 16) + (i % 30000))) for i in range(30000)]
+    cold = [(30000 + k, _ip((k << 16) + 7)) for k in range(20000)]
+    df = spark.createDataFrame(hot + cold, "i int, ip string").repartition(8)
+    # a written lookup, as a job uses it: the join then has a shuffle on both sides
+    lookup = geo.bucketed_ranges(rdf)
+    path = work_dir(spark, "test", "ip_lookup", unique=True)
+    lookup.write.parquet(path)
+    with settings(spark, **NO_BROADCAST,
+                  spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1k",
+                  spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+                  spark__sql__adaptive__advisoryPartitionSizeInBytes="1k"):
+        out = geo.ip_to_district(df, lookup=spark.read.parquet(path))
         got = {r["i"]: r["district"] for r in out.collect()}   # runs out's own (final) plan
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan
-        assert len(got) == 50000
-        assert got[0] == "D4" and got[30000 + 3] == "unknown"
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert len(got) == 50000
+    assert got[0] == "D4" and got[30000 + 3] == "unknown"

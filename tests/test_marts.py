@@ -77,8 +77,6 @@ def test_uv_pv_ip_marts(spark):
     assert uv.agg(F.sum("uv")).first()[0] == 9
     pv_day = marts.pv_mart(facts, "day")
     assert pv_day.agg(F.sum("pv")).first()[0] == facts.count()
-    day2, hour = marts.pv_marts_day_and_hour(facts)
-    assert sorted(map(tuple, day2.collect())) == sorted(map(tuple, pv_day.collect()))
     ipm = marts.ip_mart(facts)
     assert ipm.count() == facts.select(F.substring("timeid", 1, 8), "ip", *IDS).distinct().count()
 

@@ -1,16 +1,15 @@
 """Order status rules, carry-forward, and stream-vs-batch agreement of the
 unpaid-order reminder."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from logloom.operators import orders
+from logloom.operators import offsets, orders
 from logloom.session import work_dir
-from logloom.sources import derived
 from logloom.streaming import bus as bus_stream
 from logloom.streaming import offsets as stream_offsets
-from logloom.streaming.unpaid import unpaid_orders_stream
-
-from .conftest import SF_SMALL
+from logloom.streaming import unpaid
 
 BUS = "topic string, partition int, offset long, timestamp timestamp_ntz, key string, value string"
 
@@ -41,16 +40,19 @@ ROWS = [
 AS_OF = "2019-09-01 13:00:00"
 
 
-def test_status_rules(spark):
-    bus = _bus(spark, ROWS)
+def status(spark, rows, as_of=AS_OF, **kw):
+    bus = _bus(spark, rows)
     st = orders.order_payment_status(orders.orders_from_bus(bus), orders.payments_from_bus(bus),
-                                     AS_OF)
-    got = {r["orderid"]: r["status"] for r in st.collect()}
-    assert got == {"o1": "paid", "o2": "paid_late", "o3": "remind", "o4": "pending",
-                   "o5": "paid", "o6": "paid", "x9": "orphan"}
-    any_pay = orders.order_payment_status(orders.orders_from_bus(bus),
-                                          orders.payments_from_bus(bus), AS_OF, pay_within=None)
-    assert {r["orderid"]: r["status"] for r in any_pay.collect()}["o2"] == "paid"
+                                     as_of, **kw)
+    return st, {r["orderid"]: r for r in st.collect()}
+
+
+def test_status_rules(spark):
+    st, got = status(spark, ROWS)
+    assert {k: r["status"] for k, r in got.items()} == {
+        "o1": "paid", "o2": "paid_late", "o3": "remind", "o4": "pending", "o5": "paid", "o6": "paid",
+        "x9": "orphan"}
+    assert status(spark, ROWS, pay_within=None)[1]["o2"]["status"] == "paid"
     carried = sorted(tuple(r) for r in orders.carry_forward(st).collect())
     assert carried == [("order2", "o4", "u1,o4,nothing,2019-09-01 12:55:00"),
                        ("pay2", "x9", "x9,card(0001),2019-09-01 12:01:00")]
@@ -60,45 +62,115 @@ def test_status_rules(spark):
     assert (reparsed["payment"], reparsed["paymenttime"]) == ("card(0001)", "2019-09-01 12:01:00")
 
 
-def test_stream_equals_batch_on_small_bus(spark):
-    bus = _bus(spark, ROWS)
-    batch = sorted(r["orderid"] for r in unpaid_orders_stream(bus).collect())
-    assert batch == ["o2", "o3", "o4"]
-    folder = work_dir(spark, "test", "bus", unique=True)
-    # three files -> three micro-batches, the last one carries the sentinel
-    bus_stream.land_bus(bus.where(F.col("offset") < 6).coalesce(1), folder)
-    bus_stream.land_bus(bus.where(F.col("offset") >= 6).coalesce(1), folder)
-    bus_stream.land_bus(derived.bus_sentinel(spark).coalesce(1), folder)
-    stream = unpaid_orders_stream(bus_stream.file_bus_stream(spark, folder, max_files_per_trigger=1))
-    out = bus_stream.run_to_completion(spark, stream, "test_unpaid")
-    assert sorted(r["orderid"] for r in out.collect()) == batch
-
-
-def test_stream_equals_batch_on_derived_bus(spark):
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    bus = derived.bus_records(ev)
-    batch = sorted(tuple(r) for r in unpaid_orders_stream(bus).collect())
-    folder = work_dir(spark, "test", "bus2", unique=True)
-    bus_stream.land_bus(bus, folder)
-    bus_stream.land_bus(derived.bus_sentinel(spark), folder)
-    out = bus_stream.run_to_completion(
-        spark, unpaid_orders_stream(bus_stream.file_bus_stream(spark, folder)), "test_unpaid2")
-    assert sorted(tuple(r) for r in out.collect()) == batch
-    assert len(batch) > 0
+def test_one_row_per_order_with_several_payments_and_records(spark):
+    rows = [_order("a", "2019-09-01 12:00:00"), _order("a", "2019-09-01 12:30:00", user="u2"),
+            _pay("a", "2019-09-01 12:30:00"), _pay("a", "2019-09-01 12:01:00"),
+            _order("b", "2019-09-01 12:00:00"), _pay("b", "2019-09-01 12:40:00"),
+            _pay("b", "2019-09-01 12:20:00"), _pay("z", "2019-09-01 12:20:00"),
+            _pay("z", "2019-09-01 12:10:00")]
+    st, got = status(spark, rows)
+    assert st.count() == 3
+    assert (got["a"]["status"], got["a"]["paymenttime"]) == ("paid", "2019-09-01 12:01:00")
+    assert got["a"]["ordertime"] == "2019-09-01 12:00:00"
+    assert (got["b"]["status"], got["b"]["paymenttime"]) == ("paid_late", "2019-09-01 12:20:00")
+    assert got["z"]["status"] == "orphan"
+
+
+def test_untimed_records_are_kept(spark):
+    rows = [_order("o2", "2019-09-01 12:00:00"), ("pay2", "o2", "o2,card"), _order("bad", "n/a"),
+            _order("bad2", "n/a"), _pay("bad2", "2019-09-01 12:00:00"), ("pay2", "lost", "lost,card")]
+    _, got = status(spark, rows)
+    assert {k: r["status"] for k, r in got.items()} == {
+        "o2": "paid_untimed", "bad": "untimed", "bad2": "untimed", "lost": "orphan"}
+    _, got = status(spark, rows, pay_within=None)
+    assert {k: r["status"] for k, r in got.items()} == {
+        "o2": "paid", "bad": "untimed", "bad2": "paid", "lost": "orphan"}
+
+
+def test_carried_records_are_consumed_in_the_next_round(spark):
+    first, _ = status(spark, ROWS)
+    carried = orders.carry_forward(first)
+    later = _bus(spark, [_pay("o4", "2019-09-01 12:58:00"), _order("x9", "2019-09-01 12:00:00")])
+    bus = carried.unionByName(later.select("topic", "key", "value"))
+    st = orders.order_payment_status(orders.orders_from_bus(bus), orders.payments_from_bus(bus),
+                                     "2019-09-01 14:00:00")
+    assert {r["orderid"]: r["status"] for r in st.collect()} == {"o4": "paid", "x9": "paid"}
+
+
+def at(hhmm):
+    return dt.datetime.strptime(f"2019-09-01 {hhmm}", "%Y-%m-%d %H:%M")
+
+
+def remind(spark, batches, **kw):
+    """Run the reminder stream over (clock, rows) batches, one restart each."""
+    root = work_dir(spark, "test", "verdicts", unique=True)
+    clocks = [c for c, _ in batches]
+    bus_stream.run_in_slices(
+        spark, [_bus(spark, rows) for _, rows in batches], "test_reminders",
+        lambda stream, ckpt: unpaid.start_unpaid_reminders(
+            stream, root, ckpt, trigger={"availableNow": True}, clock=lambda df, i: clocks[i], **kw))
+    return root
+
+
+def ids(spark, root, verdict=unpaid.REMIND):
+    return sorted((r["batch"], r["orderid"]) for r in unpaid.verdicts(spark, root, verdict).collect())
+
+
+def test_a_late_unpaid_order_is_reminded(spark):
+    root = remind(spark, [
+        (at("11:01"), [_order("o1", "2019-09-01 11:00:00")]),
+        (at("11:05"), [_pay("o1", "2019-09-01 11:03:00")]),
+        (at("11:10"), [_order("o2", "2019-09-01 10:30:00"), _order("o3", "2019-09-01 11:04:00")])])
+    assert ids(spark, root) == [(2, "o2"), (2, "o3")]
+
+
+def test_an_idle_payment_topic_does_not_hold_reminders_back(spark):
+    root = remind(spark, [(at("10:01"), [_pay("p", "2019-09-01 10:01:00")])] + [
+        (at(f"{h}:06"), [_order(f"o{h}", f"2019-09-01 {h}:00:00")]) for h in (10, 11, 12, 13)])
+    assert ids(spark, root) == [(1, "o10"), (2, "o11"), (3, "o12"), (4, "o13")]
+
+
+def test_open_orders_and_waiting_payments_cross_batches(spark):
+    root = remind(spark, [
+        (at("12:01"), [_order("a", "2019-09-01 12:00:00"), _order("b", "2019-09-01 12:00:00"),
+                       _pay("c", "2019-09-01 12:00:00"), ("pay2", "d", "d,card")]),
+        (at("12:04"), [_pay("a", "2019-09-01 12:03:00"), _order("c", "2019-09-01 12:02:00")]),
+        (at("12:05"), [_order("d", "2019-09-01 12:01:00"), _order("far", "2999-01-01 00:00:00"),
+                       _order("bad", "n/a")]),
+        (at("12:06"), [_pay("e", "2019-09-01 12:06:00")]),
+        (at("12:30"), [_pay("b", "2019-09-01 12:29:00")])])
+    # exactly five minutes is not yet due; a payment after the reminder changes nothing
+    assert ids(spark, root) == [(3, "b")]
+    assert ids(spark, root, unpaid.REJECTED) == [(2, "bad"), (2, "far")]
+
+
+def test_a_replayed_batch_replaces_its_rows(spark):
+    root = work_dir(spark, "test", "verdicts", unique=True)
+    rows = _bus(spark, [_order("a", "2019-09-01 12:00:00")])
+    for _ in range(2):
+        unpaid.remind_batch(rows, 0, root, clock=lambda df, i: at("12:30"))
+    assert ids(spark, root) == [(0, "a")]
 
 
 def test_foreach_batch_offsets(spark):
-    bus = _bus(spark, ROWS)
-    folder = work_dir(spark, "test", "bus3", unique=True)
-    bus_stream.land_bus(bus.where(F.col("offset") < 6).coalesce(1), folder)
-    bus_stream.land_bus(bus.where(F.col("offset") >= 6).coalesce(1), folder)
-    out = bus_stream.run_to_completion(
-        spark, bus_stream.file_bus_stream(spark, folder, max_files_per_trigger=1), "test_offs",
-        foreach_batch=lambda df, e, p: stream_offsets.offset_history_append(df, e, p))
-    got = sorted((r["topic"], r["batch_id"], r["from_offset"], r["until_offset"])
-                 for r in out.collect())
-    assert sum(r["records"] for r in out.collect()) == len(ROWS)
-    assert {g[1] for g in got} == {0, 1}
+    bus = _bus(spark, ROWS).withColumn("timestamp", F.lit("2019-09-01 12:00:00").cast("timestamp_ntz"))
+    path = work_dir(spark, "test", "history", unique=True)
+
+    def start(stream, ckpt):
+        def sink(df, i):
+            for _ in range(2):  # a replay counts once
+                stream_offsets.offset_history_append(df, i, path, group="g")
+        return (stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(sink)
+                .trigger(availableNow=True).start())
+    bus_stream.run_in_slices(spark, [bus.where("offset < 6"), bus.where("offset >= 6")], "test_offs", start)
+    history = stream_offsets.read_history(spark, path)
+    assert history.agg(F.sum("records")).first()[0] == len(ROWS)
+    assert {r["batch_id"] for r in history.collect()} == {0, 1}
+    # what the stream writes is what the lookup reads
+    latest = offsets.offset_latest_lookup(history, "g", "2019-09-01 13:00:00")
+    want = {r["topic"]: r["m"] + 1 for r in bus.groupBy("topic").agg(F.max("offset").alias("m")).collect()}
+    assert {r["topic"]: r["offset"] for r in latest.collect()} == want
+    assert offsets.offset_latest_lookup(history, "other").count() == 0
 
 
 def test_record_parsers_tolerate_short_records(spark):
@@ -110,43 +182,6 @@ def test_record_parsers_tolerate_short_records(spark):
     assert d["linkman"] == "bob"
 
 
-def test_continuous_reminder_query(spark):
-    """The production starter: processing-time trigger, then stop."""
-    from logloom.streaming.unpaid import start_unpaid_reminders
-    bus = _bus(spark, ROWS)
-    folder = work_dir(spark, "test", "bus4", unique=True)
-    bus_stream.land_bus(bus.coalesce(1), folder)
-    bus_stream.land_bus(derived.bus_sentinel(spark).coalesce(1), folder)
-    sink = work_dir(spark, "test", "reminders", unique=True)
-    ckpt = work_dir(spark, "test", "reminders_ckpt", unique=True)
-    q = start_unpaid_reminders(bus_stream.file_bus_stream(spark, folder, max_files_per_trigger=1),
-                               sink, ckpt, trigger="1 second")
-    try:
-        q.processAllAvailable()
-        ranges = bus_stream.progress_offset_ranges(q)
-        # one bus source feeds both join sides, so each record is read twice
-        assert sum(r["rows"] for r in ranges) == 2 * (len(ROWS) + 2)
-        assert len({r["batch"] for r in ranges if r["rows"] > 0}) == 2   # one file per batch
-    finally:
-        q.stop()
-    got = sorted(r["orderid"] for r in spark.read.parquet(sink).collect())
-    assert got == ["o2", "o3", "o4"]
-
-
-def test_batch_status_agrees_with_stream(spark):
-    """With every record visible (as_of far ahead), the stream's reminders
-    are exactly the orders the batch status calls remind or paid_late."""
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    bus = derived.bus_records(ev)
-    st = orders.order_payment_status(orders.orders_from_bus(bus), orders.payments_from_bus(bus),
-                                     "2100-01-01 00:00:00")
-    reminded = {r["orderid"] for r in st.where(F.col("status").isin("remind", "paid_late"))
-                .select("orderid").collect()}
-    assert st.where(F.col("status") == "pending").count() == 0
-    streamed = {r["orderid"] for r in unpaid_orders_stream(bus).collect()}
-    assert streamed == reminded and len(streamed) > 0
-
-
 def test_aqe_splits_a_hot_orderid(spark):
     """The left-join form of the order/payment match lets AQE split a hot
     orderid on the orders side (a FULL OUTER JOIN could not be split)."""

@@ -1,23 +1,11 @@
-"""Session helpers: scan rebalancing and the shared working folder."""
-
-import pytest
+"""Session helpers: the shared working folder."""
 
 from logloom import session
 
 
-def test_rebalance_only_when_underpartitioned(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert session.rebalance_if_underpartitioned(many) is many      # untouched
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = session.rebalance_if_underpartitioned(one)
-    assert spread.rdd.getNumPartitions() == cores
-    assert spread.count() == 1000
-
-
 class _FakeConf:
     def get(self, key, default=None):
-        return default
+        return "hdfs://store/warehouse/" if key == "spark.sql.warehouse.dir" else default
 
 
 class _FakeContext:
@@ -33,9 +21,8 @@ class _FakeSession:
     sparkContext = _FakeContext()
 
 
-def test_cluster_without_checkpoint_dir_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.checkpoint_root(_FakeSession())
+def test_without_checkpoint_dir_the_shared_warehouse_is_used():
+    assert session.checkpoint_root(_FakeSession()) == "hdfs://store/warehouse/_work"
 
 
 def test_work_dirs_are_fresh_and_under_the_root(spark):
