@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, bounded_batches, sliced, text_or_empty, with_row_id
+from logloom.llm.common import ROW_ID, bounded_batches, sliced, stored, text_or_empty, with_row_id
 from logloom.llm.tokens import ALNUM, Words
 
 WINDOW = 10
@@ -330,21 +330,10 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                         text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with the removal spans cut out of their texts.
-
-    A cut leaves a line end, so that no words run together.  Documents with
-    no hit keep their text byte for byte; a document of which no word is left
-    goes.  ``n_chars``, where there is one, follows the new text.
-    """
-    found = contamination(docs, benchmark, id_col, text_col, **kw)
-    rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id())
-    hit = found.where(F.size("spans") > 0).select(
-        F.col(ROW_ID).alias("__hit_row"), F.col("spans").alias("__spans"),
-        (n_hit(F.col("spans")) == F.col("n_words")).alias("__gone"))
-    rows = rows.join(hit, F.col(ROW_ID) == F.col("__hit_row"), "left").where(
-        ~F.coalesce(F.col("__gone"), F.lit(False)))
+def _cut(docs: DataFrame, hits: DataFrame, text_col: str) -> DataFrame:
+    """The documents of ``hits`` without their removal spans."""
+    rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id()).join(
+        hits, F.col(ROW_ID) == F.col("__hit_row")).where(~F.col("__gone"))
     raw = F.col(text_col).cast("binary")
     ends = F.transform("__spans", lambda s: s["byte_end"])
     starts = F.transform("__spans", lambda s: s["byte_start"])
@@ -352,10 +341,36 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
                         F.concat(starts, F.array(F.octet_length(text_col).cast("bigint"))).alias("b"))
     pieces = F.transform(cuts, lambda c: F.substring(
         raw, (c["a"] + 1).cast("int"), (c["b"] - c["a"]).cast("int")).cast("string"))
-    rows = rows.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col))
-                           .otherwise(F.array_join(pieces, "\n")))
+    rows = rows.withColumn(text_col, F.array_join(pieces, "\n"))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(
-            F.col("__spans").isNull(), F.col("n_chars")).otherwise(
-                F.char_length(text_col)).cast(docs.schema["n_chars"].dataType))
+        rows = rows.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)
+
+
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                         text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` with the removal spans cut out of their texts.
+
+    A cut leaves a line end, so that no words run together.  What stood
+    before and behind a cut may itself make a benchmark window, so documents
+    that were cut are searched again until none has a hit.  Documents with no
+    hit keep their text byte for byte; a document of which no word is left
+    goes.  ``n_chars``, where there is one, follows the new text.
+    """
+    done: list[DataFrame] = []
+    while True:
+        found = stored(contamination(docs, benchmark, id_col, text_col, **kw), "contaminated")
+        hits = found.where(F.size("spans") > 0).select(
+            F.col(ROW_ID).alias("__hit_row"), F.col("spans").alias("__spans"),
+            (n_hit(F.col("spans")) == F.col("n_words")).alias("__gone"))
+        if hits.isEmpty():
+            done.append(docs)
+            break
+        rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id())
+        done.append(rows.join(hits.select("__hit_row"), F.col(ROW_ID) == F.col("__hit_row"),
+                              "left_anti").select(*docs.columns))
+        docs = stored(_cut(docs, hits, text_col), "cut")
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out

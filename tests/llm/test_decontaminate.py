@@ -103,6 +103,15 @@ def test_spans_are_cut_and_clean_texts_stay(spark, edge, empty):
     assert D.contamination(edge, bench.where("item_id < 0")).where("size(spans) > 0").count() == 0
 
 
+def test_a_cut_that_joins_another_passage_is_cut_again(spark):
+    first, second = "aa " * 5 + "bb " * 5, " ".join(f"w{i}" for i in range(10))
+    bench = spark.createDataFrame([(1, first), (2, second)], "item_id bigint, text string")
+    text = "start w0 w1 w2 w3 w4 " + first + "w5 w6 w7 w8 w9 end"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    out = dicts(D.remove_contamination(docs, bench))
+    assert words(out[0]["text"]) == ["start", "end"]
+
+
 def test_empty_shard():
     n, hits = D.find_in_shard(pa.array(["", ""]), D.Phrases([("a b", "1")]))
     assert n.tolist() == [0, 0] and hits == {}
