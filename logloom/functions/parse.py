@@ -126,11 +126,15 @@ def request_split_parse(lines: DataFrame, value_col: str = "value") -> DataFrame
 
 
 def parse_coverage(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Matched vs unmatched line counts (one row)."""
-    _, matched = split_groups(value_col, ACCESS_LOG_PATTERN, len(ACCESS_LOG_FIELDS))
-    return lines.select(matched.alias("m")).agg(
+    """Line counts (one row): matched, unmatched, and ``bad_time``, the matched
+    lines whose time cannot be read (their date parts are garbage)."""
+    fields, matched = split_groups(value_col, ACCESS_LOG_PATTERN, len(ACCESS_LOG_FIELDS))
+    staged = lines.select(F.inline(F.array(F.struct(fields.alias("f"), matched.alias("m")))))
+    time = C.log_time(F.get(F.col("f"), ACCESS_LOG_FIELDS.index("datetime")))
+    return staged.agg(
         F.count_if(F.col("m")).alias("matched"),
-        F.count_if(~F.col("m")).alias("unmatched"))
+        F.count_if(~F.col("m")).alias("unmatched"),
+        F.count_if(F.col("m") & time.isNull()).alias("bad_time"))
 
 
 def csv_fields(value: str | Column, names: list[str]) -> list[Column]:

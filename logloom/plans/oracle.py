@@ -415,8 +415,10 @@ FROM (SELECT regexp_extract(value, {_q('^' + COMBINED_LOG + '$')},
                             [{', '.join(_q(n) for n in COMBINED_FIELDS)}]) AS g
       FROM combined_lines WHERE regexp_full_match(value, {_q(COMBINED_LOG)}))""",
     "parse_coverage": f"""
-SELECT count(*) FILTER (WHERE m) AS matched, count(*) FILTER (WHERE NOT m) AS unmatched
-FROM (SELECT regexp_full_match(value, {_q(ACCESS_LOG)}) AS m FROM lines)""",
+SELECT count(*) FILTER (WHERE m) AS matched, count(*) FILTER (WHERE NOT m) AS unmatched,
+       count(*) FILTER (WHERE m AND try_strptime(substr(t, 1, 19), '%Y-%m-%d %H:%M:%S') IS NULL) AS bad_time
+FROM (SELECT regexp_full_match(value, {_q(ACCESS_LOG)}) AS m,
+             regexp_extract(value, {_q('^' + ACCESS_LOG + '$')}, 3) AS t FROM lines)""",
     "drop_error_status": f"""
 SELECT {_PARSED_COLS} FROM parsed WHERE NOT regexp_matches(status, '^[45]\\d{{2}}$')""",
     "drop_static_resources": f"""

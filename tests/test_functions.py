@@ -162,7 +162,9 @@ def test_parse_sample_line(spark):
     assert (r["status"], r["sentBytes"], r["referal"]) == ("200", "817", "-")
     assert r["daystr"] == "20170108120120" and r["yearmonthday"] == "20170108"
     cov = P.parse_coverage(lines).first()
-    assert (cov["matched"], cov["unmatched"]) == (1, 2)
+    assert (cov["matched"], cov["unmatched"], cov["bad_time"]) == (1, 2, 0)
+    garbled = lines.withColumn("value", F.replace("value", F.lit("2017-01-08 12"), F.lit("not a time 12")))
+    assert tuple(P.parse_coverage(garbled).first()) == (1, 2, 1)
     typed = P.weblog_parse_typed(lines).first()
     assert str(typed["time"]) == "2017-01-08 12:01:20"
 
