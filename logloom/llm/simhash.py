@@ -212,6 +212,17 @@ def allocate(fp: np.ndarray, parts: list[list[int]], est: list[np.ndarray],
     return out
 
 
+def bucket_sizes(est: np.ndarray, width: int) -> np.ndarray:
+    """Rows to expect in the bucket of each value (its probes included).  Of a
+    part wider than the histogram, what a cell holds far beyond the mean is
+    taken to share the further bits as well."""
+    rest = max(0, width - HIST_BITS)
+    if not rest:
+        return est[1]
+    hist = est[0] * 2.0 ** rest
+    return est[1] + np.maximum(0, hist - 8 * hist.mean())
+
+
 def _flips(width: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for r in range(1, radius + 1)
                      for c in itertools.combinations(range(width), r)], np.int64)
@@ -230,10 +241,11 @@ def _probes(parts: list[list[int]], est: list[np.ndarray], distance: int, bucket
     """Task function: index and probe rows ``(key, fp, mark)`` of fingerprints;
     mark: 1 indexed, 2 probing, 4 compare within the block, block from 8 on."""
     flips = [[_flips(len(p), r) for r in range(MAX_RADIUS + 1)] for p in parts]
+    crowds = [bucket_sizes(e, len(p)) for e, p in zip(est, parts)]
 
     def emit(i, value, fp, mark):
         seen = (1 << min(len(parts[i]), HIST_BITS)) - 1
-        crowd = est[i][1][value & seen]
+        crowd = crowds[i][value & seen]
         blocks = np.maximum(1, np.ceil(crowd / bucket)).astype(np.int64)
         own = (_mix(fp.view(np.int64)) & np.int64(0x7FFFFFFF)) % blocks
         one = blocks == 1

@@ -108,11 +108,12 @@ def test_any_number_of_parts_finds_all_links(spark, parts):
     assert same_partition(linked(spark, fps, parts=parts), brute_components(fps))
 
 
-def test_buckets_split_into_blocks_lose_nothing(spark):
+@pytest.mark.parametrize("parts", [5, 3])
+def test_buckets_split_into_blocks_lose_nothing(spark, parts):
     rng = random.Random(9)
     # all alike in three of the parts: one hot value each
     fps = sorted({rng.getrandbits(20) << 3 for _ in range(700)})
-    assert same_partition(linked(spark, fps, bucket=16), brute_components(fps))
+    assert same_partition(linked(spark, fps, parts=parts, bucket=16), brute_components(fps))
 
 
 def test_radii_follow_the_pigeonhole_rule_and_avoid_hot_values():
@@ -136,6 +137,13 @@ def test_estimates_count_balls():
             assert abs(est[r][v] - want) < 1e-6
 
 
+def test_a_crowd_in_a_wide_part_is_seen():
+    hist = np.full(1 << simhash.HIST_BITS, 10)
+    hist[77] = 1_000_000
+    size = simhash.bucket_sizes(simhash.estimates(hist, 21), 21)
+    assert size[77] > 900_000 and size[5] < 100
+
+
 def test_bit_parts_are_a_partition_that_groups_correlated_bits():
     rng = np.random.default_rng(2)
     bits = rng.integers(0, 2, (500, 64))
