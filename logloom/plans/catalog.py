@@ -23,7 +23,7 @@ from logloom.plans import etl, jobs
 from logloom.plans.inputs import Inputs
 from logloom.session import work_dir
 from logloom.sources import derived
-from logloom.sources.text import log_text_scan, table_scan
+from logloom.sources.text import table_scan
 from logloom.streaming import bus as bus_stream
 from logloom.streaming import offsets as stream_offsets
 from logloom.streaming import unpaid
@@ -43,11 +43,8 @@ def query(name: str):
 
 @query("log_text_scan")
 def log_text_scan_q(spark, sf):
-    """Land the derived access log as text, then scan it back."""
-    inp = Inputs(spark, sf)
-    path = work_dir(spark, "landing", "access_log", unique=True)
-    inp.lines.write.mode("overwrite").text(path)
-    return log_text_scan(spark, path)
+    """The derived access log, landed as text and scanned back."""
+    return Inputs(spark, sf).lines
 
 
 @query("ip_ranges_load")
@@ -272,21 +269,13 @@ def uv_mart_day_q(spark, sf):
 
 # --- roll-ups and rankings over written marts -----------------------------------
 
-# marts written by this application, by folder and fingerprint of its files
-_MARTS: dict[tuple[str, str, str], str] = {}
-
-
 def _marts_root(spark, inp: Inputs) -> str:
-    """The written marts of a folder: built on first use, and again when its
-    files have changed."""
-    key = (spark.sparkContext.applicationId, inp.sf_dir, inp.fingerprint())
-    if key not in _MARTS:
-        root = work_dir(spark, "marts", key[2], unique=True)
-        stage = work_dir(spark, "tables", "loginfo2", unique=True)
+    """The written marts of a folder."""
+    def write(root):
+        stage = f"{root}/loginfo2"
         etl.write_partitioned_overwrite(inp.loginfo2, stage)
         jobs.build_marts(spark, spark.read.schema(schemas.LOGINFO2).parquet(stage), inp.dims, root)
-        _MARTS[key] = root
-    return _MARTS[key]
+    return inp.landed("marts", write)
 
 
 def _report_query(name: str) -> Query:

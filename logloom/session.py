@@ -34,6 +34,8 @@ def get_spark(master: str | None = None, app_name: str = "logloom",
         # AQE sizes post-shuffle partitions to ~128 MB whatever the initial
         # shuffle partition count, so one count serves every stage
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # small splittable files still make a split per core
+        "spark.sql.files.openCostInBytes": "1m",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

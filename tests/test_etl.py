@@ -78,7 +78,7 @@ def test_facts_of_two_years_are_all_kept(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     both = ev.unionByName(ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 400 DAYS")))
     inp, two = Inputs(spark, SF_SMALL), Inputs(spark, SF_SMALL)
-    two.__dict__["events"] = both
+    two.__dict__.update(events=both, lines=derived.access_log_lines(both))
     assert two.facts_pv.count() == 2 * inp.facts_pv.count() > 0
 
 
