@@ -53,6 +53,12 @@ def test_the_quality_stage_rejects_documents(spark):
     assert gone and bad >= 0.8 * sum(i in known for i in gone)
 
 
+def test_the_quality_stage_rejects_documents_of_a_small_corpus(spark):
+    docs = table(spark, "documents", SF)
+    kept = {r.doc_id for r in corpus_pipeline.keep_good(spark, docs, SF).collect()}
+    assert kept < {r.doc_id for r in docs.collect()}
+
+
 def test_contract():
     assert [len(inspect.signature(f).parameters) for _, f in corpus_pipeline.STAGES] == [3] * 5
     assert all(m.__name__.startswith("logloom.llm") for m in (decontaminate, exact_dedup, simhash))
