@@ -144,6 +144,14 @@ def test_open_orders_and_waiting_payments_cross_batches(spark):
     assert ids(spark, root, unpaid.REJECTED) == [(2, "bad"), (2, "far")]
 
 
+def test_an_old_backlog_with_the_payment_one_batch_ahead(spark):
+    root = remind(spark, [
+        (at("12:00"), [_pay("old", "2019-07-01 10:03:00"), _pay("older", "2018-07-01 10:03:00")]),
+        (at("12:01"), [_order("old", "2019-07-01 10:00:00"), _order("unpaid", "2019-07-01 10:00:00")]),
+        (at("12:02"), [_order("older", "2018-07-01 10:00:00")])])
+    assert ids(spark, root) == [(1, "unpaid")]
+
+
 def test_a_replayed_batch_replaces_its_rows(spark):
     root = work_dir(spark, "test", "verdicts", unique=True)
     rows = _bus(spark, [_order("a", "2019-09-01 12:00:00")])
