@@ -3,7 +3,8 @@
 A text is brought to a canonical form (lower case; copyright lines dropped;
 equivalent spellings unified; punctuation and white space as single spaces)
 and looked up by the SHA-256 of that form among known licences.  The units
-looked up are whole: the entire document, each paragraph of it and each line.
+looked up are whole: the entire document, each run of consecutive paragraphs
+and each line.
 
 Scale: documents are read once and stay in the JVM.  The known digests are a
 fixed, bounded list, so they reach every task as an inline table; no text is
@@ -13,6 +14,8 @@ expressions.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +101,32 @@ KNOWN = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
+#: Start and end (not included) of the notices that licences give for use in
+#: files, and the end of the terms where an appendix follows.
+HEADERS = [
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");', None),
+    ("GPL-2.0", "This program is free software;", "Also add information on"),
+    ("GPL-3.0", "This program is free software:", "Also add information on"),
+    ("LGPL-2.1", "This library is free software;", "Also add information on"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms", "If it is not possible"),
+]
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+#: Leading canonical characters by which the start of a known text is found.
+LEAD = 8
+
+
+def published_texts() -> list[tuple[str, str]]:
+    """``(license, text)`` of the shipped whole texts (``licenses/<id>.txt``),
+    without their appendix too, and of their notices for files."""
+    whole = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+    out = list(whole.items())
+    out += [(i, t[:t.index(END_OF_TERMS) + len(END_OF_TERMS)]) for i, t in whole.items() if END_OF_TERMS in t]
+    for i, start, end in HEADERS:
+        at = whole[i].index(start)
+        out.append((i, whole[i][at:whole[i].index(end, at) if end else None]))
+    return out
+
+
 #: Lines that only say who holds the copyright.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright[^\p{L}\n]*[0-9]|copyright by |copyright copyright|all rights reserved)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
@@ -121,29 +150,44 @@ def canonical(text: Column) -> Column:
     return _one_line(canonical_lines(text))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> list[tuple[str, str, int]]:
-    """``(license, digest, length)`` of the canonical known texts; a fixed list."""
-    df = spark.createDataFrame([(i, t) for i, t in known], "license string, text string")
+def _leads(canon: str) -> set[str]:
+    """What a paragraph that starts the text may start with: its first
+    ``LEAD`` characters, or fewer whole words if the paragraph ends there."""
+    return {canon[:LEAD]} | {canon[:n] for n in range(1, min(LEAD, len(canon))) if canon[n] == " "}
+
+
+def _known_canonical(spark: SparkSession, known) -> list[tuple[str, str, int, str]]:
+    df = known if isinstance(known, DataFrame) else spark.createDataFrame(
+        list(known), "license string, text string")
     c = canonical(F.col("text"))
-    return sorted({(r[0], r[1], r[2]) for r in
-                   df.select("license", F.sha2(c, 256), F.char_length(c)).collect()})
+    return sorted({tuple(r) for r in
+                   df.select("license", F.sha2(c, 256), F.char_length(c), c).where(F.char_length(c) > 0).collect()})
+
+
+def known_digests(spark: SparkSession, known=KNOWN) -> list[tuple[str, str, int]]:
+    """``(license, digest, length)`` of the canonical known texts."""
+    return sorted({r[:3] for r in _known_canonical(spark, known)})
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+                  known: DataFrame | list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per input row: ``__row_id, id, text_sha256, whole, licenses, n_units``.
 
     ``text_sha256`` is the digest of the canonical whole text; ``whole`` the
     licence that the entire text is (else null); ``licenses`` the sorted ids
     found in the text, comma-joined (empty: none); ``n_units`` the number of
-    distinct units (whole, paragraphs, lines) that are known.  A null or
-    empty text, and one that is only punctuation, has no licence.
+    distinct units (whole, runs of paragraphs, lines) that are known.  A null
+    or empty text, and one that is only punctuation, has no licence.
+
+    ``known`` is a table of ``license, text`` (collected: a list of licences),
+    or a list; without it ``KNOWN`` and ``published_texts``.
     """
     spark = docs.sparkSession
-    table = known_digests(spark, known)
-    values = ", ".join(f"('{i}', '{d}')" for i, d, _ in table)
+    table = _known_canonical(spark, KNOWN + published_texts() if known is None else known)
+    values = ", ".join(f"('{i}', '{d}')" for i, d in sorted({r[:2] for r in table}))
     lookup = spark.sql(f"SELECT * FROM VALUES {values} AS t(license, digest)")
-    lengths = sorted({n for _, _, n in table})
+    lengths = sorted({r[2] for r in table})
+    leads = sorted(set().union(*(_leads(r[3]) for r in table)))
 
     lines = canonical_lines(F.col("text"))
     rows = with_row_id(docs, id_col, text_col).select(ROW_ID, "id", lines.alias("lines"))
@@ -153,7 +197,24 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     units = F.array_distinct(F.filter(
         F.transform(F.filter(parts, lambda u: F.char_length(u) <= 4 * max(lengths)), _one_line),
         lambda u: F.char_length(u).isin(lengths)))
-    rows = rows.select(ROW_ID, "id", whole.alias("whole_text"), units.alias("units"))
+    paragraphs = F.filter(F.transform(F.split("lines", r"\n[ \n]*\n"), _one_line), lambda u: u != "")
+    rows = rows.select(ROW_ID, "id", whole.alias("whole_text"), units.alias("units"),
+                       paragraphs.alias("paragraphs"))
+    # where paragraphs start that may start a known text, and where all end, as
+    # places in the whole text (its paragraphs joined by one space)
+    ends = F.aggregate("paragraphs", F.array(F.lit(0)), lambda a, u: F.concat(
+        a, F.array(F.element_at(a, -1) + F.char_length(u) + 1)))
+    begins = F.exists("paragraphs", lambda u: F.substring(u, 1, LEAD).isin(leads))
+    rows = rows.select(ROW_ID, "id", "whole_text", "units", "paragraphs",
+                       F.when(begins, ends).alias("ends"))
+    starts = F.filter(F.transform("paragraphs", lambda u, i: F.when(
+        F.substring(u, 1, LEAD).isin(leads), F.get("ends", i))), lambda s: s.isNotNull())
+    sizes = F.array(*[F.lit(n) for n in lengths])
+    runs = F.flatten(F.transform(starts, lambda s: F.transform(
+        F.filter(sizes, lambda n: F.array_contains("ends", s + n + 1)),
+        lambda n: F.substring("whole_text", s + 1, n))))
+    rows = rows.select(ROW_ID, "id", "whole_text", F.when(
+        F.col("ends").isNotNull(), F.array_union("units", runs)).otherwise(F.col("units")).alias("units"))
     rows = rows.select(ROW_ID, "id", F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), F.sha2("whole_text", 256).alias("digest"))),
         F.transform(F.array_except("units", F.array("whole_text")),

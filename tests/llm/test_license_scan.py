@@ -27,6 +27,23 @@ def test_notices_inside_documents(spark):
     assert [found[i]["n_units"] for i in range(5)] == [1, 2, 0, 1, 1]
 
 
+def test_whole_texts_and_headers_with_and_without_other_text(spark):
+    known = L.published_texts()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0",
+            "MPL-2.0", "Unlicense", "CC0-1.0"} <= {i for i, _ in known}
+    texts = known + [(i, t) for i, t in L.KNOWN[:6]]
+    found = scan(spark, [t for _, t in texts] + [f"int main;\n\n{t}\n\nThe code goes on.\n\nx" for _, t in texts])
+    for n, (i, t) in enumerate(texts):
+        assert found[n]["whole"] == i and found[n + len(texts)]["whole"] is None
+        assert i in found[n + len(texts)]["licenses"].split(","), (i, t[:40])
+    # a text that ends inside a paragraph is not it; the list can be a table
+    cut = scan(spark, [L._ZLIB + " And more.", "x " + L._ZLIB])
+    assert all(r["licenses"] == "" for r in cut.values())
+    table = spark.createDataFrame([("Own", "One\n\nTwo words.")], "license string, text string")
+    docs = spark.createDataFrame([(1, "a\n\none\n\n\ntwo WORDS\n\nb"), (2, "one two words"), (3, "one two")], "doc_id int, text string")
+    assert {r["id"]: r["licenses"] for r in dicts(L.scan_licenses(docs, known=table))} == {1: "Own", 2: "Own", 3: ""}
+
+
 def test_edge_rows(edge, empty):
     found = dicts(L.scan_licenses(edge))
     assert len(found) == len(EDGE)
