@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import (decontaminate, exact_dedup, license_scan, packing, quality, secret_scan,
-                         sharding, simhash, url_filter, warc)
+from logloom.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, packing, quality,
+                         secret_scan, sharding, simhash, url_filter, warc)
 from logloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,13 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
                         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontaminate, op2_simhash, op3_exact_dedup, op4_quality, op5_license_scan,
-    op6_secret_scan, op7_packing, op8_warc, op9_url_filter, op10_sharding)}
+    op6_secret_scan, op7_packing, op8_warc, op9_url_filter, op10_sharding, op11_hard_negatives)}

@@ -16,6 +16,7 @@ COLUMNS = {
     "op8_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
     "op9_url_filter": {"page_id", "host", "path", "rule", "verdict"},
     "op10_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
+    "op11_hard_negatives": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
 }
 
 
@@ -37,4 +38,4 @@ def test_contract_columns(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 1 + len(queries.QUERIES)))
