@@ -63,7 +63,10 @@ class ChunkTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = True  # in chunks, where letters are lower-cased
+        #: Texts that hold one of these are encoded whole, by the plain call.
+        self.plain = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -83,6 +86,20 @@ class ChunkTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
+        whole = np.zeros(len(texts), bool)
+        for word in self.special:
+            whole |= pc.match_substring(texts, word).to_numpy(zero_copy_only=False).astype(bool)
+        if not whole.any():
+            return self._chunked(texts)
+        flat, sizes = self._chunked(pc.if_else(pa.array(whole), "", texts))
+        found = self.plain.encode_batch(texts.filter(pa.array(whole)).to_pylist(), add_special_tokens=False)
+        ids = [np.array(e.ids, flat.dtype) for e in found]
+        at = np.cumsum(sizes)[whole]
+        sizes[whole] = [len(i) for i in ids]
+        return np.insert(flat, np.repeat(at, sizes[whole]), np.concatenate(ids)), sizes
+
+    def _chunked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts without special tokens."""
         plain = pc.replace_substring_regex(pc.ascii_lower(texts), STOPPED, r"\1 \2\3")
         chunks = pc.ascii_split_whitespace(plain)
         offsets = chunks.offsets.to_numpy()

@@ -27,12 +27,12 @@ def check(rows, capacity):
 def reference_ids(texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return [e.ids + [1] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_chunks_encode_as_whole_texts(spark):
-    texts = ["", " ", "Hello  world", "it's they'LL\tdon't", "é e\u0301 \u00a0x\u2003y \u0301z", "<|endoftext|> a",
+    texts = ["", " ", "Hello  world", "it's they'LL\tdon't", "é e\u0301 \u00a0x\u2003y \u0301z", "<|endoftext|> a", "hello <|endoftext|> world", "x<|startoftext|><|endoftext|>y",
+             "<|ENDOFTEXT|>", "<|endof text|>", "<|endoftext",
              "ΟΔΟΣ ΟΔΟΣ. İstanbul ǅ ﬁ", "1234 12a3 !!!?? a--b", "\x1c\x1da\x85b", "日本語 テスト 😀😀"]
     texts += [r.text for r in table(spark, "documents").collect()]
     flat, sizes = P.ChunkTokenizer(tokenizer_path()).encode(pa.array(texts))
