@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, packing, quality,
-                         secret_scan, sharding, simhash, url_filter, warc)
+from logloom.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, nnls_packing,
+                         packing, quality, secret_scan, sharding, simhash, url_filter, warc)
 from logloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,12 @@ def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op12_nnls_packing(spark: SparkSession, sf: str) -> DataFrame:
+    found = nnls_packing.pack(read(spark, sf, "documents"), tokenizer_path())
+    return found.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens",
+                        "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontaminate, op2_simhash, op3_exact_dedup, op4_quality, op5_license_scan,
-    op6_secret_scan, op7_packing, op8_warc, op9_url_filter, op10_sharding, op11_hard_negatives)}
+    op6_secret_scan, op7_packing, op8_warc, op9_url_filter, op10_sharding, op11_hard_negatives, op12_nnls_packing)}
