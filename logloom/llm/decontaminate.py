@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, bounded_batches, sliced, stored, text_or_empty, with_row_id
+from logloom.llm.common import (ROW_ID, ROW_ID_ARROW, ROW_ID_DDL, bounded_batches, sliced, stored,
+                                text_or_empty, with_row_id)
 from logloom.llm.tokens import ALNUM, Words
 
 WINDOW = 10
@@ -277,9 +278,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     from pyspark.sql.pandas.types import to_arrow_type
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
                                ("byte_start", pa.int64()), ("byte_end", pa.int64())]))
-    out = pa.schema([(ROW_ID, pa.int64()), ("id", to_arrow_type(rows.schema["id"].dataType)),
+    out = pa.schema([(ROW_ID, ROW_ID_ARROW), ("id", to_arrow_type(rows.schema["id"].dataType)),
                      ("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
-    ddl = (f"`{ROW_ID}` bigint, id {rows.schema['id'].dataType.simpleString()}, n_words bigint, "
+    ddl = (f"{ROW_ID_DDL}, id {rows.schema['id'].dataType.simpleString()}, n_words bigint, "
            f"spans {_SPAN}, items array<string>")
 
     def search(block):
@@ -299,9 +300,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return run
     passes = []
     for b in range(blocks):
-        mine = pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == b)
-        block = spark.sparkContext.broadcast(Phrases([(r.window, r.item) for r in mine.collect()]))
-        passes.append(rows.mapInArrow(search(block), ddl))
+        passes.append(rows.mapInArrow(search(_block(pairs, b, blocks)), ddl))
     if len(passes) == 1:
         return passes[0]
     every = passes[0]
@@ -330,47 +329,91 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
 
 
-def _cut(docs: DataFrame, hits: DataFrame, text_col: str) -> DataFrame:
-    """The documents of ``hits`` without their removal spans."""
-    rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id()).join(
-        hits, F.col(ROW_ID) == F.col("__hit_row")).where(~F.col("__gone"))
-    raw = F.col(text_col).cast("binary")
-    ends = F.transform("__spans", lambda s: s["byte_end"])
-    starts = F.transform("__spans", lambda s: s["byte_start"])
-    cuts = F.arrays_zip(F.concat(F.array(F.lit(0).cast("bigint")), ends).alias("a"),
-                        F.concat(starts, F.array(F.octet_length(text_col).cast("bigint"))).alias("b"))
-    pieces = F.transform(cuts, lambda c: F.substring(
-        raw, (c["a"] + 1).cast("int"), (c["b"] - c["a"]).cast("int")).cast("string"))
-    rows = rows.withColumn(text_col, F.array_join(pieces, "\n"))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
-
-
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                         text_col: str = "text", **kw) -> DataFrame:
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    """A text without byte ranges; a cut leaves a line end."""
+    raw, out, at = text.encode(), [], 0
+    for start, end in spans:
+        out.append(raw[at:start])
+        at = end
+    return b"\n".join([*out, raw[at:]]).decode()
+
+
+def _cut(block, at: int, chars: int | None):
+    """Task function: rows with the removal spans of a block of windows cut
+    out of column ``at`` until none has a hit; rows of which no word is left go."""
+    def run(batches):
+        phrases = block.value
+        for batch in sliced(batches, at, max_bytes=SHARD_BYTES, max_rows=1 << 20):
+            texts = pc.fill_null(batch.column(at).cast(pa.string()), "")
+            changed: dict[int, str] = {}
+            gone: set[int] = set()
+            rows = np.arange(batch.num_rows)
+            while len(rows):
+                n_words, hits = find_in_shard(texts, phrases)
+                again = []
+                for d in sorted(hits):
+                    row, (starts, ends, byte_starts, byte_ends, _) = int(rows[d]), hits[d]
+                    if sum(ends) - sum(starts) == n_words[d]:
+                        gone.add(row)
+                        continue
+                    changed[row] = _without(texts[d].as_py(), list(zip(byte_starts, byte_ends)))
+                    again.append(row)
+                rows = np.array(again, np.int64)
+                texts = pa.array([changed[r] for r in again], pa.string())
+            if changed:
+                columns = list(batch.columns)
+                for c, value in ((at, lambda t: t), (chars, len)):
+                    if c is not None:
+                        kind = batch.schema.field(c).type
+                        put = pa.array([value(changed[r]) for r in sorted(changed)]).cast(kind)
+                        mask = np.zeros(batch.num_rows, bool)
+                        mask[sorted(changed)] = True
+                        columns[c] = pc.replace_with_mask(columns[c], pa.array(mask), put)
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            if gone:
+                batch = batch.filter(pa.array([r not in gone for r in range(batch.num_rows)]))
+            yield batch
+    return run
+
+
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                         item_col: str = "item_id", item_text_col: str = "text",
+                         window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``docs`` with the removal spans cut out of their texts.
 
     A cut leaves a line end, so that no words run together.  What stood
-    before and behind a cut may itself make a benchmark window, so documents
-    that were cut are searched again until none has a hit.  Documents with no
-    hit keep their text byte for byte; a document of which no word is left
-    goes.  ``n_chars``, where there is one, follows the new text.
+    before and behind a cut may itself make a benchmark window, so a text that
+    was cut is searched again until it has no hit.  Documents with no hit keep
+    their text byte for byte; a document of which no word is left goes.
+    ``n_chars``, where there is one, follows the new text.
+
+    A benchmark of one block of windows is cut where the documents are read;
+    more blocks are cut one after the other, with a stored table between, and
+    again until no block changes a row.
     """
-    done: list[DataFrame] = []
-    while True:
-        found = stored(contamination(docs, benchmark, id_col, text_col, **kw), "contaminated")
-        hits = found.where(F.size("spans") > 0).select(
-            F.col(ROW_ID).alias("__hit_row"), F.col("spans").alias("__spans"),
-            (n_hit(F.col("spans")) == F.col("n_words")).alias("__gone"))
-        if hits.isEmpty():
-            done.append(docs)
-            break
-        rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id())
-        done.append(rows.join(hits.select("__hit_row"), F.col(ROW_ID) == F.col("__hit_row"),
-                              "left_anti").select(*docs.columns))
-        docs = stored(_cut(docs, hits, text_col), "cut")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    pairs = benchmark_windows(benchmark, item_col, item_text_col, window)
+    blocks = max(1, -(-pairs.count() // block_windows))
+    chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def cut(rows: DataFrame, b: int) -> DataFrame:
+        block = _block(pairs, b, blocks)
+        return rows.mapInArrow(_cut(block, docs.columns.index(text_col), chars), docs.schema)
+
+    def state(rows: DataFrame) -> tuple:
+        return tuple(rows.agg(F.count(F.lit(1)), F.sum(F.octet_length(text_col)),
+                              F.bit_xor(F.xxhash64(text_col))).first())
+    if blocks == 1:
+        return cut(docs, 0)
+    before = None
+    while (now := state(docs)) != before:
+        before = now
+        for b in range(blocks):
+            docs = stored(cut(docs, b), "cut")
+    return docs
+
+
+def _block(pairs: DataFrame, b: int, blocks: int):
+    mine = pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == b)
+    return pairs.sparkSession.sparkContext.broadcast(Phrases([(r.window, r.item) for r in mine.collect()]))

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.common import ROW_ID, bounded_batches, sliced, stored, with_row_id
+from logloom.llm.common import (ROW_ID, ROW_ID_ARROW, bounded_batches, identified, keep_rows, sliced,
+                                stored, with_row_id)
 
 BLOCK_CHARS = 8192
 #: A task forgets its block contents beyond this many characters; a block
@@ -32,7 +33,7 @@ LOCAL_CHARS = 32 << 20
 
 def _local_names(id_type: pa.DataType, block_chars: int):
     """Task function: one row per block, with its content on first sight."""
-    schema = pa.schema([(ROW_ID, pa.int64()), ("id", id_type), ("sha256", pa.string()),
+    schema = pa.schema([(ROW_ID, ROW_ID_ARROW), ("id", id_type), ("sha256", pa.string()),
                         ("n", pa.int64()), ("pos", pa.int64()), ("local", pa.int64()),
                         ("block", pa.string())])
 
@@ -74,7 +75,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = with_row_id(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType
     schema = T.StructType([
-        T.StructField(ROW_ID, T.LongType()), T.StructField("id", id_type),
+        T.StructField(ROW_ID, rows.schema[ROW_ID].dataType), T.StructField("id", id_type),
         T.StructField("sha256", T.StringType()), T.StructField("n", T.LongType()),
         T.StructField("pos", T.LongType()), T.StructField("local", T.LongType()),
         T.StructField("block", T.StringType())])
@@ -134,7 +135,5 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(
-        F.col(ROW_ID).alias("__kept_row"))
-    rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id())
-    return rows.join(kept, F.col(ROW_ID) == F.col("__kept_row"), "left_semi").drop(ROW_ID)
+    docs = identified(docs)
+    return keep_rows(docs, exact_duplicates(docs, id_col, text_col).where("kept"))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-from logloom.llm.common import ROW_ID, bounded_batches, sliced, with_row_id
+from logloom.llm.common import ROW_ID, ROW_ID_ARROW, ROW_ID_DDL, bounded_batches, sliced, with_row_id
 from logloom.llm.packing import END_ID, SLICE_BYTES, _tokenizer
 
 CAPACITY = 2048
@@ -217,7 +217,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     bounded_batches(docs.sparkSession)
     rows = with_row_id(docs, id_col, text_col)
     id_type = to_arrow_type(rows.schema["id"].dataType)
-    fields = [(ROW_ID, pa.int64()), ("id", id_type), ("start", pa.int64()), ("length", pa.int64()),
+    fields = [(ROW_ID, ROW_ID_ARROW), ("id", id_type), ("start", pa.int64()), ("length", pa.int64()),
               ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
               ("offset", pa.int64())] + ([("ids", pa.binary())] if with_ids else [])
     schema = pa.schema(fields)
@@ -243,7 +243,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 columns.append(pa.array([bytes(s) for s in spans], pa.binary()))
             yield from pa.table(columns, schema=schema).to_batches(max_chunksize=20_000)
             sequences += int(sequence.max()) + 1
-    ddl = (f"`{ROW_ID}` bigint, id {rows.schema['id'].dataType.simpleString()}, start bigint, length bigint, "
+    ddl = (f"{ROW_ID_DDL}, id {rows.schema['id'].dataType.simpleString()}, start bigint, length bigint, "
            "ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
            + (", ids binary" if with_ids else ""))
     return rows.mapInArrow(run, ddl)

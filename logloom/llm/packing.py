@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, bounded_batches, sliced, stored, with_row_id
+from logloom.llm.common import (ROW_ID, ROW_ID_ARROW, ROW_ID_DDL, bounded_batches, sliced, stored,
+                                with_row_id)
 
 CAPACITY = 4096
 END_ID = 1
@@ -159,11 +160,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                  pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                  pa.array([task] * len(src), pa.int32()), pa.array(nth, pa.int64())],
-                schema=pa.schema([(ROW_ID, pa.int64()), ("id", id_type), ("piece", pa.int32()),
+                schema=pa.schema([(ROW_ID, ROW_ID_ARROW), ("id", id_type), ("piece", pa.int32()),
                                   ("start", pa.int64()), ("length", pa.int64()),
                                   ("ids_crc32", pa.int64()), ("task", pa.int32()),
                                   ("nth", pa.int64())]))
-    ddl = (f"`{ROW_ID}` bigint, id {rows.schema['id'].dataType.simpleString()}, piece int, "
+    ddl = (f"{ROW_ID_DDL}, id {rows.schema['id'].dataType.simpleString()}, piece int, "
            "start bigint, length bigint, ids_crc32 bigint, task int, nth bigint")
     return rows.mapInArrow(run, ddl)
 
@@ -347,5 +348,5 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     kind = pieces.schema["id"].dataType.simpleString()
     return pieces.join(before, ["task", "length"]).select(
         ROW_ID, "id", "piece", "start", "length", "ids_crc32", "nth", "before").mapInArrow(
-        locate, f"`{ROW_ID}` bigint, id {kind}, piece int, start bigint, length bigint, "
+        locate, f"{ROW_ID_DDL}, id {kind}, piece int, start bigint, length bigint, "
                 "ids_crc32 bigint, sequence_id bigint, offset bigint")

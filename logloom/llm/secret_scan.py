@@ -24,7 +24,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, with_row_id
+from logloom.llm.common import MARK_BYTES, ROW_ID, bit_set, stored, with_row_id
 
 BUCKET = 32768  # rows of one posting bitmap: fixed by Spark's bitmap functions
 
@@ -144,18 +144,20 @@ def _both_strings(tree) -> set[frozenset[str]]:
 
 
 def trigram_postings(rows: DataFrame, trigrams: list[str]) -> DataFrame:
-    """``trigram, bucket, rows``: a bitmap of row ids per trigram and bucket."""
+    """``trigram, file, bucket, rows``: a bitmap of rows per trigram, file and
+    32,768 rows of it."""
     low = rows.select(ROW_ID, F.lower("text").alias("low"))
     held = F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams])
     hits = low.select(ROW_ID, F.explode(held).alias("trigram")).where(F.col("trigram").isNotNull())
     # the bitmap functions count ids from 1 within a bucket
-    one = F.col(ROW_ID) + 1
-    return hits.groupBy("trigram", F.bitmap_bucket_number(one).alias("bucket")).agg(
+    one = F.col(f"{ROW_ID}.row") + 1
+    return hits.groupBy("trigram", F.col(f"{ROW_ID}.file").alias("file"),
+                        F.bitmap_bucket_number(one).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias("rows"))
 
 
 def candidates(rows: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``bucket`` and, for every rule with mandatory trigrams, the bitmap
+    """``file``, ``bucket`` and, for every rule with mandatory trigrams, the bitmap
     ``rows_<kind>`` of the rows that satisfy its query (null: none)."""
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     clauses = [(k, i, t) for k, q in queries.items() for i, c in enumerate(q) for t in sorted(c)]
@@ -167,26 +169,17 @@ def candidates(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     wanted = F.create_map(*[x for t, cs in by_trigram.items() for x in (
         F.lit(t), F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("clause"),
                                      F.lit(need[k, i]).alias("need")) for k, i in cs]))])
-    conj = (postings.select("bucket", "rows", F.explode(F.element_at(wanted, F.col("trigram"))).alias("c"))
-            .groupBy("bucket", F.col("c.kind").alias("kind"), F.col("c.clause").alias("clause"),
+    conj = (postings.select("file", "bucket", "rows", F.explode(F.element_at(wanted, F.col("trigram"))).alias("c"))
+            .groupBy("file", "bucket", F.col("c.kind").alias("kind"), F.col("c.clause").alias("clause"),
                      F.col("c.need").alias("need"))
             .agg(F.bitmap_and_agg("rows").alias("rows"), F.count(F.lit(1)).alias("n"))
             .where(F.col("n") == F.col("need")))
     kinds = [k for k, q in queries.items() if q]
-    return conj.groupBy("bucket").agg(*[
+    return conj.groupBy("file", "bucket").agg(*[
         F.bitmap_or_agg(F.when(F.col("kind") == k, F.col("rows"))).alias(f"rows_{k}")
         for k in kinds])
 
 
-def _bit(bitmap: Column, position: Column) -> Column:
-    """Whether a bit of a bitmap is set."""
-    byte = F.conv(F.hex(F.substring(bitmap, (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))),
-                  16, 10).cast("int")
-    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]),
-                        (position.bitwiseAND(F.lit(7)) + 1).cast("int"))
-    return F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False))
-
-
 def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     """Array of ``(start, rank, end, kind)`` of a rule's matches, code points,
     end exclusive.  ``split`` gives the texts between the matches, so that
@@ -224,14 +217,19 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for r in rules:
         re.compile(r.regex)
     rows = with_row_id(docs, id_col, text_col)
-    at = F.bitmap_bit_position(F.col(ROW_ID) + 1)
-    found = rows.withColumn("__bucket", F.bitmap_bucket_number(F.col(ROW_ID) + 1)).join(
-        candidates(rows, rules).withColumnRenamed("bucket", "__bucket"), "__bucket", "left")
+    one = F.col(f"{ROW_ID}.row") + 1
+    at = F.bitmap_bit_position(one)
+    found = stored(candidates(rows, rules), "secret_candidates")
+    # bitmaps travel to the texts, not the texts to the bitmaps, up to a checked size
+    small = found.count() * 4096 * len(rules) <= MARK_BYTES
+    found = rows.join(F.broadcast(found) if small else found.hint("merge"),
+                      (F.col(f"{ROW_ID}.file") == F.col("file"))
+                      & (F.bitmap_bucket_number(one) == F.col("bucket")), "left")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
     each = []
     for rank, r in enumerate(rules):
         # a scan rule first looks for a run of the least length, in one pass
-        maybe = (_bit(F.col(f"rows_{r.kind}"), at) if trigram_query(r.regex)
+        maybe = (bit_set(F.col(f"rows_{r.kind}"), at) if trigram_query(r.regex)
                  else F.col("text").rlike(r.regex.removesuffix("+") + "{%d}" % r.least
                                           if r.regex.endswith("+") and r.least else r.regex))
         each.append(F.when(maybe, rule_spans(F.col("text"), r, rank)).otherwise(none))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, stored, with_row_id
+from logloom.llm.common import ROW_ID, identified, row_id, stored, with_row_id
 
 SHARDS = 8
 #: Ranges per shard at least; sampled keys per range; records and bytes that
@@ -161,7 +161,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     A column of the name ``shard`` in ``docs`` is replaced.  The write is
     dealt by the slot's file number too, so no shard passes through one task.
     """
-    rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id()).drop("shard")
+    docs = identified(docs)
+    rows = docs.select("*", row_id(docs)).drop("shard")
     where = shard_records(docs, id_col, text_col, shards).select(
         F.col(ROW_ID).alias("__at"), "shard", (F.col("slot") % 16).alias("__file"))
     (rows.join(where, F.col(ROW_ID) == F.col("__at")).drop(ROW_ID, "__at")

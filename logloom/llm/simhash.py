@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, bounded_batches, sliced, stored, with_row_id
+from logloom.llm.common import (ROW_ID, ROW_ID_ARROW, ROW_ID_DDL, bounded_batches, identified, keep_rows,
+                                sliced, stored, with_row_id)
 from logloom.llm.components import connected_components, local_components
 
 BITS = 64
@@ -75,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bounded_batches(docs.sparkSession)
     rows = with_row_id(docs, id_col, text_col)
     from pyspark.sql.pandas.types import to_arrow_type
-    schema = pa.schema([(ROW_ID, pa.int64()), ("id", to_arrow_type(rows.schema["id"].dataType)),
+    schema = pa.schema([(ROW_ID, ROW_ID_ARROW), ("id", to_arrow_type(rows.schema["id"].dataType)),
                         ("fp", pa.int64())])
 
     def run(batches):
@@ -84,7 +85,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.array([simhash(t.lower(), shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(ROW_ID), b.column("id"), pa.array(fp)],
                                              schema=schema)
-    ddl = f"`{ROW_ID}` bigint, id {rows.schema['id'].dataType.simpleString()}, fp bigint"
+    ddl = f"{ROW_ID_DDL}, id {rows.schema['id'].dataType.simpleString()}, fp bigint"
     return rows.mapInArrow(run, ddl)
 
 
@@ -394,7 +395,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that stay: the one with the least id of each
     component (the first of the scan among repeated ids)."""
-    kept = near_duplicates(docs, id_col, text_col, shingle, distance).where(
-        F.col(ROW_ID) == F.col("keep_row")).select(F.col(ROW_ID).alias("__kept_row"))
-    rows = docs.withColumn(ROW_ID, F.monotonically_increasing_id())
-    return rows.join(kept, F.col(ROW_ID) == F.col("__kept_row"), "left_semi").drop(ROW_ID)
+    docs = identified(docs)
+    found = near_duplicates(docs, id_col, text_col, shingle, distance)
+    return keep_rows(docs, found.where(F.col(ROW_ID) == F.col("keep_row")))

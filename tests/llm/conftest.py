@@ -39,4 +39,10 @@ def table(spark, name, sf=SF):
 
 
 def dicts(df):
-    return [r.asDict(recursive=True) for r in df.collect()]
+    """Rows as dictionaries; a row id as a tuple."""
+    out = [r.asDict(recursive=True) for r in df.collect()]
+    for r in out:
+        for k, v in r.items():
+            if isinstance(v, dict) and set(v) == {"file", "row"}:
+                r[k] = (v["file"], v["row"])
+    return out
