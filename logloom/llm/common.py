@@ -102,9 +102,10 @@ def row_marks(rows: DataFrame) -> DataFrame:
         F.substring("__marks", F.lit(1), (F.shiftright("__last", 3) + 1).cast("int")).alias("__marks"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, max_bytes: int = MARK_BYTES) -> DataFrame:
+def keep_rows(docs: DataFrame, kept: DataFrame, max_bytes: int = MARK_BYTES,
+              with_id: bool = False) -> DataFrame:
     """The rows of ``docs`` whose ``__row_id`` stands in ``kept``, with all
-    their columns.
+    their columns and, if asked for, the row id.
 
     ``docs`` is what the ids were taken from, after ``identified``.  The ids
     travel to the rows as bitmaps, so no text is shuffled; bitmaps of more
@@ -116,9 +117,10 @@ def keep_rows(docs: DataFrame, kept: DataFrame, max_bytes: int = MARK_BYTES) ->
     rows = docs.select("*", row_id(docs))
     # the hint of a size that was checked; without one the planner shuffles
     marks = F.broadcast(marks) if size <= max_bytes else marks.hint("merge")
-    return rows.join(marks, (F.col(f"{ROW_ID}.file") == F.col("__file"))
+    rows = rows.join(marks, (F.col(f"{ROW_ID}.file") == F.col("__file"))
                      & (F.bitmap_bucket_number(one) == F.col("__bucket"))
-                     & bit_set(F.col("__marks"), F.bitmap_bit_position(one)), "left_semi").drop(ROW_ID)
+                     & bit_set(F.col("__marks"), F.bitmap_bit_position(one)), "left_semi")
+    return rows if with_id else rows.drop(ROW_ID)
 
 
 def text_or_empty(text_col: str) -> Column:

@@ -158,7 +158,30 @@ WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_scor
 QUALIFY rank <= 5
 """
 
+def _terms(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), "
+            r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, {_terms('text')} AS w FROM documents),
+l AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+g AS (SELECT count(*) AS docs, sum(n) AS total FROM l),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+q AS (SELECT item_id, term, count(*) AS times
+      FROM (SELECT item_id, unnest({_terms('text')}) AS term FROM benchmark) GROUP BY item_id, term),
+f AS (SELECT term, count(*) AS df FROM t WHERE term IN (SELECT term FROM q) GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM f, g),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // CAST(total AS BIGINT) AS m FROM l, g),
+s AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op1_decontaminate": OP1, "op3_exact_dedup": OP3, "op5_license_scan": _op5(),
     "op6_secret_scan": _op6(), "op8_warc": OP8, "op9_url_filter": OP9,
-    "op11_hard_negatives": OP11}
+    "op11_hard_negatives": OP11,
+    "op13_ranked_search": OP13}

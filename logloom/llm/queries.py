@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, nnls_packing,
-                         packing, quality, secret_scan, sharding, simhash, url_filter, warc)
+                         packing, quality, ranked_search, secret_scan, sharding, simhash, url_filter, warc)
 from logloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,12 @@ def op12_nnls_packing(spark: SparkSession, sf: str) -> DataFrame:
                         "sequence_id", "offset")
 
 
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    found = ranked_search.search(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontaminate, op2_simhash, op3_exact_dedup, op4_quality, op5_license_scan,
-    op6_secret_scan, op7_packing, op8_warc, op9_url_filter, op10_sharding, op11_hard_negatives, op12_nnls_packing)}
+    op6_secret_scan, op7_packing, op8_warc, op9_url_filter, op10_sharding, op11_hard_negatives, op12_nnls_packing,
+    op13_ranked_search)}

@@ -18,6 +18,7 @@ COLUMNS = {
     "op10_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op11_hard_negatives": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
     "op12_nnls_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+    "op13_ranked_search": {"item_id", "rank", "doc_id", "score"},
 }
 
 
