@@ -8,7 +8,7 @@ from logloom.functions.columns import (
 )
 from logloom.functions.parse import (
     access_log_parse, access_log_parse_monthly, csv_fields, parse_coverage,
-    request_split_parse, split_groups, weblog_parse_typed,
+    request_split_parse, weblog_parse_typed,
 )
 
 __all__ = [
@@ -16,7 +16,7 @@ __all__ = [
     "csv_fields", "daystr", "device_type", "ipv4_to_long", "is_error_status",
     "is_static_resource", "is_static_resource_substring", "log_time",
     "long_to_ipv4", "order_amount", "parse_coverage", "referer_host",
-    "region_from_ip_json", "request_split_parse", "split_groups",
+    "region_from_ip_json", "request_split_parse",
     "split_ymd_int", "split_ymd_str", "time_interval_seconds",
     "weblog_parse_typed", "yearmonth", "yearmonthday",
 ]

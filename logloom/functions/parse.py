@@ -1,10 +1,13 @@
-"""Access-log line parsers.
-
-A line is matched and split in a single regex pass: the anchored pattern is
-rewritten into its groups joined by ``\\n`` and the result is split.  Text
-lines never contain ``\\n`` and none of the patterns can match one, so a
-line matched iff it has no ``\\n`` and splits into exactly the group count.
-That replaces eight separate ``regexp_extract`` scans per line with one.
+"""Access-log line parsers, in time linear in the line.
+
+The line patterns are sequences of greedy groups, so a backtracking engine may
+try every combination of their delimiters on a near-miss line.  But the
+delimiters are settled from the right: a longer group to the left never makes
+the rest impossible that a shorter one allows, so each greedy group ends at the
+last delimiter that leaves room for what was settled behind it.  One search per
+delimiter, from the right, finds the captures of the pattern; no step goes back
+on another.  ``tests/test_parse_property.py`` holds the parsers against the
+patterns.
 """
 
 from __future__ import annotations
@@ -34,55 +37,110 @@ COMBINED_LOG_FIELDS = ["ip", "identity", "datetime", "method", "target",
                        "protocol", "status", "sentBytes", "referer", "userAgent"]
 
 _SEP = "\n"
+#: What a line of any pattern is: a first token, a space, and no line
+#: terminator behind it ("." matches none).
+_ONE_LINE = r"^\S++ [^\n\r\u0085\u2028\u2029]*+\z"
+#: Request, status, bytes and referer: the last place of status and bytes.
+_NUMBERS = r'(?s)^(.*)" (\d++) (\d++) "(.*)\z'
+#: From the request on, every token of the combined and the strict format ends
+#: at a space, so only where the request begins is searched.
+_TOKENS_TAIL = r'\] "(\S++) (\S++) (\S+)" (\d++) (\d++) "(\S+)" "(.+)"\z'
+_REQUEST_TAIL = r'\] "(\S++ \S++ \S+)" (\d++) (\d++) "(\S+)" "(.+)"\z'
+
+
+def _groups(value: Column, pattern: str, n: int) -> Column:
+    """The ``n`` groups of a match of the whole value, else an array of one.
+    One pass: the value, which holds no line end, is rewritten and split."""
+    return F.split(F.regexp_replace(value, pattern, _SEP.join(f"${i}" for i in range(1, n + 1))), _SEP)
+
+
+def _behind_last(value: Column, sep: str) -> Column:
+    """What stands behind the last ``sep``; null without one."""
+    return F.when(value.contains(sep), F.substring_index(value, sep, -1))
+
+
+def _before(value: Column, behind: Column, sep: str) -> Column:
+    """``value`` without ``behind`` and the ``sep`` before it."""
+    return F.substring(value, F.lit(1), F.char_length(value) - F.char_length(behind) - len(sep))
+
+
+def _but_last(value: Column) -> Column:
+    return F.substring(value, F.lit(1), F.char_length(value) - 1)
+
 
+def _line(value: Column) -> Column:
+    """The line when it may match at all."""
+    return F.when(value.endswith('"') & value.rlike(_ONE_LINE), value)
 
-# Literal text every line pattern requires (`` [``, ``] "``, a final ``"``):
-# lines without them cannot match and skip the regex, whose nested greedy
-# groups can backtrack for a long time on long near-miss lines.
-_REQUIRED_SUBSTRINGS = [" [", '] "']
-_REQUIRED_SUFFIX = '"'
 
+def _front(rows: DataFrame, keep: list[str], rest: list[str]) -> DataFrame:
+    """From ``_left`` = ``ip session [datetime``: ``_ip``, ``_session``, ``_date``.
+    The last bracket that leaves a date behind it opens the date."""
+    rows = rows.select(*keep, *rest, "_left", _but_last(F.col("_left")).alias("_short"))
+    rows = rows.select(*keep, *rest, "_left", "_short", _behind_last(F.col("_short"), " [").alias("_date"))
+    rows = rows.select(*keep, *rest, F.concat("_date", F.right("_left", F.lit(1))).alias("_date"),
+                       _before(F.col("_short"), F.col("_date"), " [").alias("_front"))
+    rows = rows.select(*keep, *rest, "_date", "_front", F.when(
+        F.contains("_front", F.lit(" ")), F.substring_index("_front", " ", 1)).alias("_ip"))
+    return rows.select(*keep, *rest, "_date", "_ip", F.substring(
+        "_front", F.char_length("_ip") + 2, F.char_length("_front")).alias("_session"))
 
-def _may_match(v: Column) -> Column:
-    cond = v.endswith(_REQUIRED_SUFFIX)
-    for part in _REQUIRED_SUBSTRINGS:
-        cond = cond & v.contains(part)
-    return cond
 
+def _access_groups(lines: DataFrame, value: Column, keep: list[str]) -> DataFrame:
+    rows = lines.select(*keep, _but_last(_line(value)).alias("_body"))
+    rows = rows.select(*keep, "_body", _behind_last(F.col("_body"), '" "').alias("_agent"))
+    rows = rows.select(*keep, "_agent", _groups(
+        _before(F.col("_body"), F.col("_agent"), '" "'), _NUMBERS, 4).alias("_mid"))
+    rows = rows.select(*keep, "_agent", "_mid",
+                       F.when(F.size("_mid") == 4, F.get("_mid", F.lit(0))).alias("_head"))
+    rows = rows.select(*keep, "_agent", "_mid", "_head", _behind_last(F.col("_head"), '] "').alias("_url"))
+    rows = rows.select(*keep, "_agent", "_mid", "_url", _before(F.col("_head"), F.col("_url"), '] "').alias("_left"))
+    rows = _front(rows, keep, ["_agent", "_mid", "_url"])
+    return rows.select(*keep, F.array("_ip", "_session", "_date", "_url", *[
+        F.get("_mid", F.lit(i)) for i in (1, 2, 3)], "_agent").alias("_f"),
+        (F.col("_session") != "").alias("_m"))
 
-def split_groups(value: str | Column, pattern: str, n_groups: int) -> tuple[Column, Column]:
-    """(array of the ``n_groups`` captured groups, matched flag) in one pass.
 
-    Only for the line patterns of this module (they share the required
-    literals checked by ``_may_match`` before the regex runs).
+def _combined_groups(lines: DataFrame, value: Column, keep: list[str]) -> DataFrame:
+    rows = lines.select(*keep, _groups(_line(value), "(?s)^(.+)" + _TOKENS_TAIL, 8).alias("_g"))
+    rows = rows.select(*keep, "_g", F.when(F.size("_g") == 8, F.get("_g", F.lit(0))).alias("_left"))
+    rows = _front(rows, keep, ["_g"])
+    return rows.select(*keep, F.concat(F.array("_ip", "_session", "_date"), F.slice("_g", 2, 7)).alias("_f"),
+                       (F.col("_session") != "").alias("_m"))
+
+
+def _strict_groups(lines: DataFrame, value: Column, keep: list[str]) -> DataFrame:
+    # the first two tokens end at a space each, so only the date is searched
+    found = _groups(_line(value), r"(?s)^(\S++) (\S++) \[(.+)" + _REQUEST_TAIL, 8)
+    return lines.select(*keep, found.alias("_f")).select(*keep, "_f", (F.size("_f") == 8).alias("_m"))
+
+
+#: Groups of a line by its pattern.
+_GROUPS = {ACCESS_LOG_PATTERN: _access_groups, COMBINED_LOG_PATTERN: _combined_groups,
+           WEBLOG_STRICT_PATTERN: _strict_groups}
+
+
+def _staged(lines: DataFrame, pattern: str, value_col: str, keep: list[str]) -> DataFrame:
+    """``keep``, ``_f`` (the captured groups) and ``_m`` (whether the line matches).
+
+    The result stands behind a one-row ``inline``.  Catalyst pushes later
+    filters (status, static resources) through plain projections by
+    substituting the projected expression, which would parse again inside
+    every pushed predicate; a generator's output cannot be substituted, so the
+    line is parsed once, inside whole-stage code generation.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    replacement = _SEP.join(f"${i}" for i in range(1, n_groups + 1))
-    rewritten = F.when(_may_match(v), F.regexp_replace(v, f"^{pattern}\\z", replacement))
-    fields = F.split(F.coalesce(rewritten, v), _SEP)
-    matched = (F.size(fields) == n_groups) & ~v.contains(_SEP)
-    return fields, matched
+    rows = _GROUPS[pattern](lines, F.col(value_col), keep)
+    return rows.select(*keep, F.inline(F.array(F.struct(
+        "_f", F.coalesce("_m", F.lit(False)).alias("_m")))))
 
 
 def _parse(lines: DataFrame, pattern: str, names: list[str],
            value_col: str, keep: list[str] | None = None) -> DataFrame:
-    """Evaluate the regex once per line, behind a one-row ``inline``.
-
-    Catalyst pushes later filters (status, static resources) through plain
-    projections by substituting the projected expression, which would run
-    the regex again inside every pushed predicate (measured: 2x slower on
-    1M lines).  A generator's output cannot be substituted, so the parse
-    result is computed once and the filters read the split fields; the
-    generator stays inside whole-stage code generation.
-    """
-    fields, matched = split_groups(value_col, pattern, len(names))
+    """The groups of the lines that match the pattern, as columns ``names``."""
     keep = keep or []
-    staged = lines.select(*keep, F.inline(F.array(
-        F.struct(fields.alias("_f"), matched.alias("_m")))))
     # get() (NULL when out of range) rather than [i]: Catalyst may evaluate a
-    # pushed-down predicate on a field before the "_m" check, and an
-    # unmatched line has a one-element array
-    return staged.where("_m").select(
+    # predicate on a field before the "_m" check
+    return _staged(lines, pattern, value_col, keep).where("_m").select(
         *keep, *[F.get(F.col("_f"), i).alias(n) for i, n in enumerate(names)])
 
 
@@ -128,13 +186,12 @@ def request_split_parse(lines: DataFrame, value_col: str = "value") -> DataFrame
 def parse_coverage(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Line counts (one row): matched, unmatched, and ``bad_time``, the matched
     lines whose time cannot be read (their date parts are garbage)."""
-    fields, matched = split_groups(value_col, ACCESS_LOG_PATTERN, len(ACCESS_LOG_FIELDS))
-    staged = lines.select(F.inline(F.array(F.struct(fields.alias("f"), matched.alias("m")))))
-    time = C.log_time(F.get(F.col("f"), ACCESS_LOG_FIELDS.index("datetime")))
+    staged = _staged(lines, ACCESS_LOG_PATTERN, value_col, [])
+    time = C.log_time(F.get(F.col("_f"), ACCESS_LOG_FIELDS.index("datetime")))
     return staged.agg(
-        F.count_if(F.col("m")).alias("matched"),
-        F.count_if(~F.col("m")).alias("unmatched"),
-        F.count_if(F.col("m") & time.isNull()).alias("bad_time"))
+        F.count_if(F.col("_m")).alias("matched"),
+        F.count_if(~F.col("_m")).alias("unmatched"),
+        F.count_if(F.col("_m") & time.isNull()).alias("bad_time"))
 
 
 def csv_fields(value: str | Column, names: list[str]) -> list[Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logloom.functions import columns as C
 from logloom.functions import parse as P
 
+# Sample lines of the two log formats.
 SAMPLE_LINE = ('61.169.62.163 80b378fb-b846-439d-8e0c-8835b08d66bb [2017-01-08 12:01:20 +0800] '
                '"GET /wp-content/uploads/2016/07/ggplot2.png HTTP/1.1" 200 817 "-" '
                '"Mozilla/5.0 (Windows; U; Windows NT 6.1; ) AppleWebKit/534.12 (KHTML, like '
