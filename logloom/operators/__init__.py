@@ -1,6 +1,6 @@
 """DataFrame-level operators."""
 
-from logloom.operators.dims import time_dimension, time_dimension_spanning
+from logloom.operators.dims import time_dimension, time_dimension_of
 from logloom.operators.enrich import device_type_lookup, enrich_loginfo2, enrich_newloginfo
 from logloom.operators.filters import drop_error_status, drop_static_resources
 from logloom.operators.geo import bucketed_ranges, ip_to_district, ip_unresolved_audit
@@ -22,6 +22,6 @@ __all__ = [
     "order_payment_status", "orders_payments_full_outer", "partition_bounds",
     "pv_mart", "rollup_by", "route_topics",
     "star_join", "star_join_ip", "star_join_pv", "star_join_uv", "starting_offsets_json",
-    "starting_offsets_resolve", "time_dimension", "time_dimension_spanning", "top_n",
+    "starting_offsets_resolve", "time_dimension", "time_dimension_of", "top_n",
     "uv_mart", "visit_starts",
 ]

@@ -29,24 +29,14 @@ def time_dimension(spark: SparkSession, start_day: str, n_days: int) -> DataFram
     return minutes.select(*_calendar_columns(ts))
 
 
-#: Longest calendar that one bad far timestamp may cause (about 50 years).
-MAX_SPAN_DAYS = 18_300
+def time_dimension_of(df: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Calendar of the days that occur in ``ts_col``, all minutes of each.
 
-
-def time_dimension_spanning(df: DataFrame, ts_col: str = "ts",
-                            max_days: int = MAX_SPAN_DAYS) -> DataFrame:
-    """Calendar covering every day between the min and max of ``ts_col``.
-
-    The bounds come from a partial (map-side) min/max aggregate, one row;
-    the minutes from ``spark.range``, spread over all cores and of a size the
-    planner knows.  A span over ``max_days`` is an error: a far-off timestamp
-    is to be mended or filtered, not to make a calendar of millions of days.
-    No timestamp gives an empty calendar.
+    Days are made distinct on the map side, so the shuffle holds a row per day
+    and task.  A far-off timestamp adds its own day and nothing else; a null
+    one adds none.
     """
-    lo, hi = df.agg(F.min(F.to_date(ts_col)), F.max(F.to_date(ts_col))).first()
-    if lo is None:
-        return time_dimension(df.sparkSession, "1970-01-01", 0)
-    days = (hi - lo).days + 1
-    if days > max_days:
-        raise ValueError(f"{ts_col} spans {lo} to {hi}: over {max_days} days")
-    return time_dimension(df.sparkSession, lo.isoformat(), days)
+    days = df.select(F.to_date(ts_col).alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    minutes = days.select("_day", F.explode(F.sequence(F.lit(0), F.lit(MINUTES_PER_DAY - 1))).alias("_minute"))
+    ts = F.timestamp_add("MINUTE", F.col("_minute"), F.col("_day").cast("timestamp_ntz"))
+    return minutes.select(*_calendar_columns(ts))

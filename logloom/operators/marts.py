@@ -43,50 +43,83 @@ def _is_visit_gap(gap: Column, device: Column, gaps: dict[int, int]) -> Column:
     return cond
 
 
-def visit_starts(facts: DataFrame, gaps: dict[int, int] | None = None) -> DataFrame:
-    """Requests that start a visit.
+def session_minutes(facts: DataFrame) -> DataFrame:
+    """The first request of each (session, minute): sessionid, ts, ``f``.
+
+    Inside one (session, minute) every request after the first has gap 0 and so
+    never starts a visit (thresholds are positive).  Equal requests of a second
+    are first collapsed by a hash aggregate on (session, minute, second, ids),
+    which needs no sort and leaves far fewer rows for ``min(struct(second,
+    ids))``; the sort then sees distinct rows only.  Both spread even a session
+    that holds a third of all rows.
+    """
+    distinct = facts.select("sessionid", "ts", "daystr", *DIM_IDS, "timeid").distinct()
+    return distinct.groupBy("sessionid", "ts").agg(F.min(F.struct("daystr", *DIM_IDS, "timeid")).alias("f"))
 
-    Reference rule: order a session's requests by minute ``ts``; a request
-    starts a visit when it has no predecessor, or the gap to the previous
-    request reaches the device's threshold.  Ties inside a minute are
-    ordered by the second-resolution ``daystr`` and then the dimension ids.
 
-    Skew-proof plan: inside one (session, minute) every request after the
-    first has gap 0 and so never starts a visit (thresholds are positive).
-    The facts are therefore first reduced to the first request of each
-    (session, minute) -- a partial aggregation that spreads even a session
-    holding a third of all rows over many reducers -- and only those rows
-    go through the ``lag`` window per session, where a session has at most
-    one row per minute of the period, however much traffic it carries.
+def last_requests(minutes: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+    """``sessionid, ts``: the last minute of every session in ``minutes`` or in
+    an earlier such table."""
+    rows = minutes.select("sessionid", "ts")
+    if carry is not None:
+        rows = rows.unionByName(carry.select("sessionid", "ts"))
+    return rows.groupBy("sessionid").agg(F.max("ts").alias("ts"))
 
-    Equal requests of a second are first collapsed by a hash aggregate on
-    (session, minute, second, ids), which needs no sort and leaves far fewer
-    rows for ``min(struct(second, ids))``; the sort then sees
-    distinct rows only.
 
-    Input: timeid, ts, sessionid, ids, daystr.  Output: timeid, ts,
-    sessionid, districtid, refererhostid, devicetypeid, columnid.
+def starts_of_minutes(minutes: DataFrame, carry: DataFrame | None = None,
+                      gaps: dict[int, int] | None = None) -> DataFrame:
+    """Visit starts among the ``session_minutes`` of some days.
+
+    ``carry`` holds the last request of each session before these days
+    (``last_requests``); it stands as the predecessor of the session's first
+    request, in the same window and the same shuffle.
     """
     gaps = DEFAULT_VISIT_GAPS if gaps is None else gaps
     if any(s <= 0 for s in gaps.values()):
         raise ValueError("visit gap thresholds must be positive")
-    distinct = facts.select("sessionid", "ts", "daystr", *DIM_IDS, "timeid").distinct()
-    firsts = (distinct.groupBy("sessionid", "ts")
-              .agg(F.min(F.struct("daystr", *DIM_IDS, "timeid")).alias("f")))
+    rows = minutes.select("sessionid", "ts", "f")
+    if carry is not None:
+        rows = rows.unionByName(carry.select("sessionid", "ts", F.lit(None).cast(
+            rows.schema["f"].dataType).alias("f")))
     w = Window.partitionBy("sessionid").orderBy("ts")
-    lagged = firsts.withColumn("fts", F.lag("ts").over(w))
+    lagged = rows.withColumn("fts", F.lag("ts").over(w)).where(F.col("f").isNotNull())
     start = (F.col("fts").isNull()
              | _is_visit_gap(F.col("ts") - F.col("fts"), F.col("f.devicetypeid"), gaps))
     return lagged.where(start).select(
         "f.timeid", "ts", "sessionid", *[F.col(f"f.{c}").alias(c) for c in DIM_IDS])
 
 
+def visit_starts(facts: DataFrame, gaps: dict[int, int] | None = None,
+                 carry: DataFrame | None = None) -> DataFrame:
+    """Requests that start a visit.
+
+    Reference rule: order a session's requests by minute ``ts``; a request
+    starts a visit when it has no predecessor, or the gap to the previous
+    request reaches the device's threshold.  Ties inside a minute are
+    ordered by the second-resolution ``daystr`` and then the dimension ids.
+
+    Skew-proof plan: the facts are reduced to the first request of each
+    (session, minute), and only those rows go through the ``lag`` window per
+    session, where a session has at most one row per minute of the period,
+    however much traffic it carries.  With ``carry``, the last request of each
+    session before, the facts may be those of new days only.
+
+    Input: timeid, ts, sessionid, ids, daystr.  Output: timeid, ts,
+    sessionid, districtid, refererhostid, devicetypeid, columnid.
+    """
+    return starts_of_minutes(session_minutes(facts), carry, gaps)
+
+
 def uv_mart(facts: DataFrame, gaps: dict[int, int] | None = None) -> DataFrame:
     """Visit starts by (day, session, district, referer, device, column).
 
     ``uv`` is the number of visit starts (the reference's definition), not a
     count of distinct visitors.
     """
-    starts = visit_starts(facts, gaps)
+    return uv_of_starts(visit_starts(facts, gaps))
+
+
+def uv_of_starts(starts: DataFrame) -> DataFrame:
+    """Visit starts counted by (day, session, ids)."""
     return (starts.groupBy(_grain("day"), "sessionid", *DIM_IDS)
             .agg(F.count(F.lit(1)).alias("uv")))

@@ -16,7 +16,7 @@ from logloom import schemas
 from logloom.functions import columns as C
 from logloom.functions import parse as P
 from logloom.operators import enrich, geo, marts, offsets, orders
-from logloom.operators.dims import time_dimension_spanning
+from logloom.operators.dims import time_dimension_of
 from logloom.operators.filters import drop_error_status, drop_static_resources
 from logloom.operators.star import DIM_IDS
 from logloom.plans import etl, jobs
@@ -25,6 +25,7 @@ from logloom.session import work_dir
 from logloom.sources import derived
 from logloom.sources.text import table_scan
 from logloom.streaming import bus as bus_stream
+from logloom.streaming import loopback
 from logloom.streaming import offsets as stream_offsets
 from logloom.streaming import unpaid
 
@@ -211,7 +212,7 @@ def enrich_newloginfo_q(spark, sf):
 
 @query("time_dimension")
 def time_dimension_q(spark, sf):
-    return time_dimension_spanning(Inputs(spark, sf).events, "ts")
+    return time_dimension_of(Inputs(spark, sf).events, "ts")
 
 
 @query("region_from_ip_json")
@@ -267,6 +268,21 @@ def uv_mart_day_q(spark, sf):
     return marts.uv_mart(Inputs(spark, sf).facts_uv)
 
 
+@query("uv_mart_day_by_days")
+def uv_mart_day_by_days_q(spark, sf):
+    """The UV mart built in two runs: all days but the last, then the last day
+    with what the first run has carried over."""
+    inp = Inputs(spark, sf)
+    loginfo2 = spark.read.schema(schemas.LOGINFO2).parquet(f"{_marts_root(spark, inp)}/loginfo2")
+    root = work_dir(spark, "tables", "uv", unique=True)
+    day = F.format_string("%04d%02d%02d", "year", "month", "day")
+    # partition values only: a row per folder, and the two newest of them
+    newest = [r[0] for r in loginfo2.select(day.alias("d")).distinct().orderBy(F.desc("d")).limit(2).collect()]
+    for first, last in ((None, newest[-1]), (newest[0], newest[0])) if len(newest) > 1 else ((None, None),):
+        jobs.build_uv(spark, loginfo2, inp.dims, root, first, last)
+    return jobs.read_mart(spark, root, "uv_day")
+
+
 # --- roll-ups and rankings over written marts -----------------------------------
 
 def _marts_root(spark, inp: Inputs) -> str:
@@ -372,119 +388,184 @@ def time_interval_seconds_q(spark, sf):
         .alias("seconds"))
 
 
-def _slices(inp: Inputs) -> list[DataFrame]:
-    """The bus in slices of equal time, as it would arrive."""
-    n = derived.slice_number(inp.bus)
-    sliced = inp.bus.withColumn("_slice", n)
-    return [sliced.where(F.col("_slice") == k).drop("_slice") for k in range(derived.BUS_SLICES)]
+# --- streams over the kept bus ----------------------------------------------------
 
-
-@query("order_stream_source")
-def order_stream_source_q(spark, sf):
-    """Bus rows read back through a streaming file source, in bounded batches."""
-    folder = work_dir(spark, "landing", "bus", unique=True)
-    bus_stream.land_bus(Inputs(spark, sf).bus, folder)
-    stream = bus_stream.file_bus_stream(spark, folder, max_files_per_trigger=64)
-    return bus_stream.run_to_completion(spark, stream, "bus_source")
+def _in_segments(spark, inp: Inputs, name: str) -> str:
+    """The bus landed segment by segment, as it would arrive."""
+    folder = work_dir(spark, "landing", name, unique=True)
+    numbers = range(inp.bus_segments.agg(F.max("segment")).first()[0] + 1)
+    bus_stream.land_in_order(
+        (inp.bus_segments.where(F.col("segment") == n).drop("segment") for n in numbers), folder)
+    return folder
 
 
 def _reminders(spark, sf, trigger: dict) -> str:
-    """Run the reminder stream over the bus slices; the folder of its verdicts."""
+    """Run the reminder stream over the bus, a segment per batch; the folder of
+    its verdicts."""
     root = work_dir(spark, "streams", "reminders", "verdicts", unique=True)
-    bus_stream.run_in_slices(
-        spark, _slices(Inputs(spark, sf)), "reminders",
-        lambda stream, checkpoint: unpaid.start_unpaid_reminders(
-            stream, root, checkpoint, trigger=trigger, clock=unpaid.bus_clock))
+    stream = bus_stream.file_bus_stream(spark, _in_segments(spark, Inputs(spark, sf), "reminders"),
+                                        max_files_per_trigger=1)
+    query = unpaid.start_unpaid_reminders(
+        stream, root, work_dir(spark, "streams", "reminders", "checkpoint", unique=True), trigger=trigger,
+        clock=unpaid.bus_clock, buckets=4, compact_every=4)
+    bus_stream.finish(query)
     return root
 
 
 @query("unpaid_orders_stream")
 def unpaid_orders_stream_q(spark, sf):
-    """Reminders of the stream over four batches, by the clock of the bus."""
+    """Reminders of the stream in bounded batches, by the clock of the bus."""
     root = _reminders(spark, sf, {"availableNow": True})
     return unpaid.verdicts(spark, root).select("orderid", "userid", "ordertime")
 
 
 @query("micro_batch_trigger")
 def micro_batch_trigger_q(spark, sf):
-    """What each micro-batch of the production trigger (5 seconds) decided."""
+    """What each micro-batch of the production trigger (5 seconds) decided, in
+    one run of the query."""
     root = _reminders(spark, sf, {"processingTime": "5 seconds"})
-    return (spark.read.schema(unpaid.STATE).parquet(root)
+    return (unpaid.reminder_state(spark, root).changes()
             .groupBy("batch", "verdict").agg(F.count(F.lit(1)).alias("records")))
 
 
-def _consumed(spark, inp: Inputs, batches: int = derived.BUS_SLICES) -> DataFrame:
-    """Offset history of a consumer that has read the first slices."""
-    path = work_dir(spark, "tables", "offset_history", unique=True)
+#: How far the consumers below read in each partition per batch, and after how
+#: many batches the first of them stops.
+CONSUMER_STEP, CONSUMER_BATCHES = 5_000, 2
+
+
+def _consume(spark, inp: Inputs, batches: int | None = None, start: str = "{}",
+             topics: list[str] | None = None, rows: str | None = None) -> tuple[str, stream_offsets.BatchReport]:
+    """A consumer group that stores its positions with each batch, and the
+    report of what the engine read.  It ends after some batches, or when it
+    has read all there is; with ``rows``, it writes what it read there."""
+    history = work_dir(spark, "tables", "offset_history", unique=True)
+    name = f"consumer-{history.rsplit('/', 1)[-1]}"
+    report = stream_offsets.BatchReport(spark, name, work_dir(spark, "tables", "report", unique=True))
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        if batches is not None and epoch >= batches:
+            return  # stopped before it had stored anything of this batch
+        batch = batch.persist()
+        try:
+            if rows:
+                batch.write.mode("overwrite").parquet(f"{rows}/batch={epoch}")
+            stream_offsets.offset_history_append(batch, epoch, history, group="reminders")
+        finally:
+            batch.unpersist()
+    checkpoint = work_dir(spark, "streams", name, "checkpoint", unique=True)
+    stream = bus_stream.kept_bus_stream(spark, inp.bus_root, start, checkpoint, CONSUMER_STEP, topics)
+    spark.streams.addListener(report)
+    try:
+        q = (stream.writeStream.queryName(name).foreachBatch(sink).trigger(processingTime="0 seconds")
+             .option("checkpointLocation", checkpoint).start())
+        if batches is None:
+            bus_stream.finish(q)
+        else:
+            bus_stream.finish_batches(q, batches)
+        report.wait(spark, history)
+    finally:
+        spark.streams.removeListener(report)
+    return history, report
+
+
+def _history(spark, sf) -> DataFrame:
+    return stream_offsets.read_history(spark, _consume(spark, Inputs(spark, sf))[0])
+
+
+def _positions(spark, history: str) -> DataFrame:
+    return stream_offsets.newest_positions(spark, history, "reminders").select(
+        "topic", "partition", F.col("until_offset").alias("offset"))
 
-    def start(stream, checkpoint):
-        return (stream.writeStream.option("checkpointLocation", checkpoint)
-                .foreachBatch(lambda df, epoch: stream_offsets.offset_history_append(
-                    df, epoch, path, group="reminders"))
-                .trigger(availableNow=True).start())
-    bus_stream.run_in_slices(spark, _slices(inp)[:batches], "offsets", start)
-    return stream_offsets.read_history(spark, path)
+
+@query("order_stream_source")
+def order_stream_source_q(spark, sf):
+    """What two consumers read: the first stops after some batches, the second
+    starts at the positions that the first has stored."""
+    inp = Inputs(spark, sf)
+    rows = work_dir(spark, "streams", "bus_source", "rows", unique=True)
+    history, _ = _consume(spark, inp, CONSUMER_BATCHES, rows=f"{rows}/first")
+    start = offsets.starting_offsets_json(offsets.starting_offsets_resolve(
+        _positions(spark, history), offsets.index_bounds(inp.bus_index)))
+    _consume(spark, inp, start=start, rows=f"{rows}/second")
+    both = spark.read.schema(derived.BUS_SCHEMA).parquet(f"{rows}/first")
+    return both.unionByName(spark.read.schema(derived.BUS_SCHEMA).parquet(f"{rows}/second")).drop("batch")
 
 
 @query("stream_batch_offsets")
 def stream_batch_offsets_q(spark, sf):
     """Per-micro-batch consumed ranges, written by a foreachBatch sink."""
-    return _consumed(spark, Inputs(spark, sf)).select(
-        "batch_id", "topic", "partition", "from_offset", "until_offset", "records")
+    return _history(spark, sf).select("batch_id", "topic", "partition", "from_offset", "until_offset", "records")
 
 
 @query("offset_history_append")
 def offset_history_append_q(spark, sf):
     """The saved history of a consumer group, read back after the stream."""
-    return _consumed(spark, Inputs(spark, sf)).select(
-        "group", "topic", "partition", "batch_id", "batch_time", "until_offset")
+    return _history(spark, sf).select("group", "topic", "partition", "batch_id", "batch_time", "until_offset")
 
 
 @query("batch_offset_report")
 def batch_offset_report_q(spark, sf):
-    """One line per batch and topic: partitions read, offsets passed, records."""
-    return _consumed(spark, Inputs(spark, sf)).groupBy("batch_id", "topic").agg(
-        F.count(F.lit(1)).alias("partitions"), F.sum("records").alias("records"),
-        F.sum(F.col("until_offset") - F.col("from_offset")).alias("offsets"))
+    """One line per batch and topic as the engine reports it: partitions read,
+    offsets passed, and the records of the whole batch."""
+    _, report = _consume(spark, Inputs(spark, sf))
+    passed = F.col("until_offset") - F.col("from_offset")
+    return report.rows().groupBy("batch_id", "topic").agg(
+        F.count_if(passed > 0).alias("partitions"), F.sum(passed).alias("offsets"), F.max("rows").alias("records"))
 
 
 @query("batch_record_count")
 def batch_record_count_q(spark, sf):
     """Records per micro-batch; a replayed batch counts once."""
-    return _consumed(spark, Inputs(spark, sf)).groupBy("batch_id").agg(
-        F.sum("records").alias("records"))
+    return _history(spark, sf).groupBy("batch_id").agg(F.sum("records").alias("records"))
+
+
+#: Rounds of the looped query.
+ROUNDS = 3
 
 
 @query("pending_sink")
 def pending_sink_q(spark, sf):
-    """Status of a second round: what the first carried forward (published to
-    ``order2`` / ``pay2``) and the records since are read back and judged."""
+    """Verdicts of three rounds of one query, which carries what is pending
+    through the bus that it reads; the records of a third of the time arrive
+    with each round, and the last round's pending records stay in a sink."""
     inp = Inputs(spark, sf)
-    folder = work_dir(spark, "landing", "carried", unique=True)
-    seen = F.col("timestamp") <= F.lit(inp.status_time).cast("timestamp_ntz")
-    first = _status(inp, inp.bus.where(seen))
-    bus_stream.land_bus(orders.carry_forward(first), folder)
-    carried = spark.read.schema("topic string, key string, value string").parquet(folder)
-    later = inp.bus.where(~seen).select("topic", "key", "value")
-    return _status(inp, carried.unionByName(later), "9999-01-01 00:00:00")
+    root = work_dir(spark, "streams", "looped", "verdicts", unique=True)
+    folder = work_dir(spark, "landing", "looped", unique=True)
+    segments = inp.bus_segments.agg(F.max("segment")).first()[0] + 1
+
+    def land(n: int) -> None:
+        bus_stream.land_bus(inp.bus_segments.where(F.floor(F.col("segment") * ROUNDS / segments) == n)
+                            .drop("segment"), f"{folder}/bus/arrived-{n}")
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        last = epoch == ROUNDS - 1
+        loopback.loopback_batch(batch, epoch, root, f"{folder}/sink" if last else f"{folder}/bus",
+                                clock=unpaid.bus_clock)
+        if not last:
+            land(epoch + 1)
+    land(0)
+    q = (loopback.looped_stream(spark, f"{folder}/bus").writeStream.foreachBatch(sink)
+         .option("checkpointLocation", work_dir(spark, "streams", "looped", "checkpoint", unique=True))
+         .trigger(processingTime="0 seconds").start())
+    bus_stream.finish(q)
+    return loopback.judged_rows(spark, root).select("batch", "orderid", "userid", "ordertime", "verdict")
 
 
 # --- offsets ----------------------------------------------------------------------
 
 @query("offset_latest_lookup")
 def offset_latest_lookup_q(spark, sf):
-    """Saved positions of a consumer that stopped after half the slices."""
-    inp = Inputs(spark, sf)
-    return offsets.offset_latest_lookup(_consumed(spark, inp, derived.BUS_SLICES // 2), "reminders")
+    """Saved positions of a consumer that stopped after some batches."""
+    return _positions(spark, _consume(spark, Inputs(spark, sf), CONSUMER_BATCHES)[0])
 
 
 @query("starting_offsets_resolve")
 def starting_offsets_resolve_q(spark, sf):
-    """Where that consumer goes on when old order records have been deleted."""
+    """Where a consumer of all topics goes on when its group has read some
+    batches of all but the carried-forward payments."""
     inp = Inputs(spark, sf)
-    stored = offsets.offset_latest_lookup(_consumed(spark, inp, derived.BUS_SLICES // 2), "reminders")
-    bounds = offsets.partition_bounds(inp.bus, {orders.ORDER_TOPICS[0]: inp.status_time})
-    return offsets.starting_offsets_resolve(stored, bounds, "clamp")
+    history, _ = _consume(spark, inp, CONSUMER_BATCHES, topics=[*orders.ORDER_TOPICS, orders.PAYMENT_TOPICS[0]])
+    return offsets.starting_offsets_resolve(_positions(spark, history), offsets.index_bounds(inp.bus_index), "clamp")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

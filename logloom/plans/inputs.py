@@ -9,13 +9,15 @@ from: a rewritten folder is landed anew.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom.functions.parse import access_log_parse
+from logloom.operators.dims import time_dimension_of
 from logloom.operators.enrich import enrich_loginfo2
 from logloom.operators.geo import bucketed_ranges
 from logloom.operators.star import star_join_ip, star_join_pv, star_join_uv
@@ -40,13 +42,13 @@ class Inputs:
 
     @cached_property
     def fingerprint(self) -> str:
-        """Digest of the names, sizes and times of the input files (listed,
-        not read)."""
+        """Digest of the names, sizes and times of the input files: listed, not
+        read, and summed up by the tasks that list them."""
         listed = self.spark.read.format("binaryFile").load(
             [table_path(self.sf_dir, name) for name in TABLES])
-        files = [tuple(map(str, r)) for r in
-                 listed.select("path", "modificationTime", "length").collect()]
-        return hashlib.sha256(repr(sorted(files)).encode()).hexdigest()[:16]
+        one = F.xxhash64("path", "modificationTime", "length")
+        return "-".join(map(str, listed.agg(F.count(F.lit(1)), F.sum(F.col("length")), F.bit_xor(one),
+                                            F.sum(F.pmod(one, F.lit(1 << 40)))).first()))
 
     def landed(self, name: str, write: Callable[[str], None]) -> str:
         """Path of a landed table, written by ``write(path)`` on first use."""
@@ -103,7 +105,9 @@ class Inputs:
 
     @cached_property
     def dims(self) -> derived.Dimensions:
-        return derived.dimensions(self.spark, self.nation, self.events)
+        calendar = self.spark.read.parquet(self.landed(
+            "calendar", lambda path: time_dimension_of(self.events).coalesce(1).write.parquet(path)))
+        return derived.dimensions(self.spark, self.nation, calendar)
 
     @cached_property
     def facts_pv(self) -> DataFrame:
@@ -117,17 +121,36 @@ class Inputs:
     def facts_uv(self) -> DataFrame:
         return star_join_uv(self.loginfo2, self.dims, with_tiebreak=True)
 
+    @cached_property
+    def bus_root(self) -> str:
+        """The order bus as its records are kept: ``records/segment=<n>`` with
+        a file each, and ``index``, which positions each segment holds."""
+        def write(root: str) -> None:
+            records = derived.bus_records(self.table("orders"), self.table("lineitem"),
+                                          self.table("customer"))
+            segmented = derived.with_segments(records)
+            derived.segment_counts(segmented).coalesce(1).write.parquet(f"{root}/index")
+            counts = self.spark.read.schema(derived.INDEX_SCHEMA).parquet(f"{root}/index")
+            (derived.with_offsets(segmented, counts).repartition("segment").sortWithinPartitions(
+                "segment", "topic", "partition", "offset")
+             .write.partitionBy("segment").parquet(f"{root}/records"))
+        return self.landed("bus", write)
+
+    @cached_property
+    def bus_index(self) -> DataFrame:
+        return self.spark.read.schema(derived.INDEX_SCHEMA).parquet(f"{self.bus_root}/index")
+
+    @cached_property
+    def bus_segments(self) -> DataFrame:
+        """Bus rows with the number of their segment."""
+        return self.spark.read.schema(T.StructType([*derived.BUS_SCHEMA, T.StructField("segment", T.IntegerType())])).parquet(
+            f"{self.bus_root}/records")
+
     @cached_property
     def bus(self) -> DataFrame:
-        """The order bus, landed as its records would be kept by a broker."""
-        records = derived.bus_records(self.table("orders"), self.table("lineitem"),
-                                      self.table("customer"))
-        return self.spark.read.schema(derived.BUS_SCHEMA).parquet(
-            self.landed("bus", records.write.parquet))
+        return self.bus_segments.drop("segment")
 
     @cached_property
     def status_time(self) -> str:
-        """When the batch status is taken: some days before the last record."""
-        import datetime as dt
-        last = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=derived.bus_times(self.bus)[1])
-        return (last - dt.timedelta(days=derived.STATUS_DAYS_BEFORE_END)).isoformat(sep=" ")
+        """When the batch status is taken: the time of the last record."""
+        return self.bus.agg(F.max("timestamp")).first()[0].isoformat(sep=" ")

@@ -34,9 +34,11 @@ from logloom.operators.dims import time_dimension
 from logloom.operators.enrich import enrich_loginfo2
 from logloom.operators.star import star_join_ip, star_join_pv, star_join_uv
 from logloom.plans import etl
+from logloom.session import folders, remove, work_dir
 from logloom.sources.derived import Dimensions
 from logloom.sources.text import ip_ranges_load, log_text_scan
 from logloom.streaming import unpaid
+from logloom.streaming.bus import finish, kept_bus_stream
 
 DIM_NAMES = ["calendar", "columns", "devices", "districts", "referers"]
 MART_NAMES = ["pv_day", "pv_hour", "uv_day", "ip_day"]
@@ -91,25 +93,57 @@ def build_marts(spark: SparkSession, loginfo2: DataFrame, dims: Dimensions, out_
     """``loginfo2`` + dimensions -> the four marts, partitioned by day.
 
     The daily PV mart is rolled up from the written hourly one (counts are
-    additive), so the star join runs once for PV.  A day range limits the PV
-    and IP marts; whether a request starts a visit depends on the session's
-    earlier days, so the UV mart is built from all days and its days of the
-    range are rewritten.
+    additive), so the star join runs once for PV.  A day range limits what is
+    read to its days, for the UV mart to those that ``build_uv`` needs.
     """
     some = _days(loginfo2, first, last)
     _write_mart(marts.pv_mart(star_join_pv(some, dims), "hour"), f"{out_root}/pv_hour")
     hour = spark.read.schema(schemas.MARTS["pv_hour"]).parquet(f"{out_root}/pv_hour")
-    uv = marts.uv_mart(star_join_uv(loginfo2, dims, with_tiebreak=True))
     for bound, keep in ((first, lambda c, d: c >= d), (last, lambda c, d: c <= d)):
         if bound:
             hour = hour.where(keep(F.col("day"), F.lit(bound)))
-            uv = uv.where(keep(F.col("timeid"), F.lit(bound)))
     _write_mart(hour.groupBy(F.substring("timeid", 1, 8).alias("timeid"), *marts.DIM_IDS)
                 .agg(F.sum("pv").alias("pv")), f"{out_root}/pv_day")
-    _write_mart(uv, f"{out_root}/uv_day")
+    build_uv(spark, loginfo2, dims, out_root, first, last)
     _write_mart(marts.ip_mart(star_join_ip(some, dims)), f"{out_root}/ip_day")
 
 
+def uv_range(asofs: list[str], first: str | None, last: str | None) -> tuple[str | None, str | None]:
+    """The carry to start from and the last day to compute.  Days between the
+    carry and ``first`` are computed too, and so are days after ``last`` that
+    were computed before, as their visits may depend on the changed ones."""
+    before = max((a for a in asofs if first and a < first), default=None)
+    after = max(asofs, default=None)
+    return before, max(last, after) if last and after else last
+
+
+def build_uv(spark: SparkSession, loginfo2: DataFrame, dims: Dimensions, out_root: str,
+             first: str | None = None, last: str | None = None) -> None:
+    """The UV mart of a day range, without the history before it.
+
+    Whether a request starts a visit depends on the session's request before.
+    The last request of every session up to a day is kept as
+    ``visits/asof=<day>``, a row per session; a run reads the newest such table
+    before its range and the facts of its own days, and leaves one as of its
+    last day.
+    """
+    root = f"{out_root}/visits"
+    asofs = [n.removeprefix("asof=") for n in folders(spark, root, complete=True) if n.startswith("asof=")]
+    before, last = uv_range(asofs, first, last)
+    days = _days(loginfo2, None, last)
+    if before:
+        days = _days(days, str(int(before) + 1), None)
+    path = work_dir(spark, "tables", "session_minutes", unique=True)
+    marts.session_minutes(star_join_uv(days, dims, with_tiebreak=True)).write.parquet(path)
+    minutes = spark.read.schema(schemas.SESSION_MINUTES).parquet(path)
+    carry = spark.read.schema(schemas.LAST_REQUESTS).parquet(f"{root}/asof={before}") if before else None
+    _write_mart(marts.uv_of_starts(marts.starts_of_minutes(minutes, carry)), f"{out_root}/uv_day")
+    newest = minutes.agg(F.max(F.substring("f.timeid", 1, 8))).first()[0]
+    if newest:
+        marts.last_requests(minutes, carry).write.mode("overwrite").parquet(f"{root}/asof={last or newest}")
+    remove(spark, path)
+
+
 def mart_reports(spark: SparkSession, marts_root: str, dims: Dimensions) -> dict[str, DataFrame]:
     """Every roll-up and top-3 report over written marts (lazy DataFrames)."""
     m = {n: read_mart(spark, marts_root, n) for n in MART_NAMES}
@@ -130,6 +164,26 @@ def mart_reports(spark: SparkSession, marts_root: str, dims: Dimensions) -> dict
     return out
 
 
+def reminders(spark: SparkSession, out: str, checkpoint: str, bootstrap: str | None = None,
+              bus: str | None = None, group: str = "reminders", starting_offsets: str | None = None,
+              zone: str | None = None, once: bool = False, **kw) -> None:
+    """The reminder job: verdicts, stored positions and batch reports under
+    ``out``.  It goes on where its stored positions say, also with a fresh
+    checkpoint folder."""
+    kw = {"clock": lambda batch, epoch: unpaid.wall_clock(batch, epoch, zone)} | kw
+    if bus:
+        start = starting_offsets or unpaid.stored_start(spark, out, group) or "{}"
+        query, _ = unpaid.start_reminder_job(
+            kept_bus_stream(spark, bus, start, checkpoint), out, checkpoint, group, **kw)
+    else:
+        query, _ = unpaid.start_unpaid_reminders_kafka(spark, bootstrap, out, checkpoint, starting_offsets,
+                                                       group=group, **kw)
+    if once:
+        finish(query)
+    else:
+        query.awaitTermination()
+
+
 def main(argv: list[str] | None = None) -> None:
     from logloom.session import get_spark
     ap = argparse.ArgumentParser(prog="logloom.plans.jobs")
@@ -152,10 +206,15 @@ def main(argv: list[str] | None = None) -> None:
     for p in (c, r):
         p.add_argument("--dims", required=True)
     m = sub.add_parser("reminders")
-    m.add_argument("--bootstrap", required=True)
+    source = m.add_mutually_exclusive_group(required=True)
+    source.add_argument("--bootstrap", help="Kafka brokers")
+    source.add_argument("--bus", help="folder of a kept bus")
     m.add_argument("--out", required=True)
     m.add_argument("--checkpoint", required=True)
-    m.add_argument("--starting-offsets", default="earliest")
+    m.add_argument("--group", default="reminders")
+    m.add_argument("--starting-offsets", help="JSON; default: the positions stored by the job")
+    m.add_argument("--zone", help="time zone of the order times, such as Asia/Shanghai")
+    m.add_argument("--once", action="store_true", help="read what there is, then end")
     d = sub.add_parser("calendar")
     d.add_argument("--start", required=True)
     d.add_argument("--days", type=int, required=True)
@@ -173,8 +232,8 @@ def main(argv: list[str] | None = None) -> None:
         for name, df in mart_reports(spark, args.marts, read_dimensions(spark, args.dims)).items():
             df.write.mode("overwrite").parquet(f"{args.out}/{name}")
     elif args.job == "reminders":
-        unpaid.start_unpaid_reminders_kafka(spark, args.bootstrap, args.out, args.checkpoint,
-                                            args.starting_offsets).awaitTermination()
+        reminders(spark, args.out, args.checkpoint, args.bootstrap, args.bus, args.group,
+                  args.starting_offsets, args.zone, args.once)
     else:
         time_dimension(spark, args.start, args.days).write.mode("overwrite").parquet(args.out)
 

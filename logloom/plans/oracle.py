@@ -240,6 +240,35 @@ SELECT s[1] AS orderid, s[2] AS payment, s[3] AS paymenttime,
 FROM (SELECT string_split(value, ',') AS s FROM {bus} WHERE topic IN ({', '.join(_PT)}))"""
 
 
+def _batch_orders(rows: str) -> str:
+    return f"""
+SELECT s[2] AS orderid, s[1] AS userid, s[4] AS ordertime,
+       try_strptime(s[4], '%Y-%m-%d %H:%M:%S') AS order_ts, batch
+FROM (SELECT string_split(value, ',') AS s, batch FROM {rows} WHERE topic IN ({', '.join(_OT)}))"""
+
+
+def _rounds(n: int) -> list[tuple[str, str]]:
+    """Rounds of the looped query: the records of a part of the time, and what
+    the round before has left open or waiting."""
+    out = [("arrived", f"SELECT * EXCLUDE (batch), batch * {n} // segments AS batch FROM segmented"),
+           ("arrived_orders", _batch_orders("arrived"))]
+    for k in range(n):
+        carried_o = (f"UNION ALL SELECT orderid, userid, ordertime, order_ts FROM looped{k - 1} "
+                     "WHERE verdict = 'open'") if k else ""
+        carried_p = f"UNION SELECT orderid FROM looped{k - 1} WHERE verdict = 'waiting'" if k else ""
+        out.append((f"looped{k}", f"""
+SELECT {k} AS batch, coalesce(o.orderid, p.orderid) AS orderid, userid, ordertime, order_ts,
+  CASE WHEN o.orderid IS NULL THEN 'waiting' WHEN p.orderid IS NOT NULL THEN 'paid'
+       WHEN order_ts IS NULL THEN 'rejected' WHEN order_ts + INTERVAL 5 MINUTE <
+         (SELECT max("timestamp") FROM arrived WHERE batch = {k}) THEN 'remind' ELSE 'open' END AS verdict
+FROM (SELECT DISTINCT ON (orderid) orderid, userid, ordertime, order_ts FROM (
+        SELECT orderid, userid, ordertime, order_ts FROM arrived_orders WHERE batch = {k} {carried_o})
+      ORDER BY orderid, order_ts NULLS LAST, userid, ordertime) o
+FULL OUTER JOIN (SELECT DISTINCT string_split(value, ',')[1] AS orderid FROM arrived
+                 WHERE batch = {k} AND topic IN ({', '.join(_PT)}) {carried_p}) p ON o.orderid = p.orderid"""))
+    return out
+
+
 def _status_of(orders: str, payments: str, at: str, any_payment: bool = False) -> str:
     """Order and payment rows side by side, ranked per order; one row each."""
     window = "true" if any_payment else (
@@ -269,40 +298,46 @@ WHERE place = 1"""
 CTES += [
     ("placed", """
 SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS placed FROM orders"""),
-    ("orders_rec", f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS orderid, o_orderkey AS order_no, placed AS event_ts,
+    ("orders_all", f"""
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'order2' ELSE 'produceOrderInfo' END AS topic,
+       CAST(o_orderkey AS VARCHAR) AS orderid, o_orderkey AS order_no, placed AS event_ts,
        concat_ws(',', CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR),
                  'nation' || coalesce(CAST(c_nationkey AS VARCHAR), '?'),
                  CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey % 10 = 0 THEN 'n/a'
                       ELSE strftime(placed, '%Y-%m-%d %H:%M:%S') END,
-                 {_cents('goods')}, '0.00', {_cents('off')}, {_cents('goods - off')}) AS value
+                 {_cents('goods')}, '0.00', {_cents('off')}, {_cents('goods - off')}) AS value,
+       o_orderpriority = '1-URGENT' AND o_orderkey % 10 = 1 AS again
 FROM (SELECT *, goods * coalesce(pct, 0) // 100 AS off
-      FROM (SELECT *, CAST(floor(o_totalprice / 40) AS BIGINT) AS goods FROM placed
-            WHERE o_orderstatus <> 'P')
+      FROM (SELECT *, CAST(floor(o_totalprice / 40) AS BIGINT) AS goods FROM placed)
       LEFT JOIN (SELECT l_orderkey, CAST(max(round(l_discount * 100)) AS BIGINT) AS pct
                  FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
       LEFT JOIN customer ON o_custkey = c_custkey)"""),
+    ("orders_rec", """
+SELECT topic, orderid, order_no, event_ts, value FROM orders_all
+UNION ALL SELECT 'order2', orderid, order_no, event_ts + INTERVAL 1 DAY, value FROM orders_all WHERE again"""),
     ("payments_src", """
-SELECT l.*, placed, l_returnflag = 'N' AND l_linestatus = 'F' AS untimed,
-       placed + to_minutes(CAST(l_quantity AS INTEGER) - CASE l_returnflag WHEN 'A' THEN 20 ELSE 0 END) AS pay
-FROM lineitem l JOIN placed ON l_orderkey = o_orderkey WHERE l_returnflag IN ('A', 'N')"""),
+SELECT *, base + to_minutes(CAST(l_quantity AS INTEGER) - CASE l_returnflag WHEN 'A' THEN 20 ELSE 0 END) AS pay,
+       CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS orderid
+FROM (SELECT l.*, coalesce(placed, CAST(l_shipdate AS TIMESTAMP)) AS base,
+             l_returnflag = 'N' AND l_linestatus = 'F' AS untimed
+      FROM lineitem l LEFT JOIN placed ON l_orderkey = o_orderkey)"""),
     ("payments_rec", """
-SELECT CAST(l_orderkey AS VARCHAR) AS orderid, l_orderkey AS order_no,
-       CASE WHEN untimed THEN placed ELSE pay END AS event_ts,
-       concat_ws(',', CAST(l_orderkey AS VARCHAR), 'supplier' || CAST(l_suppkey AS VARCHAR),
+SELECT CASE WHEN l_returnflag = 'R' THEN 'pay2' ELSE 'producerOrderids' END AS topic, orderid,
+       l_orderkey AS order_no, CASE WHEN untimed THEN base ELSE pay END AS event_ts,
+       concat_ws(',', orderid, 'supplier' || CAST(l_suppkey AS VARCHAR),
                  CASE WHEN untimed THEN '' ELSE strftime(pay, '%Y-%m-%d %H:%M:%S') END,
                  CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR),
                  'line' || CAST(l_linenumber AS VARCHAR)) AS value
 FROM payments_src"""),
+    ("records", """
+SELECT topic, CAST(order_no % 4 AS INTEGER) AS "partition", event_ts AS "timestamp", orderid AS "key", value
+FROM (SELECT * FROM orders_rec UNION ALL SELECT * FROM payments_rec)"""),
     ("bus", """
-SELECT topic, CAST(order_no % 4 AS INTEGER) AS "partition", CAST(epoch(event_ts) AS BIGINT) AS "offset",
-       event_ts AS "timestamp", orderid AS "key", value
-FROM (SELECT 'produceOrderInfo' AS topic, * FROM orders_rec
-      UNION ALL SELECT 'producerOrderids', * FROM payments_rec)"""),
+SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "timestamp", "key", value) - 1 AS "offset"
+FROM records"""),
     ("orders_b", _orders_of("bus")),
     ("payments_b", _payments_of("bus")),
-    ("status_time", """
-SELECT CAST(max("timestamp") AS TIMESTAMP) - INTERVAL 30 DAY AS moment FROM bus"""),
+    ("status_time", 'SELECT max("timestamp") AS moment FROM bus'),
     ("status", _status_of("orders_b", "payments_b", "(SELECT moment FROM status_time)")),
     ("carried", """
 SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
@@ -310,52 +345,44 @@ FROM @status WHERE status = 'pending'
 UNION ALL
 SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM @status
 WHERE status = 'orphan'""".replace("@status", "status")),
-    ("round1_bus", 'SELECT * FROM bus WHERE "timestamp" <= (SELECT moment FROM status_time)'),
-    ("round1_orders", _orders_of("round1_bus")),
-    ("round1_payments", _payments_of("round1_bus")),
-    ("round1", _status_of("round1_orders", "round1_payments", "(SELECT moment FROM status_time)")),
-    ("round2_bus", """
-SELECT 'order2' AS topic, orderid AS "key", userid || ',' || orderid || ',nothing,' || ordertime AS value
-FROM round1 WHERE status = 'pending'
+    ("segmented", """
+SELECT *, CAST((sec - lo) * segments // (hi - lo + 1) AS BIGINT) AS batch
+FROM (SELECT *, CAST(epoch("timestamp") AS BIGINT) AS sec FROM bus),
+     (SELECT CAST(min(epoch("timestamp")) AS BIGINT) AS lo, CAST(max(epoch("timestamp")) AS BIGINT) AS hi,
+             greatest(8, (count(*) + 99999) // 100000) AS segments FROM bus)"""),
+    ("clocks", 'SELECT batch, max("timestamp") AS now FROM segmented GROUP BY 1'),
+    ("segment_orders", _batch_orders("segmented")),
+    ("first_orders", """
+SELECT orderid, min(batch) AS bo, any_value(userid) AS userid, any_value(ordertime) AS ordertime,
+       any_value(order_ts) AS order_ts FROM segment_orders GROUP BY 1"""),
+    ("first_payments", f"""
+SELECT string_split(value, ',')[1] AS orderid, min(batch) AS bp FROM segmented
+WHERE topic IN ({', '.join(_PT)}) GROUP BY 1"""),
+    # in which batch an order is due, and in which an order and a payment have met
+    ("fates", """
+SELECT o.*, p.bp, CASE WHEN bp IS NOT NULL THEN greatest(bo, bp) END AS paid,
+       (SELECT min(batch) FROM clocks WHERE batch >= bo AND order_ts + INTERVAL 5 MINUTE < now) AS due
+FROM first_orders o LEFT JOIN first_payments p USING (orderid)"""),
+    ("stream_changes", """
+SELECT bp AS batch, p.orderid, NULL AS userid, NULL AS ordertime, 'waiting' AS verdict
+FROM first_payments p LEFT JOIN first_orders o USING (orderid) WHERE bo IS NULL OR bp < bo
 UNION ALL
-SELECT 'pay2', orderid, orderid || ',' || payment || ',' || paymenttime FROM round1
-WHERE status = 'orphan'
+SELECT bo, orderid, userid, ordertime, CASE WHEN paid = bo THEN 'paid' WHEN order_ts IS NULL THEN 'rejected'
+       WHEN due = bo THEN 'remind' ELSE 'open' END FROM fates
 UNION ALL
-SELECT topic, "key", value FROM bus WHERE "timestamp" > (SELECT moment FROM status_time)"""),
-    ("round2_orders", _orders_of("round2_bus")),
-    ("round2_payments", _payments_of("round2_bus")),
-    ("batches", """
-SELECT *, ("offset" - lo) * 4 // (hi - lo + 1) AS batch
-FROM bus, (SELECT min("offset") AS lo, max("offset") AS hi FROM bus)"""),
-    ("clocks", 'SELECT batch, max("timestamp") AS now FROM batches GROUP BY 1'),
-    ("batch_orders", """
-SELECT s[2] AS orderid, s[1] AS userid, s[4] AS ordertime,
-       try_strptime(s[4], '%Y-%m-%d %H:%M:%S') AS order_ts, batch
-FROM (SELECT string_split(value, ',') AS s, batch FROM batches WHERE topic = 'produceOrderInfo')"""),
-    ("batch_payments", """
-SELECT s[1] AS orderid, batch, coalesce(try_strptime(s[3], '%Y-%m-%d %H:%M:%S'), now) AS pay_ts
-FROM (SELECT string_split(value, ',') AS s, batch FROM batches WHERE topic = 'producerOrderids')
-JOIN clocks USING (batch)"""),
-    # a payment waits for its order a day by the clock
-    ("order_fates", """
-SELECT o.orderid, o.userid, o.ordertime, o.order_ts, o.batch,
-       (SELECT min(c.batch) FROM clocks c
-        WHERE c.batch >= o.batch AND o.order_ts + INTERVAL 5 MINUTE < c.now) AS due,
-       (SELECT min(greatest(p.batch, o.batch)) FROM batch_payments p JOIN clocks c
-          ON c.batch = greatest(p.batch, o.batch) - 1 OR (c.batch = 0 AND greatest(p.batch, o.batch) = 0)
-        WHERE p.orderid = o.orderid AND (p.batch >= o.batch OR p.pay_ts >= c.now - INTERVAL 1 DAY)) AS paid
-FROM batch_orders o"""),
-    ("stream_verdicts", """
-SELECT *, CASE WHEN order_ts IS NULL AND (paid IS NULL OR paid > batch) THEN 'rejected'
-               WHEN paid IS NOT NULL AND paid <= coalesce(due, paid) THEN 'paid'
-               WHEN due IS NOT NULL THEN 'remind' ELSE 'open' END AS verdict FROM order_fates"""),
+SELECT least(paid, due), orderid, userid, ordertime, CASE WHEN paid <= coalesce(due, paid) THEN 'paid' ELSE 'remind' END
+FROM fates WHERE order_ts IS NOT NULL AND coalesce(paid <> bo, true) AND coalesce(due <> bo, true)
+  AND coalesce(paid, due) IS NOT NULL"""),
+    *_rounds(3),
+    ("positions", """
+SELECT topic, "partition", count(*) AS n FROM bus GROUP BY 1, 2"""),
     ("history", """
-SELECT topic, "partition", batch AS batch_id, max("timestamp") AS batch_time, min("offset") AS from_offset,
-       max("offset") + 1 AS until_offset, count(*) AS records
-FROM batches GROUP BY 1, 2, 3"""),
-    ("stored_offsets", """
-SELECT topic, "partition", arg_max(until_offset, batch_id) AS "offset"
-FROM history WHERE batch_id < 2 GROUP BY 1, 2"""),
+SELECT p.topic, p."partition", b.batch_id, least(n, b.batch_id * 5000) AS from_offset,
+       least(n, (b.batch_id + 1) * 5000) AS until_offset, t.batch_time
+FROM positions p, (SELECT unnest(range((max(n) + 4999) // 5000)) AS batch_id FROM positions) b
+LEFT JOIN (SELECT topic, "partition", "offset" // 5000 AS batch_id, max("timestamp") AS batch_time
+           FROM bus GROUP BY 1, 2, 3) t
+  ON t.topic = p.topic AND t."partition" = p."partition" AND t.batch_id = b.batch_id"""),
 ]
 
 
@@ -457,9 +484,8 @@ FROM loginfo l LEFT JOIN agent_dict d ON l.userAgent = d.userAgent""",
 SELECT strftime(range, '%Y%m%d%H%M') AS timeid, strftime(range, '%Y') AS year,
        strftime(range, '%m') AS month, strftime(range, '%d') AS day,
        strftime(range, '%H') AS hour, strftime(range, '%M') AS minute
-FROM (SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS lo,
-             CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS hi FROM events) b,
-     range(b.lo, b.hi, INTERVAL 1 MINUTE)""",
+FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM events WHERE ts IS NOT NULL) d,
+     range(d.day, d.day + INTERVAL 1 DAY, INTERVAL 1 MINUTE)""",
     "region_from_ip_json": """
 SELECT ip, reply,
        CASE WHEN len(string_split(reply, ',')) < 3 THEN '0'
@@ -481,6 +507,7 @@ FROM (
     "ip_mart_day": "SELECT * FROM ip_day",
     "visit_starts": "SELECT * FROM visit_starts",
     "uv_mart_day": "SELECT * FROM uv_day",
+    "uv_mart_day_by_days": "SELECT * FROM uv_day",
     "ip_day_total": "SELECT timeid, count(ip) AS ips FROM ip_day GROUP BY 1",
     "ip_day_total_exact": "SELECT timeid, count(DISTINCT ip) AS ips FROM ip_day GROUP BY 1",
     "top3_columns_pv_day": _top3("pv_day", "pv"),
@@ -530,41 +557,27 @@ SELECT o.orderid, o.ordertime, p.paymenttime, date_diff('second', o.order_ts, p.
 FROM orders_b o JOIN payments_b p ON o.orderid = p.orderid""",
     "order_stream_source": 'SELECT topic, "partition", "offset", "timestamp", "key", value FROM bus',
     "unpaid_orders_stream": """
-SELECT orderid, userid, ordertime FROM stream_verdicts WHERE verdict = 'remind'""",
+SELECT orderid, userid, ordertime FROM stream_changes WHERE verdict = 'remind'""",
     "stream_batch_offsets": """
-SELECT batch_id, topic, "partition", from_offset, until_offset, records FROM history""",
-    "pending_sink": _status_of("round2_orders", "round2_payments", "TIMESTAMP '9999-01-01'"),
-    "batch_record_count": "SELECT batch AS batch_id, count(*) AS records FROM batches GROUP BY 1",
+SELECT batch_id, topic, "partition", from_offset, until_offset, until_offset - from_offset AS records
+FROM history""",
+    "pending_sink": "\nUNION ALL\n".join(
+        f"SELECT batch, orderid, userid, ordertime, verdict FROM looped{k}" for k in range(3)),
+    "batch_record_count": """
+SELECT batch_id, CAST(sum(until_offset - from_offset) AS BIGINT) AS records FROM history GROUP BY 1""",
     "micro_batch_trigger": """
-SELECT batch, split_part(verdict, '/', 1) AS verdict, count(*) AS records FROM (
-  SELECT b.batch, CASE WHEN o.order_ts IS NULL THEN 'rejected' WHEN b.batch = o.due THEN 'remind'
-                       ELSE 'open' END AS verdict
-  FROM order_fates o JOIN clocks b ON b.batch >= o.batch
-  WHERE (o.paid IS NULL OR o.paid > b.batch)
-    AND CASE WHEN o.order_ts IS NULL THEN b.batch = o.batch ELSE b.batch <= coalesce(o.due, b.batch) END
-  UNION ALL
-  SELECT DISTINCT c.batch, 'waiting/' || p.orderid
-  FROM batch_payments p JOIN clocks c ON c.batch >= p.batch AND p.pay_ts >= c.now - INTERVAL 1 DAY
-  LEFT JOIN order_fates o ON o.orderid = p.orderid
-  WHERE o.orderid IS NULL OR NOT (o.batch <= c.batch AND p.batch <= CASE
-    WHEN o.order_ts IS NULL THEN o.batch ELSE least(coalesce(o.due, 99), coalesce(o.paid, 99)) END))
-GROUP BY 1, 2""",
+SELECT batch, verdict, count(*) AS records FROM stream_changes GROUP BY 1, 2""",
     "offset_history_append": """
 SELECT 'reminders' AS "group", topic, "partition", batch_id, batch_time, until_offset FROM history""",
     "batch_offset_report": """
-SELECT batch_id, topic, count(*) AS partitions, CAST(sum(records) AS BIGINT) AS records,
-       CAST(sum(until_offset - from_offset) AS BIGINT) AS offsets FROM history GROUP BY 1, 2""",
-    "offset_latest_lookup": "SELECT * FROM stored_offsets",
+SELECT batch_id, topic, count(*) FILTER (until_offset > from_offset) AS partitions,
+       CAST(sum(until_offset - from_offset) AS BIGINT) AS offsets,
+       CAST(sum(sum(until_offset - from_offset)) OVER (PARTITION BY batch_id) AS BIGINT) AS records
+FROM history GROUP BY 1, 2""",
+    "offset_latest_lookup": """
+SELECT topic, "partition", least(n, 10000) AS "offset" FROM positions""",
     "starting_offsets_resolve": """
-SELECT b.topic, b."partition",
-  CASE WHEN s."offset" IS NULL OR s."offset" < b.earliest THEN b.earliest
-       WHEN s."offset" > b.latest THEN b.latest ELSE s."offset" END AS "offset"
-FROM (SELECT topic, "partition", max("offset") + 1 AS latest, coalesce(
-             min("offset") FILTER (topic <> 'produceOrderInfo' OR "timestamp" >= (SELECT moment FROM status_time)),
-             max("offset") + 1) AS earliest
-      FROM bus GROUP BY 1, 2) b
-LEFT JOIN stored_offsets s ON b.topic = s.topic AND b."partition" = s."partition"
-""",
+SELECT topic, "partition", CASE WHEN topic = 'pay2' THEN 0 ELSE least(n, 10000) END AS "offset" FROM positions""",
 })
 
 

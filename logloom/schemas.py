@@ -36,6 +36,12 @@ MARTS = {
     "ip_day": T.StructType([T.StructField("timeid", _S), T.StructField("ip", _S), *_IDS, _DAY]),
 }
 
+# the first request of a session's minute, and the last request of a session
+SESSION_MINUTES = T.StructType([
+    T.StructField("sessionid", _S), T.StructField("ts", T.LongType()),
+    T.StructField("f", T.StructType([T.StructField("daystr", _S), *_IDS, T.StructField("timeid", _S)]))])
+LAST_REQUESTS = T.StructType([T.StructField("sessionid", _S), T.StructField("ts", T.LongType())])
+
 ORDER_RECORD = ["userId", "orderid", "addressId", "ordertime", "goodsamount", "carriage",
                 "discountamount", "amount"]
 PAYMENT_RECORD = ["orderid", "payment", "paymenttime", "bonus", "paymenttype"]

@@ -2,8 +2,8 @@
 
 Everything that has to be materialised (written tables, streaming
 checkpoints, landed text logs) goes under the folder named by
-``spark.checkpoint.dir``, on a cluster a shared one; where it is unset, under
-the SQL warehouse.
+``spark.checkpoint.dir``, on a cluster a shared one; a session in one process
+that leaves it unset works under the SQL warehouse.
 """
 
 from __future__ import annotations
@@ -52,13 +52,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir`` (or the context's
     checkpoint directory when one was set with ``setCheckpointDir``).
 
-    A session that names neither works under its SQL warehouse, which all
-    executors of a cluster share too; a machine-local temporary folder is
-    never used.
+    A session in one process that names neither works under its SQL warehouse.
+    On a cluster that folder may be one machine's own, so there the setting is
+    demanded.
     """
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return root.rstrip("/")
 
@@ -75,5 +77,35 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([checkpoint_root(spark), *pieces])
 
 
+def remove(spark: SparkSession, path: str, but: set[str] = frozenset()) -> None:
+    """Delete a folder of the shared storage, whatever file system it is on;
+    with ``but`` only what it holds under other names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not but:
+        fs.delete(folder, True)
+    elif fs.exists(folder):
+        for found in fs.listStatus(folder):
+            if found.getPath().getName() not in but:
+                fs.delete(found.getPath(), True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def folders(spark: SparkSession, path: str, complete: bool = False) -> list[str]:
+    """Names of the folders in one, or of the tables that were written to their
+    end; none when there is no such folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [f.getPath() for f in fs.listStatus(root) if f.isDirectory()]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return [p.getName() for p in found if not complete or fs.exists(done(p, "_SUCCESS"))]
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"

@@ -14,12 +14,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.functions import columns as C
-from logloom.operators.dims import time_dimension_spanning
 from logloom.operators.orders import ORDER_TOPICS, PAYMENT_TOPICS
 
 # ---------------------------------------------------------------------------
@@ -47,10 +46,9 @@ BUS_PARTITIONS = 4
 # iPhone listed as PC, curl as a monitor) and lacks others (misses)
 AGENT_DICTIONARY = [(AGENTS[0], C.DEVICE_MOBILE), (AGENTS[1], C.DEVICE_PC),
                     (AGENTS[2], C.DEVICE_PC), (AGENTS[4], C.DEVICE_MONITOR)]
-# the bus is consumed in this many slices of equal time
-BUS_SLICES = 4
-# the batch status is taken so many days before the last record
-STATUS_DAYS_BEFORE_END = 30
+# the bus is kept in segments of about so many records, in so many at least
+SEGMENT_RECORDS = 100_000
+BUS_SEGMENTS = 8
 # ---------------------------------------------------------------------------
 
 
@@ -172,14 +170,14 @@ def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> D
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def dimensions(spark: SparkSession, nation: DataFrame, events: DataFrame) -> Dimensions:
-    """The calendar spans the days of the data, whatever they are."""
+def dimensions(spark: SparkSession, nation: DataFrame, calendar: DataFrame) -> Dimensions:
+    """The dimensions beside a given calendar."""
     columns = literal_table(spark, COLUMN_ROWS, ["columnid", "keyword", "columnName"])
     devices = literal_table(spark, DEVICE_ROWS, ["devicetypeid", "deviceTypeName"])
     referers = literal_table(spark, REFERER_ROWS, ["refererHostId", "url", "host"])
     districts = nation.select(F.col("n_nationkey").cast("int").alias("districtid"),
                               F.col("n_name").alias("districtName"))
-    return Dimensions(time_dimension_spanning(events, "ts"), columns, devices, districts, referers)
+    return Dimensions(calendar, columns, devices, districts, referers)
 
 
 def _cents_str(cents: Column) -> Column:
@@ -196,18 +194,19 @@ def _placed(orders: DataFrame) -> DataFrame:
 
 
 def order_records(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
-    """Given orders as CSV records (userId, orderid, addressId, ordertime,
-    goodsamount, carriage, discountamount, amount) plus key columns.
-
-    Orders in status P are not on the bus yet (their payments are orphans);
-    a tenth of the low-priority ones has no readable time.  Goods are the
-    total price scaled to shop amounts, the discount is the greatest of the
-    order's line items.  The record's carriage is always 0: the shipping
-    charge is computed from the goods by ``order_amounts``.
+    """Every given order as a CSV record (userId, orderid, addressId, ordertime,
+    goodsamount, carriage, discountamount, amount) plus topic and key columns.
+
+    Orders in status P arrive as carried-forward ones (``order2``), all others
+    as new ones; a tenth of the urgent ones is delivered again a day later.  A
+    tenth of the low-priority ones has no readable time.  Goods are the total
+    price scaled to shop amounts, the discount is the greatest of the order's
+    line items.  The record's carriage is always 0: the shipping charge is
+    computed from the goods by ``order_amounts``.
     """
     disc = lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(
         F.max(F.round(F.col("l_discount") * 100)).cast("bigint").alias("pct"))
-    o = (_placed(orders.where(F.col("o_orderstatus") != "P"))
+    o = (_placed(orders)
          .join(disc, F.col("o_orderkey") == F.col("k"), "left")
          .join(customer.select("c_custkey", "c_nationkey"),
                F.col("o_custkey") == F.col("c_custkey"), "left"))
@@ -219,30 +218,42 @@ def order_records(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -
     csv = F.concat_ws(",", F.col("o_custkey").cast("string"), key,
                       F.concat(F.lit("nation"), F.coalesce(F.col("c_nationkey").cast("string"), F.lit("?"))),
                       time, _cents_str(goods), F.lit("0.00"), _cents_str(off), _cents_str(goods - off))
-    return o.select(key.alias("orderid"), F.col("o_orderkey").alias("order_no"),
-                    F.col("placed").alias("event_ts"), csv.alias("value"))
+    again = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 10 == 1)
+    topic = F.when(F.col("o_orderstatus") == "P", ORDER_TOPICS[1]).otherwise(ORDER_TOPICS[0])
+    first = o.select(topic.alias("topic"), key.alias("orderid"), F.col("o_orderkey").alias("order_no"),
+                     F.col("placed").alias("event_ts"), csv.alias("value"), again.alias("again"))
+    later = first.where("again").select(
+        F.lit(ORDER_TOPICS[1]).alias("topic"), "orderid", "order_no",
+        (F.col("event_ts") + F.expr("INTERVAL 1 DAY")).alias("event_ts"), "value")
+    return first.drop("again").unionByName(later)
 
 
 def payment_records(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Line items that were kept (flags A and N) as payments of their order:
-    orderid, payment, paymenttime, bonus, paymenttype.
-
-    A pays ``quantity - 20`` minutes after the order (early, in time or late),
-    N with line status O ``quantity`` minutes after, N with F has no time.  An
-    order can have several payments, or none.
+    """Every given line item as a payment: orderid, payment, paymenttime,
+    bonus, paymenttype.
+
+    Flag A pays ``quantity - 20`` minutes after the order (early, in time or
+    late), the others ``quantity`` minutes after; N with line status F has no
+    time.  Items that were returned (flag R) pay, as carried-forward payments
+    (``pay2``), for an order number of their own that no order has.  An order
+    can have several payments, or none.  An item without an order is dated by
+    its shipping day.
     """
-    li = lineitem.where(F.col("l_returnflag").isin("A", "N")).join(
-        _placed(orders).select("o_orderkey", "placed"), F.col("l_orderkey") == F.col("o_orderkey"))
+    li = lineitem.join(_placed(orders).select("o_orderkey", "placed"),
+                       F.col("l_orderkey") == F.col("o_orderkey"), "left").withColumn(
+        "placed", F.coalesce("placed", F.col("l_shipdate").cast("timestamp_ntz")))
     qty = F.col("l_quantity").cast("int")
     at = F.timestamp_add("MINUTE", F.when(F.col("l_returnflag") == "A", qty - 20).otherwise(qty),
                          F.col("placed"))
     untimed = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
     time = F.when(untimed, F.lit("")).otherwise(F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
-    key = F.col("l_orderkey").cast("string")
+    key = F.concat(F.when(returned, F.lit("returned")).otherwise(F.lit("")), F.col("l_orderkey").cast("string"))
     csv = F.concat_ws(",", key, F.concat(F.lit("supplier"), F.col("l_suppkey").cast("string")), time,
                       F.round(F.col("l_discount") * 100).cast("bigint").cast("string"),
                       F.concat(F.lit("line"), F.col("l_linenumber").cast("string")))
-    return li.select(key.alias("orderid"), F.col("l_orderkey").alias("order_no"),
+    return li.select(F.when(returned, PAYMENT_TOPICS[1]).otherwise(PAYMENT_TOPICS[0]).alias("topic"),
+                     key.alias("orderid"), F.col("l_orderkey").alias("order_no"),
                      F.when(untimed, F.col("placed")).otherwise(at).alias("event_ts"),
                      csv.alias("value"))
 
@@ -267,36 +278,52 @@ BUS_SCHEMA = T.StructType([
 ])
 
 
-def bus_records(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
-    """Order and payment records as message-bus rows.
+#: Which positions a segment of the bus holds.
+INDEX_SCHEMA = "topic string, partition int, segment int, from_offset bigint, until_offset bigint"
 
-    The partition follows from the order number, the offset is the second of
-    the record: offsets grow with time inside a partition and have gaps, as
-    compacted or transactional topics do.
-    """
-    def shape(df: DataFrame, topic: str) -> DataFrame:
-        return df.select(
-            F.lit(topic).alias("topic"), (F.col("order_no") % BUS_PARTITIONS).cast("int").alias("partition"),
-            F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                             F.col("event_ts")).alias("offset"),
-            F.col("event_ts").alias("timestamp"), F.col("orderid").alias("key"), "value")
-    return shape(order_records(orders, lineitem, customer), ORDER_TOPICS[0]).unionByName(
-        shape(payment_records(orders, lineitem), PAYMENT_TOPICS[0]))
-
-
-def bus_times(bus: DataFrame) -> tuple[int, int]:
-    """First and last second of the bus (one row)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    lo, hi = bus.agg(F.min(F.timestamp_diff("SECOND", epoch, F.col("timestamp"))),
-                     F.max(F.timestamp_diff("SECOND", epoch, F.col("timestamp")))).first()
-    return lo or 0, hi or 0
-
-
-def slice_number(bus: DataFrame, slices: int = BUS_SLICES) -> Column:
-    """Which of ``slices`` slices of equal time a bus row belongs to."""
-    lo, hi = bus_times(bus)
-    at = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("timestamp"))
-    return F.floor((at - lo) * slices / (hi - lo + 1)).cast("int")
+
+def bus_records(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
+    """Order and payment records: topic, partition (by the order number),
+    timestamp, key, value."""
+    every = order_records(orders, lineitem, customer).unionByName(payment_records(orders, lineitem))
+    return every.select(
+        "topic", (F.col("order_no") % BUS_PARTITIONS).cast("int").alias("partition"),
+        F.col("event_ts").alias("timestamp"), F.col("orderid").alias("key"), "value")
+
+
+def _second(ts: Column) -> Column:
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
+def with_segments(records: DataFrame) -> DataFrame:
+    """``segment`` of each record: the bus is kept in segments of equal time,
+    as it arrives, of about ``SEGMENT_RECORDS`` records each."""
+    lo, hi, n = records.agg(F.min(_second(F.col("timestamp"))), F.max(_second(F.col("timestamp"))),
+                            F.count(F.lit(1))).first()
+    segments = max(BUS_SEGMENTS, -(-n // SEGMENT_RECORDS))
+    at = F.floor((_second(F.col("timestamp")) - (lo or 0)) * segments / ((hi or 0) - (lo or 0) + 1))
+    return records.withColumn("segment", at.cast("int"))
+
+
+def segment_counts(segmented: DataFrame) -> DataFrame:
+    """``topic, partition, segment, from_offset, until_offset``: which positions
+    of a topic's partition a segment holds (a row each, partially counted)."""
+    counts = segmented.groupBy("topic", "partition", "segment").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("topic", "partition").orderBy("segment"))
+    return counts.select("topic", "partition", "segment", (upto - F.col("n")).alias("from_offset"),
+                         upto.alias("until_offset"))
+
+
+def with_offsets(segmented: DataFrame, counts: DataFrame) -> DataFrame:
+    """Bus rows: the offset is the record's place in its topic's partition,
+    counted without gaps in order of time.  Only records of one segment, topic
+    and partition are sorted together."""
+    within = Window.partitionBy("segment", "topic", "partition").orderBy("timestamp", "key", "value")
+    numbered = segmented.withColumn("_n", F.row_number().over(within) - 1)
+    return numbered.join(counts.select("topic", "partition", "segment", "from_offset"),
+                         ["topic", "partition", "segment"]).select(
+        "topic", "partition", (F.col("from_offset") + F.col("_n")).alias("offset"), "timestamp", "key",
+        "value", "segment")
 
 
 def geo_replies(located: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from logloom import schemas
@@ -27,11 +26,14 @@ def test_time_dimension_two_days(spark):
         ("2017", "01", "08", "12", "37")
 
 
-def test_time_dimension_spanning_events(spark):
+def test_time_dimension_of_the_days_of_events(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    cal = D.time_dimension_spanning(ev)
-    days = ev.select(F.to_date("ts").alias("d")).agg(F.datediff(F.max("d"), F.min("d"))).first()[0]
-    assert cal.count() == (days + 1) * 1440
+    cal = D.time_dimension_of(ev)
+    days = ev.select(F.to_date("ts").alias("d")).distinct().count()
+    assert cal.count() == cal.distinct().count() == days * 1440
+    lo = ev.agg(F.min(F.to_date("ts"))).first()[0].isoformat()
+    same = D.time_dimension(spark, lo, 1)
+    assert sorted(cal.where(F.col("timeid").startswith(lo.replace("-", ""))).collect()) == sorted(same.collect())
 
 
 def test_dynamic_partition_overwrite_keeps_other_partitions(spark):
@@ -78,16 +80,24 @@ def test_facts_of_two_years_are_all_kept(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     both = ev.unionByName(ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 400 DAYS")))
     inp, two = Inputs(spark, SF_SMALL), Inputs(spark, SF_SMALL)
-    two.__dict__.update(events=both, lines=derived.access_log_lines(both))
+    two.__dict__.update(events=both, lines=derived.access_log_lines(both), dims=derived.dimensions(
+        spark, inp.nation, D.time_dimension_of(both)))
     assert two.facts_pv.count() == 2 * inp.facts_pv.count() > 0
 
 
-def test_a_far_timestamp_makes_no_giant_calendar(spark):
-    df = spark.createDataFrame([("2024-01-01",), ("9999-01-01",)], "d string").select(
+def test_a_far_timestamp_adds_one_day(spark):
+    df = spark.createDataFrame([("2024-01-01",), ("9999-12-31",), (None,), ("2024-01-01",)], "d string").select(
         F.col("d").cast("timestamp").alias("ts"))
-    with pytest.raises(ValueError, match="spans"):
-        D.time_dimension_spanning(df)
-    assert D.time_dimension_spanning(df.limit(0)).count() == 0
+    got = D.time_dimension_of(df).groupBy(F.substring("timeid", 1, 8).alias("d")).count().collect()
+    assert {r["d"]: r["count"] for r in got} == {"20240101": 1440, "99991231": 1440}
+    assert D.time_dimension_of(df.limit(0)).count() == 0
+    # and no other fact is lost
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    far = ev.unionByName(ev.limit(1).withColumn("ts", F.lit("9999-01-01 10:00:00").cast(ev.schema["ts"].dataType)))
+    inp, wide = Inputs(spark, SF_SMALL), Inputs(spark, SF_SMALL)
+    wide.__dict__.update(events=far, lines=derived.access_log_lines(far), dims=derived.dimensions(
+        spark, inp.nation, D.time_dimension_of(far)))
+    assert 0 <= wide.facts_pv.count() - inp.facts_pv.count() <= 2
 
 
 def test_dictionary_disagrees_with_the_rules(spark):

@@ -3,10 +3,11 @@
 import re
 
 from logloom import schemas
-from logloom.plans import jobs
+from logloom.operators.dims import time_dimension_of
+from logloom.plans import etl, jobs
 from logloom.plans.catalog import QUERIES
 from logloom.plans.inputs import Inputs
-from logloom.session import work_dir
+from logloom.session import folders, work_dir
 from logloom.sources import derived
 
 from .conftest import SF_SMALL
@@ -24,7 +25,7 @@ def test_jobs_end_to_end(spark):
     root = work_dir(spark, "test", "jobs", unique=True)
     inp.lines.write.mode("overwrite").text(f"{root}/raw/access_log")
     inp.range_lines.coalesce(1).write.mode("overwrite").text(f"{root}/raw/ipaddress")
-    jobs.write_dimensions(derived.dimensions(spark, inp.nation, inp.events), f"{root}/dims")
+    jobs.write_dimensions(derived.dimensions(spark, inp.nation, time_dimension_of(inp.events)), f"{root}/dims")
 
     jobs.etl1(spark, f"{root}/raw/access_log", f"{root}/raw/ipaddress", f"{root}/loginfo")
     jobs.etl2(spark, f"{root}/loginfo", f"{root}/loginfo2")
@@ -48,6 +49,35 @@ def test_jobs_end_to_end(spark):
         _same(reps[name], QUERIES[name](spark, SF_SMALL))
 
 
+def test_uv_mart_day_by_day_equals_the_full_run(spark):
+    inp = Inputs(spark, SF_SMALL)
+    stage, root = (work_dir(spark, "test", n, unique=True) for n in ("loginfo2", "uv"))
+    etl.write_partitioned_overwrite(inp.loginfo2, stage)
+    l2 = spark.read.schema(schemas.LOGINFO2).parquet(stage)
+    days = sorted(f"{r[0]:04d}{r[1]:02d}{r[2]:02d}" for r in l2.select("year", "month", "day").distinct().collect())
+    jobs.build_uv(spark, l2, inp.dims, root, last=days[1])
+    for day in days[2:]:
+        jobs.build_uv(spark, l2, inp.dims, root, day, day)
+    full = QUERIES["uv_mart_day"](spark, SF_SMALL)
+    _same(jobs.read_mart(spark, root, "uv_day"), full)
+    assert sorted(folders(spark, f"{root}/visits")) == [f"asof={d}" for d in days[1:]]
+    # a day that is run again takes the days behind it along
+    jobs.build_uv(spark, l2, inp.dims, root, days[3], days[3])
+    _same(jobs.read_mart(spark, root, "uv_day"), full)
+    # a run whose days before were never run computes these too
+    other = work_dir(spark, "test", "uv", unique=True)
+    jobs.build_uv(spark, l2, inp.dims, other, last=days[0])
+    jobs.build_uv(spark, l2, inp.dims, other, days[-1], days[-1])
+    _same(jobs.read_mart(spark, other, "uv_day"), full)
+
+
+def test_uv_range():
+    assert jobs.uv_range([], "20240105", "20240105") == (None, "20240105")
+    assert jobs.uv_range(["20240104"], "20240105", "20240105") == ("20240104", "20240105")
+    assert jobs.uv_range(["20240101", "20240110"], "20240105", "20240106") == ("20240101", "20240110")
+    assert jobs.uv_range(["20240110"], None, None) == (None, None)
+
+
 def test_reports_read_written_marts(spark):
     df = QUERIES["pv_day_by_district"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()

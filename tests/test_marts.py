@@ -115,3 +115,25 @@ def test_visit_starts_with_a_hot_session(spark):
     # the per-session window sees at most one row per (session, minute)
     hot_minutes = facts.where("sessionid = 'hot'").select("ts").distinct().count()
     assert fast.where("sessionid = 'hot'").count() <= hot_minutes
+
+
+def test_visit_starts_of_days_with_a_carry(spark):
+    """Any cut of the days gives the starts of the whole."""
+    import random
+    rnd = random.Random(5)
+    rows = [fact(f"s{rnd.randrange(40)}", rnd.randrange(0, 4 * 1440), rnd.choice([1, 2, 4]), sec=rnd.randrange(60))
+            for _ in range(1200)] + [fact("mid", 1439, 1), fact("mid", 1441, 1), fact("mid", 1446, 1)]
+    facts = spark.createDataFrame(rows, SCHEMA).cache()
+    whole = sorted(map(tuple, marts.visit_starts(facts).collect()))
+    first = min(r[1] for r in rows)
+    got, carry = [], None
+    for cut in (first + 700 * 60, first + 1445 * 60, first + 1446 * 60, first + 9999 * 60):
+        part = facts.where((F.col("ts") < cut) & (F.col("ts") >= (0 if carry is None else done)))
+        minutes = marts.session_minutes(part)
+        got += map(tuple, marts.starts_of_minutes(minutes, carry).collect())
+        carry = spark.createDataFrame(marts.last_requests(minutes, carry).collect(), "sessionid string, ts long")
+        done = cut
+    assert sorted(got) == whole
+    assert {r["sessionid"]: r["ts"] for r in carry.collect()} == {
+        r["sessionid"]: r["m"] for r in facts.groupBy("sessionid").agg(F.max("ts").alias("m")).collect()}
+    facts.unpersist()

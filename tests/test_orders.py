@@ -2,12 +2,15 @@
 unpaid-order reminder."""
 
 import datetime as dt
+import os
+import time
 
 from pyspark.sql import functions as F
 
 from logloom.operators import offsets, orders
-from logloom.session import work_dir
+from logloom.session import folders, work_dir
 from logloom.streaming import bus as bus_stream
+from logloom.streaming import loopback
 from logloom.streaming import offsets as stream_offsets
 from logloom.streaming import unpaid
 
@@ -101,17 +104,31 @@ def at(hhmm):
     return dt.datetime.strptime(f"2019-09-01 {hhmm}", "%Y-%m-%d %H:%M")
 
 
-def remind(spark, batches, **kw):
-    """Run the reminder stream over (clock, rows) batches, one restart each."""
+def remind(spark, batches, restarts=False, **kw):
+    """Run the reminder stream over (clock, rows) batches, in one run or with a
+    restart before each."""
     root = work_dir(spark, "test", "verdicts", unique=True)
+    folder = work_dir(spark, "test", "landing", unique=True)
+    checkpoint = work_dir(spark, "test", "checkpoint", unique=True)
     clocks = [c for c, _ in batches]
-    bus_stream.run_in_slices(
-        spark, [_bus(spark, rows) for _, rows in batches], "test_reminders",
-        lambda stream, ckpt: unpaid.start_unpaid_reminders(
-            stream, root, ckpt, trigger={"availableNow": True}, clock=lambda df, i: clocks[i], **kw))
+
+    def run():
+        bus_stream.finish(unpaid.start_unpaid_reminders(
+            bus_stream.file_bus_stream(spark, folder, 1), root, checkpoint, trigger={"availableNow": True},
+            clock=lambda df, i: clocks[i], **kw))
+    for _, rows in batches:
+        bus_stream.land_in_order([_bus(spark, rows)], folder)
+        if restarts:
+            run()
+    if not restarts:
+        run()
     return root
 
 
+def changes(spark, root):
+    return sorted((r["batch"], r["orderid"], r["verdict"]) for r in unpaid.reminder_state(spark, root).changes().collect())
+
+
 def ids(spark, root, verdict=unpaid.REMIND):
     return sorted((r["batch"], r["orderid"]) for r in unpaid.verdicts(spark, root, verdict).collect())
 
@@ -138,7 +155,7 @@ def test_open_orders_and_waiting_payments_cross_batches(spark):
         (at("12:05"), [_order("d", "2019-09-01 12:01:00"), _order("far", "2999-01-01 00:00:00"),
                        _order("bad", "n/a")]),
         (at("12:06"), [_pay("e", "2019-09-01 12:06:00")]),
-        (at("12:30"), [_pay("b", "2019-09-01 12:29:00")])])
+        (at("12:30"), [_pay("b", "2019-09-01 12:29:00")])], restarts=True)
     # exactly five minutes is not yet due; a payment after the reminder changes nothing
     assert ids(spark, root) == [(3, "b")]
     assert ids(spark, root, unpaid.REJECTED) == [(2, "bad"), (2, "far")]
@@ -152,6 +169,87 @@ def test_an_old_backlog_with_the_payment_one_batch_ahead(spark):
     assert ids(spark, root) == [(1, "unpaid")]
 
 
+def test_second_payments_and_redelivered_orders_change_nothing(spark):
+    a, b = _order("a", "2019-09-01 12:00:00"), _order("b", "2019-09-01 12:00:00")
+    batches = [(at("12:01"), [a, _pay("a", "2019-09-01 12:00:00"), b, _order("bad", "n/a")]),
+               (at("12:02"), [_pay("a", "2019-09-01 12:02:00"), a, b]),
+               (at("12:06"), [a]),
+               (at("12:07"), [_pay("b", "2019-09-01 12:06:30"), b, _order("bad", "n/a")]),
+               (at("12:20"), [a, _pay("a", "2019-09-01 12:19:00"), b])]
+    want = [(0, "a", "paid"), (0, "b", "open"), (0, "bad", "rejected"), (2, "b", "remind")]
+    for every in (1, 2, 16):  # whether the state is in a base or in changes
+        root = remind(spark, batches, compact_every=every, buckets=2)
+        assert changes(spark, root) == want
+
+
+def test_a_batch_writes_its_own_keys_only(spark):
+    orders_ = [_order(f"o{i}", "2019-09-01 12:00:00") for i in range(200)]
+    root = remind(spark, [(at("12:01"), orders_), (at("12:02"), [_pay("o7", "2019-09-01 12:02:00")]),
+                          (at("12:03"), [_pay("late", "2019-09-01 12:03:00")])])
+    assert [c for c in changes(spark, root) if c[0]] == [(1, "o7", "paid"), (2, "late", "waiting")]
+
+
+def test_old_changes_can_be_removed(spark):
+    batches = [(at("12:01"), [_order("a", "2019-09-01 12:00:00"), _order("r", "2019-09-01 11:00:00")])]
+    batches += [(at(f"12:0{i}"), [_pay(f"p{i}", "2019-09-01 12:00:00")]) for i in range(2, 5)]
+    batches += [(at("12:04"), [_order("p2", "2019-09-01 12:00:00"), _order("r", "2019-09-01 11:00:00")]),
+                (at("12:05"), [_pay("a", "2019-09-01 12:05:00")]), (at("12:30"), [_pay("a", "2019-09-01 12:05:00")]),
+                (at("12:40"), [_order("p4", "2019-09-01 12:00:00")])]
+    root = remind(spark, batches, compact_every=2, trim=True)
+    got = changes(spark, root)
+    assert [c for c in got if c[2] == "remind"] == [(0, "r", "remind")]
+    assert (4, "p2", "paid") not in got and (7, "p4", "paid") in got
+    state = unpaid.reminder_state(spark, root, compact_every=2)
+    newest = {r["orderid"]: r["verdict"] for r in state.newest(state.versions(8)).collect()}
+    assert newest == {"a": "paid", "r": "remind", "p2": "paid", "p3": "waiting", "p4": "paid"}
+    assert len(folders(spark, f"{root}/base")) == 2
+
+
+def test_the_clock_does_not_depend_on_the_drivers_zone(spark):
+    bus = _bus(spark, [_order("a", "2019-09-01 08:00:00")])
+    saved = os.environ.get("TZ")
+    try:
+        for zone in ("UTC", "Asia/Shanghai", "America/New_York"):
+            os.environ["TZ"] = zone
+            time.tzset()
+            assert unpaid.judge_batch(bus, None, at("08:10")).first()["verdict"] == "remind"
+            assert unpaid.judge_batch(bus, None, at("08:04")).first()["verdict"] == "open"
+    finally:
+        os.environ.pop("TZ") if saved is None else os.environ.__setitem__("TZ", saved)
+        time.tzset()
+    far = unpaid.wall_clock(bus, 0, "Asia/Shanghai") - unpaid.wall_clock(bus, 0, "UTC")
+    assert abs(far - dt.timedelta(hours=8)) < dt.timedelta(minutes=1)
+
+
+def test_three_rounds_through_the_bus(spark):
+    """Pending orders and payments come back as records of the next batch."""
+    root, folder = (work_dir(spark, "test", n, unique=True) for n in ("looped", "bus"))
+    rounds = [(at("12:01"), [_order("a", "2019-09-01 12:00:00"), _order("b", "2019-09-01 12:00:00"),
+                             _pay("c", "2019-09-01 12:01:00"), _order("old", "2019-09-01 11:00:00")]),
+              (at("12:04"), [_order("c", "2019-09-01 12:03:00"), _pay("a", "2019-09-01 12:03:00"),
+                             ("pay2", "x", "x,card")]),
+              (at("12:07"), [_order("d", "2019-09-01 12:06:00")])]
+
+    def sink(batch, epoch):
+        for _ in range(2):  # a replay publishes nothing twice
+            loopback.loopback_batch(batch, epoch, root, f"{folder}/sink" if epoch == 2 else f"{folder}/bus",
+                                    clock=lambda df, i: rounds[i][0])
+        if epoch < 2:
+            bus_stream.land_bus(_bus(spark, rounds[epoch + 1][1]), f"{folder}/bus/new-{epoch + 1}")
+    bus_stream.land_bus(_bus(spark, rounds[0][1]), f"{folder}/bus/new-0")
+    bus_stream.finish(loopback.looped_stream(spark, f"{folder}/bus").writeStream.foreachBatch(sink).option(
+        "checkpointLocation", work_dir(spark, "test", "checkpoint", unique=True)).start())
+    got = sorted((r["batch"], r["orderid"], r["verdict"]) for r in loopback.judged_rows(spark, root).collect())
+    assert got == [(0, "a", "open"), (0, "b", "open"), (0, "c", "waiting"), (0, "old", "remind"),
+                   (1, "a", "paid"), (1, "b", "open"), (1, "c", "paid"), (1, "x", "waiting"),
+                   (2, "b", "remind"), (2, "d", "open"), (2, "x", "waiting")]
+    pending = spark.read.parquet(f"{folder}/sink/carried-2").collect()
+    assert {(r["topic"], r["value"]) for r in pending} == {
+        ("order2", "u1,d,nothing,2019-09-01 12:06:00"), ("pay2", "x,card,")} or \
+        {(r["topic"], r["value"].rstrip(",")) for r in pending} == {
+            ("order2", "u1,d,nothing,2019-09-01 12:06:00"), ("pay2", "x,card")}
+
+
 def test_a_replayed_batch_replaces_its_rows(spark):
     root = work_dir(spark, "test", "verdicts", unique=True)
     rows = _bus(spark, [_order("a", "2019-09-01 12:00:00")])
@@ -163,14 +261,14 @@ def test_a_replayed_batch_replaces_its_rows(spark):
 def test_foreach_batch_offsets(spark):
     bus = _bus(spark, ROWS).withColumn("timestamp", F.lit("2019-09-01 12:00:00").cast("timestamp_ntz"))
     path = work_dir(spark, "test", "history", unique=True)
-
-    def start(stream, ckpt):
-        def sink(df, i):
-            for _ in range(2):  # a replay counts once
-                stream_offsets.offset_history_append(df, i, path, group="g")
-        return (stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(sink)
-                .trigger(availableNow=True).start())
-    bus_stream.run_in_slices(spark, [bus.where("offset < 6"), bus.where("offset >= 6")], "test_offs", start)
+    folder = work_dir(spark, "test", "landing", unique=True)
+
+    def sink(df, i):
+        for _ in range(2):  # a replay counts once
+            stream_offsets.offset_history_append(df, i, path, group="g")
+    bus_stream.land_in_order([bus.where("offset < 9"), bus.where("offset >= 9")], folder)
+    bus_stream.finish(bus_stream.file_bus_stream(spark, folder, 1).writeStream.foreachBatch(sink).option(
+        "checkpointLocation", work_dir(spark, "test", "checkpoint", unique=True)).trigger(availableNow=True).start())
     history = stream_offsets.read_history(spark, path)
     assert history.agg(F.sum("records")).first()[0] == len(ROWS)
     assert {r["batch_id"] for r in history.collect()} == {0, 1}
@@ -179,6 +277,12 @@ def test_foreach_batch_offsets(spark):
     want = {r["topic"]: r["m"] + 1 for r in bus.groupBy("topic").agg(F.max("offset").alias("m")).collect()}
     assert {r["topic"]: r["offset"] for r in latest.collect()} == want
     assert offsets.offset_latest_lookup(history, "other").count() == 0
+    # the newest batch alone knows every partition, also those it had nothing from
+    newest = stream_offsets.newest_positions(spark, path, "g")
+    assert {r["topic"]: r["until_offset"] for r in newest.collect()} == want
+    assert sorted(r["records"] for r in newest.collect()) != [] and 0 in {r["records"] for r in newest.collect()}
+    assert len(newest.inputFiles()) == 1
+    assert stream_offsets.newest_positions(spark, path, "other").count() == 0
 
 
 def test_record_parsers_tolerate_short_records(spark):
