@@ -37,101 +37,63 @@ COMBINED_LOG_FIELDS = ["ip", "identity", "datetime", "method", "target",
                        "protocol", "status", "sentBytes", "referer", "userAgent"]
 
 _SEP = "\n"
-#: What a line of any pattern is: a first token, a space, and no line
-#: terminator behind it ("." matches none).
-_ONE_LINE = r"^\S++ [^\n\r\u0085\u2028\u2029]*+\z"
-#: Request, status, bytes and referer: the last place of status and bytes.
-_NUMBERS = r'(?s)^(.*)" (\d++) (\d++) "(.*)\z'
-#: From the request on, every token of the combined and the strict format ends
-#: at a space, so only where the request begins is searched.
-_TOKENS_TAIL = r'\] "(\S++) (\S++) (\S+)" (\d++) (\d++) "(\S+)" "(.+)"\z'
-_REQUEST_TAIL = r'\] "(\S++ \S++ \S+)" (\d++) (\d++) "(\S+)" "(.+)"\z'
-
-
-def _groups(value: Column, pattern: str, n: int) -> Column:
-    """The ``n`` groups of a match of the whole value, else an array of one.
-    One pass: the value, which holds no line end, is rewritten and split."""
-    return F.split(F.regexp_replace(value, pattern, _SEP.join(f"${i}" for i in range(1, n + 1))), _SEP)
-
-
-def _behind_last(value: Column, sep: str) -> Column:
-    """What stands behind the last ``sep``; null without one."""
-    return F.when(value.contains(sep), F.substring_index(value, sep, -1))
-
-
-def _before(value: Column, behind: Column, sep: str) -> Column:
-    """``value`` without ``behind`` and the ``sep`` before it."""
-    return F.substring(value, F.lit(1), F.char_length(value) - F.char_length(behind) - len(sep))
-
-
-def _but_last(value: Column) -> Column:
-    return F.substring(value, F.lit(1), F.char_length(value) - 1)
-
-
-def _line(value: Column) -> Column:
-    """The line when it may match at all."""
-    return F.when(value.endswith('"') & value.rlike(_ONE_LINE), value)
-
-
-def _front(rows: DataFrame, keep: list[str], rest: list[str]) -> DataFrame:
-    """From ``_left`` = ``ip session [datetime``: ``_ip``, ``_session``, ``_date``.
-    The last bracket that leaves a date behind it opens the date."""
-    rows = rows.select(*keep, *rest, "_left", _but_last(F.col("_left")).alias("_short"))
-    rows = rows.select(*keep, *rest, "_left", "_short", _behind_last(F.col("_short"), " [").alias("_date"))
-    rows = rows.select(*keep, *rest, F.concat("_date", F.right("_left", F.lit(1))).alias("_date"),
-                       _before(F.col("_short"), F.col("_date"), " [").alias("_front"))
-    rows = rows.select(*keep, *rest, "_date", "_front", F.when(
-        F.contains("_front", F.lit(" ")), F.substring_index("_front", " ", 1)).alias("_ip"))
-    return rows.select(*keep, *rest, "_date", "_ip", F.substring(
-        "_front", F.char_length("_ip") + 2, F.char_length("_front")).alias("_session"))
-
-
-def _access_groups(lines: DataFrame, value: Column, keep: list[str]) -> DataFrame:
-    rows = lines.select(*keep, _but_last(_line(value)).alias("_body"))
-    rows = rows.select(*keep, "_body", _behind_last(F.col("_body"), '" "').alias("_agent"))
-    rows = rows.select(*keep, "_agent", _groups(
-        _before(F.col("_body"), F.col("_agent"), '" "'), _NUMBERS, 4).alias("_mid"))
-    rows = rows.select(*keep, "_agent", "_mid",
-                       F.when(F.size("_mid") == 4, F.get("_mid", F.lit(0))).alias("_head"))
-    rows = rows.select(*keep, "_agent", "_mid", "_head", _behind_last(F.col("_head"), '] "').alias("_url"))
-    rows = rows.select(*keep, "_agent", "_mid", "_url", _before(F.col("_head"), F.col("_url"), '] "').alias("_left"))
-    rows = _front(rows, keep, ["_agent", "_mid", "_url"])
-    return rows.select(*keep, F.array("_ip", "_session", "_date", "_url", *[
-        F.get("_mid", F.lit(i)) for i in (1, 2, 3)], "_agent").alias("_f"),
-        (F.col("_session") != "").alias("_m"))
-
-
-def _combined_groups(lines: DataFrame, value: Column, keep: list[str]) -> DataFrame:
-    rows = lines.select(*keep, _groups(_line(value), "(?s)^(.+)" + _TOKENS_TAIL, 8).alias("_g"))
-    rows = rows.select(*keep, "_g", F.when(F.size("_g") == 8, F.get("_g", F.lit(0))).alias("_left"))
-    rows = _front(rows, keep, ["_g"])
-    return rows.select(*keep, F.concat(F.array("_ip", "_session", "_date"), F.slice("_g", 2, 7)).alias("_f"),
-                       (F.col("_session") != "").alias("_m"))
-
-
-def _strict_groups(lines: DataFrame, value: Column, keep: list[str]) -> DataFrame:
-    # the first two tokens end at a space each, so only the date is searched
-    found = _groups(_line(value), r"(?s)^(\S++) (\S++) \[(.+)" + _REQUEST_TAIL, 8)
-    return lines.select(*keep, found.alias("_f")).select(*keep, "_f", (F.size("_f") == 8).alias("_m"))
-
-
-#: Groups of a line by its pattern.
-_GROUPS = {ACCESS_LOG_PATTERN: _access_groups, COMBINED_LOG_PATTERN: _combined_groups,
-           WEBLOG_STRICT_PATTERN: _strict_groups}
+#: What "." matches: all but line terminators.
+_ANY = r"[^\n\r\u0085\u2028\u2029]"
+#: Steps of a parser: each finds one delimiter that repeats, from the right, and
+#: puts line ends between the parts.  A step looks at the first part of the
+#: step before, and first whether there is one: a search that cannot end well
+#: is not begun.  Tokens that end at a space need no search.
+_PARTED = r"(?s)^(?=[^\n]*+\n)"
+_ACCESS_STEPS = [
+    (rf'^(\S++ {_ANY}*)" "({_ANY}*)"\z', 2),                                # ... | agent
+    (_PARTED + r'([^\n]*)" (\d++) (\d++) "([^\n]*\n.*)\z', 4),             # ... | status | bytes | referer
+    (_PARTED + r'([^\n]*)\] "([^\n]*\n.*)\z', 2),                          # ... | request
+    (_PARTED + r'(\S++) ([^\n]+) \[([^\n]+\n.*)\z', 3)]                    # ip | session | datetime
+_COMBINED_STEPS = [
+    (rf'^(\S++ {_ANY}+)\] "(\S++) (\S++) (\S+)" (\d++) (\d++) "(\S+)" "({_ANY}+)"\z', 8),
+    _ACCESS_STEPS[-1]]
+_STRICT_STEPS = [
+    (rf'^(\S++) (\S++) \[({_ANY}+)\] "(\S++ \S++ \S+)" (\d++) (\d++) "(\S+)" "({_ANY}+)"\z', 8)]
+#: Most lines have no quote or bracket but the delimiters: there is nothing to
+#: search in them, and one step without a choice gives all parts.
+_FREE = r'[^"\n\r\u0085\u2028\u2029]'
+_PLAIN = r'[^"\[\]\n\r\u0085\u2028\u2029]'
+_ACCESS_PLAIN = (rf'^(\S++) ({_PLAIN}+) \[({_PLAIN}++)\] "({_FREE}*+)" (\d++) (\d++) "({_FREE}*+)" '
+                 rf'"({_FREE}*+)"\z', 8)
+_COMBINED_PLAIN = (rf'^(\S++) ({_PLAIN}+) \[({_PLAIN}++)\] "([^\s"]++) ([^\s"]++) ([^\s"]++)" (\d++) (\d++) '
+                   rf'"([^\s"]++)" "({_FREE}++)"\z', 10)
+_PLAIN_STEP = {ACCESS_LOG_PATTERN: _ACCESS_PLAIN, COMBINED_LOG_PATTERN: _COMBINED_PLAIN}
+_STEPS = {ACCESS_LOG_PATTERN: _ACCESS_STEPS, COMBINED_LOG_PATTERN: _COMBINED_STEPS,
+          WEBLOG_STRICT_PATTERN: _STRICT_STEPS}
 
 
 def _staged(lines: DataFrame, pattern: str, value_col: str, keep: list[str]) -> DataFrame:
     """``keep``, ``_f`` (the captured groups) and ``_m`` (whether the line matches).
 
+    A step that finds nothing leaves its text as it was, so a line matches iff
+    it ends up in as many parts as all steps make; a line with a line end of
+    its own matches no pattern.
+
     The result stands behind a one-row ``inline``.  Catalyst pushes later
     filters (status, static resources) through plain projections by
     substituting the projected expression, which would parse again inside
     every pushed predicate; a generator's output cannot be substituted, so the
     line is parsed once, inside whole-stage code generation.
     """
-    rows = _GROUPS[pattern](lines, F.col(value_col), keep)
-    return rows.select(*keep, F.inline(F.array(F.struct(
-        "_f", F.coalesce("_m", F.lit(False)).alias("_m")))))
+    def parted(text, step: str, groups: int):
+        return F.regexp_replace(text, step, _SEP.join(f"${i}" for i in range(1, groups + 1)))
+    value = F.col(value_col)
+    line = F.when(value.endswith('"') & ~value.contains(_SEP), value)
+    if pattern in _PLAIN_STEP:
+        line = parted(line, *_PLAIN_STEP[pattern])
+    lines = lines.select(*keep, line.alias("_line"))
+    text, parts = F.col("_line"), 1
+    for step, groups in _STEPS[pattern]:
+        text = parted(text, step, groups)
+        parts += groups - 1
+    text = F.when(F.contains("_line", F.lit(_SEP)), F.col("_line")).otherwise(text)
+    staged = lines.select(*keep, F.inline(F.array(F.struct(F.split(text, _SEP).alias("_f")))))
+    return staged.select(*keep, "_f", F.coalesce(F.size("_f") == parts, F.lit(False)).alias("_m"))
 
 
 def _parse(lines: DataFrame, pattern: str, names: list[str],

@@ -101,10 +101,15 @@ def test_parsers_settle_repeated_delimiters_as_the_patterns_do(spark):
 
 def test_line_terminators_match_no_dot(spark):
     line = 'ip s [d] "GET / H" 200 1 "r" "a"'
+    dot = "[^\\n\\r\\u0085\\u2028\\u2029]"
     bad = [line.replace(x, x + t) for x in ("s", "d", "/", "r", "a") for t in ("\r", "\n", "\u2028", "\u0085")]
     df = spark.createDataFrame(list(enumerate([line, *bad, "ip\u2028x" + line[2:]])), "i int, value string")
-    for pattern, names in ((P.ACCESS_LOG_PATTERN, P.ACCESS_LOG_FIELDS), (P.COMBINED_LOG_PATTERN, P.COMBINED_LOG_FIELDS)):
-        assert [r["i"] for r in P._parse(df, pattern, names, "value", ["i"]).collect()] == [0, len(bad) + 1]
+    for pattern, names in ((P.ACCESS_LOG_PATTERN, P.ACCESS_LOG_FIELDS), (P.COMBINED_LOG_PATTERN, P.COMBINED_LOG_FIELDS),
+                           (P.WEBLOG_STRICT_PATTERN, P.WEBLOG_FIELDS)):
+        rx = re.compile(pattern.replace(".", dot), re.ASCII)
+        want = {r["i"]: m.groups() for r in df.collect() if (m := rx.fullmatch(r["value"]))}
+        got = {r["i"]: tuple(r[c] for c in names) for r in P._parse(df, pattern, names, "value", ["i"]).collect()}
+        assert got == want and {0, len(bad) + 1} <= set(want) and len(want) < len(bad)
 
 
 def test_near_misses_of_a_megabyte_take_no_longer_than_a_scan(spark):
