@@ -95,6 +95,66 @@ def orders_payments_full_outer(orders: DataFrame, payments: DataFrame) -> DataFr
     return left.unionByName(right.select(*left.columns))
 
 
+#: Rows of one key beyond which it is salted, and rows of a salted part.
+HOT_ROWS = 100_000
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS, share: float = 0.01,
+             seed: int = 7) -> dict[str, int]:
+    """Keys that hold about ``hot_rows`` rows or more, and in how many parts to
+    split each, found by a sample of ``share`` of the rows.  What reaches the
+    driver is a row per hot key, at most rows / hot_rows of them."""
+    least = max(2, hot_rows * share / 2)
+    found = rows.where(F.col(key).isNotNull()).sample(share, seed=seed).groupBy(key).agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return {r[key]: -(-int(r.n / share) // hot_rows) + 1 for r in found.collect()}
+
+
+def orders_payments_salted(orders: DataFrame, payments: DataFrame, hot: dict[str, int] | None = None,
+                           hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``orders_payments_full_outer`` with the hot order ids split on both sides.
+
+    A hot id's payments are dealt over ``p`` parts by a hash of the payment, its
+    order records over the cells of ``p`` rows: each order stands once in every
+    part of the payments, so a part pairs all orders with its share.  Which side
+    of a hot id is the larger does not matter, as orders are dealt too: part
+    ``(i, j)`` holds order share ``i`` and payment share ``j``.  An order is
+    unmatched when its id has no payment at all and the other way round; this
+    is settled once, from the distinct ids of each side, instead of in every
+    part.  The rows are those of the full outer join.
+    """
+    if hot is None:
+        hot = hot_keys(orders, "orderid", hot_rows)
+        for k, n in hot_keys(payments, "orderid", hot_rows).items():
+            hot[k] = max(hot.get(k, 1), n)
+    o = orders.select(F.col("orderid").alias("o_id"), "userid", "ordertime", "order_ts")
+    p = payments.select(F.col("orderid").alias("p_id"), "payment", "paymenttime", "pay_ts")
+    parts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kn in hot.items() for x in kn]), F.col("_id")),
+                       F.lit(1)) if hot else F.lit(1)
+
+    def dealt(rows: DataFrame, key: str, own: str, other: str, *cols: str) -> DataFrame:
+        """A row stands in its own share of the cells, once for each share of
+        the other side."""
+        share = F.pmod(F.xxhash64(*cols, F.monotonically_increasing_id()), F.col("_parts"))
+        rows = rows.withColumn("_id", F.col(key)).withColumn("_parts", parts).withColumn(own, share.cast("int"))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_id", "_parts")
+    od = dealt(o, "o_id", "_i", "_j", "o_id", "ordertime")
+    pd = dealt(p, "p_id", "_pj", "_pi", "p_id", "payment", "paymenttime")
+    cols = ["userid", "ordertime", "order_ts", "payment", "paymenttime", "pay_ts"]
+    pairs = od.join(pd, (F.col("o_id") == F.col("p_id")) & (F.col("_i") == F.col("_pi"))
+                    & (F.col("_j") == F.col("_pj"))).select(
+        F.col("o_id").alias("orderid"), F.lit(True).alias("has_order"), F.lit(True).alias("has_payment"), *cols)
+
+    def alone(rows: DataFrame, key: str, ids: DataFrame, is_order: bool) -> DataFrame:
+        left = rows.join(ids.distinct(), F.col(key) == F.col("_known"), "left_anti")
+        return left.select(
+            F.col(key).alias("orderid"), F.lit(is_order).alias("has_order"), F.lit(not is_order).alias("has_payment"),
+            *[F.col(c) if c in rows.columns else F.lit(None).cast(
+                "timestamp_ntz" if c.endswith("_ts") else "string").alias(c) for c in cols])
+    return (pairs.unionByName(alone(o, "o_id", p.select(F.col("p_id").alias("_known")), True))
+            .unionByName(alone(p, "p_id", o.select(F.col("o_id").alias("_known")), False)))
+
+
 def order_payment_status(orders: DataFrame, payments: DataFrame, as_of: str,
                          pay_within: str | None = REMIND_AFTER,
                          early_slack: str = "10 minutes") -> DataFrame:

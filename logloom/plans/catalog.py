@@ -349,6 +349,38 @@ def orders_payments_full_outer_q(spark, sf):
     return j.select("orderid", "userid", "ordertime", "payment", "paymenttime")
 
 
+def _tables(spark, inp: Inputs) -> str:
+    """A catalog database with the orders and payments in buckets of their order
+    id, located in the shared folder."""
+    def write(root: str) -> None:
+        name = "bus_" + root.rsplit("/", 1)[-1]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}'")
+        for table, rows in (("orders", orders.orders_from_bus(inp.bus)),
+                            ("payments", orders.payments_from_bus(inp.bus))):
+            etl.write_bucketed_table(rows, f"{name}.{table}", "orderid", BUCKETS)
+    return "bus_" + inp.landed("bucketed", write).rsplit("/", 1)[-1]
+
+
+#: Buckets of the order tables; at scale, bytes of the larger / 128 MB.
+BUCKETS = 8
+
+
+@query("orders_payments_bucketed")
+def orders_payments_bucketed_q(spark, sf):
+    """The same rows from tables kept in buckets: joined without a shuffle."""
+    name = _tables(spark, Inputs(spark, sf))
+    o, p = spark.table(f"{name}.orders"), spark.table(f"{name}.payments")
+    return orders.orders_payments_full_outer(o, p).select("orderid", "userid", "ordertime", "payment", "paymenttime")
+
+
+@query("orders_payments_salted")
+def orders_payments_salted_q(spark, sf):
+    """The same rows with every order id of many payments split on both sides."""
+    bus = _bus(Inputs(spark, sf))
+    j = orders.orders_payments_salted(orders.orders_from_bus(bus), orders.payments_from_bus(bus))
+    return j.select("orderid", "userid", "ordertime", "payment", "paymenttime")
+
+
 def _status(inp: Inputs, bus: DataFrame | None = None, as_of: str | None = None,
             pay_within=orders.REMIND_AFTER) -> DataFrame:
     bus = inp.bus if bus is None else bus

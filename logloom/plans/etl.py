@@ -81,6 +81,14 @@ def insert_overwrite_table(df: DataFrame, table: str) -> None:
         own.catalog.dropGlobalTempView(view)
 
 
+def write_bucketed_table(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Replace a catalog table that is kept in buckets of ``key``, sorted within
+    each: tables of one key and number of buckets join without a shuffle.  The
+    rows are dealt to their buckets first, so each bucket is one file."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
 def write_table_overwrite(df: DataFrame, path: str) -> None:
     """Replace a whole table (the marts)."""
     df.write.mode("overwrite").parquet(path)

@@ -543,6 +543,9 @@ FROM bus WHERE topic IN ({', '.join(_OT + _PT)})""",
     "orders_payments_full_outer": """
 SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime
 FROM orders_b o FULL OUTER JOIN payments_b p ON o.orderid = p.orderid""",
+    **dict.fromkeys(("orders_payments_bucketed", "orders_payments_salted"), """
+SELECT coalesce(o.orderid, p.orderid) AS orderid, o.userid, o.ordertime, p.payment, p.paymenttime
+FROM orders_b o FULL OUTER JOIN payments_b p ON o.orderid = p.orderid"""),
     "order_payment_status": "SELECT * FROM status",
     "order_payment_status_any_payment": _status_of("orders_b", "payments_b", "(SELECT moment FROM status_time)", any_payment=True),
     "carry_forward": "SELECT * FROM carried",

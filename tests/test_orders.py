@@ -327,3 +327,69 @@ def test_aqe_splits_a_hot_orderid(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _hot(spark):
+    """One order id with a third of all payments, another with many order records."""
+    o = [("hot", f"u{i}", f"t{i}") for i in range(3)] + [("wide", f"u{i}", f"w{i}") for i in range(3000)]
+    o += [(f"o{i}", "u", "t") for i in range(4000)] + [(None, "u", "t"), ("hot", "u0", "t0")]
+    p = [("hot", "card", f"p{i}") for i in range(4000)] + [("wide", "card", "x"), ("wide", "card", "x")]
+    p += [(f"o{i}", "card", f"p{i}") for i in range(0, 8000, 2)] + [("lone", "card", f"p{i}") for i in range(2500)]
+    p += [(None, "card", "n")]
+    of = spark.createDataFrame(o, "orderid string, userid string, ordertime string").withColumn(
+        "order_ts", F.lit(None).cast("timestamp_ntz")).repartition(8)
+    pf = spark.createDataFrame(p, "orderid string, payment string, paymenttime string").withColumn(
+        "pay_ts", F.lit(None).cast("timestamp_ntz")).repartition(8)
+    return of, pf
+
+
+def test_salted_join_gives_the_rows_of_the_full_outer_join(spark):
+    o, p = _hot(spark)
+    want = sorted(map(repr, orders.orders_payments_full_outer(o, p).collect()))
+    assert len(want) > 17_000
+    for hot in ({}, {"hot": 5}, {"hot": 3, "wide": 4, "lone": 2, "absent": 6}):
+        assert sorted(map(repr, orders.orders_payments_salted(o, p, hot).collect())) == want
+    assert sorted(map(repr, orders.orders_payments_salted(o, p, hot_rows=500).collect())) == want
+
+
+def test_hot_keys_are_found_by_a_sample(spark):
+    o, p = _hot(spark)
+    assert set(orders.hot_keys(p, "orderid", 1000, share=0.5)) == {"hot", "lone"}
+    assert orders.hot_keys(p, "orderid", 1000, share=0.5)["hot"] >= 4
+    assert set(orders.hot_keys(o, "orderid", 1000, share=0.5)) == {"wide"}
+
+
+def test_a_hot_order_leaves_no_straggler(spark):
+    """No task of the join holds more than a few parts of a hot id."""
+    o, p = _hot(spark)
+    hot = orders.hot_keys(p, "orderid", 500, share=0.5) | orders.hot_keys(o, "orderid", 500, share=0.5)
+    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                                 "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        def largest(df):
+            rows = df.where("has_order AND has_payment").groupBy(F.spark_partition_id().alias("t")).count()
+            return rows.agg(F.max("count")).first()[0]
+        plain = largest(orders.orders_payments_full_outer(o, p))
+        salted = largest(orders.orders_payments_salted(o, p, hot))
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plain >= 16_000 and salted < plain / 3
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from logloom.plans import catalog
+
+    from .conftest import SF_SMALL
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.QUERIES["orders_payments_bucketed"](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert df.count() == catalog.QUERIES["orders_payments_full_outer"](spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
