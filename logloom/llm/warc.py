@@ -3,15 +3,17 @@
 A WARC record per page is kept in two tables: ``payloads`` holds the bytes of
 every distinct payload once, under its SHA-256 digest; ``headers`` holds the
 exact header bytes of every record with the digest of its payload.  The
-original record is header + payload, rebuilt by a join.
+original record is header + block, rebuilt by a join; all that is said of a
+record is parsed from these bytes again.
 
-The strong digest is verified, not trusted: the archive job compares the
-payloads that share a digest byte by byte and fails on a collision, and
-reading back recomputes the digest of every stored payload.
+The strong digest is verified, not trusted: the archive job fails when two
+payloads of one digest differ in a second digest or in length, and reading
+back recomputes the digest of every stored payload.
 
-Scale: a payload is found equal by its 32-byte digest, so a payload that a
-third of all pages share costs one row per task in the shuffle; the byte
-comparison of copies is a partial min/max per digest and length.
+Scale: payloads are found equal by their digests, a row per task and digest in
+the shuffle however many pages share one.  The one copy that is stored is
+picked by a bitmap of rows where the pages are read, so writing shuffles no
+payload; reading back shuffles each stored payload once, to its one response.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, stored
+from logloom.llm.common import ROW_ID, identified, keep_rows, row_id, stored
 from logloom.session import work_dir
 
 MIN_BYTES = 0
@@ -45,20 +47,22 @@ def base32_of_hex(hex_digest: Column) -> Column:
     return F.concat(*letters)
 
 
+def record_id(key: Column) -> Column:
+    """The WARC-Record-ID of a record's key."""
+    h = F.md5(F.concat(F.lit(str(NAMESPACE)), key.cast("string")))
+    return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"),
+                    F.substring(h, 9, 4), F.lit("-"), F.substring(h, 13, 4), F.lit("-"),
+                    F.substring(h, 17, 4), F.lit("-"), F.substring(h, 21, 12), F.lit(">"))
+
+
 def record_headers(kind: Column, uri: Column, date: Column, key: Column, digest: Column,
                    length: Column, refers_key: Column) -> Column:
     """The header block of a record as text, ending in the empty line."""
-    def rec_id(k: Column) -> Column:
-        h = F.md5(F.concat(F.lit(str(NAMESPACE)), k.cast("string")))
-        return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"),
-                        F.substring(h, 9, 4), F.lit("-"), F.substring(h, 13, 4), F.lit("-"),
-                        F.substring(h, 17, 4), F.lit("-"), F.substring(h, 21, 12), F.lit(">"))
-
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     revisit = kind == "revisit"
     return F.concat(
-        F.lit(VERSION + CRLF), line("WARC-Type", kind), line("WARC-Record-ID", rec_id(key)),
+        F.lit(VERSION + CRLF), line("WARC-Type", kind), line("WARC-Record-ID", record_id(key)),
         line("WARC-Date", date),
         # a control character would end the header early: percent-encode it
         F.coalesce(line("WARC-Target-URI",
@@ -66,7 +70,7 @@ def record_headers(kind: Column, uri: Column, date: Column, key: Column, digest:
                    F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)),
-                                 line("WARC-Refers-To", rec_id(refers_key))))
+                                 line("WARC-Refers-To", record_id(refers_key))))
         .otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html")),
         # a revisit carries no block of its own
@@ -87,50 +91,51 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     none.
     """
     spark = pages.sparkSession
-    body = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(
-        F.monotonically_increasing_id().alias(ROW_ID), F.col(id_col).alias("id"),
-        F.col(url_col).cast("string").alias("url"), body.alias("payload"))
-    digest = rows.select(ROW_ID, "id", "url", F.sha2("payload", 256).alias("sha256"),
-                         F.sha1("payload").alias("sha1"),
-                         F.octet_length("payload").cast("bigint").alias("bytes"))
-    digest = stored(digest, "warc_digests")
-
-    # payload bytes once per digest; equal digests must hold equal bytes
-    once = rows.select("payload", F.sha2("payload", 256).alias("sha256")).groupBy("sha256").agg(
-        F.min("payload").alias("payload"), F.max("payload").alias("other"))
-    once = once.select("sha256", F.when(F.col("payload") == F.col("other"), F.col("payload"))
-                       .otherwise(F.raise_error(F.lit("two payloads share a digest")))
-                       .alias("payload"))
+    pages = identified(pages)
+
+    def payload(rows: DataFrame, *more: Column) -> DataFrame:
+        body = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
+        return rows.select(*more, body.alias("payload"))
+    digest = stored(payload(pages, row_id(pages), F.col(id_col).alias("id"),
+                            F.col(url_col).cast("string").alias("url")).select(
+        ROW_ID, "id", "url", F.sha2("payload", 256).alias("sha256"), F.sha1("payload").alias("sha1"),
+        F.octet_length("payload").cast("bigint").alias("bytes")), "warc_digests")
+    one = (F.min("sha1") == F.max("sha1")) & (F.min("bytes") == F.max("bytes"))
+    first = stored(digest.groupBy("sha256").agg(
+        F.max(F.struct("id", ROW_ID)).alias("top"), F.when(one, F.max("bytes")).otherwise(
+            F.raise_error(F.lit("two payloads share a digest")).cast("bigint")).alias("bytes"))
+        .select("sha256", F.col(f"top.{ROW_ID}").alias("top_row"), F.col("top.id").alias("top_id"),
+                (F.col("bytes") >= min_bytes).alias("shared")), "warc_first")
+
     payload_path = work_dir(spark, "llm", "warc_payloads", unique=True)
-    once.write.parquet(payload_path)
-
-    first = stored(digest.where(F.col("bytes") >= min_bytes).groupBy("sha256").agg(
-        F.max(F.struct("id", ROW_ID)).alias("top"))
-        .select("sha256", F.col("top.id").alias("top_id"),
-                F.col(f"top.{ROW_ID}").alias("top_row")), "warc_first")
-    linked = digest.join(first, "sha256", "left")
-    kind = F.when(F.col("top_row").isNull() | (F.col("top_row") == F.col(ROW_ID)),
-                  F.lit("response")).otherwise(F.lit("revisit"))
-    refers = F.when(kind == "revisit", F.col("top_id"))
-    record_key = F.concat_ws("/", F.col("id").cast("string"), F.col(ROW_ID).cast("string"))
-    refers_key = F.concat_ws("/", F.col("top_id").cast("string"), F.col("top_row").cast("string"))
+    payload(keep_rows(pages, first.select(F.col("top_row").alias(ROW_ID)))).select(
+        F.sha2("payload", 256).alias("sha256"), "payload").write.parquet(payload_path)
+
+    def key(number: str, row: str) -> Column:
+        return F.concat_ws("/", F.col(number).cast("string"), F.col(f"{row}.file").cast("string"),
+                           F.col(f"{row}.row").cast("string"))
+    linked = digest.join(first, "sha256")
+    kind = F.when(F.col("shared") & (F.col("top_row") != F.col(ROW_ID)), F.lit("revisit")).otherwise(F.lit("response"))
     headers = linked.select(
-        "id", "sha256", refers.alias("refers_to"),
-        record_headers(kind, F.col("url"), F.lit(date), record_key,
-                       base32_of_hex(F.col("sha1")), F.col("bytes"), refers_key)
-        .cast("binary").alias("header"))
+        "id", "sha256", record_headers(
+            kind, F.col("url"), F.lit(date), key("id", ROW_ID), base32_of_hex(F.col("sha1")),
+            F.col("bytes"), key("top_id", "top_row")).cast("binary").alias("header"))
     header_path = work_dir(spark, "llm", "warc_headers", unique=True)
     headers.write.parquet(header_path)
     return header_path, payload_path
 
 
+def _field(head: Column, name: str, value: str) -> Column:
+    found = F.regexp_extract(head, f"\n{name}: ({value})\r\n", 1)
+    return F.when(found != "", found)
+
+
 def read_archive(spark: SparkSession, header_path: str, payload_path: str) -> DataFrame:
-    """The original records: ``id, refers_to, header, payload, record``.
+    """The original records: ``id, header, record``.
 
-    ``record`` is the exact bytes of the WARC record (a revisit has no
-    block); ``payload`` is the full payload, also for revisits.  Every stored
-    payload's digest is recomputed; a wrong one is an error.
+    ``record`` is the exact bytes of the WARC record: the header, for a
+    response the payload as its block, and two line ends.  The digest of every
+    payload is recomputed; a wrong one is an error.
     """
     payloads = spark.read.parquet(payload_path)
     checked = payloads.select(
@@ -138,23 +143,46 @@ def read_archive(spark: SparkSession, header_path: str, payload_path: str) -> Da
         .otherwise(F.raise_error(F.lit("stored payload does not match its digest")))
         .alias("payload"))
     headers = spark.read.parquet(header_path)
+    revisit = _field(F.col("header").cast("string"), "WARC-Type", "[a-z]+") == "revisit"
     tail = F.lit(CRLF * 2).cast("binary")
-    return headers.join(checked, "sha256").select(
-        "id", "refers_to", "header", "payload",
-        F.concat(F.col("header"), F.when(F.col("refers_to").isNull(), F.col("payload"))
-                 .otherwise(F.lit("").cast("binary")), tail).alias("record"))
+    responses = headers.where(~revisit).join(checked, "sha256").select(
+        "id", "header", F.concat("header", "payload", tail).alias("record"))
+    return responses.unionByName(headers.where(revisit).select(
+        "id", "header", F.concat("header", tail).alias("record")))
 
 
 def parsed_records(records: DataFrame) -> DataFrame:
-    """Fields parsed from the archived header bytes, digests from the payload:
-    ``id, payload_bytes, payload_digest, record_type, refers_to``."""
-    head = F.col("header").cast("string")
-    digest = base32_of_hex(F.sha1("payload"))
-    declared = F.regexp_extract(head, "\nWARC-Payload-Digest: sha1:([A-Z2-7]{32})\r\n", 1)
-    return records.select(
-        "id", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
-        F.when(declared == digest, digest)
-        .otherwise(F.raise_error(F.lit("record header does not match its payload")))
-        .alias("payload_digest"),
-        F.regexp_extract(head, "\nWARC-Type: ([a-z]+)\r\n", 1).alias("record_type"),
-        "refers_to")
+    """What the bytes of the records say: ``id, payload_bytes, payload_digest,
+    record_type, refers_to``.
+
+    A response's block is cut out by its Content-Length and must match its
+    digest.  A revisit is joined to the response that its WARC-Refers-To names,
+    whose payload is its own too and must have the digest that it states.
+    """
+    head = F.substring_index(F.col("record").cast("string"), CRLF * 2, 1)
+    rows = records.select("id", "record", F.concat(head, F.lit(CRLF)).alias("head"))
+    rows = rows.select(
+        "id", "record", (F.octet_length("head") + 2).alias("at"),
+        _field(F.col("head"), "WARC-Type", "[a-z]+").alias("record_type"),
+        _field(F.col("head"), "WARC-Record-ID", "[^\r]+").alias("record_id"),
+        _field(F.col("head"), "Content-Length", "[0-9]+").cast("bigint").alias("length"),
+        _field(F.col("head"), "WARC-Payload-Digest", "sha1:[A-Z2-7]{32}").alias("digest"),
+        _field(F.col("head"), "WARC-Refers-To", "[^\r]+").alias("refers"))
+    block = F.substring("record", F.col("at") + 1, F.col("length").cast("int"))
+    whole = F.octet_length("record") == F.col("at") + F.col("length") + 4
+    stated = F.concat(F.lit("sha1:"), base32_of_hex(F.sha1(block))) == F.col("digest")
+    parsed = rows.select("id", "record_type", "record_id", "length", "refers", F.when(
+        whole & ((F.col("record_type") == "revisit") | stated), F.substring("digest", 6, 32)).otherwise(
+        F.raise_error(F.lit("record does not match its header"))).alias("digest"))
+    parsed = stored(parsed, "warc_parsed")
+    responses = parsed.where(F.col("record_type") == "response")
+    known = responses.select(F.col("record_id").alias("refers"), F.col("id").alias("refers_to"),
+                             F.col("length").alias("bytes"), F.col("digest").alias("original"))
+    revisits = parsed.where(F.col("record_type") == "revisit").join(known, "refers", "left")
+    return responses.select(
+        "id", F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type",
+        F.lit(None).cast(parsed.schema["id"].dataType).alias("refers_to")).unionByName(revisits.select(
+            "id", F.col("bytes").alias("payload_bytes"), F.when(
+                F.col("digest") == F.col("original"), F.col("digest")).otherwise(
+                F.raise_error(F.lit("revisit does not match the record it refers to"))).alias("payload_digest"),
+            "record_type", "refers_to"))

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def test_records_are_exact(spark):
         n = int(fields[b"Content-Length"])
         assert rest[n:] == b"\r\n\r\n"
         if fields[b"WARC-Type"] == b"response":
-            assert rest[:n] == bytes(r["payload"])
+            assert rest[:n] == {i: (t or "").encode() for i, _, t, _ in PAGES}[r["id"]]
         else:
             assert n == 0 and fields[b"WARC-Refers-To"].startswith(b"<urn:uuid:")
 
@@ -58,6 +59,26 @@ def test_empty_table(spark):
     assert warc.parsed_records(archive(spark, [])[2]).count() == 0
 
 
+def test_fields_come_from_the_record_bytes(spark):
+    h, p, records = archive(spark, PAGES)
+    plan = warc.parsed_records(records)
+    rebuilt = {r["id"]: bytes(r["record"]) for r in records.collect()}
+    assert len({r["header"] for r in map(lambda r: {"header": bytes(r["header"])}, records.collect())}) == len(PAGES)
+    assert b"WARC-Refers-To" in rebuilt[1] and plan.count() == len(PAGES)
+    # a revisit that names another record is found out
+    other = records.where("id = 6").first()
+    name = bytes(other["header"]).split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0]
+    changed = [(r["id"], bytes(r["header"]), re.sub(rb"(WARC-Refers-To: )[^\r]+", rb"\g<1>" + name, bytes(r["record"])))
+               for r in records.collect()]
+    bad = spark.createDataFrame(changed, records.schema)
+    with pytest.raises(Exception, match="does not match the record"):
+        warc.parsed_records(bad).collect()
+    # and so is a block that does not have its digest
+    changed = [(r["id"], bytes(r["header"]), bytes(r["record"]).replace(b"<p>x", b"<p>y")) for r in records.collect()]
+    with pytest.raises(Exception, match="does not match its header"):
+        warc.parsed_records(spark.createDataFrame(changed, records.schema)).collect()
+
+
 def test_a_changed_payload_is_an_error(spark, tmp_path):
     h, p, _ = archive(spark, PAGES)
     bad = str(tmp_path / "bad")
