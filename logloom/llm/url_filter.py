@@ -5,7 +5,13 @@ All globs are packed, end to end, into one multiword Shift-And mask: one bit
 per glob position.  Reading a byte shifts the whole state, keeps the bits
 whose position accepts the byte, and re-adds the positions that a ``*``
 holds open, so all patterns advance together.  Tasks run the automaton over
-a batch of URLs at once, a byte column at a time.
+many URLs at once, a byte column at a time.
+
+Scale: the patterns are cut into blocks of ``BLOCK_WORDS`` words, a pass each,
+longest rules first; URLs that a block has judged leave the passes behind it.
+The URLs that a step holds follow from the words, so the states of a step stay
+within ``STATE_BYTES`` however many rules there are.  The blocks are broadcast:
+2 KB for 64 pattern positions.
 
 The canonical URL is ``.host#path``: the leading dot makes ``*.org#/...`` fit
 ``org`` and all its subdomains and nothing else, and ``#`` stands in neither
@@ -25,6 +31,9 @@ from pyspark.sql import types as T
 
 from logloom.llm.common import ROW_ID, bounded_batches
 
+#: Words of a block of patterns, and bytes of the states of one step.
+BLOCK_WORDS = 256
+STATE_BYTES = 8 << 20
 #: (verdict, host, path); the longest that fits decides.
 RULES = [
     ("allow", "org", "/"),
@@ -62,21 +71,22 @@ class Automaton:
     final: np.ndarray    # [globs]: bit that says the glob has matched
 
 
-def compile_globs(globs: Sequence[str]) -> Automaton:
-    """Pack globs.  Bit p of a glob with tokens t1..tm says 't1..tp read';
-    bit 0 says nothing is read.  A ``*`` token is passed without a byte (the
-    bit after it follows from the bit before) and holds its own bit."""
-    tokens = []
-    for g in globs:
-        t: list[int | str] = []
-        for b in g.encode():
-            c = chr(b)
-            if c == "*":
-                if not t or t[-1] != "*":
-                    t.append("*")
-            else:
-                t.append(c if c == "?" else b)
-        tokens.append(t)
+def glob_tokens(glob: str) -> list[int | str]:
+    """Bytes, ``?`` and ``*`` of a glob; stars in a row are one."""
+    out: list[int | str] = []
+    for b in glob.encode("utf-8", "surrogatepass"):
+        c = chr(b)
+        if c != "*" or not out or out[-1] != "*":
+            out.append(c if c in "*?" else b)
+    return out
+
+
+def compile_globs(globs: Sequence[str | list[int | str]]) -> Automaton:
+    """Pack globs, given as text or as tokens.  Bit p of a glob with tokens
+    t1..tm says 't1..tp read'; bit 0 says nothing is read.  A ``*`` token is
+    passed without a byte (the bit after it follows from the bit before) and
+    holds its own bit."""
+    tokens = [glob_tokens(g) if isinstance(g, str) else g for g in globs]
     total = sum(len(t) + 1 for t in tokens)
     words = max(1, -(-total // 64))
 
@@ -136,12 +146,44 @@ def match_all(texts: Sequence[bytes], a: Automaton) -> np.ndarray:
     return out
 
 
-def rule_glob(host: str, path: str) -> str:
-    return f"*.{host}#{path}*"
+def rule_tokens(host: str, path: str) -> list[int | str]:
+    """A rule fits its host and all subdomains and what its path begins; all its
+    characters stand for themselves, ``*`` and ``?`` too."""
+    return ["*", *f".{host}#{path}".encode("utf-8", "surrogatepass"), "*"]
+
+
+def blocks_of(patterns: Sequence[list[int | str]], words: int = BLOCK_WORDS) -> list[tuple[int, Automaton]]:
+    """The patterns in order, in blocks of at most so many words (a longer
+    pattern is a block of its own): the first pattern's number and the block."""
+    out, block, size, first = [], [], 0, 0
+    for i, t in enumerate(patterns):
+        if block and size + len(t) + 1 > 64 * words:
+            out.append((first, compile_globs(block)))
+            block, size, first = [], 0, i
+        block.append(t)
+        size += len(t) + 1
+    return out + ([(first, compile_globs(block))] if block else [])
+
+
+def first_match(texts: Sequence[bytes], blocks: list[tuple[int, Automaton]],
+                state_bytes: int = STATE_BYTES) -> np.ndarray:
+    """Number of the first pattern that matches each text; -1 for none."""
+    out = np.full(len(texts), -1, np.int64)
+    left = np.arange(len(texts))
+    for first, automaton in blocks:
+        step = max(1, state_bytes // (8 * automaton.accept.shape[1]))
+        for at in range(0, len(left), step):
+            some = left[at:at + step]
+            hits = match_all([texts[i] for i in some], automaton)
+            out[some] = np.where(hits.any(axis=1), first + hits.argmax(axis=1), -1)
+        left = left[out[left] < 0]
+        if not len(left):
+            break
+    return out
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                rules: Sequence[tuple[str, str, str]] = tuple(RULES),
+                rules: DataFrame | Sequence[tuple[str, str, str]] = tuple(RULES),
                 block_globs: Sequence[str] = tuple(BLOCK_GLOBS)) -> DataFrame:
     """One row per input row: ``id, host, path, rule, verdict``.
 
@@ -150,12 +192,18 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ``block_globs`` matches, else ``allow``.  A null url, or one without
     ``://``, has an empty host and path.  Null ids and repeated rows stay.
 
-    The rules are code, of a bounded size; no table is broadcast and nothing
-    is shuffled.
+    ``rules`` is a list or a table of ``verdict, host, path``; null hosts or
+    paths are no rules, and of two verdicts on one host and path ``block``
+    counts.  Rules are a filter list: they pass through the driver and are
+    broadcast as automata.  Nothing is shuffled.
     """
     bounded_batches(pages.sparkSession, 2 << 20)
-    ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1], r[2]))
-    automaton = compile_globs([rule_glob(h, p) for _, h, p in ranked] + list(block_globs))
+    if isinstance(rules, DataFrame):
+        rules = [tuple(r) for r in rules.select("verdict", "host", "path").toLocalIterator()]
+    rules = [r for r in rules if r[1] is not None and r[2] is not None]
+    ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1], r[2], r[0] != "block"))
+    blocks = pages.sparkSession.sparkContext.broadcast(blocks_of(
+        [rule_tokens(h, p) for _, h, p in ranked] + [glob_tokens(g) for g in block_globs]))
     verdicts = np.array([v for v, _, _ in ranked] + ["block"] * len(block_globs) + ["allow"], object)
     names = np.array([h + p for _, h, p in ranked] + [None] * (len(block_globs) + 1), object)
     schema = T.StructType([T.StructField("rule", T.StringType()),
@@ -168,9 +216,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     def judge(urls):
         import pandas as pd
         texts = [u.encode("utf-8", "surrogatepass") for u in urls]
-        hits = match_all(texts, automaton)
-        hits = np.concatenate([hits, np.ones((len(texts), 1), bool)], axis=1)
-        first = hits.argmax(axis=1)
+        first = first_match(texts, blocks.value)  # -1, none, is the last of the names
         return pd.DataFrame({"rule": names[first], "verdict": verdicts[first]})
     canonical = F.concat(F.lit("."), F.col("host"), F.lit("#"), F.col("path"))
     return base.withColumn("judged", judge(canonical)).select(

@@ -57,3 +57,29 @@ def test_many_globs_share_words():
     hit = U.match_all([b"zzk17kzz", b"k299k", b"k3k4k"], a)
     assert [set(h.nonzero()[0].tolist()) for h in hit] == [{17, 300}, {299, 300}, {3, 4, 300}]
     assert fnmatch.fnmatchcase("k3k4k", "*k4k*")
+
+
+def test_rules_are_literal_and_can_be_a_table(spark):
+    rules = [("block", "a*b.net", "/x?y"), ("allow", "net", "/*/"), ("block", "b.net", "/"), ("allow", None, "/"),
+             ("allow", "b.net", "/"), ("block", "net", "")]
+    urls = ["http://a*b.net/x", "http://axb.net/x", "http://q.net/*/z", "http://q.net/z/z", "http://b.net/",
+            "http://b.org/", "http://[a*b.net/x?y"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    for given_rules in (rules, table):
+        got = {r["id"]: (r["rule"], r["verdict"]) for r in dicts(U.filter_urls(df, rules=given_rules, block_globs=()))}
+        assert got == {0: ("net", "block"), 1: ("net", "block"), 2: ("net/*/", "allow"), 3: ("net", "block"),
+                       4: ("b.net/", "block"), 5: (None, "allow"), 6: ("net", "block")}
+    none = U.filter_urls(df, rules=table.limit(0), block_globs=())
+    assert {(r["rule"], r["verdict"]) for r in dicts(none)} == {(None, "allow")}
+
+
+def test_blocks_and_steps_change_nothing():
+    patterns = [U.rule_tokens(f"h{i}.com", f"/{i % 7}") for i in range(200)] + [U.glob_tokens("*zz*")]
+    texts = [f".x.h{i}.com#/{(i + i // 100) % 7}".encode() for i in range(0, 250, 3)] + [b".zz#", b""]
+    want = [next((k for k, p in enumerate(patterns) if re.fullmatch(b"".join(
+        b".*" if t == "*" else re.escape(bytes([t])) for t in p), x, re.S)), -1) for x in texts]
+    for words, state in ((256, 1 << 20), (1, 64), (3, 1), (10_000, 1 << 20)):
+        blocks = U.blocks_of(patterns, words)
+        assert [b[0] for b in blocks][0] == 0 and (len(blocks) == 1) == (words == 10_000 or words == 256)
+        assert U.first_match(texts, blocks, state).tolist() == want
