@@ -56,12 +56,9 @@ _STRICT_STEPS = [
     (rf'^(\S++) (\S++) \[({_ANY}+)\] "(\S++ \S++ \S+)" (\d++) (\d++) "(\S+)" "({_ANY}+)"\z', 8)]
 #: Most lines have no quote or bracket but the delimiters: there is nothing to
 #: search in them, and one step without a choice gives all parts.
-_FREE = r'[^"\n\r\u0085\u2028\u2029]'
-_PLAIN = r'[^"\[\]\n\r\u0085\u2028\u2029]'
-_ACCESS_PLAIN = (rf'^(\S++) ({_PLAIN}+) \[({_PLAIN}++)\] "({_FREE}*+)" (\d++) (\d++) "({_FREE}*+)" '
-                 rf'"({_FREE}*+)"\z', 8)
-_COMBINED_PLAIN = (rf'^(\S++) ({_PLAIN}+) \[({_PLAIN}++)\] "([^\s"]++) ([^\s"]++) ([^\s"]++)" (\d++) (\d++) '
-                   rf'"([^\s"]++)" "({_FREE}++)"\z', 10)
+_PLAIN_FRONT = r'^(?=\S++ .*+\z)(\S++) ([^"\[\]]+) \[([^"\[\]]++)\] '
+_ACCESS_PLAIN = (_PLAIN_FRONT + r'"([^"]*+)" (\d++) (\d++) "([^"]*+)" "([^"]*+)"\z', 8)
+_COMBINED_PLAIN = (_PLAIN_FRONT + r'"([^\s"]++) ([^\s"]++) ([^\s"]++)" (\d++) (\d++) "([^\s"]++)" "([^"]++)"\z', 10)
 _PLAIN_STEP = {ACCESS_LOG_PATTERN: _ACCESS_PLAIN, COMBINED_LOG_PATTERN: _COMBINED_PLAIN}
 _STEPS = {ACCESS_LOG_PATTERN: _ACCESS_STEPS, COMBINED_LOG_PATTERN: _COMBINED_STEPS,
           WEBLOG_STRICT_PATTERN: _STRICT_STEPS}

@@ -22,7 +22,7 @@ from logloom.operators.enrich import enrich_loginfo2
 from logloom.operators.geo import bucketed_ranges
 from logloom.operators.star import star_join_ip, star_join_pv, star_join_uv
 from logloom.plans import etl
-from logloom.session import table_path, work_dir
+from logloom.session import remove, table_path, work_dir
 from logloom.sources import derived
 from logloom.sources.text import ip_ranges_from_lines, log_text_scan
 
@@ -126,14 +126,16 @@ class Inputs:
         """The order bus as its records are kept: ``records/segment=<n>`` with
         a file each, and ``index``, which positions each segment holds."""
         def write(root: str) -> None:
-            records = derived.bus_records(self.table("orders"), self.table("lineitem"),
-                                          self.table("customer"))
-            segmented = derived.with_segments(records)
+            raw = f"{root}-raw"  # read three times: counted, segmented, numbered
+            derived.bus_records(self.table("orders"), self.table("lineitem"),
+                                self.table("customer")).write.parquet(raw)
+            segmented = derived.with_segments(self.spark.read.parquet(raw))
             derived.segment_counts(segmented).coalesce(1).write.parquet(f"{root}/index")
             counts = self.spark.read.schema(derived.INDEX_SCHEMA).parquet(f"{root}/index")
             (derived.with_offsets(segmented, counts).repartition("segment").sortWithinPartitions(
                 "segment", "topic", "partition", "offset")
              .write.partitionBy("segment").parquet(f"{root}/records"))
+            remove(self.spark, raw)
         return self.landed("bus", write)
 
     @cached_property
