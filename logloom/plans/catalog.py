@@ -25,7 +25,7 @@ from logloom.session import work_dir
 from logloom.sources import derived
 from logloom.sources.text import table_scan
 from logloom.streaming import bus as bus_stream
-from logloom.streaming import loopback
+from logloom.streaming import loopback, matching
 from logloom.streaming import offsets as stream_offsets
 from logloom.streaming import unpaid
 
@@ -551,6 +551,19 @@ def batch_record_count_q(spark, sf):
     return _history(spark, sf).groupBy("batch_id").agg(F.sum("records").alias("records"))
 
 
+@query("carry_forward_stream")
+def carry_forward_stream_q(spark, sf):
+    """What is carried forward by the stream-stream join, a segment per batch;
+    at the end a heartbeat moves the watermark past all records."""
+    inp = Inputs(spark, sf)
+    root, checkpoint = (work_dir(spark, "streams", "matched", n, unique=True) for n in ("rows", "checkpoint"))
+    folder = _in_segments(spark, inp, "matched")
+    bus_stream.land_in_order([matching.heartbeat(spark, "9999-01-01 00:00:00")], folder)
+    matching.finish_all(matching.start_matching(
+        bus_stream.file_bus_stream(spark, folder, 1), root, checkpoint, trigger={"processingTime": "0 seconds"}))
+    return orders.carry_forward(matching.status_of_matched(spark, root, inp.status_time))
+
+
 #: Rounds of the looped query.
 ROUNDS = 3
 

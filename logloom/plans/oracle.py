@@ -549,6 +549,7 @@ FROM orders_b o FULL OUTER JOIN payments_b p ON o.orderid = p.orderid"""),
     "order_payment_status": "SELECT * FROM status",
     "order_payment_status_any_payment": _status_of("orders_b", "payments_b", "(SELECT moment FROM status_time)", any_payment=True),
     "carry_forward": "SELECT * FROM carried",
+    "carry_forward_stream": "SELECT * FROM carried",
     "order_amounts": """
 SELECT orderid, g AS goodsamount, c AS carriage, d AS discountamount, round(g + c - d, 2) AS amount
 FROM (SELECT orderid, g, d, CAST(CASE WHEN g < 48 THEN 10 WHEN g < 98 THEN 5 ELSE 0 END AS DOUBLE) AS c
