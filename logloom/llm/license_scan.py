@@ -19,7 +19,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ROW_ID, with_row_id
+from logloom.llm.common import ROW_ID, stored, with_row_id
 
 # Spellings that mean the same, (from, to), in order of use.
 EQUIVALENT = [
@@ -150,23 +150,40 @@ def canonical(text: Column) -> Column:
     return _one_line(canonical_lines(text))
 
 
-def _leads(canon: str) -> set[str]:
-    """What a paragraph that starts the text may start with: its first
-    ``LEAD`` characters, or fewer whole words if the paragraph ends there."""
-    return {canon[:LEAD]} | {canon[:n] for n in range(1, min(LEAD, len(canon))) if canon[n] == " "}
+def _leads(lead: str, length: int) -> set[str]:
+    """What a paragraph that starts a text with these first characters may start
+    with: all of them, or fewer whole words if the paragraph ends there."""
+    return {lead} | {lead[:n] for n in range(1, min(LEAD, length)) if lead[n] == " "}
 
 
-def _known_canonical(spark: SparkSession, known) -> list[tuple[str, str, int, str]]:
+def known_table(spark: SparkSession, known) -> DataFrame:
+    """``license, digest, length, lead`` of the canonical known texts; null and
+    empty ones are none."""
     df = known if isinstance(known, DataFrame) else spark.createDataFrame(
         list(known), "license string, text string")
     c = canonical(F.col("text"))
-    return sorted({tuple(r) for r in
-                   df.select("license", F.sha2(c, 256), F.char_length(c), c).where(F.char_length(c) > 0).collect()})
+    return df.select("license", F.sha2(c, 256).alias("digest"), F.char_length(c).alias("length"),
+                     F.substring(c, 1, LEAD).alias("lead")).where(
+        F.col("license").isNotNull() & (F.col("length") > 0)).distinct()
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> list[tuple[str, str, int]]:
     """``(license, digest, length)`` of the canonical known texts."""
-    return sorted({r[:3] for r in _known_canonical(spark, known)})
+    return sorted({tuple(r) for r in known_table(spark, known).select("license", "digest", "length").collect()})
+
+
+def running_ends(sizes: Column, block: int = 256) -> Column:
+    """0 and the running sums of an array of sizes.  A fold copies the array it
+    appends to, so it only runs within blocks and over the blocks' sums."""
+    def sums(xs: Column, start: Column) -> Column:
+        return F.aggregate(xs, F.array(start), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / block).cast("int")),
+                         lambda b: F.slice(sizes, b * block + 1, F.lit(block)))
+    zero = F.lit(0)
+    starts = sums(F.transform(blocks, lambda xs: F.aggregate(xs, zero, lambda a, x: a + x)), zero)
+    ends = F.flatten(F.transform(blocks, lambda xs, i: F.slice(
+        sums(xs, F.get(starts, i)), F.lit(2), F.lit(block))))
+    return F.when(F.size(sizes) > 0, F.concat(F.array(zero), ends)).otherwise(F.array(zero))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -179,15 +196,17 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct units (whole, runs of paragraphs, lines) that are known.  A null
     or empty text, and one that is only punctuation, has no licence.
 
-    ``known`` is a table of ``license, text`` (collected: a list of licences),
-    or a list; without it ``KNOWN`` and ``published_texts``.
+    ``known`` is a table of ``license, text``, or a list; without it ``KNOWN``
+    and ``published_texts``.  Their digests are joined as the planner sees fit;
+    only their distinct lengths and first ``LEAD`` characters reach the driver.
     """
     spark = docs.sparkSession
-    table = _known_canonical(spark, KNOWN + published_texts() if known is None else known)
-    values = ", ".join(f"('{i}', '{d}')" for i, d in sorted({r[:2] for r in table}))
-    lookup = spark.sql(f"SELECT * FROM VALUES {values} AS t(license, digest)")
-    lengths = sorted({r[2] for r in table})
-    leads = sorted(set().union(*(_leads(r[3]) for r in table)))
+    table = stored(known_table(spark, KNOWN + published_texts() if known is None else known).coalesce(1),
+                   "known_licenses")
+    lookup = table.select("license", "digest").distinct()
+    lengths = sorted(r[0] for r in table.select("length").distinct().collect()) or [0]
+    leads = sorted(set().union(*(_leads(r[0], r[1]) for r in table.select("lead", "length").distinct().collect()))) \
+        or ["\n"]
 
     lines = canonical_lines(F.col("text"))
     rows = with_row_id(docs, id_col, text_col).select(ROW_ID, "id", lines.alias("lines"))
@@ -202,8 +221,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        paragraphs.alias("paragraphs"))
     # where paragraphs start that may start a known text, and where all end, as
     # places in the whole text (its paragraphs joined by one space)
-    ends = F.aggregate("paragraphs", F.array(F.lit(0)), lambda a, u: F.concat(
-        a, F.array(F.element_at(a, -1) + F.char_length(u) + 1)))
+    ends = running_ends(F.transform("paragraphs", lambda u: F.char_length(u) + 1))
     begins = F.exists("paragraphs", lambda u: F.substring(u, 1, LEAD).isin(leads))
     rows = rows.select(ROW_ID, "id", "whole_text", "units", "paragraphs",
                        F.when(begins, ends).alias("ends"))
@@ -221,7 +239,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     lambda u: F.struct(F.lit(False).alias("whole"), F.sha2(u, 256).alias("digest"))),
     )).alias("u"))
     hit = rows.select(ROW_ID, "id", "u.whole", "u.digest").join(
-        F.broadcast(lookup), "digest", "left").where(F.col("whole") | F.col("license").isNotNull())
+        lookup, "digest", "left").where(F.col("whole") | F.col("license").isNotNull())
     return hit.groupBy(ROW_ID).agg(
         F.first("id").alias("id"),
         F.max(F.when(F.col("whole"), F.col("digest"))).alias("text_sha256"),

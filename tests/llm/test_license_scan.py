@@ -1,3 +1,7 @@
+import random
+
+import regex
+
 from logloom.llm import license_scan as L
 from tests.llm.conftest import EDGE, dicts
 
@@ -57,3 +61,65 @@ def test_known_texts_have_distinct_digests_per_licence(spark):
     owner = {}
     for lic, digest, _ in table:
         assert owner.setdefault(digest, lic) == lic
+
+
+def brute(text, known):
+    """Whole text, lines and all runs of paragraphs, compared as texts."""
+    t = (text or "").replace("\r\n", "\n").replace("\r", "\n").lower()
+    for a, b in L.EQUIVALENT:
+        t = t.replace(a, b)
+    t = regex.sub(L.COPYRIGHT_LINE.replace(r"\z", r"\Z"), "", t)
+    t = regex.sub(L.NOT_WORD, " ", t)
+
+    def one(x):
+        return regex.sub(r"[ \n]+", " ", x).strip(" ")
+    whole = one(t)
+    paragraphs = [p for p in map(one, regex.split(r"\n[ \n]*\n", t)) if p]
+    units = {whole} | {one(x) for x in t.split("\n")}
+    units |= {" ".join(paragraphs[i:j]) for i in range(len(paragraphs)) for j in range(i + 1, len(paragraphs) + 1)}
+    found = {u for u in units if u in known}
+    return (max(known[whole]) if whole in known else None,
+            ",".join(sorted({x for u in found for x in known[u]})), sum(len(known[u]) for u in found))
+
+
+def test_runs_of_paragraphs_against_brute_force(spark):
+    rng = random.Random(4)
+    words = ["alpha", "beta", "gamma", "delta", "sub-licence", "Copyright 2020 X"]
+
+    def paragraph():
+        return " ".join(rng.choices(words[:5], k=rng.randint(1, 4)))
+    given = [(f"L{i}", "\n\n".join(paragraph() for _ in range(rng.randint(1, 4)))) for i in range(25)]
+    given += [("Same", given[0][1].upper()), ("Null", None), ("Empty", " ,. "), (None, "alpha beta")]
+    texts = [None, "", "\n\n"]
+    for _ in range(150):
+        parts = [rng.choice([t for _, t in given[:25]]) if rng.random() < .4 else paragraph()
+                 for _ in range(rng.randint(1, 6))]
+        texts.append(rng.choice(["\n\n", "\n \n\n", "\n"]).join(parts) + rng.choice(["", "\n", "\n\nx", "\n" + words[5]]))
+    texts.append("\n\n".join(paragraph() for _ in range(1500)))
+    table = spark.createDataFrame(given, "license string, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    known = {}
+    for i, t in given:
+        c = brute_canonical(spark, t)
+        if i and c:
+            known.setdefault(c, set()).add(i)
+    got = {r["id"]: (r["whole"], r["licenses"], r["n_units"]) for r in dicts(L.scan_licenses(docs, known=table))}
+    want = {i: brute(t, known) for i, t in enumerate(texts[:-1])}
+    assert {i: got[i] for i in want} == want
+    assert any(w[2] for w in want.values()) and any(w[0] for w in want.values())
+    assert len(got) == len(texts)
+    none = dicts(L.scan_licenses(docs, known=table.limit(0)))
+    assert len(none) == len(texts) and all(r["licenses"] == "" for r in none)
+
+
+def brute_canonical(spark, text):
+    from pyspark.sql import functions as F
+    return spark.range(1).select(L.canonical(F.lit(text).cast("string")).alias("c")).first()["c"]
+
+
+def test_running_ends(spark):
+    from pyspark.sql import functions as F
+    for n in (0, 1, 255, 256, 257, 1000):
+        xs = [i % 7 for i in range(n)]
+        row = spark.createDataFrame([(xs,)], "xs array<int>").select(L.running_ends(F.col("xs")).alias("e")).first()
+        assert list(row["e"]) == [sum(xs[:i]) for i in range(n + 1)]
