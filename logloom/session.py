@@ -2,13 +2,14 @@
 
 Everything that has to be materialised (written tables, streaming
 checkpoints, landed text logs) goes under the folder named by
-``spark.checkpoint.dir``, on a cluster a shared one; a session in one process
-that leaves it unset works under the SQL warehouse.
+``spark.checkpoint.dir``, on a cluster a shared one; a session that leaves it
+unset works under the SQL warehouse, if that is shared or all is one process.
 """
 
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -52,16 +53,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir`` (or the context's
     checkpoint directory when one was set with ``setCheckpointDir``).
 
-    A session in one process that names neither works under its SQL warehouse.
-    On a cluster that folder may be one machine's own, so there the setting is
-    demanded.
+    A session that names neither works under its SQL warehouse.  On a cluster
+    that must be a shared store: a local folder is one machine's own there, so
+    then the setting is demanded.
     """
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
-        if sc.master.split("[")[0] != "local":
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if sc.master.split("[")[0] != "local" and urlsplit(warehouse).scheme in ("", "file"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        root = warehouse.rstrip("/") + "/_work"
     return root.rstrip("/")
 
 
