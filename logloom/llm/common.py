@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.session import table_path, work_dir
+from logloom.session import remove, table_path, work_dir
 
 #: Bytes of one Arrow batch handed to a Python task.  With very long texts a
 #: batch of the default 10,000 rows would not fit an executor's memory.
@@ -33,14 +34,33 @@ def bounded_batches(spark: SparkSession, max_bytes: int = ARROW_BATCH_BYTES) ->
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(max_bytes))
 
 
-def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables stored meanwhile are removed at the end: for a result that is
+    written before."""
+    root = work_dir(spark, "llm", name, unique=True)
+    _SCRATCH.append(root)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(root)
+        remove(spark, root)
+
+
+def stored(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage: later stages reread files that every executor sees, so
     a lost executor costs a reread and not a recomputation, and values that
     depend on the row order of a run (row ids, names) are fixed from here on.
+    ``keep`` leaves the table out of a ``scratch`` folder.
     """
     path = work_dir(df.sparkSession, "llm", name, unique=True)
+    if _SCRATCH and not keep:
+        path = f"{_SCRATCH[-1]}/{path.rsplit('/llm/', 1)[1]}"
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

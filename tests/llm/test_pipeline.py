@@ -1,10 +1,12 @@
 import inspect
+import os
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logloom.llm import decontaminate, exact_dedup, simhash
-from logloom.llm.common import stored
+from logloom.llm.common import ROW_ID, keep_rows, stored, with_row_id
+from logloom.session import work_dir
 from tests.llm.conftest import table
 from tests.llm.test_decontaminate import brute as brute_hits
 from tests.llm.test_simhash import brute_components, brute_fp
@@ -75,3 +77,55 @@ def test_hot_groups(spark, tmp_path):
     near = simhash.near_duplicates(docs)
     assert near.where("component_id < 600").select("component_id").distinct().count() == 1
     assert near.where("component_id >= 600").count() == 300
+
+
+def test_run_leaves_its_stages_only(spark):
+    root = work_dir(spark, "llm").removeprefix("file://")
+
+    def held():
+        return {f"{n}/{t}" for n in (os.listdir(root) if os.path.isdir(root) else ()) for t in os.listdir(f"{root}/{n}")}
+    before = held()
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    left = sorted(x.split("/")[0] for x in held() - before)
+    assert left == sorted(f"stage_{n}" for n, _ in corpus_pipeline.STAGES)
+
+
+def test_run_over_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        table(spark, name, SF).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_decisions_hold_however_the_files_are_split(spark, tmp_path):
+    """Between the scan that decides and the scan that keeps, splits change."""
+    path = str(tmp_path / "docs.parquet")
+    table(spark, "documents", "/root/testdata/sf0.01").repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = {max(i for i in texts if texts[i] == t) for t in set(texts.values())}
+    confs = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism")
+    before = {c: spark.conf.get(c, None) for c in confs}
+    kept = stored(exact_dedup.exact_duplicates(docs).where("kept"), "kept")
+    try:
+        for size in ("20k", "150k", "100m"):
+            spark.conf.set(confs[0], size)
+            spark.conf.set(confs[1], "1k")
+            assert size != "20k" or spark.read.parquet(path).rdd.getNumPartitions() != 7
+            rows = [r.doc_id for r in keep_rows(docs, kept).collect()]
+            assert len(rows) == len(want) and set(rows) == want
+            # the way without a broadcast gives the same
+            assert {r.doc_id for r in keep_rows(docs, kept, max_bytes=0).collect()} == want
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
+def test_rows_are_identified_only_where_that_is_sure(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(10).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).write.parquet(path)
+    scan = spark.read.parquet(path)
+    twice = scan.select("doc_id", "text", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))
+    for df, rows in ((scan, 10), (scan.where("doc_id > 3"), 6), (twice, 20), (scan.union(scan), 20),
+                     (scan.limit(4), 4), (scan.groupBy("doc_id", "text").count(), 10)):
+        ids = with_row_id(df, "doc_id", "text").select(ROW_ID)
+        assert ids.count() == ids.distinct().count() == rows
