@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import decontaminate, exact_dedup, packing, quality, simhash
-from logloom.llm.common import read, stored
+from logloom.llm.common import read, scratch, stored
 from logloom.llm.queries import tokenizer_path
 
 
@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage_{name}")
+        with scratch(spark, f"scratch_{name}"):  # what the stage stored itself goes with its end
+            docs = stored(stage(spark, docs, sf_dir), f"stage_{name}", keep=True)
     return docs
