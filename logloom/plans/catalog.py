@@ -67,6 +67,20 @@ def write_partitioned_overwrite_q(spark, sf):
     return spark.read.schema(schemas.LOGINFO).parquet(path)
 
 
+@query("insert_overwrite_table")
+def insert_overwrite_table_q(spark, sf):
+    """Loginfo inserted into a partitioned catalog table, then its first days
+    once more: only their partitions are replaced."""
+    loginfo = Inputs(spark, sf).loginfo.select(*schemas.LOGINFO.names)
+    root = work_dir(spark, "tables", "catalog", unique=True)
+    table = f"etl_{root.rsplit('/', 1)[-1]}.loginfo"
+    spark.sql(f"CREATE DATABASE {table.split('.')[0]} LOCATION '{root}'")
+    loginfo.limit(0).write.partitionBy(*etl.YMD).saveAsTable(table)
+    etl.insert_overwrite_table(loginfo, table)
+    etl.insert_overwrite_table(loginfo.where(F.col("day") < "04"), table)
+    return spark.table(table)
+
+
 @query("table_scan")
 def table_scan_q(spark, sf):
     """Column-pruned scan of the written loginfo table (the stage-2 input)."""

@@ -420,6 +420,7 @@ BODIES: dict[str, str] = {
     "log_text_scan": "SELECT value FROM lines",
     "ip_ranges_load": "SELECT start_ip, end_ip, district FROM ranges",
     "write_partitioned_overwrite": f"SELECT {_LOGINFO_COLS}, year, month, day FROM loginfo",
+    "insert_overwrite_table": f"SELECT {_LOGINFO_COLS}, year, month, day FROM loginfo",
     "table_scan": "SELECT ip, district, sessionid, datetime, daystr, url, referal, userAgent "
                   "FROM loginfo",
     "write_table_overwrite": "SELECT * FROM pv_day",
