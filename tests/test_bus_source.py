@@ -127,3 +127,52 @@ def test_reminder_job_stores_reports_and_resumes(spark):
     got = unpaid.verdicts(spark, out)
     assert got.count() == got.select("orderid").distinct().count() > 0
     assert unpaid.reminder_state(spark, out).changes().agg(F.max("batch")).first()[0] == 0  # the second read nothing new
+
+
+def test_a_batch_of_the_history_takes_few_jobs(spark):
+    sc, table = spark.sparkContext, work_dir(spark, "test", "history", unique=True)
+    rows = [("t", p, o, None, "k", "v") for p in range(3) for o in range(50)]
+    batch = spark.createDataFrame(rows, derived.BUS_SCHEMA)
+    stream_offsets.offset_history_append(batch, 0, table, "g")
+    sc.setJobGroup("history", "a batch")
+    try:
+        stream_offsets.offset_history_append(batch.where("partition < 2"), 1, table, "g")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("history")) <= 2  # an adaptive shuffle
+    stream_offsets._STORED.clear()  # as after a restart
+    for _ in range(2):
+        stream_offsets.offset_history_append(batch.where("partition < 1"), 2, table, "g")
+    got = sorted((r["batch_id"], r["partition"], r["from_offset"], r["until_offset"], r["records"])
+                 for r in stream_offsets.read_history(spark, table).collect())
+    assert got == [(0, 0, 0, 50, 50), (0, 1, 0, 50, 50), (0, 2, 0, 50, 50),
+                   (1, 0, 0, 50, 50), (1, 1, 0, 50, 50), (1, 2, 50, 50, 0),
+                   (2, 0, 0, 50, 50), (2, 1, 50, 50, 0), (2, 2, 50, 50, 0)]
+
+
+def test_a_batch_is_planned_adaptively(spark):
+    """Few rows are not dealt over every shuffle partition."""
+    inp, seen = Inputs(spark, SF_SMALL), []
+    history, checkpoint = (work_dir(spark, "test", n, unique=True) for n in ("history", "checkpoint"))
+
+    def sink(batch, epoch):
+        stream_offsets.offset_history_append(batch, epoch, history, "g")
+        seen.append(stream_offsets.batch_offsets(batch, epoch).rdd.getNumPartitions())
+    bus_stream.finish(bus_stream.kept_bus_stream(spark, inp.bus_root, "{}", checkpoint, 100_000).writeStream.foreachBatch(
+        sink).option("checkpointLocation", checkpoint).start())
+    assert seen and max(seen) < int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_the_index_is_read_again_only_when_it_has_changed(tmp_path, spark, monkeypatch):
+    from logloom.sources import bus_source
+    reads, real = [], bus_source._dataset
+    monkeypatch.setattr(bus_source, "_dataset", lambda path, **kw: reads.append(path) or real(path, **kw))
+    spark.createDataFrame([("t", 0, 0, 0, 10)], derived.INDEX_SCHEMA).write.parquet(f"{tmp_path}/index")
+    reader = BusReader({"path": str(tmp_path)})
+    assert [reader.latestOffset() for _ in range(3)] == [{"t": {"0": 10}}] * 3
+    assert len(reader.partitions({"t": {"0": 2}}, {"t": {"0": 10}})) == 1
+    assert len(reads) == 1
+    spark.createDataFrame([("t", 0, 1, 10, 15)], derived.INDEX_SCHEMA).write.mode("append").parquet(f"{tmp_path}/index")
+    assert reader.latestOffset() == {"t": {"0": 15}}
+    assert [p.ranges for p in reader.partitions({"t": {"0": 10}}, {"t": {"0": 15}})] == [[("t", 0, 10, 15)]]
+    assert len(reads) == 2
