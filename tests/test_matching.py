@@ -74,3 +74,19 @@ def test_replay_of_the_bus_agrees_with_the_batch_status(spark):
     # what the join itself says: orders with a timely payment in their window
     met = spark.read.parquet(f"{root}/matched").where("o_value IS NOT NULL AND p_value IS NOT NULL")
     assert met.count() > 0
+
+
+def test_the_state_has_few_partitions(spark):
+    """Stores are opened and committed in every batch, whatever it holds."""
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    folder, root, checkpoint = (work_dir(spark, "test", n, unique=True) for n in ("bus", "matched", "checkpoint"))
+    try:
+        bus_stream.land_in_order([matching.heartbeat(spark, "2019-09-01 10:00:00")], folder)
+        queries = matching.start_matching(bus_stream.file_bus_stream(spark, folder, 1), root, checkpoint,
+                                          trigger={"processingTime": "0 seconds"})
+        matching.finish_all(queries)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+    assert queries[0].lastProgress.stateOperators[0].numShufflePartitions == matching.STATE_PARTITIONS
