@@ -205,6 +205,44 @@ def test_old_changes_can_be_removed(spark):
     assert len(folders(spark, f"{root}/base")) == 2
 
 
+def test_the_state_is_compacted_in_levels(spark):
+    """A version is written once per level; the state reads the same at any batch."""
+    for every, batches in ((1, 6), (2, 13)):
+        state = unpaid.reminder_state(spark, work_dir(spark, "test", "state", unique=True), 2, every)
+        newest = {}
+        for n in range(batches):
+            rows = [(f"k{n}", "u", "t", None, n, "open"), ("k0", "u", "t", None, n, f"v{n}")][n == 0:]
+            for _ in range(2):  # a replay finds what the batch found
+                versions = state.versions(n)
+                got = {} if versions is None else {r["orderid"]: (r["batch"], r["verdict"])
+                                                   for r in state.newest(versions).collect()}
+                assert got == newest
+                state.append(spark.createDataFrame(rows, unpaid.STATE), n)
+                state.compact(n)
+            newest |= {r[0]: (n, r[5]) for r in rows}
+        last = batches // every * every - 1
+        assert spark.read.parquet(f"{state.root}/base/asof={last}").count() == every + 1  # not the whole state
+        assert len(state.bases(batches)[0]) <= 4
+
+
+def test_parts_are_written_side_by_side_and_land_in_order(spark, monkeypatch):
+    import threading
+    both, real = threading.Barrier(2, timeout=30), bus_stream.land_bus
+
+    def land(df, folder):
+        both.wait()  # a part alone would wait for ever
+        real(df, folder)
+    monkeypatch.setattr(bus_stream, "land_bus", land)
+    folder = work_dir(spark, "test", "landing", unique=True)
+    for first in (0, 10):
+        bus_stream.land_in_order([spark.range(n, n + 1) for n in range(first, first + 10)], folder)
+    files = spark.read.format("binaryFile").load(folder).select("path", "modificationTime").collect()
+    files.sort(key=lambda r: r["modificationTime"])
+    assert [spark.read.parquet(r["path"]).first()[0] for r in files] == list(range(20))
+    assert len({r["modificationTime"] for r in files}) == 20
+    assert folders(spark, folder) == []
+
+
 def test_the_clock_does_not_depend_on_the_drivers_zone(spark):
     bus = _bus(spark, [_order("a", "2019-09-01 08:00:00")])
     saved = os.environ.get("TZ")
