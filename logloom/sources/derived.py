@@ -317,10 +317,13 @@ def segment_counts(segmented: DataFrame) -> DataFrame:
 def with_offsets(segmented: DataFrame, counts: DataFrame) -> DataFrame:
     """Bus rows: the offset is the record's place in its topic's partition,
     counted without gaps in order of time.  Only records of one segment, topic
-    and partition are sorted together."""
+    and partition are sorted together.  The rows are dealt by segment, once, and
+    stay where they lie when they are numbered and written by segment."""
     within = Window.partitionBy("segment", "topic", "partition").orderBy("timestamp", "key", "value")
-    numbered = segmented.withColumn("_n", F.row_number().over(within) - 1)
-    return numbered.join(counts.select("topic", "partition", "segment", "from_offset"),
+    # as many parts as segments: what a task sorts does not grow with the bus
+    parts = (counts.agg(F.max("segment")).first()[0] or 0) + 1
+    numbered = segmented.repartition(parts, "segment").withColumn("_n", F.row_number().over(within) - 1)
+    return numbered.join(F.broadcast(counts.select("topic", "partition", "segment", "from_offset")),
                          ["topic", "partition", "segment"]).select(
         "topic", "partition", (F.col("from_offset") + F.col("_n")).alias("offset"), "timestamp", "key",
         "value", "segment")

@@ -56,6 +56,19 @@ def test_every_order_and_line_item_is_on_the_bus(spark):
     assert gaps.where("lo <> 0 OR hi <> n - 1 OR d <> n").count() == 0
 
 
+def test_the_bus_is_dealt_once_when_it_is_numbered(spark):
+    import re
+    records = spark.createDataFrame([("t", k % 4, k % 7, None, "k", f"v{k}") for k in range(100)],
+                                    "topic string, partition int, segment int, timestamp timestamp_ntz, key string, value string")
+    counts = spark.createDataFrame([("t", p, n, 10 * n, 10 * n + 9) for p in range(4) for n in range(7)], derived.INDEX_SCHEMA)
+    rows = derived.with_offsets(records, counts).sortWithinPartitions("segment", "topic", "partition", "offset")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\(([^)]*)\)", plan.split("Initial Plan")[-1]) == [
+        m for m in re.findall(r"hashpartitioning\((segment#\d+, \d+)\)", plan.split("Initial Plan")[-1])][:1]
+    assert rows.rdd.getNumPartitions() == 7  # as many parts as segments
+    assert rows.count() == 100
+
+
 def test_batches_are_bounded_and_reported_as_the_sink_counts(spark):
     inp = Inputs(spark, SF_SMALL)
     rows, report, history = consume(spark, inp.bus_root)
