@@ -366,17 +366,20 @@ def orders_payments_full_outer_q(spark, sf):
 def _tables(spark, inp: Inputs) -> str:
     """A catalog database with the orders and payments in buckets of their order
     id, located in the shared folder."""
+    buckets = max(BUCKETS, -(-inp.bus_size // BUCKET_RECORDS))
+
     def write(root: str) -> None:
         name = "bus_" + root.rsplit("/", 1)[-1]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}'")
         for table, rows in (("orders", orders.orders_from_bus(inp.bus)),
                             ("payments", orders.payments_from_bus(inp.bus))):
-            etl.write_bucketed_table(rows, f"{name}.{table}", "orderid", BUCKETS)
-    return "bus_" + inp.landed("bucketed", write).rsplit("/", 1)[-1]
+            etl.write_bucketed_table(rows, f"{name}.{table}", "orderid", buckets)
+    return "bus_" + inp.landed(f"bucketed-{buckets}", write).rsplit("/", 1)[-1]
 
 
-#: Buckets of the order tables; at scale, bytes of the larger / 128 MB.
-BUCKETS = 8
+#: Buckets of the order tables, at least; and records of the bus in a bucket of
+#: both, so that the task that joins one holds as much at any size.
+BUCKETS, BUCKET_RECORDS = 8, 500_000
 
 
 @query("orders_payments_bucketed")

@@ -132,7 +132,7 @@ class Inputs:
             segmented = derived.with_segments(self.spark.read.parquet(raw))
             derived.segment_counts(segmented).coalesce(1).write.parquet(f"{root}/index")
             counts = self.spark.read.schema(derived.INDEX_SCHEMA).parquet(f"{root}/index")
-            (derived.with_offsets(segmented, counts).repartition("segment").sortWithinPartitions(
+            (derived.with_offsets(segmented, counts).sortWithinPartitions(
                 "segment", "topic", "partition", "offset")
              .write.partitionBy("segment").parquet(f"{root}/records"))
             remove(self.spark, raw)
@@ -142,6 +142,11 @@ class Inputs:
     def bus_index(self) -> DataFrame:
         return self.spark.read.schema(derived.INDEX_SCHEMA).parquet(f"{self.bus_root}/index")
 
+    @cached_property
+    def bus_size(self) -> int:
+        """How many records the bus holds, by its index."""
+        return self.bus_index.agg(F.sum(F.col("until_offset") - F.col("from_offset"))).first()[0] or 0
+
     @cached_property
     def bus_segments(self) -> DataFrame:
         """Bus rows with the number of their segment."""

@@ -431,3 +431,19 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         assert df.count() == catalog.QUERIES["orders_payments_full_outer"](spark, SF_SMALL).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+def test_buckets_follow_the_records(spark, monkeypatch):
+    from logloom.plans import catalog
+    from logloom.plans.inputs import Inputs
+
+    from .conftest import SF_SMALL
+    inp = Inputs(spark, SF_SMALL)
+    for per_bucket, want in ((500, -(-inp.bus.count() // 500)), (500_000, catalog.BUCKETS)):
+        monkeypatch.setattr(catalog, "BUCKET_RECORDS", per_bucket)
+        name = catalog._tables(spark, inp)
+        for table in ("orders", "payments"):
+            found = spark.sql(f"DESCRIBE EXTENDED {name}.{table}").where("col_name = 'Num Buckets'").first()
+            assert int(found["data_type"]) == want
+        df = catalog.QUERIES["orders_payments_bucketed"](spark, SF_SMALL)
+        assert df.count() == catalog.QUERIES["orders_payments_full_outer"](spark, SF_SMALL).count()
