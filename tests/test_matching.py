@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from logloom.functions import columns as C
 from logloom.operators import orders
 from logloom.plans.inputs import Inputs
 from logloom.session import work_dir
@@ -90,3 +91,37 @@ def test_the_state_has_few_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", keep)
     assert queries[0].lastProgress.stateOperators[0].numShufflePartitions == matching.STATE_PARTITIONS
+
+
+def test_a_partition_of_the_state_is_one_store(spark):
+    """Both sides of the join: four stores before, each committed in every batch."""
+    import os
+    folder, root, checkpoint = (work_dir(spark, "test", n, unique=True) for n in ("bus", "matched", "checkpoint"))
+    bus_stream.land_in_order([matching.heartbeat(spark, "2019-09-01 10:00:00")], folder)
+    matching.finish_all(matching.start_matching(bus_stream.file_bus_stream(spark, folder, 1), root, checkpoint,
+                                                trigger={"processingTime": "0 seconds"}))
+    assert [n for n in os.listdir(f"{checkpoint}/matched/state/0/0") if n.startswith(("left-", "right-"))] == []
+
+
+def test_the_status_reads_settled_records(spark):
+    """The records are settled once, not for each of the status's reads."""
+    root = work_dir(spark, "test", "rows", unique=True)
+    o, p = ("produceOrderInfo", "u,1,a,2019-09-01 10:00:00,1,0,0,1"), ("producerOrderids", "1,card,2019-09-01 10:01:00,1,x")
+    spark.createDataFrame([(*o, *p), (*o, *p)], "o_topic string, o_value string, p_topic string, p_value string").write.parquet(
+        f"{root}/matched")
+    spark.createDataFrame([("producerOrderids", "1,card,,1,x"), ("producerOrderids", ",heartbeat,"), ("pay2", "heartbeat,,")],
+                          "topic string, value string").write.parquet(f"{root}/late")
+    assert rows_of(matching.settled(spark, root)) == rows_of(spark.createDataFrame(
+        [o, p, ("producerOrderids", "1,card,,1,x")], "topic string, value string"))
+    status = matching.status_of_matched(spark, root, "2019-09-01 12:00:00")
+    assert [(r["orderid"], r["status"]) for r in status.collect()] == [("1", "paid")]
+    assert all("/matched" not in f and "/late" not in f for f in status.inputFiles())
+
+
+def test_a_time_is_read_only_where_one_can_be(spark):
+    times = ["2019-09-01 10:00:00", "", "n/a", None, "2019-09-31 10:00:00", "+12019-09-01 10:00:00", "2019-09-01 10:00:00 "]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in times], "t string").select(
+        F.coalesce(C.log_time("t", "yyyy-MM-dd HH:mm:ss").cast("string"), F.lit("-"))).collect()]
+    want = [r[0] for r in spark.createDataFrame([(t,) for t in times], "t string").select(F.coalesce(
+        F.try_to_timestamp("t", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").cast("string"), F.lit("-"))).collect()]
+    assert got == want and got[:4] == ["2019-09-01 10:00:00", "-", "-", "-"]
