@@ -189,3 +189,40 @@ def test_the_index_is_read_again_only_when_it_has_changed(tmp_path, spark, monke
     assert reader.latestOffset() == {"t": {"0": 15}}
     assert [p.ranges for p in reader.partitions({"t": {"0": 10}}, {"t": {"0": 15}})] == [[("t", 0, 10, 15)]]
     assert len(reads) == 2
+
+
+def test_a_batch_of_one_landed_file_is_read_by_several_tasks(spark):
+    from pyspark.sql.functions import lit, uuid
+
+    from logloom.session import SPLIT_SMALL_FILES, settings
+    folder, checkpoint = (work_dir(spark, "test", n, unique=True) for n in ("bus", "checkpoint"))
+    rows = spark.range(40_000).select(lit("t").alias("topic"), lit(0).alias("partition"), F.col("id").alias("offset"),
+                                      lit(None).cast("timestamp_ntz").alias("timestamp"), uuid().alias("key"), uuid().alias("value"))
+    bus_stream.land_in_order([rows], folder)
+    seen = []
+    with settings(spark, SPLIT_SMALL_FILES):
+        bus_stream.finish(bus_stream.file_bus_stream(spark, folder, 1).writeStream.foreachBatch(
+            lambda batch, epoch: seen.append(sum(n > 0 for n in batch.rdd.mapPartitions(
+                lambda found: [sum(1 for _ in found)]).collect()))).option("checkpointLocation", checkpoint).start())
+    assert len(seen) == 1 and seen[0] >= min(4, spark.sparkContext.defaultParallelism)
+
+
+def test_the_positions_of_a_batch_are_counted_by_one_job(spark):
+    sc, table = spark.sparkContext, work_dir(spark, "test", "history", unique=True)
+    batch = spark.createDataFrame([("t", p, o, None, "k", "v") for p in range(3) for o in range(50)], derived.BUS_SCHEMA)
+    sc.setJobGroup("positions", "a batch")
+    try:
+        stream_offsets.offset_history_append(batch, 0, table, "g")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("positions")) == 1  # two before: an adaptive shuffle
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert stream_offsets.read_history(spark, table).agg(F.sum("records")).first()[0] == 150
+
+
+def test_the_bus_is_kept_in_the_order_in_which_it_is_numbered(spark):
+    inp = Inputs(spark, SF_SMALL)
+    assert inp.bus_segments.count() > 0
+    for path in inp.bus_segments.inputFiles():
+        found = [(r["topic"], r["partition"], r["offset"]) for r in spark.read.parquet(path).collect()]
+        assert found == sorted(found)
